@@ -6,6 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def obs() -> Column:
+    return F.col("claim_count")
+
+
+def pred() -> Column:
+    return F.col("y_pred")
+
+
 def clip(x: Column, low, high) -> Column:
     """Bound x; null stays null (greatest/least alone would drop it)."""
     lo = low if isinstance(low, Column) else F.lit(float(low))

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwright.config import KpiGate
 from panelwright.functions import accuracy
-from panelwright.functions.columns import chi2_tail_df10, clip, key_part, ratio
-from panelwright.operators.features import BY_SERIES, IN_ORDER
+from panelwright.functions.columns import chi2_tail_df10, key_part, obs, pred, ratio
+from panelwright.operators.features import by_series, in_order
 
 SLOT = ["series_id", "year", "month"]
-Y, P = F.col("claim_count"), F.col("y_pred")
 
 
 def compare_inner(actual: DataFrame, forecast: DataFrame) -> DataFrame:
@@ -21,7 +19,7 @@ def compare_inner(actual: DataFrame, forecast: DataFrame) -> DataFrame:
     return (
         actual.select(*SLOT, *[c for c in ("idx", "n") if c in actual.columns], "claim_count")
         .join(forecast.select(*SLOT, *keep), SLOT)
-        .withColumn("error", Y - P)
+        .withColumn("error", obs() - pred())
         .withColumn("abs_error", F.abs("error"))
     )
 
@@ -31,9 +29,9 @@ def compare_left(actual: DataFrame, forecast: DataFrame) -> DataFrame:
     return (
         actual.select(*SLOT, "claim_count")
         .join(forecast.select(*SLOT, "y_pred"), SLOT, "left")
-        .withColumn("error", Y - F.coalesce(P, F.lit(0.0)))
+        .withColumn("error", obs() - F.coalesce(pred(), F.lit(0.0)))
         .withColumn("abs_error", F.abs("error"))
-        .withColumn("pct_error", F.when(Y > 0, F.col("error") / Y * 100).otherwise(0.0))
+        .withColumn("pct_error", F.when(obs() > 0, F.col("error") / obs() * 100).otherwise(0.0))
     )
 
 
@@ -44,7 +42,7 @@ def compare_outer(actual: DataFrame, forecast: DataFrame, slot: str = "week") ->
     a = actual.join(forecast_ids, "series_id", "left_semi").select(*keys, "claim_count")
     f = forecast.join(actual_ids, "series_id", "left_semi").select(*keys, "y_pred")
     return a.join(f, keys, "full").select(
-        *keys, F.coalesce(Y, F.lit(0.0)).alias("claim_count"), F.coalesce(P, F.lit(0.0)).alias("y_pred")
+        *keys, F.coalesce(obs(), F.lit(0.0)).alias("claim_count"), F.coalesce(pred(), F.lit(0.0)).alias("y_pred")
     )
 
 
@@ -56,17 +54,17 @@ def match_by_position(actual: DataFrame, arrays: DataFrame, slot: str = "week",
 
 def metrics_by(df: DataFrame, *by: str) -> DataFrame:
     """Percent metrics, MAE and RMSE per group (one map-side combined aggregate)."""
-    return df.groupBy(*by).agg(*accuracy.bundle(Y, P))
+    return df.groupBy(*by).agg(*accuracy.bundle(obs(), pred()))
 
 
 def fraction_metrics_by(df: DataFrame, *by: str) -> DataFrame:
-    return df.groupBy(*by).agg(*accuracy.fraction_bundle(Y, P))
+    return df.groupBy(*by).agg(*accuracy.fraction_bundle(obs(), pred()))
 
 
 def naive_scale(train: DataFrame, period: int = 12) -> DataFrame:
     """Mean absolute seasonal step per series; the plain step where the series is not longer."""
-    seasonal = F.abs(Y - F.lag(Y, period).over(IN_ORDER))
-    plain = F.abs(Y - F.lag(Y, 1).over(IN_ORDER))
+    seasonal = F.abs(obs() - F.lag(obs(), period).over(in_order()))
+    plain = F.abs(obs() - F.lag(obs(), 1).over(in_order()))
     return (
         train.withColumn("_step", F.when(F.col("n") > period, seasonal).otherwise(plain))
         .groupBy("series_id")
@@ -85,17 +83,17 @@ def evaluation(df: DataFrame, *by: str) -> DataFrame:
     R2 uses the sums of y and y squared, so no second pass over the rows is needed.
     """
     n = F.count(F.lit(1))
-    rss = F.sum((Y - P) * (Y - P))
-    tss = F.greatest(F.var_pop(Y) * n, F.lit(0.0))
+    rss = F.sum((obs() - pred()) * (obs() - pred()))
+    tss = F.greatest(F.var_pop(obs()) * n, F.lit(0.0))
     return df.groupBy(*by).agg(
-        (accuracy.mape_nonzero(Y, P) * 100).alias("mape"),
-        accuracy.mae(Y, P).alias("mae"),
-        accuracy.rmse(Y, P).alias("rmse"),
+        (accuracy.mape_nonzero(obs(), pred()) * 100).alias("mape"),
+        accuracy.mae(obs(), pred()).alias("mae"),
+        accuracy.rmse(obs(), pred()).alias("rmse"),
         (1 - ratio(rss, tss)).alias("r2"),
         n.alias("n_points"),
-        F.sum(Y).alias("total_actual"),
-        F.sum(P).alias("total_predicted"),
-        accuracy.total_bias(Y, P).alias("bias"),
+        F.sum(obs()).alias("total_actual"),
+        F.sum(pred()).alias("total_predicted"),
+        accuracy.total_bias(obs(), pred()).alias("bias"),
     )
 
 
@@ -127,11 +125,11 @@ def monthly_totals(compare: DataFrame) -> DataFrame:
 def overall_scores(compare: DataFrame) -> DataFrame:
     """MAE, RMSE, MAPE against y + 1, WMAPE over all rows and mean over-forecast, as one row."""
     return compare.agg(
-        accuracy.mae(Y, P).alias("mae"),
-        accuracy.rmse(Y, P).alias("rmse"),
-        accuracy.mape_plus_one_pct(Y, P).alias("mape"),
-        (ratio(F.sum(F.abs(Y - P)), F.sum(Y)) * 100).alias("wmape"),
-        F.avg(P - Y).alias("bias"),
+        accuracy.mae(obs(), pred()).alias("mae"),
+        accuracy.rmse(obs(), pred()).alias("rmse"),
+        accuracy.mape_plus_one_pct(obs(), pred()).alias("mape"),
+        (ratio(F.sum(F.abs(obs() - pred())), F.sum(obs())) * 100).alias("wmape"),
+        F.avg(pred() - obs()).alias("bias"),
         F.count(F.lit(1)).alias("n_records"),
     )
 
@@ -140,14 +138,14 @@ def retrain_candidates(compare: DataFrame) -> DataFrame:
     """Rows that miss by twice the MAE, by 1.5 times the WMAPE, by half of the actual either way, or
     by more than 30 % on 10 or more."""
     kpi = overall_scores(compare).select(F.struct("mae", "wmape").alias("k")).scalar()
-    over = P - Y
-    pct = F.abs(over) / (Y + 1) * 100
+    over = pred() - obs()
+    pct = F.abs(over) / (obs() + 1) * 100
     return compare.where(
         (F.abs(over) > kpi["mae"] * 2)
         | (pct > kpi["wmape"] * 1.5)
-        | (over > Y * 0.5)
-        | (over < -Y * 0.5)
-        | ((Y >= 10) & (pct > 30))
+        | (over > obs() * 0.5)
+        | (over < -obs() * 0.5)
+        | ((obs() >= 10) & (pct > 30))
     ).withColumn("abs_pct_error", pct)
 
 
@@ -156,10 +154,10 @@ def kpi(compare: DataFrame, gate: KpiGate = KpiGate(), by: tuple[str, ...] = ())
     return (
         compare.groupBy(*by)
         .agg(
-            accuracy.mape_positive(Y, P).alias("mape"),
-            accuracy.mean_error_bias(Y, P).alias("bias"),
-            accuracy.mae(Y, P).alias("mae"),
-            accuracy.rmse(Y, P).alias("rmse"),
+            accuracy.mape_positive(obs(), pred()).alias("mape"),
+            accuracy.mean_error_bias(obs(), pred()).alias("bias"),
+            accuracy.mae(obs(), pred()).alias("mae"),
+            accuracy.rmse(obs(), pred()).alias("rmse"),
             F.count(F.lit(1)).alias("n_records"),
             F.countDistinct("series_id").alias("n_series"),
         )
@@ -182,15 +180,15 @@ def mean_series_kpi(evaluated: DataFrame, gate: KpiGate = KpiGate()) -> DataFram
 
 def year_metrics(compare: DataFrame) -> DataFrame:
     """MAPE, MASE (against the plain step), bias and RMSE per series with guarded denominators."""
-    step = F.abs(Y - F.lag(Y).over(IN_ORDER))
+    step = F.abs(obs() - F.lag(obs()).over(in_order()))
     return (
         compare.withColumn("_step", step)
         .groupBy("series_id")
         .agg(
-            accuracy.mape_guarded(Y, P).alias("mape"),
-            (accuracy.mae(Y, P) / F.coalesce(F.nullif(F.avg("_step"), F.lit(0.0)), F.lit(1.0))).alias("mase"),
-            accuracy.guarded_bias(Y, P).alias("bias"),
-            accuracy.rmse(Y, P).alias("rmse"),
+            accuracy.mape_guarded(obs(), pred()).alias("mape"),
+            (accuracy.mae(obs(), pred()) / F.coalesce(F.nullif(F.avg("_step"), F.lit(0.0)), F.lit(1.0))).alias("mase"),
+            accuracy.guarded_bias(obs(), pred()).alias("bias"),
+            accuracy.rmse(obs(), pred()).alias("rmse"),
         )
     )
 
@@ -204,12 +202,12 @@ def poor_performers(metrics: DataFrame, mape: float = 0.20, bias: float = 0.05,
 
 def reliability(compare: DataFrame) -> DataFrame:
     """Scores 0..100 for size of error, interval width, coverage and volatility, and their mix."""
-    y = F.greatest(Y, F.lit(0.0))
+    y = F.greatest(obs(), F.lit(0.0))
     stats = {
-        "_mean": F.avg(y).over(BY_SERIES),
-        "_std": F.when(F.count(F.lit(1)).over(BY_SERIES) > 1, F.stddev_pop(y).over(BY_SERIES)).otherwise(1.0),
-        "_high": F.max(y).over(BY_SERIES) * 1.5,
-        "_low": F.greatest(F.lit(0.0), F.min(y).over(BY_SERIES) * 0.5),
+        "_mean": F.avg(y).over(by_series()),
+        "_std": F.when(F.count(F.lit(1)).over(by_series()) > 1, F.stddev_pop(y).over(by_series())).otherwise(1.0),
+        "_high": F.max(y).over(by_series()) * 1.5,
+        "_low": F.greatest(F.lit(0.0), F.min(y).over(by_series()) * 0.5),
     }
     df = compare.withColumns(stats)
     bounded = {
@@ -264,9 +262,9 @@ def residual_diagnostics(compare: DataFrame, lags: int = 10, min_rows: int = 10)
     if lags != 10:
         raise ValueError("the tail probability is in closed form for 10 lags only")
     e = F.col("error")
-    centred = compare.withColumn("_c", e - F.avg(e).over(BY_SERIES))
+    centred = compare.withColumn("_c", e - F.avg(e).over(by_series()))
     for k in range(1, lags + 1):
-        centred = centred.withColumn(f"_p{k}", F.col("_c") * F.lag("_c", k).over(IN_ORDER))
+        centred = centred.withColumn(f"_p{k}", F.col("_c") * F.lag("_c", k).over(in_order()))
     n = F.col("n_residuals")
     g = centred.groupBy("series_id").agg(
         F.count(F.lit(1)).alias("n_residuals"),

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.operators.features import BY_SERIES, IN_ORDER
+from panelwright.operators.features import by_series, in_order
 
 T_CRITICAL_1PCT_DF18 = 2.878440472738608  # two-sided 1 % point of Student's t, 18 degrees
 
@@ -23,9 +23,9 @@ def cusum(panel: DataFrame, threshold: float = 3.0, drift: float = 0.5, value: s
     two stacked windows.  A constant series is never flagged.
     """
     y = F.col(value)
-    z = F.try_divide(y - F.avg(y).over(BY_SERIES), F.stddev_pop(y).over(BY_SERIES))
+    z = F.try_divide(y - F.avg(y).over(by_series()), F.stddev_pop(y).over(by_series()))
     started = F.col("idx") > 0
-    running = IN_ORDER.rowsBetween(W.unboundedPreceding, 0)
+    running = in_order().rowsBetween(W.unboundedPreceding, 0)
     df = panel.withColumn("_z", F.coalesce(z, F.lit(0.0)))
     for name, sign in (("_up", 1), ("_down", -1)):
         df = df.withColumn(name, F.sum(F.when(started, sign * F.col("_z") - drift).otherwise(0.0)).over(running))
@@ -42,7 +42,7 @@ def t_test_flags(panel: DataFrame, window: int = 10, value: str = "claim_count")
 
     With no variance on either side, any difference of the means counts.
     """
-    before, after = IN_ORDER.rowsBetween(-window, -1), IN_ORDER.rowsBetween(0, window - 1)
+    before, after = in_order().rowsBetween(-window, -1), in_order().rowsBetween(0, window - 1)
     diff = F.avg(value).over(before) - F.avg(value).over(after)
     pooled = (F.var_samp(value).over(before) + F.var_samp(value).over(after)) / 2
     se = F.sqrt(pooled * 2 / window)
@@ -87,8 +87,8 @@ def stable_rows(flags: DataFrame, margin: int = 5) -> DataFrame:
     Same rows as joining `stable_regions`, but as two windows on the same partitioning.
     """
     mark = F.when(F.col("changepoint"), F.col("idx"))
-    last = F.max(mark).over(IN_ORDER.rowsBetween(W.unboundedPreceding, 0))
-    following = F.min(mark).over(IN_ORDER.rowsBetween(1, W.unboundedFollowing))
+    last = F.max(mark).over(in_order().rowsBetween(W.unboundedPreceding, 0))
+    following = F.min(mark).over(in_order().rowsBetween(1, W.unboundedFollowing))
     after_last = last.isNull() | (F.col("idx") >= last + margin)
     before_next = following.isNull() | (F.col("idx") < following - margin)
     return flags.withColumn("_ok", after_last & before_next).where("_ok").drop("_ok")

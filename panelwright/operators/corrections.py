@@ -13,28 +13,27 @@ from pyspark.sql import functions as F
 from panelwright.config import GuardRules, KpiGate, OrderGrid
 from panelwright.functions import accuracy as acc
 from panelwright.functions import calendar
-from panelwright.functions.columns import floor_at, ratio
+from panelwright.functions.columns import floor_at, obs, pred, ratio
 from panelwright.operators import accuracy, changepoints, features, forecast, guards, panel, ranking, seasonal_models
 
-Y, P = F.col("claim_count"), F.col("y_pred")
 
 
 def refreshed(df: DataFrame, y_pred: Column) -> DataFrame:
     """Replace the prediction and recompute its errors."""
-    return df.withColumn("y_pred", y_pred).withColumn("error", Y - F.col("y_pred")).withColumn("abs_error", F.abs("error"))
+    return df.withColumn("y_pred", y_pred).withColumn("error", obs() - F.col("y_pred")).withColumn("abs_error", F.abs("error"))
 
 
 def position_bias(compare: DataFrame, slot: str = "month", by: tuple[str, ...] = ("series_id",)) -> DataFrame:
     """Mean of actual - forecast per position in the year; `week_month` groups weeks to months."""
     position = calendar.week_to_month(F.col("week")) if slot == "week_month" else F.col(slot)
-    return compare.groupBy(*by, position.alias("position")).agg(F.avg(Y - P).alias("position_bias"))
+    return compare.groupBy(*by, position.alias("position")).agg(F.avg(obs() - pred()).alias("position_bias"))
 
 
 def apply_position_bias(df: DataFrame, bias: DataFrame, slot: str = "month", by: tuple[str, ...] = ("series_id",)) -> DataFrame:
     """Add each position's mean error to the prediction; an unseen position adds nothing."""
     position = calendar.week_to_month(F.col("week")) if slot == "week_month" else F.col(slot)
     joined = df.withColumn("position", position).join(bias, [*by, "position"], "left")
-    return refreshed(joined, P + F.coalesce("position_bias", F.lit(0.0))).drop("position", "position_bias")
+    return refreshed(joined, pred() + F.coalesce("position_bias", F.lit(0.0))).drop("position", "position_bias")
 
 
 def series_bias(compare: DataFrame, min_obs: int = 4) -> DataFrame:
@@ -48,9 +47,9 @@ def series_bias(compare: DataFrame, min_obs: int = 4) -> DataFrame:
 
 def apply_series_bias(compare: DataFrame, min_obs: int = 4) -> DataFrame:
     """Shift each series by its mean error, never below 0; one window on the series."""
-    n, mean = F.count(Y).over(features.BY_SERIES), F.avg("error").over(features.BY_SERIES)
+    n, mean = F.count(obs()).over(features.by_series()), F.avg("error").over(features.by_series())
     shift = F.when(n >= min_obs, mean).otherwise(0.0)
-    return refreshed(compare.withColumn("_shift", shift), floor_at(P + F.col("_shift"), 0.0)).drop("_shift")
+    return refreshed(compare.withColumn("_shift", shift), floor_at(pred() + F.col("_shift"), 0.0)).drop("_shift")
 
 
 def improvement(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -73,17 +72,17 @@ def seasonal_factors(history: DataFrame, period: int = 12, cycles: int = 2, phas
     position = (
         F.pmod(F.col("month") - 1, F.lit(period)) if phase == "calendar" else F.pmod(F.col("idx") - start, F.lit(period))
     )
-    means = recent.groupBy("series_id", position.alias("position")).agg(F.avg(Y).alias("_m"))
-    overall = F.avg("_m").over(features.BY_SERIES)
+    means = recent.groupBy("series_id", position.alias("position")).agg(F.avg(obs()).alias("_m"))
+    overall = F.avg("_m").over(features.by_series())
     return means.select("series_id", "position", F.when(overall > 0, ratio(F.col("_m"), overall)).otherwise(1.0).alias("factor"))
 
 
 def apply_seasonal_factors(df: DataFrame, factors: DataFrame, period: int = 12, phase: str = "calendar") -> DataFrame:
     """Multiply the prediction by the factor of its position; `slice` counts the forecast steps."""
-    first = F.min("idx").over(features.BY_SERIES)
+    first = F.min("idx").over(features.by_series())
     position = F.pmod(F.col("month") - 1, F.lit(period)) if phase == "calendar" else F.pmod(F.col("idx") - first, F.lit(period))
     joined = df.withColumn("position", position).join(factors, ["series_id", "position"], "left")
-    return refreshed(joined, P * F.coalesce("factor", F.lit(1.0))).drop("position", "factor")
+    return refreshed(joined, pred() * F.coalesce("factor", F.lit(1.0))).drop("position", "factor")
 
 
 def seasonal_component(history: DataFrame, period: int = 12) -> DataFrame:
@@ -93,17 +92,17 @@ def seasonal_component(history: DataFrame, period: int = 12) -> DataFrame:
     period); the component is the mean of value - trend per position, centred to sum to 0.
     """
     half = period // 2
-    w = features.IN_ORDER.rowsBetween(-half, half)
+    w = features.in_order().rowsBetween(-half, half)
     y = F.col("claim_count")
     full = F.count(y).over(w) == 2 * half + 1
     if period % 2 == 0:
-        ends = (F.lag(y, half).over(features.IN_ORDER) + F.lead(y, half).over(features.IN_ORDER)) / 2
+        ends = (F.lag(y, half).over(features.in_order()) + F.lead(y, half).over(features.in_order())) / 2
         trend = (F.sum(y).over(w) - ends) / period
     else:
         trend = F.avg(y).over(w)
     detrended = history.withColumn("_d", F.when(full, y - trend))
     means = detrended.groupBy("series_id", F.pmod("idx", F.lit(period)).alias("position"), "n").agg(F.avg("_d").alias("_m"))
-    centre = F.avg("_m").over(features.BY_SERIES)
+    centre = F.avg("_m").over(features.by_series())
     return means.select("series_id", "position", "n", (F.col("_m") - centre).alias("seasonal"))
 
 
@@ -118,7 +117,7 @@ def apply_seasonal_shift(
     recent = history.where(F.col("idx") >= F.col("n") - period * cycles).withColumn("idx", F.col("idx") - (F.col("n") - period * cycles)).withColumn("n", F.lit(period * cycles))
     varied = (
         history.groupBy("series_id", "n")
-        .agg(F.stddev_pop(F.when(F.col("idx") >= F.col("n") - period * cycles, Y)).alias("_s"))
+        .agg(F.stddev_pop(F.when(F.col("idx") >= F.col("n") - period * cycles, obs())).alias("_s"))
         .where((F.col("n") >= period * cycles) & (F.col("_s") > 0))
         .select("series_id", F.col("n").alias("_hist_n"))
     )
@@ -137,7 +136,7 @@ def apply_seasonal_shift(
         )
     else:
         raise ValueError(f"unknown mode: {mode}")
-    shifted = F.when(F.col("_shift").isNotNull(), floor_at(P + F.col("_shift"), 0.0)).otherwise(P)
+    shifted = F.when(F.col("_shift").isNotNull(), floor_at(pred() + F.col("_shift"), 0.0)).otherwise(pred())
     return refreshed(joined, shifted).drop("_shift")
 
 
@@ -148,7 +147,7 @@ def worst_series(compare: DataFrame, share: float = 0.1, min_obs: int = 26, leas
     """
     scored = (
         compare.groupBy("series_id")
-        .agg(acc.mape_positive(Y, P).alias("mape"), F.count(F.lit(1)).alias("n_obs"))
+        .agg(acc.mape_positive(obs(), pred()).alias("mape"), F.count(F.lit(1)).alias("n_obs"))
         .where(F.col("mape").isNotNull() & (F.col("n_obs") >= min_obs))
     )
     tenth = F.floor(F.count(F.lit(1)) * share)
@@ -166,7 +165,7 @@ def reselect_worst(
     chosen = seasonal_models.select_orders(panel.series_vectors(rows), forecast.unit_root(rows), grid)
     fresh = seasonal_models.forecast_rows(chosen, rows).select(*accuracy.SLOT, F.col("y_pred").alias("_new"))
     joined = compare.join(fresh, accuracy.SLOT, "left")
-    return refreshed(joined, F.coalesce("_new", P)).drop("_new")
+    return refreshed(joined, F.coalesce("_new", pred())).drop("_new")
 
 
 def staged_correction(
@@ -211,7 +210,7 @@ def conditional_correction(
     and then the seasonal factors when it was above `kpi_mape`.  Adds the flags and the original
     prediction.
     """
-    before = compare.groupBy("series_id").agg(acc.mape_guarded(Y, P).alias("_mape"))
+    before = compare.groupBy("series_id").agg(acc.mape_guarded(obs(), pred()).alias("_mape"))
     flags = (
         guards.guard_table(history, rules)
         .select("series_id", "is_sparse", "has_drift", "is_complete")
@@ -225,13 +224,13 @@ def conditional_correction(
             ((F.col("_mape") > kpi_mape) & ~F.col("is_sparse")).alias("seasonal_recal_applied"),
         )
     )
-    df = compare.withColumn("y_pred_original", P).join(flags, "series_id")
-    bias = F.avg(Y - P).over(W.partitionBy("series_id", "month"))
-    df = refreshed(df, F.when(F.col("bias_adj_applied"), P + bias).otherwise(P))
+    df = compare.withColumn("y_pred_original", pred()).join(flags, "series_id")
+    bias = F.avg(obs() - pred()).over(W.partitionBy("series_id", "month"))
+    df = refreshed(df, F.when(F.col("bias_adj_applied"), pred() + bias).otherwise(pred()))
     factors = seasonal_factors(history, period, phase=phase)
     return refreshed(
-        apply_seasonal_factors(df.withColumn("_kept", P), factors, period, phase),
-        F.when(F.col("seasonal_recal_applied"), P).otherwise(F.col("_kept")),
+        apply_seasonal_factors(df.withColumn("_kept", pred()), factors, period, phase),
+        F.when(F.col("seasonal_recal_applied"), pred()).otherwise(F.col("_kept")),
     ).drop("_kept")
 
 
@@ -239,14 +238,14 @@ def correction_summary(corrected: DataFrame, history: DataFrame, period: int = 1
     """Per series: metrics before and after, applied flags and the number of changepoints."""
     O = F.col("y_pred_original")
     m = corrected.groupBy("series_id").agg(
-        acc.mape_guarded(Y, O).alias("mape_original"),
-        acc.mape_nonzero(Y, P).alias("mape_adjusted"),
-        acc.guarded_bias(Y, O).alias("bias_original"),
-        acc.total_bias(Y, P).alias("bias_adjusted"),
-        acc.rmse(Y, P).alias("rmse"),
-        acc.mae(Y, P).alias("mae"),
+        acc.mape_guarded(obs(), O).alias("mape_original"),
+        acc.mape_nonzero(obs(), pred()).alias("mape_adjusted"),
+        acc.guarded_bias(obs(), O).alias("bias_original"),
+        acc.total_bias(obs(), pred()).alias("bias_adjusted"),
+        acc.rmse(obs(), pred()).alias("rmse"),
+        acc.mae(obs(), pred()).alias("mae"),
         F.count(F.lit(1)).alias("n_points"),
-        F.avg(Y - O).alias("bias_intercept"),
+        F.avg(obs() - O).alias("bias_intercept"),
         F.bool_or("bias_adj_applied").alias("bias_adj_applied"),
         F.bool_or("seasonal_recal_applied").alias("seasonal_recal_applied"),
     )
@@ -280,4 +279,4 @@ def stable_correction(
 
 
 def bias_intercepts(compare: DataFrame) -> DataFrame:
-    return compare.groupBy("series_id").agg(F.avg(Y - P).alias("bias_intercept"))
+    return compare.groupBy("series_id").agg(F.avg(obs() - pred()).alias("bias_intercept"))

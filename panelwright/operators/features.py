@@ -9,11 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from panelwright.functions.columns import ratio
 
-BY_SERIES = W.partitionBy("series_id")
-IN_ORDER = BY_SERIES.orderBy("idx")
+
+def by_series() -> WindowSpec:
+    return W.partitionBy("series_id")
+
+
+def in_order() -> WindowSpec:
+    return by_series().orderBy("idx")
 
 
 def _y(value: str) -> Column:
@@ -23,7 +29,7 @@ def _y(value: str) -> Column:
 
 def rolling_psi(panel: DataFrame, window: int = 12, value: str = "claim_count") -> DataFrame:
     """Coefficient of variation of the previous `window` points; 0 where there are fewer."""
-    w = IN_ORDER.rowsBetween(-window, -1)
+    w = in_order().rowsBetween(-window, -1)
     y = _y(value)
     cv = F.coalesce(F.when(F.avg(y).over(w) > 0, ratio(F.stddev_pop(y).over(w), F.avg(y).over(w))), F.lit(0.0))
     return panel.withColumn("psi", F.when(F.col("idx") >= window, cv).otherwise(0.0))
@@ -31,7 +37,7 @@ def rolling_psi(panel: DataFrame, window: int = 12, value: str = "claim_count")
 
 def rolling_amplitude(panel: DataFrame, window: int = 12, value: str = "claim_count") -> DataFrame:
     """Population deviation of the previous `window` points; 0 where there are fewer."""
-    w = IN_ORDER.rowsBetween(-window, -1)
+    w = in_order().rowsBetween(-window, -1)
     return panel.withColumn(
         "amplitude", F.when(F.col("idx") >= window, F.stddev_pop(_y(value)).over(w)).otherwise(0.0)
     )
@@ -48,8 +54,8 @@ def difference_flags(
 ) -> DataFrame:
     """1 where a step exceeds `threshold` deviations of the previous `window` steps."""
     y = _y(value)
-    step = F.coalesce(y - F.lag(y).over(IN_ORDER), F.lit(0.0))
-    spread = F.stddev_pop("_step").over(IN_ORDER.rowsBetween(-window, -1))
+    step = F.coalesce(y - F.lag(y).over(in_order()), F.lit(0.0))
+    spread = F.stddev_pop("_step").over(in_order().rowsBetween(-window, -1))
     hit = (F.col("idx") >= window) & (spread > 0) & (F.abs("_step") > threshold * spread)
     return (
         panel.withColumn("_step", step)
@@ -66,10 +72,10 @@ def centred_changepoints(
     `has_recent` tells whether one lies in the last `recent` positions (default: the window).
     """
     left = window // 2
-    w = IN_ORDER.rowsBetween(-left, window - left - 1)
+    w = in_order().rowsBetween(-left, window - left - 1)
     mean = F.when(F.count(value).over(w) == window, F.avg(value).over(w))
-    move = F.abs(F.col("_mean") - F.lag("_mean").over(IN_ORDER))
-    cut = F.percentile("_move", 0.75).over(BY_SERIES)
+    move = F.abs(F.col("_mean") - F.lag("_mean").over(in_order()))
+    cut = F.percentile("_move", 0.75).over(by_series())
     hit = (F.col("n") >= 2 * window) & (F.col("_move") > F.col("_cut"))
     first_recent = F.col("n") - (window if recent is None else recent)
     return (
@@ -166,7 +172,7 @@ def seasonal_means(panel: DataFrame, period: int = 12, value: str = "claim_count
 def seasonal_index(panel: DataFrame, period: int = 12, value: str = "claim_count") -> DataFrame:
     """Seasonal means over their own mean; 1 for a series whose means are not positive."""
     means = seasonal_means(panel, period, value)
-    overall = F.avg("season_mean").over(BY_SERIES)
+    overall = F.avg("season_mean").over(by_series())
     return means.withColumn(
         "seasonal_factor", F.when(overall > 0, ratio(F.col("season_mean"), overall)).otherwise(1.0)
     )
@@ -174,7 +180,7 @@ def seasonal_index(panel: DataFrame, period: int = 12, value: str = "claim_count
 
 def value_gaps(panel: DataFrame, date_col: str, max_days: int = 10) -> DataFrame:
     """Rows that follow the previous observation of their series by more than `max_days`."""
-    before = F.lag(date_col).over(BY_SERIES.orderBy(date_col))
+    before = F.lag(date_col).over(by_series().orderBy(date_col))
     return panel.withColumn("gap_days", F.datediff(date_col, before)).where(F.col("gap_days") > max_days)
 
 
@@ -182,7 +188,7 @@ def recent_motion(panel: DataFrame, points: int = 6, value: str = "claim_count")
     """First and second differences inside the last `points` positions, with the linear slope."""
     y = F.col(value)
     tail = panel.withColumn("_pos", F.col("idx") - (F.col("n") - points))
-    one, two = F.lag(y, 1).over(IN_ORDER), F.lag(y, 2).over(IN_ORDER)
+    one, two = F.lag(y, 1).over(in_order()), F.lag(y, 2).over(in_order())
     moved = tail.withColumn("_v", y - one).withColumn("_a", y - 2 * one + two)
     return moved.where(F.col("_pos") >= 0).groupBy("series_id").agg(
         F.avg(F.when(F.col("_pos") >= 1, F.col("_v"))).alias("mean_velocity"),
@@ -195,7 +201,7 @@ def recent_motion(panel: DataFrame, points: int = 6, value: str = "claim_count")
 
 def rolling_range_mean(panel: DataFrame, window: int = 12, value: str = "claim_count") -> DataFrame:
     """Mean over all full windows of largest minus smallest value."""
-    w = IN_ORDER.rowsBetween(0, window - 1)
+    w = in_order().rowsBetween(0, window - 1)
     spread = F.max(value).over(w) - F.min(value).over(w)
     return (
         panel.withColumn("_range", F.when(F.col("idx") <= F.col("n") - window, spread))

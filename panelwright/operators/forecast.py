@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from panelwright.config import DEFAULT_Z, Z_VALUES
 from panelwright.functions import accuracy, calendar
 from panelwright.functions.columns import clip, floor_at, ratio
-from panelwright.operators.features import IN_ORDER
+from panelwright.operators.features import in_order
 from panelwright.schema import FORECAST_ALIASES, normalise_columns
 
 
@@ -238,7 +238,7 @@ def unit_root(panel: DataFrame, critical: float = -2.86) -> DataFrame:
     The regression of the step on the lagged level is closed form, from sums of one window lag.
     """
     step, level = F.col("_step"), F.col("_level")
-    lagged = panel.withColumn("_level", F.lag("claim_count").over(IN_ORDER)).withColumn(
+    lagged = panel.withColumn("_level", F.lag("claim_count").over(in_order())).withColumn(
         "_step", F.col("claim_count") - F.col("_level")
     )
     s = lagged.groupBy("series_id").agg(

@@ -19,7 +19,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from panelwright.config import DEFAULT_Z, OrderGrid, SparseRule
 from panelwright.functions import accuracy, calendar, labels
@@ -28,7 +27,7 @@ from panelwright.operators import features, forecast, guards
 ORDER = "struct<p:int,d:int,q:int,P:int,D:int,Q:int,s:int>"
 DEFAULT_ORDER = (1, 0, 1, 1, 0, 1, 12)
 
-FIT_TYPE = T.StructType.fromDDL("aic double, bic double, params array<double>, y_pred array<double>, half_width array<double>")
+FIT_TYPE = "aic double, bic double, params array<double>, y_pred array<double>, half_width array<double>"
 
 
 def _polynomial(low: np.ndarray, high: np.ndarray, s: int) -> np.ndarray:
@@ -154,7 +153,7 @@ def fit_batch(y: np.ndarray, order, horizon: int) -> dict[str, np.ndarray] | Non
 def _fitted(horizon: int):
     @F.pandas_udf(FIT_TYPE)
     def fit(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
-        names = [f.name for f in FIT_TYPE.fields]
+        names = ["aic", "bic", "params", "y_pred", "half_width"]
         for ys, orders in batches:
             ys, orders = ys.reset_index(drop=True), orders.reset_index(drop=True)
             out = pd.DataFrame({n: pd.Series([None] * len(ys), dtype=object) for n in names})

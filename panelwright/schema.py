@@ -38,7 +38,7 @@ RAW_CLAIMS = T.StructType(
     ]
 )
 
-SERIES_DOCUMENT = T.StructType.fromDDL(
+SERIES_DOCUMENT = (
     "series_id string, plant string, product_cat2 string, mid_category string, "
     "records long, non_zero_records long, total_claims double, mean_claims double, "
     "max_claims double, quality_stats struct<normal_ratio: double, borderline_ratio: double, "
@@ -46,7 +46,7 @@ SERIES_DOCUMENT = T.StructType.fromDDL(
     "lag_class: string, sample_weight: double>>"
 )
 
-MODEL_DOCUMENT = T.StructType.fromDDL(
+MODEL_DOCUMENT = (
     "series_id string, status string, model_type string, n_train_points int, "
     "predictability_score double, guard_results struct<is_sparse: boolean, zero_ratio: double, "
     "has_drift: boolean, has_seasonality: boolean, seasonality_strength: double>, "
