@@ -1,0 +1,6 @@
+"""Checked queries over the given tables, with their SQL twins."""
+
+from panelwright.catalog import ingest
+from panelwright.catalog.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "ingest"]
