@@ -98,9 +98,9 @@ class OrderGrid:
     max_complexity: int | None = None
 
     def candidates(self) -> list[tuple[int, int, int, int, int]]:
-        """(p, q, P, D, Q) in a fixed order; the pair p = q = 0 is left out."""
+        """(p, q, P, Q, D) in a fixed order; the pair p = q = 0 is left out."""
         grid = [
-            (p, q, P, D, Q)
+            (p, q, P, Q, D)
             for p in range(self.max_p + 1)
             for q in range(self.max_q + 1)
             if p or q

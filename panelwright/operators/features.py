@@ -52,11 +52,14 @@ def value_range(panel: DataFrame, value: str = "claim_count") -> DataFrame:
 def difference_flags(
     panel: DataFrame, threshold: float = 2.0, window: int = 12, value: str = "claim_count"
 ) -> DataFrame:
-    """1 where a step exceeds `threshold` deviations of the previous `window` steps."""
+    """1 where a step exceeds `threshold` deviations of the previous `window` steps.
+
+    A step equal to the limit does not count, whatever the rounding of the deviation.
+    """
     y = _y(value)
     step = F.coalesce(y - F.lag(y).over(in_order()), F.lit(0.0))
     spread = F.stddev_pop("_step").over(in_order().rowsBetween(-window, -1))
-    hit = (F.col("idx") >= window) & (spread > 0) & (F.abs("_step") > threshold * spread)
+    hit = (F.col("idx") >= window) & (spread > 0) & (F.abs("_step") > threshold * spread + 1e-9)
     return (
         panel.withColumn("_step", step)
         .withColumn("changepoint", F.coalesce(hit, F.lit(False)).cast("int"))

@@ -54,6 +54,7 @@ def guard_table(
     """Flags, their measures and the comma-joined recommendations per series.
 
     With too little data for a check its flag is false and its measure null (drift) or 0 (season).
+    Limits are compared at 9 decimals, so that summation order cannot flip a flag.
     `outliers` is `iqr` (fences) or `zscore`.
     """
     s = guard_statistics(panel, rules, date_col)
@@ -78,7 +79,7 @@ def guard_table(
         "series_id",
         (F.col("n_zero") / n >= rules.zero_ratio).alias("is_sparse"),
         (F.col("n_zero") / n).alias("zero_ratio"),
-        (long_enough & ((mean_shift > rules.sigma) | (var_shift > rules.variance_ratio))).alias("has_drift"),
+        (long_enough & ((F.round(mean_shift, 9) > rules.sigma) | (F.round(var_shift, 9) > rules.variance_ratio))).alias("has_drift"),
         F.when(long_enough, mean_shift).alias("mean_shift_sigma"),
         (
             (F.col("n_null") == 0) & (n >= rules.expected_length) & (F.col("max_gap_days") <= rules.gap_days)
@@ -86,7 +87,7 @@ def guard_table(
         (n_out > 0).alias("has_outliers"),
         (n_out / n).alias("outlier_ratio"),
         F.when(n >= 2 * rules.period, seasonal).otherwise(0.0).alias("seasonality_strength"),
-    ).withColumn("has_seasonality", F.col("seasonality_strength") >= rules.strength)
+    ).withColumn("has_seasonality", F.round("seasonality_strength", 9) >= rules.strength)
     advice = F.array_compact(
         F.array(
             F.when(F.col("is_sparse"), "USE_NAIVE_MODEL"),

@@ -40,7 +40,8 @@ def with_ranges(df: DataFrame, order: list[Column], tie: str, sample_rows: int =
     keyed = df.withColumn("_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)], F.col(tie).alias("tie")))
     sample = keyed.select("_key").orderBy(F.xxhash64(F.col("_key"))).limit(sample_rows)
     cuts = sample.agg(F.sort_array(F.collect_list("_key")).alias("a")).select(_cut_points(ranges).alias("cuts"))
-    return keyed.withColumn("_range", F.size(F.filter(cuts.scalar(), lambda c: c < F.col("_key"))))
+    bounded = keyed.withColumn("_cuts", cuts.scalar())
+    return bounded.withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_key")))).drop("_cuts")
 
 
 def _cut_points(ranges: int) -> Column:

@@ -187,7 +187,7 @@ def forecast_statistics(forecast: DataFrame) -> DataFrame:
 
 def order_distribution(models: DataFrame) -> DataFrame:
     """Mean and most frequent value (lowest on ties) of each order component."""
-    parts = F.array(*[F.struct(F.lit(c).alias("part"), F.col(f"order.{c}").alias("v")) for c in ("p", "d", "q", "P", "D", "Q")])
+    parts = F.array(*[F.struct(F.lit(c).alias("part"), F.col(f"order.{c}").alias("v")) for c in ("p", "d", "q", "sp", "sd", "sq")])
     rows = models.where(F.col("order").isNotNull()).select(F.explode(parts).alias("x"))
     counts = rows.groupBy(F.col("x.part").alias("component"), F.col("x.v").alias("v")).agg(F.count(F.lit(1)).alias("k"))
     return counts.groupBy("component").agg(

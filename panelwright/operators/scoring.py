@@ -197,9 +197,9 @@ REPORT = ("rank", "series_id", "ews_score", "level", *FACTORS, "candidate", "rat
 
 
 def report(factors: DataFrame, weights: dict[str, float] = FACTOR_WEIGHTS, normalize: str = "raw") -> DataFrame:
-    """The ranked score table: highest score first, ties by series id."""
+    """The ranked score table: highest score first, ties (at 9 decimals) by series id."""
     table = scored(factors, weights, normalize=normalize)
-    return ranking.ranked(table, [-F.col("ews_score")]).select(*REPORT)
+    return ranking.ranked(table, [-F.round("ews_score", 9)]).select(*REPORT)
 
 
 def discriminating(scores: DataFrame, exclude_low_confidence: bool = True) -> DataFrame:
@@ -207,7 +207,7 @@ def discriminating(scores: DataFrame, exclude_low_confidence: bool = True) -> Da
     df = scores.where(F.col("level") != "LOW_CONF") if exclude_low_confidence else scores
     mix = F.col("ews_score") * 0.4 + F.coalesce("f1_ratio", F.lit(0.0)) * 0.3 + F.col("f2_conf") * 0.3
     df = df.drop("rank").withColumn("mixed_score", mix)
-    return ranking.ranked(df, [-F.col("mixed_score")])
+    return ranking.ranked(df, [-F.round("mixed_score", 9)])
 
 
 def filter_scores(
@@ -339,6 +339,6 @@ def score100(history: DataFrame, forecast: DataFrame, errors: DataFrame, weights
 
 
 def score100_report(scores: DataFrame) -> DataFrame:
-    return ranking.ranked(scores, [-F.col("total_score")])
+    return ranking.ranked(scores, [-F.round("total_score", 9)])
 
 

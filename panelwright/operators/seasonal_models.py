@@ -24,7 +24,8 @@ from panelwright.config import DEFAULT_Z, OrderGrid, SparseRule
 from panelwright.functions import accuracy, calendar, labels
 from panelwright.operators import features, forecast, guards
 
-ORDER = "struct<p:int,d:int,q:int,P:int,D:int,Q:int,s:int>"
+# seasonal parts are prefixed with s: column names do not tell upper from lower case
+ORDER = "struct<p:int,d:int,q:int,sp:int,sd:int,sq:int,period:int>"
 DEFAULT_ORDER = (1, 0, 1, 1, 0, 1, 12)
 
 FIT_TYPE = "aic double, bic double, params array<double>, y_pred array<double>, half_width array<double>"
@@ -172,7 +173,7 @@ def _fitted(horizon: int):
 
 
 def order_column(order=DEFAULT_ORDER) -> Column:
-    names = ("p", "d", "q", "P", "D", "Q", "s")
+    names = ("p", "d", "q", "sp", "sd", "sq", "period")
     return F.struct(*[F.lit(v).cast("int").alias(n) for n, v in zip(names, order)])
 
 
@@ -186,18 +187,18 @@ def with_candidates(vectors: DataFrame, differencing: DataFrame, grid: OrderGrid
     partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tried = F.array(
         *[
-            F.struct(*[F.lit(v).alias(n) for n, v in zip(("p", "q", "P", "D", "Q"), c)])
+            F.struct(*[F.lit(v).alias(n) for n, v in zip(("p", "q", "sp", "sq", "sd"), c)])
             for c in grid.candidates()
         ]
     )
     c = F.col("_c")
-    order = F.struct(c["p"].alias("p"), F.col("d").alias("d"), c["q"].alias("q"), c["P"].alias("P"), c["D"].alias("D"), c["Q"].alias("Q"), F.lit(grid.period).alias("s"))
+    order = F.struct(c["p"].alias("p"), F.col("d").alias("d"), c["q"].alias("q"), c["sp"].alias("sp"), c["sd"].alias("sd"), c["sq"].alias("sq"), F.lit(grid.period).alias("period"))
     rows = (
         vectors.join(differencing.select("series_id", "d"), "series_id")
         .repartition(partitions, "series_id")
         .select("*", F.posexplode(tried).alias("candidate", "_c"))
     )
-    allowed = (c["D"] == 0) | (F.size("ys") >= min_seasonal)
+    allowed = (c["sd"] == 0) | (F.size("ys") >= min_seasonal)
     return rows.where(allowed).withColumn("order", order.cast(ORDER)).drop("_c", "d")
 
 
