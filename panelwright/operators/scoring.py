@@ -50,18 +50,33 @@ def history_factors(history: DataFrame, period: int = 12, recent: int = 6, by: t
     y = F.col("claim_count")
     series = W.partitionBy(*by)
     order = series.orderBy("idx")
-    in_cycle = F.when(F.col("idx") < F.floor(F.col("n") / period) * period, y)
-    position = W.partitionBy(*by, F.pmod("idx", F.lit(period)))
+    position = W.partitionBy(*by, "_position")
+    in_cycle = F.col("_in_cycle")
     year = order.rowsBetween(0, period - 1)
     one, two = F.lag(y, 1).over(order), F.lag(y, 2).over(order)
     pos = F.col("idx") - (F.col("n") - recent)
+    # the windows of one ordering are added together, so each ordering sorts once
     df = (
-        history.withColumn("_range", F.when(F.col("idx") <= F.col("n") - period, F.max(y).over(year) - F.min(y).over(year)))
-        .withColumn("_v", F.when(pos >= 1, y - one))
-        .withColumn("_a", F.when(pos >= 2, y - 2 * one + two))
-        .withColumn("_pm", F.avg(in_cycle).over(position))
-        .withColumn("_ps", F.stddev_pop(in_cycle).over(position))
-        .withColumn("_pc", F.count(in_cycle).over(position))
+        history.withColumns(
+            {
+                "_range": F.when(F.col("idx") <= F.col("n") - period, F.max(y).over(year) - F.min(y).over(year)),
+                "_v": F.when(pos >= 1, y - one),
+                "_a": F.when(pos >= 2, y - 2 * one + two),
+            }
+        )
+        .withColumns(
+            {
+                "_position": F.pmod("idx", F.lit(period)),
+                "_in_cycle": F.when(F.col("idx") < F.floor(F.col("n") / period) * period, y),
+            }
+        )
+        .withColumns(
+            {
+                "_pm": F.avg(in_cycle).over(position),
+                "_ps": F.stddev_pop(in_cycle).over(position),
+                "_pc": F.count(in_cycle).over(position),
+            }
+        )
     )
     first_of_position = F.col("idx") < period
     steady = F.when(

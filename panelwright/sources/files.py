@@ -41,15 +41,19 @@ def year_paths(source_dir: str, years: list[int], template: str = "{year}_raw.cs
     return [f"{source_dir.rstrip('/')}/{template.format(year=y)}" for y in years]
 
 
-def typed_claims(raw: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
+def typed_claims(raw: DataFrame, required: tuple[str, ...] = REQUIRED, extra: tuple[str, ...] = ()) -> DataFrame:
     """Trim texts, read dates in both accepted forms and counts with separators.
 
+    Columns named in `extra` are carried along as they are.
+
     Rows whose date cannot be read keep a null date; `bad_dates` counts them.
     """
-    df = normalise_columns(raw, ALIASES, required)
+    df = normalise_columns(raw, ALIASES | {c: (c,) for c in extra}, required)
     casts = []
     for name in df.columns:
-        if name.endswith("_date"):
+        if name in extra:
+            casts.append(F.col(name))
+        elif name.endswith("_date"):
             casts.append(calendar.parse_date(F.col(name)).alias(name))
         elif name == "claim_count":
             casts.append(calendar.parse_count(F.col(name)).alias(name))

@@ -48,12 +48,13 @@ def claims(
         .select("s_suppkey", plant)
     )
     count = F.col("l_quantity").cast("int") if grain == "dense" else F.lit(1)
+    # orders come first: their date filter shrinks the rows before the other joins
     return (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_shipdate")
+        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.col(plant).alias("plant"),
             F.col(product).alias("product_cat2"),

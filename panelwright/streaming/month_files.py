@@ -1,12 +1,15 @@
 """Month files that arrive in a folder, as a stream into the monthly panel.
 
-Each micro-batch recomputes exactly the months it touches: a month is replaced by the rows of the
-batch, so a file delivered again, or a batch replayed after a failure, leaves the same panel.
+A file stands for one manufacture month, the one most of its rows belong to; its other rows are
+dropped, and the month is replaced.  Of several files for one month the newest counts.  A file
+delivered again, or a batch replayed after a failure, therefore leaves the same panel, and a stray
+row never wipes out another month.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from panelwright.operators import panel
@@ -15,20 +18,36 @@ from panelwright.schema import RAW_CLAIMS
 from panelwright.sources import files
 
 
-def month_stream(spark: SparkSession, folder: str, schema=RAW_CLAIMS, sep: str = ",", encoding: str = "UTF-8", files_per_batch: int | None = None) -> DataFrame:
-    """Claim rows of the CSV files that appear in a folder, as text columns."""
+def month_stream(
+    spark: SparkSession, folder: str, schema=RAW_CLAIMS, sep: str = ",", encoding: str = "UTF-8", files_per_batch: int | None = None
+) -> DataFrame:
+    """Claim rows of the CSV files that appear in a folder, as text columns with path and time."""
     reader = spark.readStream.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(folder)
+    return reader.csv(folder).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_at")
+    )
+
+
+def target_rows(rows: DataFrame) -> DataFrame:
+    """Typed claim rows of each file's own month, from the newest file of that month.
+
+    The choice is made on counts per file and month, a table the size of the file list.
+    """
+    d = F.col("manufacturing_date")
+    dated = files.typed_claims(rows, extra=("_file", "_at")).where(d.isNotNull()).withColumns({"_y": F.year(d), "_m": F.month(d)})
+    counts = dated.groupBy("_file", "_at", "_y", "_m").agg(F.count(F.lit(1)).alias("k"))
+    own = counts.groupBy("_file", "_at").agg(F.max_by(F.struct("_y", "_m"), F.struct("k", "_y", "_m")).alias("t"))
+    newest = own.groupBy("t").agg(F.max_by("_file", F.struct("_at", "_file")).alias("_file")).select("_file", "t._y", "t._m")
+    return dated.join(newest, ["_file", "_y", "_m"], "left_semi").drop("_file", "_at", "_y", "_m")
 
 
 def replace_months(panel_path: str):
-    """Batch function: count the batch per series and month and overwrite those months."""
+    """Batch function: count the rows of each month per series and overwrite those months."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        counts = panel.slot_counts(files.typed_claims(batch))
-        overwrite_month(panel_path, counts)
+        overwrite_month(panel_path, panel.slot_counts(target_rows(batch)))
 
     return apply
 
