@@ -169,7 +169,8 @@ def penalised_segments(vectors: DataFrame, rule: str = "log_variance", min_size:
         for ys in batches:
             yield _by_length(ys.reset_index(drop=True), ends)
 
-    return vectors.withColumn("segment_ends", segment(values))
+    # declared so that filters are not pushed below it, which would segment twice
+    return vectors.withColumn("segment_ends", segment.asNondeterministic()(values))
 
 
 def recent_change_share(segments: DataFrame, recent: int = 6, values: str = "ys") -> DataFrame:

@@ -2,8 +2,8 @@
 
 Spark does the distribution: one row per (series, candidate order) carries the series as an array
 bounded by the calendar, rows are spread evenly, and the choice of the best candidate is an
-aggregate.  The Python part is one least-squares step applied to Arrow batches, vectorised over the
-rows of a batch that share an order.
+aggregate.  The Python part is one least-squares fit applied to Arrow batches, vectorised over the
+rows of a batch that share length and differencing.
 
 The estimator is conditional sum of squares on the differenced, centred series (residuals before the
 first full lag set to zero), minimised by damped Gauss-Newton steps from zero.  AIC and BIC use the
@@ -27,6 +27,7 @@ from panelwright.operators import features, forecast, guards
 # seasonal parts are prefixed with s: column names do not tell upper from lower case
 ORDER = "struct<p:int,d:int,q:int,sp:int,sd:int,sq:int,period:int>"
 DEFAULT_ORDER = (1, 0, 1, 1, 0, 1, 12)
+BATCH_ROWS = 2048
 
 FIT_TYPE = "aic double, bic double, params array<double>, y_pred array<double>, half_width array<double>"
 
@@ -44,56 +45,71 @@ def _polynomial(low: np.ndarray, high: np.ndarray, s: int) -> np.ndarray:
     return out
 
 
-def _split(theta: np.ndarray, order) -> tuple[np.ndarray, np.ndarray]:
-    """Expanded AR and MA lag weights of a batch of parameter vectors."""
-    p, _, q, P, _, Q, s = order
-    at = np.cumsum([0, p, q, P, Q])
-    part = [theta[:, at[i] : at[i + 1]] for i in range(4)]
-    return _polynomial(part[0], part[2], s), _polynomial(part[1], part[3], s)
+class _Layout:
+    """Where the parameters of a batch of orders lie: one block per part, as wide as its largest
+    order, with a mask of the parameters each row really has (the others stay 0)."""
 
+    def __init__(self, orders: np.ndarray):
+        parts = orders[:, [0, 2, 3, 5]]
+        self.width = parts.max(0)
+        self.edges = np.r_[0, self.width.cumsum()]
+        self.mask = np.concatenate([np.arange(w)[None, :] < parts[:, [i]] for i, w in enumerate(self.width)], 1)
+        self.period = int(orders[0, 6])
 
-def _residuals(x: np.ndarray, theta: np.ndarray, order) -> np.ndarray:
+    def lags(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p, q, P, Q = (theta[:, self.edges[i] : self.edges[i + 1]] for i in range(4))
+        return _polynomial(p, P, self.period), _polynomial(q, Q, self.period)
+
+
+def _residuals(x: np.ndarray, theta: np.ndarray, layout: _Layout) -> np.ndarray:
     """One-step errors of a batch, bounded so that unstable parameters stay finite."""
-    ar, ma = _split(theta, order)
-    rows, m = x.shape
-    e = np.zeros((rows, m))
+    ar, ma = layout.lags(theta)
+    m = x.shape[1]
+    e = np.zeros_like(x)
     for t in range(m):
         v = x[:, t].copy()
         k = min(t, ar.shape[1])
         if k:
-            v -= (ar[:, :k] * x[:, t - k : t][:, ::-1]).sum(1)
+            v -= np.einsum("rk,rk->r", ar[:, :k], x[:, t - k : t][:, ::-1])
         k = min(t, ma.shape[1])
         if k:
-            v += (ma[:, :k] * e[:, t - k : t][:, ::-1]).sum(1)
+            v += np.einsum("rk,rk->r", ma[:, :k], e[:, t - k : t][:, ::-1])
         e[:, t] = np.clip(v, -1e8, 1e8)
     return e
 
 
-def _fit_parameters(x: np.ndarray, order, steps: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Damped Gauss-Newton on the sum of squared residuals, each row with its own damping."""
-    rows = len(x)
-    k = order[0] + order[2] + order[3] + order[5]
+def _fit_parameters(x: np.ndarray, layout: _Layout, steps: int = 25) -> tuple[np.ndarray, np.ndarray]:
+    """Damped Gauss-Newton on the sum of squared residuals.
+
+    Every row has its own damping and stops on its own, so its result does not depend on the rows it
+    shares a batch with.
+    """
+    rows, k = layout.mask.shape
     theta, damping = np.zeros((rows, k)), np.full(rows, 1e-2)
-    e = _residuals(x, theta, order)
+    e = _residuals(x, theta, layout)
     sse = (e * e).sum(1)
-    for _ in range(steps if k else 0):
-        J = np.empty((rows, x.shape[1], k))
-        for j in range(k):
-            nudged = theta.copy()
-            nudged[:, j] += 1e-5
-            J[:, :, j] = (_residuals(x, nudged, order) - e) / 1e-5
+    active = np.flatnonzero((sse > 0) & layout.mask.any(1))
+    diagonal = np.arange(k)
+    for _ in range(steps):
+        if not len(active):
+            break
+        xa, ta, ea, mask = x[active], theta[active], e[active], layout.mask[active]
+        nudged = (ta[None] + 1e-5 * np.eye(k)[:, None, :]).reshape(-1, k)
+        moved = _residuals(np.tile(xa, (k, 1)), nudged, layout).reshape(k, len(active), -1)
+        J = np.moveaxis((moved - ea) / 1e-5, 0, 2) * mask[:, None, :]
         A = np.einsum("rti,rtj->rij", J, J)
-        g = np.einsum("rti,rt->ri", J, e)
-        size = A[:, np.arange(k), np.arange(k)] + 1e-8
-        A[:, np.arange(k), np.arange(k)] += damping[:, None] * size
-        trial = np.clip(theta - np.linalg.solve(A, g[:, :, None])[:, :, 0], -0.98, 0.98)
-        trial_e = _residuals(x, trial, order)
+        g = np.einsum("rti,rt->ri", J, ea)
+        A[:, diagonal, diagonal] += damping[active][:, None] * (A[:, diagonal, diagonal] + 1e-8) + np.where(mask, 1e-12, 1.0)
+        trial = np.clip(ta - np.linalg.solve(A, g[:, :, None])[:, :, 0], -0.98, 0.98)
+        trial_e = _residuals(xa, trial, layout)
         trial_sse = (trial_e * trial_e).sum(1)
-        better = trial_sse < sse
-        theta[better], e[better], sse[better] = trial[better], trial_e[better], trial_sse[better]
-        damping = np.where(better, damping / 3, damping * 10)
-        if not better.any():
-            break
+        gain = sse[active] - trial_sse
+        better = gain > 0
+        won = active[better]
+        theta[won], e[won], sse[won] = trial[better], trial_e[better], trial_sse[better]
+        damping[active] = np.where(better, damping[active] / 3, damping[active] * 10)
+        settled = np.where(better, gain <= 1e-7 * trial_sse, damping[active] > 1e5)
+        active = active[~settled]
     return theta, e
 
 
@@ -103,73 +119,79 @@ def _difference(y: np.ndarray, d: int, D: int, s: int) -> np.ndarray:
     return np.diff(y, d, axis=1) if d else y
 
 
-def fit_batch(y: np.ndarray, order, horizon: int) -> dict[str, np.ndarray] | None:
-    """Fit rows of equal length with one order; None when differencing leaves too little data."""
-    p, d, q, P, D, Q, s = order
-    lost = d + s * D
-    k = p + q + P + Q
-    m = y.shape[1] - lost
-    if m < max(k + 3, p + s * P + 1, 5):
-        return None
-    w = _difference(y, d, D, s)
-    mean = w.mean(1, keepdims=True) if lost == 0 else np.zeros((len(y), 1))
-    theta, e = _fit_parameters(w - mean, order)
+def enough_data(n: int, orders: np.ndarray) -> np.ndarray:
+    """Which orders leave enough points of a series of length n after differencing."""
+    p, d, q, P, D, Q, s = orders.T
+    return n - d - s * D >= np.maximum(np.maximum(p + q + P + Q + 3, p + s * P + 1), 5)
+
+
+def fit_batch(y: np.ndarray, orders, horizon: int) -> dict:
+    """Fit rows of equal length, each with its own order; differencing and period are shared."""
+    orders = np.broadcast_to(np.asarray(orders, dtype=int), (len(y), 7))
+    d, D, s = (int(orders[0, i]) for i in (1, 4, 6))
+    layout = _Layout(orders)
+    seasonal = _difference(y, 0, D, s)
+    w = np.diff(seasonal, d, axis=1) if d else seasonal
+    m = w.shape[1]
+    mean = w.mean(1, keepdims=True) if d + D == 0 else np.zeros((len(y), 1))
+    theta, e = _fit_parameters(w - mean, layout)
     sigma2 = np.maximum((e * e).mean(1), 1e-10)
-    ar, ma = _split(theta, order)
-    x = np.concatenate([w - mean, np.zeros((len(y), horizon))], 1)
-    errors = np.concatenate([e, np.zeros((len(y), horizon))], 1)
-    for t in range(m, m + horizon):
-        kx, ke = min(t, ar.shape[1]), min(t, ma.shape[1])
-        x[:, t] = (ar[:, :kx] * x[:, t - kx : t][:, ::-1]).sum(1) - (ma[:, :ke] * errors[:, t - ke : t][:, ::-1]).sum(1)
-    # undo the differencing, and accumulate the response to one unit error the same way
-    psi = np.zeros((len(y), horizon))
+    ar, ma = layout.lags(theta)
+    ahead = np.zeros((len(y), horizon))
+    x, errors = np.concatenate([w - mean, ahead], 1), np.concatenate([e, ahead], 1)
+    psi = np.zeros((len(y), horizon))  # response to one unit error
     for t in range(horizon):
-        psi[:, t] = -ma[:, t - 1] if 0 < t <= ma.shape[1] else float(t == 0)
-        for i in range(1, min(t, ar.shape[1]) + 1):
-            psi[:, t] += ar[:, i - 1] * psi[:, t - i]
+        at = m + t
+        kx, ke = min(at, ar.shape[1]), min(at, ma.shape[1])
+        x[:, at] = (ar[:, :kx] * x[:, at - kx : at][:, ::-1]).sum(1) - (ma[:, :ke] * errors[:, at - ke : at][:, ::-1]).sum(1)
+        psi[:, t] = 1.0 if t == 0 else (-ma[:, t - 1] if t <= ma.shape[1] else 0.0)
+        k = min(t, ar.shape[1])
+        psi[:, t] += (ar[:, :k] * psi[:, t - k : t][:, ::-1]).sum(1)
+    # undo the differencing, for the path and for the response alike
     future, response = x[:, m:] + mean, psi
-    for level in range(d):
-        base = np.diff(_difference(y, 0, D, s), level, axis=1) if level else _difference(y, 0, D, s)
-        future = base[:, -1:] + future.cumsum(1) if level == d - 1 else future.cumsum(1) + base[:, -1:]
-        response = response.cumsum(1)
+    for level in range(d - 1, -1, -1):
+        future, response = np.diff(seasonal, level, axis=1)[:, -1:] + future.cumsum(1), response.cumsum(1)
     for level in range(D):
-        base = _difference(y, 0, D - 1 - level, s)
-        path, unit = np.concatenate([base[:, -s:], future], 1), response.copy()
+        path = np.concatenate([_difference(y, 0, D - 1 - level, s)[:, -s:], future], 1)
+        unit = np.concatenate([np.zeros((len(y), s)), response], 1)
         for t in range(horizon):
             path[:, s + t] += path[:, t]
-            if t >= s:
-                unit[:, t] += unit[:, t - s]
-        future, response = path[:, s:], unit
-    half = DEFAULT_Z * np.sqrt(sigma2[:, None] * (response**2).cumsum(1))
+            unit[:, s + t] += unit[:, t]
+        future, response = path[:, s:], unit[:, s:]
+    k = layout.mask.sum(1)
     deviance = m * (np.log(2 * np.pi * sigma2) + 1)
     return {
         "aic": deviance + 2 * (k + 1),
         "bic": deviance + np.log(m) * (k + 1),
-        "params": np.concatenate([theta, sigma2[:, None]], 1),
+        "params": [np.r_[t[mask], v] for t, mask, v in zip(theta, layout.mask, sigma2)],
         "y_pred": future,
-        "half_width": half,
+        "half_width": DEFAULT_Z * np.sqrt(sigma2[:, None] * (response**2).cumsum(1)),
     }
 
 
 def _fitted(horizon: int):
+    names = ["aic", "bic", "params", "y_pred", "half_width"]
+
     @F.pandas_udf(FIT_TYPE)
     def fit(batches: Iterator[tuple[pd.Series, pd.DataFrame]]) -> Iterator[pd.DataFrame]:
-        names = ["aic", "bic", "params", "y_pred", "half_width"]
-        for ys, orders in batches:
-            ys, orders = ys.reset_index(drop=True), orders.reset_index(drop=True)
-            out = pd.DataFrame({n: pd.Series([None] * len(ys), dtype=object) for n in names})
-            groups = orders.assign(_n=ys.map(len)).groupby(list(orders.columns) + ["_n"]).groups
-            for key, rows in groups.items():
-                result = fit_batch(np.stack([np.asarray(v, dtype=float) for v in ys[rows]]), key[:-1], horizon)
-                if result is not None:
+        for ys, frame in batches:
+            ys, orders = ys.reset_index(drop=True), frame.to_numpy(dtype=int)
+            lengths = ys.map(len).to_numpy()
+            out = {n: np.full(len(ys), None, dtype=object) for n in names}
+            shared = np.c_[lengths, orders[:, [1, 4, 6]]]
+            for key in np.unique(shared, axis=0):
+                rows = np.flatnonzero((shared == key).all(1))
+                rows = rows[enough_data(int(key[0]), orders[rows])]
+                for at in range(0, len(rows), BATCH_ROWS):
+                    part = rows[at : at + BATCH_ROWS]
+                    result = fit_batch(np.stack([np.asarray(ys[i], dtype=float) for i in part]), orders[part], horizon)
                     for n in names:
-                        column = result[n]
-                        out.loc[rows, n] = pd.Series(list(column), index=rows, dtype=object)
-            out["aic"] = out["aic"].astype(float)
-            out["bic"] = out["bic"].astype(float)
-            yield out
+                        for i, value in zip(part, result[n]):
+                            out[n][i] = value
+            yield pd.DataFrame(out).astype({"aic": float, "bic": float})
 
-    return fit
+    # declared so that a filter on the result is not pushed below it, which would fit twice
+    return fit.asNondeterministic()
 
 
 def order_column(order=DEFAULT_ORDER) -> Column:
