@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelwright.catalog.base import actuals, comparison, history, holdout_errors, month_panel, naive, query
 from panelwright.catalog.series import MONTHLY_GUARDS
+from panelwright.config import SplitDates
 from panelwright.functions import accuracy as acc
 from panelwright.operators import accuracy, corrections, forecast, panel, ranking, reports
 from panelwright.sources import tables
@@ -813,3 +814,35 @@ def holdout(spark, sf_dir):
     return holdout_errors(month_panel(spark, sf_dir, "sparse")).select("series_id", "wmape")
 
 
+
+
+@query(
+    "baseline_table",
+    f"""WITH {_MODELS}, x AS (SELECT a.series_id, mm.model, a.y, mm.y_pred AS p FROM act_s a JOIN mm USING (series_id, idx))
+        SELECT series_id, model, {METRICS} FROM x GROUP BY 1, 2""",
+    METRIC_COLS,
+)
+def baseline_table(spark, sf_dir):
+    df = accuracy.compare_inner(actuals(month_panel(spark, sf_dir, "sparse")), mixed_models(spark, sf_dir))
+    return accuracy.metrics_by(df, "series_id", "model")
+
+
+@query(
+    "top_models",
+    f"""SELECT * FROM (SELECT series_id, {METRICS} FROM ({_M.format(g='s')}) GROUP BY 1) WHERE wmape IS NOT NULL ORDER BY round(wmape, 9), series_id LIMIT 10""",
+    METRIC_COLS,
+)
+def top_models(spark, sf_dir):
+    return reports.best_models(accuracy.metrics_by(comparison(spark, sf_dir, "sparse"), "series_id"))
+
+
+@query(
+    "date_split",
+    """SELECT 'train' AS part, count(*) AS n_rows, CAST(sum(claim_count) AS BIGINT) AS claims FROM claims_d WHERE manufacturing_date BETWEEN '1998-01-01' AND '2000-12-31'
+       UNION ALL SELECT 'test', count(*), CAST(sum(claim_count) AS BIGINT) FROM claims_d WHERE manufacturing_date BETWEEN '2001-01-01' AND '2001-06-30'""",
+)
+def date_split(spark, sf_dir):
+    dates = SplitDates("1998-01-01", "2000-12-31", "2001-01-01", "2001-06-30")
+    parts = panel.split_by_dates(tables.claims(spark, sf_dir), "manufacturing_date", dates)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("claim_count").alias("claims")).withColumn("part", F.lit(name))
+    return count(parts[0], "train").unionByName(count(parts[1], "test"))

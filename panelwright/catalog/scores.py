@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelwright.catalog.base import actuals, comparison, history, holdout_errors, month_panel, naive, query
@@ -17,11 +19,13 @@ from panelwright.operators import (
     guards,
     manifest,
     panel,
+    ranking,
     reports,
     scoring,
     seasonal_models,
 )
-from panelwright.sources import tables
+from panelwright.sources import files, tables
+from panelwright.streaming import month_files
 
 FACTOR_COLS = " ".join(FACTORS)
 
@@ -222,6 +226,16 @@ def ews_v1(spark, sf_dir):
     return scoring.score100_report(score100(spark, sf_dir))
 
 
+@query(
+    "ews_v1_top",
+    f"WITH {_RISK.format(g='s')}, {_V1} SELECT series_id, total_score, row_number() OVER (ORDER BY round(total_score, 9) DESC, series_id) AS rank FROM v1 ORDER BY rank LIMIT 5",
+    "total_score",
+)
+def ews_v1_top(spark, sf_dir):
+    order = [F.round("total_score", 9).desc(), F.col("series_id")]
+    return ranking.top(score100(spark, sf_dir), 5, order, out="rank").select("series_id", "total_score", "rank")
+
+
 @query(
     "ews_v1_calendar",
     f"""WITH {_RISK.format(g='s')}, {_V1.replace('FILTER (idx < 6) AS sm', 'FILTER (month <= 6) AS sm')} SELECT series_id, total_score, seasonality_score FROM v1""",
@@ -535,6 +549,21 @@ def manifest_comparison(spark, sf_dir):
     return manifest.compare_manifests(first, second)
 
 
+@query(
+    "stream_month_panel",
+    """SELECT 'G' || (user_id % 10) || '|' || event_type || '|' || CASE WHEN value >= 50 THEN 'high' ELSE 'low' END AS series_id,
+       CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, CAST(count(*) AS DOUBLE) AS claim_count FROM events GROUP BY 1, 2, 3""",
+)
+def stream_month_panel(spark, sf_dir):
+    """The events as one delivered month file, run through the stream into a partitioned panel."""
+    folder = f"{ranking.shared_folder(spark)}/month-stream-{uuid.uuid4().hex}"
+    source = tables.table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events*.parquet")
+    rows = tables.as_event_claims(stream, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_at"))
+    month_files.ingest_months(rows, f"{folder}/panel", f"{folder}/progress").awaitTermination()
+    return files.read_panel(spark, f"{folder}/panel").select("series_id", "year", "month", "claim_count")
+
+
 @query("comparison_kpi_by_series", None)
 def comparison_kpi_by_series(spark, sf_dir):
     return accuracy.kpi(comparison(spark, sf_dir), by=("series_id",))

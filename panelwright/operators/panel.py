@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwright.config import KEYS, LAG_CLASSES
+from panelwright.config import KEYS, LAG_CLASSES, SplitDates
 from panelwright.functions import calendar, columns, labels
 
 
@@ -224,6 +224,23 @@ def train_window(panel: DataFrame, first_year: int, last_year: int) -> DataFrame
     return panel.where(F.col("year").between(first_year, last_year))
 
 
+def split_by_dates(df: DataFrame, date_col: str, dates: SplitDates = SplitDates()) -> tuple[DataFrame, DataFrame]:
+    """(training rows, test rows) by fixed date ranges."""
+    d = F.col(date_col)
+    inside = lambda a, b: d.between(F.lit(a).cast("date"), F.lit(b).cast("date"))
+    return df.where(inside(dates.train_start, dates.train_end)), df.where(inside(dates.test_start, dates.test_end))
+
+
+def save_series_list(series: DataFrame, path: str) -> None:
+    """Write the ids of a selection, to be read back by `only_series`."""
+    series.select("series_id").distinct().write.mode("overwrite").parquet(path)
+
+
+def only_series(panel: DataFrame, series: DataFrame) -> DataFrame:
+    """Rows of the listed series."""
+    return panel.join(series.select("series_id"), "series_id", "left_semi")
+
+
 def trailing_months(panel: DataFrame, before: tuple[int, int], months: int = 12) -> DataFrame:
     """The `months` calendar months that end just before (year, month)."""
     end = before[0] * 12 + before[1] - 1

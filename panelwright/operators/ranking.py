@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -18,17 +18,19 @@ SAMPLE_ROWS = 4096
 RANGES = 256
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write df once to the shared checkpoint folder and go on from there.
-
-    The folder is the one the session names (`spark.checkpoint.dir`); only a session without one, as
-    in tests, gets a temporary folder.
-    """
-    session = df.sparkSession
+def shared_folder(session: SparkSession) -> str:
+    """The checkpoint folder the session names (`spark.checkpoint.dir`); only a session without one,
+    as in tests, gets a temporary folder."""
     context = session.sparkContext
     if context.getCheckpointDir() is None:
         named = session.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelwright-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write df once to the shared checkpoint folder and go on from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -185,6 +185,11 @@ def forecast_statistics(forecast: DataFrame) -> DataFrame:
     )
 
 
+def best_models(models: DataFrame, by: str = "wmape", k: int = 10) -> DataFrame:
+    """The k models with the lowest metric (unknown ones left out)."""
+    return models.where(F.col(by).isNotNull()).orderBy(F.round(by, 9), "series_id").limit(k)
+
+
 def order_distribution(models: DataFrame) -> DataFrame:
     """Mean and most frequent value (lowest on ties) of each order component."""
     parts = F.array(*[F.struct(F.lit(c).alias("part"), F.col(f"order.{c}").alias("v")) for c in ("p", "d", "q", "sp", "sd", "sq")])

@@ -6,7 +6,7 @@ shipped (occurrence) and when it was ordered (manufacture).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GRAINS = {
@@ -66,13 +66,18 @@ def claims(
     )
 
 
-def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as claim rows: user group, type and day of each event."""
-    return table(spark, sf_dir, "events").select(
+def as_event_claims(events: DataFrame, *extra: Column) -> DataFrame:
+    """Events (batch or stream) as claim rows: user group, type, size and day of each event."""
+    return events.select(
         F.concat(F.lit("G"), F.pmod(F.col("user_id"), F.lit(10))).alias("plant"),
         F.col("event_type").alias("product_cat2"),
         F.when(F.col("value") >= 50, "high").otherwise("low").alias("mid_category"),
         F.col("ts").cast("date").alias("occurrence_date"),
         F.col("ts").cast("date").alias("manufacturing_date"),
         F.lit(1).alias("claim_count"),
+        *extra,
     )
+
+
+def event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_event_claims(table(spark, sf_dir, "events"))
