@@ -288,16 +288,16 @@ def metrics_by_group(spark, sf_dir):
 @query(
     "metric_variants",
     f"""SELECT series_id, avg(abs(y - p) / y) FILTER (y > 0) AS mape_positive, 100 * avg(abs(y - p) / (y + 1)) AS mape_plus_one,
-        round(avg(abs(y - p) / greatest(y, 1e-9)), 2) AS mape_guarded, avg(y - p) / nullif(avg(y), 0) AS mean_error_bias,
+        log10(1 + avg(abs(y - p) / greatest(y, 1e-9))) AS log_mape_guarded, avg(y - p) / nullif(avg(y), 0) AS mean_error_bias,
         avg(p - y) / greatest(avg(y), 1e-9) AS guarded_bias FROM ({_M.format(g='d')}) GROUP BY 1""",
-    "mape_positive mape_plus_one mape_guarded mean_error_bias guarded_bias",
+    "mape_positive mape_plus_one log_mape_guarded mean_error_bias guarded_bias",
 )
 def metric_variants(spark, sf_dir):
     y, p = F.col("claim_count"), F.col("y_pred")
     return comparison(spark, sf_dir).groupBy("series_id").agg(
         acc.mape_positive(y, p).alias("mape_positive"),
         acc.mape_plus_one_pct(y, p).alias("mape_plus_one"),
-        F.round(acc.mape_guarded(y, p), 2).alias("mape_guarded"),
+        F.log10(1 + acc.mape_guarded(y, p)).alias("log_mape_guarded"),
         acc.mean_error_bias(y, p).alias("mean_error_bias"),
         acc.guarded_bias(y, p).alias("guarded_bias"),
     )
@@ -389,13 +389,13 @@ def monthly_totals(spark, sf_dir):
 
 @query(
     "year_metrics",
-    """SELECT series_id, round(avg(abs(e) / greatest(y, 1e-9)), 2) AS mape, avg(abs(e)) / coalesce(nullif(avg(abs(y - b)), 0), 1) AS mase,
+    """SELECT series_id, log10(1 + avg(abs(e) / greatest(y, 1e-9))) AS log_mape, avg(abs(e)) / coalesce(nullif(avg(abs(y - b)), 0), 1) AS mase,
        avg(-e) / greatest(avg(y), 1e-9) AS bias, sqrt(avg(e * e)) AS rmse
        FROM (SELECT *, lag(y) OVER (PARTITION BY series_id ORDER BY idx) AS b FROM cmp_d) GROUP BY 1""",
-    "mape mase bias rmse",
+    "log_mape mase bias rmse",
 )
 def year_metrics(spark, sf_dir):
-    return accuracy.year_metrics(comparison(spark, sf_dir)).withColumn("mape", F.round("mape", 2))
+    return accuracy.year_metrics(comparison(spark, sf_dir)).withColumn("mape", F.log10(1 + F.col("mape"))).withColumnRenamed("mape", "log_mape")
 
 
 @query(

@@ -250,13 +250,13 @@ def ews_v1_calendar(spark, sf_dir):
 
 @query(
     "backtest_labels",
-    """SELECT series_id, CASE WHEN sum(y) FILTER (idx >= 36) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN 24 AND 35) THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1""",
+    """SELECT series_id, CASE WHEN sum(y) FILTER (idx >= 36) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN 24 AND 35) - 1e-9 THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1""",
 )
 def backtest_labels(spark, sf_dir):
     return backtest.growth_labels(month_panel(spark, sf_dir, "sparse"))
 
 
-_PR = """l AS (SELECT series_id, CASE WHEN sum(y) FILTER (idx >= 36) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN 24 AND 35) THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1),
+_PR = """l AS (SELECT series_id, CASE WHEN sum(y) FILTER (idx >= 36) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN 24 AND 35) - 1e-9 THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1),
  x AS (SELECT round(nonzero_ratio, 9) + round(f5_inflect, 3) AS score, label FROM fac JOIN l USING (series_id)),
  g AS (SELECT score AS threshold, CAST(sum(label) AS BIGINT) AS pos, count(*) AS "all" FROM x GROUP BY 1),
  r AS (SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum("all") OVER w AS BIGINT) AS seen FROM g WINDOW w AS (ORDER BY threshold DESC)),
@@ -289,7 +289,7 @@ def pr_summary(spark, sf_dir):
 
 
 def _fold_factors(cut: int, fold: int) -> str:
-    return f"""SELECT series_id, {fold} AS fold, a / recent AS f1_ratio, 0.0::DOUBLE AS f2_conf, CASE WHEN future >= 1.3 * 6 * recent THEN 1 ELSE 0 END AS label FROM
+    return f"""SELECT series_id, {fold} AS fold, a / recent AS f1_ratio, 0.0::DOUBLE AS f2_conf, CASE WHEN future >= 1.3 * 6 * recent - 1e-9 THEN 1 ELSE 0 END AS label FROM
       (SELECT series_id, avg(y) FILTER (idx >= {cut} AND idx < {cut} + 6) AS a, avg(y) FILTER (idx >= {cut} - 12 AND idx < {cut}) AS recent,
        sum(y) FILTER (idx >= {cut} AND idx < {cut} + 6) AS future, avg(y) FILTER (idx < {cut}) AS m, CAST(count_if(idx < {cut} AND y <> 0) AS DOUBLE) / {cut} AS nz
        FROM panel_s GROUP BY 1) WHERE NOT (m < 0.5 OR nz < 0.3)"""

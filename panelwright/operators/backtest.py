@@ -16,7 +16,8 @@ from panelwright.operators import forecast, ranking, scoring
 def growth_labels(panel: DataFrame, horizon: int = 6, delta: float = 0.3) -> DataFrame:
     """1 when the last `horizon` points sum to (1 + delta) times what the 12 before would give.
 
-    Series with fewer than 12 + horizon points get 0.
+    Series with fewer than 12 + horizon points get 0.  A sum equal to the limit counts, whatever the
+    rounding of the limit.
     """
     y = F.col("claim_count")
     from_end = F.col("n") - F.col("idx")
@@ -24,7 +25,7 @@ def growth_labels(panel: DataFrame, horizon: int = 6, delta: float = 0.3) -> Dat
         F.sum(F.when(from_end <= horizon, y)).alias("future"),
         F.avg(F.when((from_end > horizon) & (from_end <= 12 + horizon), y)).alias("recent"),
     )
-    hit = (F.col("n") >= 12 + horizon) & (F.col("future") >= (1 + delta) * horizon * F.col("recent"))
+    hit = (F.col("n") >= 12 + horizon) & (F.col("future") >= (1 + delta) * horizon * F.col("recent") - 1e-9)
     return s.select("series_id", F.coalesce(hit, F.lit(False)).cast("int").alias("label"))
 
 
@@ -78,7 +79,7 @@ def point_in_time(
         shares = changepoints.recent_change_share(changepoints.penalised_segments(vectors)).select(*by, "cp_prob")
     factors = scoring.five_factors(past, predicted, unknown, shares, by=by).where(~F.col("sparse_flag"))
     recent = past.where(F.col("idx") >= F.col("cut") - 12).groupBy(*by).agg(F.avg(y).alias("recent"))
-    label = (F.col("future") >= (1 + rules.delta) * h * F.col("recent")).cast("int")
+    label = (F.col("future") >= (1 + rules.delta) * h * F.col("recent") - 1e-9).cast("int")
     return (
         factors.join(future.drop("_k"), list(by)).join(recent, list(by)).select(*by, *FACTORS, label.alias("label"))
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from panelwright.config import LAG_WEIGHTS
 from panelwright.functions.columns import ratio
+from panelwright.operators import ranking
 
 CATEGORY = "product_cat2"
 
@@ -218,13 +219,17 @@ def bound_stats(freq: DataFrame, bounds: DataFrame, by: str = CATEGORY) -> DataF
 
 
 def filter_report(freq: DataFrame, stats: DataFrame) -> DataFrame:
-    """One row: rows before and after, share removed, and how outlier shares spread over products."""
+    """One row: rows before and after, share removed, and how outlier shares spread over products.
+
+    Checkpoints the statistics, one row per product.
+    """
+    stats = ranking.checkpointed(stats)
+    median = ranking.quantiles(stats, {"q": ("outlier_ratio", 0.5)}).scalar()
     rows = freq.agg(F.sum("freq").alias("n")).scalar()
     return stats.agg(
         F.sum("outliers").alias("removed_rows"),
         F.count(F.lit(1)).alias("products_analyzed"),
         F.avg("outlier_ratio").alias("mean_outlier_ratio"),
-        F.percentile("outlier_ratio", 0.5).alias("median_outlier_ratio"),
         F.max("outlier_ratio").alias("max_outlier_ratio"),
     ).select(
         rows.alias("original_rows"),
@@ -233,6 +238,6 @@ def filter_report(freq: DataFrame, stats: DataFrame) -> DataFrame:
         ratio(F.coalesce("removed_rows", F.lit(0)), rows).alias("removal_ratio"),
         "products_analyzed",
         "mean_outlier_ratio",
-        "median_outlier_ratio",
+        median.alias("median_outlier_ratio"),
         "max_outlier_ratio",
     )

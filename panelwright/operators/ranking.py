@@ -82,6 +82,26 @@ def ranked(df: DataFrame, order: list[Column], tie: str = "series_id", out: str
     return running_totals(checkpointed(df), order, tie, {out: F.lit(1).cast("long")})
 
 
+def quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
+    """Exact interpolated quantiles over all rows, as one row: {output name: (column, probability)}.
+
+    An exact percentile aggregate holds every distinct value in one task.  Here equal values are
+    counted first and the counts summed up in order across ranges; the two values around each wanted
+    position are then plain minima.  df is read several times per column: pass it checkpointed.
+    """
+    found = None
+    for name, (column, p) in wanted.items():
+        counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("k"))
+        position = counts.agg((F.sum("k") - 1).alias("last")).select((F.col("last") * p).alias("at")).scalar()
+        seen = running_totals(counts, [F.col("v")], "v", {"seen": F.col("k")})
+        low, high = (F.min(F.when(F.col("seen") > f(position), F.col("v"))) for f in (F.floor, F.ceil))
+        row = seen.agg(low.alias("a"), high.alias("b")).select(
+            (F.col("a") + (F.col("b") - F.col("a")) * (position - F.floor(position))).alias(name)
+        )
+        found = row if found is None else found.select("*", row.scalar().alias(name))
+    return found
+
+
 def top(df: DataFrame, k: int, order: list[Column], out: str | None = None) -> DataFrame:
     """The first k rows, each task keeping k; with `out`, numbered (k rows meet in one task)."""
     best = df.orderBy(*order).limit(k)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import calendar, labels
 from panelwright.functions.columns import fixed_decimals, joined_text, ratio
+from panelwright.operators import ranking
 
 
 def month_detection(claims: DataFrame, date_col: str = "manufacturing_date") -> DataFrame:
@@ -33,14 +34,22 @@ def month_detection(claims: DataFrame, date_col: str = "manufacturing_date") ->
 
 
 def kpi_summary(models: DataFrame) -> DataFrame:
-    """Means and medians of the hold-out metrics, level and status counts, as one row."""
+    """Means and medians of the hold-out metrics and level counts, as one row.
+
+    Checkpoints the metrics; the medians are exact and come from distributed counts.
+    """
+    names = ("wmape", "smape", "bias")
+    table = ranking.checkpointed(models.select(*names, "mae", "wmape_level"))
     level = lambda name: F.count_if(F.col("wmape_level") == name).alias(f"wmape_{name.lower()}")
-    return models.agg(
+    medians = ranking.quantiles(table, {f"{m}_median": (m, 0.5) for m in names})
+    facts = table.agg(
         F.count(F.lit(1)).alias("n_series"),
-        *[f(m).alias(f"{m}_{n}") for m in ("wmape", "smape", "bias") for n, f in (("mean", F.avg), ("median", F.median))],
+        *[F.avg(m).alias(f"{m}_mean") for m in names],
         F.avg("mae").alias("mae_mean"),
         *[level(n) for n in ("EXCELLENT", "GOOD", "FAIR", "POOR", "UNKNOWN")],
     )
+    one = medians.select(F.struct("*").alias("m")).scalar()
+    return facts.select("*", *[one[f"{m}_median"].alias(f"{m}_median") for m in names])
 
 
 def share_of(df: DataFrame, column: str) -> DataFrame:
@@ -67,8 +76,9 @@ def metrics_by_model(metrics: DataFrame) -> DataFrame:
 
 def classified(models: DataFrame, high: float = 0.7, low: float = 0.4) -> DataFrame:
     """Add the predictability class and whether the series is worth the focus (high and above the
-    first quartile of the means)."""
-    quarter = models.agg(F.percentile("mean", 0.25).alias("q")).scalar()
+    first quartile of the means).  Checkpoints the models for the quartile."""
+    models = ranking.checkpointed(models)
+    quarter = ranking.quantiles(models, {"q": ("mean", 0.25)}).scalar()
     return models.withColumn(
         "predictability_category", labels.predictability(F.col("predictability_score"), high, low)
     ).withColumn("focus_recommended", (F.col("predictability_category") == "high") & (F.col("mean") > quarter))

@@ -113,6 +113,15 @@ def test_small_and_empty_tables_are_ranked(spark):
     assert ranking.ranked(few.where("score > 9"), [-F.col("score")]).count() == 0
 
 
+def test_quantiles_are_exact(spark):
+    rng = np.random.default_rng(4)
+    v = np.round(rng.gamma(2, 3, 5001), 2)
+    df = ranking.checkpointed(spark.createDataFrame([(float(x), 1.5) for x in v], "v double, c double").union(spark.createDataFrame([(None, 1.5)], "v double, c double")))
+    got = ranking.quantiles(df, {"med": ("v", 0.5), "q1": ("v", 0.25), "p93": ("v", 0.93), "const": ("c", 0.3)}).first()
+    assert (got.med, got.q1, got.p93, got.const) == pytest.approx((*np.quantile(v, [0.5, 0.25, 0.93]), 1.5))
+    assert ranking.quantiles(df.where("v < 0"), {"m": ("v", 0.5)}).first().m is None
+
+
 # --- backtest -------------------------------------------------------------------------------------
 
 
