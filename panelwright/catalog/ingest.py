@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelwright.catalog.base import MADE, query
 from panelwright.functions import calendar
 from panelwright.operators import lag, panel
+from panelwright.plans.curate import labelled_claims
 from panelwright.sources import tables
 
 KEYS_SQL = "occurrence_date, mid_category, plant, product_cat2, manufacturing_date"
@@ -82,9 +83,7 @@ def with_stats(select: str, g: str = "d") -> str:
 
 
 def labelled(spark, sf_dir, grain="dense"):
-    rows = tables.claims(spark, sf_dir, grain)
-    freq = lag.lag_frequencies(rows)
-    return lag.label_lags(rows, lag.lag_stats(freq), lag.global_lag_stats(freq))
+    return labelled_claims(tables.claims(spark, sf_dir, grain))
 
 
 @query("lag_stats", with_stats("SELECT * FROM stats"), "mu sigma p90 p95")

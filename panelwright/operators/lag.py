@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from panelwright.config import LAG_WEIGHTS
 from panelwright.functions.columns import ratio
-from panelwright.operators import ranking
+from panelwright.operators import ranking, sizing
 
 CATEGORY = "product_cat2"
 
@@ -82,7 +82,8 @@ def label_lags(claims: DataFrame, stats: DataFrame, fallback: DataFrame) -> Data
     """Add `lag_days` and `lag_class` by the mean and deviation of the row's category.
 
     Up to mu + sigma is normal, up to mu + 2 sigma borderline, beyond it (or without a lag) extreme,
-    below zero invalid.  A category without statistics uses the one-row `fallback`.
+    below zero invalid.  A category without statistics uses the one-row `fallback`.  The rows are
+    not shuffled as long as the statistics are small.
     """
     df = claims if "lag_days" in claims.columns else with_lag_days(claims)
     limits = stats.select(CATEGORY, F.struct("mu", "sigma").alias("_limit"))
@@ -95,7 +96,7 @@ def label_lags(claims: DataFrame, stats: DataFrame, fallback: DataFrame) -> Data
         .when(lag <= limit["mu"] + 2 * limit["sigma"], "borderline")
         .otherwise("extreme")
     )
-    return df.join(limits, CATEGORY, "left").withColumn("lag_class", label).drop("_limit")
+    return sizing.join_small(df, limits, CATEGORY, "left").withColumn("lag_class", label).drop("_limit")
 
 
 def retrain_candidates(labelled: DataFrame) -> DataFrame:
@@ -196,12 +197,8 @@ def _inside() -> Column:
 def within_bounds(claims: DataFrame, bounds: DataFrame, by: str = CATEGORY) -> DataFrame:
     """Rows with a lag inside their category's range (or of a category too small to judge)."""
     df = claims if "lag_days" in claims.columns else with_lag_days(claims)
-    return (
-        df.where(F.col("lag_days").isNotNull())
-        .join(bounds, by)
-        .where(_inside())
-        .drop("lower_bound", "upper_bound")
-    )
+    rows = df.where(F.col("lag_days").isNotNull())
+    return sizing.join_small(rows, bounds, by).where(_inside()).drop("lower_bound", "upper_bound")
 
 
 def bound_stats(freq: DataFrame, bounds: DataFrame, by: str = CATEGORY) -> DataFrame:

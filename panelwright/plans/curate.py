@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelwright.operators import documents, lag, panel
+from panelwright.operators import documents, lag, panel, ranking
 from panelwright.sources import files
 
 
 def labelled_claims(claims: DataFrame, stats: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
-    """Claims with lag and class, against given statistics or those of the claims themselves."""
+    """Claims with lag and class, against given statistics or those of the claims themselves.
+
+    In the latter case the claims are read twice: once for their lag frequencies, which are
+    checkpointed, and once to label them.
+    """
     if stats is None or fallback is None:
-        freq = lag.lag_frequencies(claims)
+        freq = ranking.checkpointed(lag.lag_frequencies(claims))
         stats, fallback = lag.lag_stats(freq), lag.global_lag_stats(freq)
     return lag.label_lags(claims, stats, fallback)
 

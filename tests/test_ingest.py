@@ -143,6 +143,17 @@ def test_one_hot_category_gives_exact_quantiles(spark):
     assert got.p90 == pytest.approx(899.1, abs=1.0) and got.n == 200_000
 
 
+def test_small_joins_are_broadcast_only_below_the_limit(spark):
+    from panelwright.operators.sizing import join_small
+
+    big = spark.range(1000).withColumn("k", F.col("id") % 10)
+    small = spark.range(10).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    fits, beyond = join_small(big, small, "k"), join_small(big, small, "k", max_rows=5)
+    assert sorted(map(tuple, fits.collect())) == sorted(map(tuple, beyond.collect()))
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" in plan(fits) and "broadcast" not in plan(beyond)
+
+
 def test_upserts_are_idempotent(make_panel):
     master = make_panel({"a": [1, 2, 3]}).select("series_id", "year", "month", "claim_count")
     fresh = make_panel({"a": [0, 0, 9], "b": [0, 0, 5]}).select("series_id", "year", "month", "claim_count").where("month = 3")
