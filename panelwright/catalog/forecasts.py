@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwright.catalog.base import actuals, comparison, history, holdout_errors, month_panel, naive, query
-from panelwright.catalog.series import MONTHLY_GUARDS
+from panelwright.catalog.series import _TTEST, MONTHLY_GUARDS
 from panelwright.config import SplitDates
 from panelwright.functions import accuracy as acc
 from panelwright.operators import accuracy, corrections, forecast, panel, ranking, reports
@@ -573,15 +573,18 @@ def staged_correction(spark, sf_dir):
     return corrected.select(*KEEP)
 
 
+_CONDITIONAL = f"""fl AS (SELECT series_id, count_if(y = 0) / 36.0::DOUBLE >= 0.8 AS sparse FROM hist_d GROUP BY 1),
+ mp AS (SELECT series_id, avg(abs(e) / greatest(y, 1e-9)) AS m FROM cmp_d GROUP BY 1),
+ b AS (SELECT series_id, month, avg(e) AS bias FROM cmp_d GROUP BY 1, 2), {_FACTORS.format(g='d', pos='(idx - 12) % 12')},
+ x AS (SELECT c.series_id, c.year, c.month, y, y_pred AS y_pred_original, m > 0.1 AND NOT sparse AS bias_adj_applied, m > 0.2 AND NOT sparse AS seasonal_recal_applied,
+   (y_pred + CASE WHEN m > 0.1 AND NOT sparse THEN bias ELSE 0 END) * CASE WHEN m > 0.2 AND NOT sparse THEN coalesce(f, 1) ELSE 1 END AS p
+   FROM cmp_d c JOIN fl USING (series_id) JOIN mp USING (series_id) JOIN b ON b.series_id = c.series_id AND b.month = c.month
+   LEFT JOIN sf ON sf.series_id = c.series_id AND sf.pos = c.idx - 36)"""
+
+
 @query(
     "conditional_correction",
-    f"""WITH fl AS (SELECT series_id, count_if(y = 0) / 36.0::DOUBLE >= 0.8 AS sparse FROM hist_d GROUP BY 1),
-        mp AS (SELECT series_id, avg(abs(e) / greatest(y, 1e-9)) AS m FROM cmp_d GROUP BY 1),
-        b AS (SELECT series_id, month, avg(e) AS bias FROM cmp_d GROUP BY 1, 2), {_FACTORS.format(g='d', pos='(idx - 12) % 12')},
-        x AS (SELECT c.series_id, c.year, c.month, y, y_pred AS y_pred_original, m > 0.1 AND NOT sparse AS bias_adj_applied, m > 0.2 AND NOT sparse AS seasonal_recal_applied,
-          (y_pred + CASE WHEN m > 0.1 AND NOT sparse THEN bias ELSE 0 END) * CASE WHEN m > 0.2 AND NOT sparse THEN coalesce(f, 1) ELSE 1 END AS p
-          FROM cmp_d c JOIN fl USING (series_id) JOIN mp USING (series_id) JOIN b ON b.series_id = c.series_id AND b.month = c.month
-          LEFT JOIN sf ON sf.series_id = c.series_id AND sf.pos = c.idx - 36)
+    f"""WITH {_CONDITIONAL}
         SELECT series_id, year, month, y AS claim_count, p AS y_pred, y_pred_original, bias_adj_applied, seasonal_recal_applied FROM x""",
     "y_pred y_pred_original",
 )
@@ -592,15 +595,37 @@ def conditional_correction(spark, sf_dir):
     return out.select("series_id", "year", "month", "claim_count", "y_pred", "y_pred_original", "bias_adj_applied", "seasonal_recal_applied")
 
 
-@query("correction_summary")
+@query(
+    "correction_summary",
+    f"""WITH {_CONDITIONAL}, {_TTEST}, cp AS (SELECT series_id, count_if(cp)::BIGINT AS n_changepoints FROM f GROUP BY 1),
+        nm AS (SELECT series_id, avg(abs(y - b)) AS nm FROM (SELECT series_id, y, lag(y, 12) OVER (PARTITION BY series_id ORDER BY idx) AS b FROM hist_d) WHERE b IS NOT NULL GROUP BY 1),
+        s AS (SELECT series_id, log10(1 + avg(abs(y - y_pred_original) / greatest(y, 1e-9))) AS log_mape_original, avg(abs((y - p) / y)) FILTER (y <> 0) AS mape_adjusted,
+          avg(y_pred_original - y) / greatest(avg(y), 1e-9) AS bias_original, (sum(p) - sum(y)) / nullif(sum(y), 0) AS bias_adjusted, sqrt(avg((y - p) * (y - p))) AS rmse,
+          count(*) AS n_points, avg(y - y_pred_original) AS bias_intercept, bool_or(bias_adj_applied) AS bias_adj_applied, bool_or(seasonal_recal_applied) AS seasonal_recal_applied,
+          avg(abs(y - p)) AS mae FROM x GROUP BY 1)
+        SELECT s.* EXCLUDE (mae), mae / nullif(nm, 0) AS mase, n_changepoints FROM s JOIN cp USING (series_id) JOIN nm USING (series_id)""",
+    "log_mape_original mape_adjusted bias_original bias_adjusted rmse bias_intercept mase",
+)
 def correction_summary(spark, sf_dir):
     p = month_panel(spark, sf_dir)
     df = accuracy.compare_inner(actuals(p), naive(p))
     h = history(p)
-    return corrections.correction_summary(corrections.conditional_correction(df, h, rules=MONTHLY_GUARDS), h)
+    out = corrections.correction_summary(corrections.conditional_correction(df, h, rules=MONTHLY_GUARDS), h)
+    return out.withColumn("mape_original", F.log10(1 + F.col("mape_original"))).withColumnRenamed("mape_original", "log_mape_original")
 
 
-@query("stable_correction")
+@query(
+    "stable_correction",
+    f"""WITH {_TTEST}, st AS (SELECT a.series_id, a.idx FROM f a WHERE NOT EXISTS
+          (SELECT 1 FROM f b WHERE b.cp AND b.series_id = a.series_id AND a.idx < b.idx + 5 AND a.idx >= b.idx - 5)),
+        ok AS (SELECT f.series_id FROM f GROUP BY 1 HAVING NOT bool_or(cp) OR (SELECT count(*) FROM st WHERE st.series_id = f.series_id) > 10),
+        fb AS (SELECT t.series_id, t.month, avg(t.y - b.y) AS bias FROM hist_d t JOIN hist_d b ON b.series_id = t.series_id AND b.idx = t.idx - 12
+          JOIN st ON st.series_id = t.series_id AND st.idx = t.idx WHERE t.series_id IN (SELECT series_id FROM ok) GROUP BY 1, 2),
+        {_FACTORS.format(g='d', pos='month - 1')},
+        x AS (SELECT c.series_id, c.year, c.month, c.y, (c.y_pred + coalesce(bias, 0)) * coalesce(sf.f, 1) AS p FROM cmp_d c
+          LEFT JOIN fb ON fb.series_id = c.series_id AND fb.month = c.month LEFT JOIN sf ON sf.series_id = c.series_id AND sf.pos = c.month - 1) {CORRECTED}""",
+    CORRECTED_COLS,
+)
 def stable_correction(spark, sf_dir):
     p = month_panel(spark, sf_dir)
     h = history(p)

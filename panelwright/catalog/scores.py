@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from panelwright.catalog.base import actuals, comparison, history, holdout_errors, month_panel, naive, query
-from panelwright.catalog.forecasts import METRICS
+from panelwright.catalog.forecasts import KPI, METRICS
 from panelwright.catalog.series import _GUARDS, _IQR, MONTHLY_GUARDS
 from panelwright.config import FACTORS, SCORE100_WEIGHTS, OrderGrid
 from panelwright.operators import (
@@ -24,6 +24,7 @@ from panelwright.operators import (
     scoring,
     seasonal_models,
 )
+from panelwright.plans import training
 from panelwright.sources import files, tables
 from panelwright.streaming import month_files
 
@@ -415,13 +416,13 @@ def incremental_retrain(spark, sf_dir):
 
 @query("tune_mase")
 def tune_mase(spark, sf_dir):
-    h = history(month_panel(spark, sf_dir))
-    tuned = seasonal_models.tune_by_validation(panel.series_vectors(h), forecast.unit_root(h), OrderGrid(1, 1, 1, 1, max_complexity=8))
+    """Tuning of all series that miss a limit, by validation MASE."""
     p = month_panel(spark, sf_dir)
-    original = accuracy.with_mase(
-        accuracy.fraction_metrics_by(accuracy.compare_inner(actuals(p), naive(p)), "series_id"), accuracy.naive_scale(history(p), 12)
+    h = history(p)
+    metrics = accuracy.with_mase(
+        accuracy.fraction_metrics_by(accuracy.compare_inner(actuals(p), naive(p)), "series_id"), accuracy.naive_scale(h, 12)
     )
-    gain = accuracy.tuning_gain(tuned, original)
+    gain = training.tune_poor(h, metrics, OrderGrid(1, 1, 1, 1, max_complexity=8))
     return gain.select("series_id", F.col("order").cast("string").alias("order"), "best_mase", "original_mase", "improvement_pct")
 
 
@@ -564,6 +565,10 @@ def stream_month_panel(spark, sf_dir):
     return files.read_panel(spark, f"{folder}/panel").select("series_id", "year", "month", "claim_count")
 
 
-@query("comparison_kpi_by_series", None)
+@query(
+    "comparison_kpi_by_series",
+    f"SELECT *, coalesce(mape < 0.2 AND abs(bias) < 0.05, false) AS passed FROM (SELECT series_id, {KPI} FROM cmp_d GROUP BY 1)",
+    "mape bias mae rmse",
+)
 def comparison_kpi_by_series(spark, sf_dir):
     return accuracy.kpi(comparison(spark, sf_dir), by=("series_id",))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from panelwright.config import DEFAULT_Z, Z_VALUES
 from panelwright.functions import accuracy, calendar
 from panelwright.functions.columns import clip, floor_at, ratio
-from panelwright.operators.features import in_order
+from panelwright.operators.features import by_series, in_order
 from panelwright.schema import FORECAST_ALIASES, normalise_columns
 
 
@@ -104,26 +104,17 @@ def guarded_forecast(forecast: DataFrame, stats: DataFrame, fallback: DataFrame)
     )
     p = F.col("y_pred")
     broken = p.isNull() | F.isnan(p) | (F.abs(p) > F.col("_huge"))
-    checked = forecast.join(limits, "series_id")
-    bad = (
-        checked.groupBy("series_id")
-        .agg(
-            F.max(broken.cast("int")).alias("_broken"),
-            F.avg(F.abs(F.col("y_pred_upper") - F.col("y_pred_lower"))).alias("_width"),
-            F.max("_wide").alias("_wide"),
-        )
-        .select("series_id", ((F.col("_broken") == 1) | (F.coalesce("_width", F.lit(0.0)) > F.col("_wide"))).alias("_bad"))
+    whole = by_series()
+    bad = (F.max(broken.cast("int")).over(whole) == 1) | (
+        F.coalesce(F.avg(F.abs(F.col("y_pred_upper") - F.col("y_pred_lower"))).over(whole), F.lit(0.0)) > F.col("_wide")
     )
+    checked = forecast.join(limits, "series_id").withColumn("_bad", bad)
     spare = fallback.select(
         *keys,
         F.struct("y_pred", "y_pred_lower", "y_pred_upper", F.lit("fallback_naive").alias("model")).alias("_spare"),
     )
     own = F.struct("y_pred", "y_pred_lower", "y_pred_upper", "model")
-    chosen = (
-        checked.join(bad, "series_id")
-        .join(spare, keys, "left")
-        .withColumn("_c", F.when(F.col("_bad"), F.col("_spare")).otherwise(own))
-    )
+    chosen = checked.join(spare, keys, "left").withColumn("_c", F.when(F.col("_bad"), F.col("_spare")).otherwise(own))
     mid, lo, hi = (clip(F.col(f"_c.{c}"), F.col("_low"), F.col("_high")) for c in ("y_pred", "y_pred_lower", "y_pred_upper"))
     return chosen.select(
         *keys,

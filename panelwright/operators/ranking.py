@@ -107,4 +107,4 @@ def top(df: DataFrame, k: int, order: list[Column], out: str | None = None) -> D
     best = df.orderBy(*order).limit(k)
     if out is None:
         return best
-    return best.withColumn(out, F.row_number().over(W.orderBy(*order)))
+    return best.withColumn(out, F.row_number().over(W.orderBy(*order)).cast("long"))

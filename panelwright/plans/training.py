@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.config import OrderGrid, SparseRule
-from panelwright.operators import forecast, manifest, panel, ranking, reports, seasonal_models
+from panelwright.operators import accuracy, forecast, manifest, panel, ranking, reports, seasonal_models
 
 
 def train_base(history: DataFrame, run_id: str, grid: OrderGrid = OrderGrid(), rule: SparseRule = SparseRule(), seed: int = 42) -> dict[str, DataFrame]:
@@ -43,10 +43,22 @@ def forecast_next(history: DataFrame, models: DataFrame, horizon: int = 6) -> Da
     return modelled.unionByName(rest.select(*modelled.columns))
 
 
+def tune_poor(history: DataFrame, metrics: DataFrame, grid: OrderGrid = OrderGrid(max_complexity=8), most: int | None = None) -> DataFrame:
+    """Tune the series that perform poorly, the worst first when only `most` of them are wanted.
+
+    `metrics` has `mape`, `bias` and `mase` per series; the result sets the tuned against the
+    original MASE.
+    """
+    poor = accuracy.poor_performers(metrics)
+    if most is not None:
+        poor = ranking.top(poor, most, [F.round("priority_score", 9).desc_nulls_last(), F.col("series_id")])
+    rows = panel.only_series(history, poor)
+    tuned = seasonal_models.tune_by_validation(panel.series_vectors(rows), forecast.unit_root(rows), grid)
+    return accuracy.tuning_gain(tuned, metrics)
+
+
 def evaluate_years(p: DataFrame, first: int, last: int, horizon: int = 12) -> DataFrame:
     """Roll over target years in one job: train up to the year before, forecast, score per series."""
-    from panelwright.operators import accuracy
-
     ahead = forecast.seasonal_naive(forecast.rolling_years(p, first, last), horizon, 12, by=("series_id", "target_year"))
     joined = ahead.join(p.select("series_id", "idx", "claim_count"), ["series_id", "idx"])
     return accuracy.metrics_by(joined, "series_id", "target_year")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions import calendar
-from panelwright.schema import ALIASES, RAW_CLAIMS, SERIES_DOCUMENT, normalise_columns
+from panelwright.schema import ALIASES, MODEL_DOCUMENT, SERIES_DOCUMENT, normalise_columns
 
 REQUIRED = ("plant", "product_cat2", "mid_category", "manufacturing_date", "claim_count")
 
@@ -116,6 +116,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SERIES_DOCUMENT).json(path)
 
 
+def read_models(spark: SparkSession, path: str) -> DataFrame:
+    """Nested model documents; `documents.flat_models` makes them a table."""
+    return spark.read.schema(MODEL_DOCUMENT).json(path)
+
+
 def latest_month(df: DataFrame) -> DataFrame:
     """Rows from the file whose name carries the greatest year and month (`2024_01`, `202401`, ...).
 
@@ -128,6 +133,3 @@ def latest_month(df: DataFrame) -> DataFrame:
     newest = stamped.agg(F.max("_stamp").alias("m")).scalar()
     return stamped.where(F.col("_stamp") == newest).drop("_stamp")
 
-
-def raw_schema():
-    return RAW_CLAIMS

@@ -130,3 +130,19 @@ def test_series_list_filters(make_panel, tmp_path, spark):
     p = make_panel({"a": [1], "b": [2]})
     panel.save_series_list(p.where("series_id = 'b'"), str(tmp_path / "ids"))
     assert by_id(panel.only_series(p, spark.read.parquet(str(tmp_path / "ids"))), "claim_count") == {"b": 2.0}
+
+
+def test_tuning_takes_the_worst_first(make_panel, spark):
+    rng = np.random.default_rng(2)
+    h = make_panel({s: rng.poisson(20, 48) for s in ("fine", "bad", "worse")})
+    metrics = spark.createDataFrame([("fine", 0.1, 0.0, 1.0), ("bad", 0.3, 0.0, 1.0), ("worse", 0.9, 0.2, 2.0)], "series_id string, mape double, bias double, mase double")
+    assert {r.series_id for r in training.tune_poor(h, metrics, GRID).collect()} == {"bad", "worse"}
+    one = training.tune_poor(h, metrics, GRID, most=1).first()
+    assert one.series_id == "worse" and one.original_mase == 2.0
+
+
+def test_model_documents_read_back(spark, tmp_path):
+    doc = '{"series_id": "a", "status": "success", "model_type": "m", "n_train_points": 5, "guard_results": {"is_sparse": false, "zero_ratio": 0.1, "has_drift": false, "has_seasonality": true, "seasonality_strength": 0.5}, "historical_stats": {"mean": 2.0, "std": 1.0, "nonzero_pct": 90.0}}'
+    (tmp_path / "models.json").write_text(doc + "\n" + doc.replace("success", "failed") + "\n")
+    got = documents.flat_models(files.read_models(spark, str(tmp_path / "models.json"))).collect()
+    assert len(got) == 1 and got[0].predictability_score == 0.5 and got[0].has_seasonality
