@@ -32,6 +32,24 @@ def naive_forecast_short(spark, sf_dir):
     return forecast.seasonal_naive(short, horizon=4, season=12, level=0.90)
 
 
+@query(
+    "weekly_naive_forecast",
+    """WITH w AS (SELECT plant || '|' || product_cat2 || '|' || mid_category AS series_id, isoyear(manufacturing_date) AS yr,
+         week(manufacturing_date) AS wk, CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_d GROUP BY 1, 2, 3),
+       g AS (SELECT s.series_id, i, coalesce(w.v, 0.0) AS y FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN range(318) r(i)
+         LEFT JOIN w ON w.series_id = s.series_id AND w.yr = 1995 + r.i // 53 AND w.wk = r.i % 53 + 1),
+       b AS (SELECT series_id, stddev_pop(y) AS sd FROM g WHERE i >= 266 GROUP BY 1)
+       SELECT g.series_id, CAST(i - 265 AS INT) AS h, CAST(2001 AS INT) AS year, CAST(i - 265 AS INT) AS week, y AS y_pred, y - 1.96 * sd AS y_pred_lower, y + 1.96 * sd AS y_pred_upper
+       FROM g JOIN b USING (series_id) WHERE i BETWEEN 266 AND 291""",
+    BOUNDS,
+)
+def weekly_naive_forecast(spark, sf_dir):
+    counts = panel.slot_counts(tables.claims(spark, sf_dir), slot="week")
+    weekly = panel.dense_panel(counts, end=(2000, 53), start=(1995, 1), slot="week", min_claims=0)
+    ahead = forecast.seasonal_naive(weekly, horizon=26, season=52, slot="week")
+    return ahead.drop("idx", "model")
+
+
 _GUARDED = """hs AS (SELECT series_id, max(y) AS mx, min(y) AS mn, avg(y) AS m, stddev_pop(y) AS sd FROM hist_s GROUP BY 1),
  gf AS (SELECT f.series_id, h, idx, year, month, least(greatest(y_pred, greatest(0, mn * 0.5)), greatest(mx * 1.5, m + 10 * sd)) AS p,
    least(greatest(y_pred_lower, greatest(0, mn * 0.5)), greatest(mx * 1.5, m + 10 * sd)) AS lo,

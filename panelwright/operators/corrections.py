@@ -60,7 +60,9 @@ def improvement(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def seasonal_factors(history: DataFrame, period: int = 12, cycles: int = 2, phase: str = "calendar") -> DataFrame:
+def seasonal_factors(
+    history: DataFrame, period: int = 12, cycles: int = 2, phase: str = "calendar", slot: str = "month"
+) -> DataFrame:
     """Seasonal mean over overall mean from the last `cycles` cycles, per position.
 
     `phase="calendar"` counts positions from the start of the year (position 0 is the first slot),
@@ -70,17 +72,19 @@ def seasonal_factors(history: DataFrame, period: int = 12, cycles: int = 2, phas
     recent = history.where((F.col("idx") >= F.col("n") - period * cycles) & (F.col("n") >= period))
     start = F.greatest(F.col("n") - period * cycles, F.lit(0))
     position = (
-        F.pmod(F.col("month") - 1, F.lit(period)) if phase == "calendar" else F.pmod(F.col("idx") - start, F.lit(period))
+        F.pmod(F.col(slot) - 1, F.lit(period)) if phase == "calendar" else F.pmod(F.col("idx") - start, F.lit(period))
     )
     means = recent.groupBy("series_id", position.alias("position")).agg(F.avg(obs()).alias("_m"))
     overall = F.avg("_m").over(features.by_series())
     return means.select("series_id", "position", F.when(overall > 0, ratio(F.col("_m"), overall)).otherwise(1.0).alias("factor"))
 
 
-def apply_seasonal_factors(df: DataFrame, factors: DataFrame, period: int = 12, phase: str = "calendar") -> DataFrame:
+def apply_seasonal_factors(
+    df: DataFrame, factors: DataFrame, period: int = 12, phase: str = "calendar", slot: str = "month"
+) -> DataFrame:
     """Multiply the prediction by the factor of its position; `slice` counts the forecast steps."""
     first = F.min("idx").over(features.by_series())
-    position = F.pmod(F.col("month") - 1, F.lit(period)) if phase == "calendar" else F.pmod(F.col("idx") - first, F.lit(period))
+    position = F.pmod(F.col(slot) - 1, F.lit(period)) if phase == "calendar" else F.pmod(F.col("idx") - first, F.lit(period))
     joined = df.withColumn("position", position).join(factors, ["series_id", "position"], "left")
     return refreshed(joined, pred() * F.coalesce("factor", F.lit(1.0))).drop("position", "factor")
 

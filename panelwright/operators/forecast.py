@@ -16,11 +16,11 @@ from panelwright.operators.features import by_series, in_order
 from panelwright.schema import FORECAST_ALIASES, normalise_columns
 
 
-def _history(history: DataFrame, by: tuple[str, ...]) -> DataFrame:
+def _history(history: DataFrame, by: tuple[str, ...], slot: str, per_year: int) -> DataFrame:
     """One row per series (and further key) with its ordered values and the last slot."""
     pairs = F.sort_array(F.collect_list(F.struct("idx", F.col("claim_count").alias("y"))))
-    slot = calendar.slot_number(F.col("year"), F.col("month"), 12)
-    return history.groupBy(*by).agg(pairs["y"].alias("ys"), F.max("idx").alias("last_idx"), F.max(slot).alias("last_slot"))
+    number = calendar.slot_number(F.col("year"), F.col(slot), per_year)
+    return history.groupBy(*by).agg(pairs["y"].alias("ys"), F.max("idx").alias("last_idx"), F.max(number).alias("last_slot"))
 
 
 def _mean(array: Column) -> Column:
@@ -37,34 +37,37 @@ def seasonal_naive(
     season: int = 12,
     level: float = 0.95,
     by: tuple[str, ...] = ("series_id",),
+    slot: str = "month",
 ) -> DataFrame:
     """Repeat the last season, with an interval of z deviations of that season.
 
     A series with fewer than season + 1 points gets the mean and deviation of its last 8 points
-    (all points, and a fifth of the mean but at least 1, below 8).
+    (all points, and a fifth of the mean but at least 1, below 8).  `slot` is `month` or `week`.
     """
     z = Z_VALUES.get(level, DEFAULT_Z)
-    rows = _history(history, by)
+    per_year = calendar.MONTHS if slot == "month" else calendar.WEEKS
     n = F.size("ys")
     short = n < season + 1
-    rows = rows.withColumn("base", F.when(short, F.when(n >= 8, F.slice("ys", -8, 8)).otherwise(F.col("ys"))).otherwise(F.expr(f"slice(ys, greatest(size(ys) - {season} + 1, 1), {season})")))
-    rows = rows.withColumn("m", _mean(F.col("base")))
-    rows = rows.withColumn(
-        "sd", F.when(n < 8, F.greatest(F.lit(1.0), F.abs("m") * 0.2)).otherwise(_std(F.col("base"), F.col("m")))
-        if season + 1 > 8
-        else _std(F.col("base"), F.col("m")),
+    # the points the forecast rests on: the last season, or the last 8 of a short series
+    taken = F.least(n, F.when(short, F.lit(8)).otherwise(F.lit(season)))
+    guess = F.greatest(F.lit(1.0), F.abs("m") * 0.2)
+    rows = (
+        _history(history, by, slot, per_year)
+        .withColumn("base", F.slice(F.col("ys"), n - taken + 1, taken))
+        .withColumn("m", _mean(F.col("base")))
+        .withColumn("sd", F.when((short & (n < 8)) | (taken == 1), guess).otherwise(_std(F.col("base"), F.col("m"))))
     )
     steps = rows.select("*", short.alias("short"), F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
     y_pred = F.when(F.col("short"), F.col("m")).otherwise(
         F.try_element_at("base", (F.pmod(F.col("h") - 1, F.lit(season)) + 1).cast("int"))
     )
-    slot = F.col("last_slot") + F.col("h")
+    number = F.col("last_slot") + F.col("h")
     return steps.select(
         *by,
         "h",
         (F.col("last_idx") + F.col("h")).cast("int").alias("idx"),
-        calendar.slot_year(slot, 12).alias("year"),
-        calendar.slot_in_year(slot, 12).alias("month"),
+        calendar.slot_year(number, per_year).alias("year"),
+        calendar.slot_in_year(number, per_year).alias(slot),
         y_pred.alias("y_pred"),
         (y_pred - z * F.col("sd")).alias("y_pred_lower"),
         (y_pred + z * F.col("sd")).alias("y_pred_upper"),

@@ -30,6 +30,16 @@ def test_seasonal_naive(make_panel):
     assert (months[0].year, months[0].month, months[12].year, months[12].month) == (2001, 1, 2002, 1)
 
 
+def test_short_and_unit_seasons(make_panel):
+    p = make_panel({"n4": [10, 20, 30, 40], "n6": [1, 2, 3, 4, 5, 9]})
+    f = forecast.seasonal_naive(p, 3, season=4)
+    got, hi = paths(f), paths(f, "y_pred_upper")
+    assert got["n4"] == [25.0] * 3 and hi["n4"][0] == pytest.approx(25 + 1.96 * 5)  # a fifth of the mean
+    assert got["n6"] == [3.0, 4.0, 5.0] and hi["n6"][0] == pytest.approx(3 + 1.96 * np.std([3, 4, 5, 9]))
+    one = forecast.seasonal_naive(p, 1, season=1)
+    assert paths(one)["n6"] == [9.0] and paths(one, "y_pred_upper")["n6"][0] == pytest.approx(9 + 1.96 * 1.8)
+
+
 def test_unknown_level_uses_default_width(make_panel):
     p = make_panel({"a": SINE})
     a, b = (paths(forecast.seasonal_naive(p, 1, level=v), "y_pred_upper")["a"] for v in (0.95, 0.77))
