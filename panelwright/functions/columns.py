@@ -62,10 +62,10 @@ def chi2_tail_df10(x: Column) -> Column:
 
 
 def round_all(df, digits: int = 6):
-    """Round every double column; used where results are compared or shown."""
+    """Round every double column (and make -0 a 0); used where results are compared or shown."""
     return df.select(
         *[
-            F.round(F.col(f"`{name}`"), digits).alias(name) if kind == "double" else F.col(f"`{name}`")
+            (F.round(F.col(f"`{name}`"), digits) + 0.0).alias(name) if kind == "double" else F.col(f"`{name}`")
             for name, kind in df.dtypes
         ]
     )

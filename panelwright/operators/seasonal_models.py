@@ -199,7 +199,9 @@ def order_column(order=DEFAULT_ORDER) -> Column:
     return F.struct(*[F.lit(v).cast("int").alias(n) for n, v in zip(names, order)])
 
 
-def with_candidates(vectors: DataFrame, differencing: DataFrame, grid: OrderGrid = OrderGrid(), min_seasonal: int = 24) -> DataFrame:
+def with_candidates(
+    vectors: DataFrame, differencing: DataFrame, grid: OrderGrid = OrderGrid(), min_seasonal: int = 24
+) -> DataFrame:
     """One row per series and candidate order; seasonal differencing only from two full seasons.
 
     The compact vectors are hashed by series into a fixed number of partitions (adaptive execution
@@ -214,7 +216,13 @@ def with_candidates(vectors: DataFrame, differencing: DataFrame, grid: OrderGrid
         ]
     )
     c = F.col("_c")
-    order = F.struct(c["p"].alias("p"), F.col("d").alias("d"), c["q"].alias("q"), c["sp"].alias("sp"), c["sd"].alias("sd"), c["sq"].alias("sq"), F.lit(grid.period).alias("period"))
+    order = F.struct(
+        c["p"].alias("p"),
+        F.col("d").alias("d"),
+        c["q"].alias("q"),
+        *[c[name].alias(name) for name in ("sp", "sd", "sq")],
+        F.lit(grid.period).alias("period"),
+    )
     rows = (
         vectors.join(differencing.select("series_id", "d"), "series_id")
         .repartition(partitions, "series_id")
@@ -256,11 +264,16 @@ def holdout_metrics(vectors: DataFrame, orders: DataFrame, horizon: int = 6, min
 
 
 def tune_by_validation(
-    vectors: DataFrame, differencing: DataFrame, grid: OrderGrid = OrderGrid(max_complexity=8), split: float = 0.8, horizon_cap: int = 12
+    vectors: DataFrame,
+    differencing: DataFrame,
+    grid: OrderGrid = OrderGrid(max_complexity=8),
+    split: float = 0.8,
+    horizon: int = 24,
 ) -> DataFrame:
     """Order with the least validation MASE on an 80/20 split of each series.
 
-    The error of a candidate is scaled by the seasonal naive error of the training part.
+    The error of a candidate is scaled by the seasonal naive error of the training part.  `horizon`
+    must reach the longest validation part; a series whose part is longer fails the query.
     """
     cut = F.floor(F.size("ys") * split).cast("int")
     parts = vectors.withColumn("_cut", cut).withColumn("held", F.expr("slice(ys, _cut + 1, size(ys) - _cut)")).withColumn("ys", F.expr("slice(ys, 1, _cut)"))
@@ -270,8 +283,11 @@ def tune_by_validation(
         " ELSE transform(slice(ys, 2, greatest(size(ys) - 1, 0)), (v, i) -> abs(v - ys[i])) END"
     )
     scaled = parts.withColumn("_naive", F.aggregate(lagged, F.lit(0.0), lambda a, v: a + v) / F.size(lagged)).where(F.col("_naive") > 0)
-    fits = fit_orders(with_candidates(scaled, differencing, grid), horizon_cap).where(F.col("fit.aic").isNotNull())
-    errors = F.zip_with(F.col("held"), F.slice("fit.y_pred", 1, horizon_cap), lambda y, f: F.abs(y - f))
+    fits = fit_orders(with_candidates(scaled, differencing, grid), horizon).where(F.col("fit.aic").isNotNull())
+    held = F.when(F.size("held") <= horizon, F.col("held")).otherwise(
+        F.raise_error(F.lit("validation part longer than the horizon")).cast("array<double>")
+    )
+    errors = F.zip_with(held, F.slice("fit.y_pred", F.lit(1), F.size("held")), lambda y, f: F.abs(y - f))
     usable = F.filter(errors, lambda e: e.isNotNull())
     mase = F.aggregate(usable, F.lit(0.0), lambda a, v: a + v) / F.size(usable) / F.col("_naive")
     scored = fits.withColumn("mase", mase).where(F.col("mase").isNotNull() & ~F.isnan("mase"))

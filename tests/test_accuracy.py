@@ -72,7 +72,7 @@ def test_retrain_rules(spark):
     assert got == {"off", "small", "big"}
 
 
-def reference_reliability(y, p, lo, hi):
+def plain_reliability(y, p, lo, hi):
     high, low = y.max() * 1.5, max(0.0, y.min() * 0.5)
     p, lo, hi = (np.clip(v, low, high) for v in (p, lo, hi))
     mae, rmse = np.abs(y - p).mean(), np.sqrt(((y - p) ** 2).mean())
@@ -92,7 +92,7 @@ def reference_reliability(y, p, lo, hi):
 def test_reliability(spark):
     y, p = RNG.poisson(30, 8).astype(float), RNG.poisson(30, 8).astype(float)
     got = accuracy.reliability(compare(spark, {"a": list(zip(y, p))})).first()
-    assert got.reliability_score == pytest.approx(reference_reliability(y, p, p - 2, p + 2))
+    assert got.reliability_score == pytest.approx(plain_reliability(y, p, p - 2, p + 2))
 
 
 def test_residual_diagnostics(spark):
