@@ -103,7 +103,7 @@ def peak_widths(spark, sf_dir):
          FROM z WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS UNBOUNDED PRECEDING)),
        f AS (SELECT *, up - min(up) OVER w AS cusum_pos, dn - min(dn) OVER w AS cusum_neg
          FROM c WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS UNBOUNDED PRECEDING))
-       SELECT series_id, year, month, cusum_pos, cusum_neg, cusum_pos > 3 OR cusum_neg > 3 AS changepoint FROM f""",
+       SELECT series_id, year, month, cusum_pos, cusum_neg, greatest(cusum_pos, cusum_neg) > 3 + 1e-9 AS changepoint FROM f""",
     "cusum_pos cusum_neg",
 )
 def cusum_flags(spark, sf_dir):

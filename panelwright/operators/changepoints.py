@@ -20,7 +20,7 @@ def cusum(panel: DataFrame, threshold: float = 3.0, drift: float = 0.5, value: s
     """Upper and lower CUSUM of the standardised series and a flag beyond `threshold`.
 
     The recursion max(0, s + z - drift) equals the running sum minus its running minimum, which is
-    two stacked windows.  A constant series is never flagged.
+    two stacked windows.  A constant series is never flagged, nor is a sum equal to the threshold.
     """
     y = F.col(value)
     z = F.try_divide(y - F.avg(y).over(by_series()), F.stddev_pop(y).over(by_series()))
@@ -32,7 +32,7 @@ def cusum(panel: DataFrame, threshold: float = 3.0, drift: float = 0.5, value: s
     return (
         df.withColumn("cusum_pos", F.col("_up") - F.min("_up").over(running))
         .withColumn("cusum_neg", F.col("_down") - F.min("_down").over(running))
-        .withColumn("changepoint", (F.col("cusum_pos") > threshold) | (F.col("cusum_neg") > threshold))
+        .withColumn("changepoint", F.greatest("cusum_pos", "cusum_neg") > threshold + 1e-9)
         .drop("_z", "_up", "_down")
     )
 
