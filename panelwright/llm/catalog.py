@@ -38,3 +38,65 @@ def op7(spark, sf_dir):
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "row_no"
     )
+
+
+@query("op4_host_quality")
+def op4(spark, sf_dir):
+    """Measures and verdicts of all documents; a document's source is its host."""
+    from panelwright.llm import quality
+    from panelwright.llm.common import cut
+
+    measured = cut(quality.measure(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text"))
+    rates = cut(quality.host_rates(measured))
+    shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return quality.judged(measured, rates).select(
+        "doc_id", *(f"_quality.{m}" for m in shown), "_quality_verdict.base_failed", "_quality_verdict.kept"
+    )
+
+
+ORACLES["op4_host_quality"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d
+),
+pos AS (SELECT rid, words, unnest(range(1, len(words) - 3)) AS p FROM w WHERE len(words) > 5),
+win AS (SELECT rid, p, array_to_string(words[p:p + 4], ' ') AS g FROM pos),
+twice AS (SELECT rid, p FROM (SELECT rid, p, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+covered AS (
+  SELECT rid, count(DISTINCT q) AS n FROM (SELECT rid, unnest(range(p, p + 5)) AS q FROM twice) GROUP BY rid
+),
+m AS (
+  SELECT w.rid, doc_id, host, len(words) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines,
+         coalesce(c.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN covered c ON c.rid = w.rid
+),
+r AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+         CAST(n_words > 0 AND (word_chars < 3 * n_words OR word_chars > 10 * n_words) AS INT) AS f1,
+         CAST(10 * n_symbols > n_words AS INT) AS f2, CAST(10 * n_dup_lines > 3 * n_lines AS INT) AS f3
+  FROM m
+),
+long AS (
+  SELECT host, rule, count(*) AS n, sum(f) AS f FROM (
+    SELECT host, unnest([1, 2, 3]) AS rule, unnest([f1, f2, f3]) AS f FROM r) GROUP BY host, rule
+),
+prior AS (
+  SELECT rule, mu, CASE WHEN between_hosts <= 0 THEN 1e6
+                        ELSE least(1e6, greatest(1.0, mu * (1 - mu) / between_hosts - 1)) END AS size
+  FROM (SELECT rule, mu, q / n - mu * mu - mu * (1 - mu) * hosts / n AS between_hosts
+        FROM (SELECT rule, sum(n) AS n, count(*) AS hosts, sum(f) / sum(n) AS mu, sum(f * f / n) AS q FROM long GROUP BY rule))
+),
+bad AS (
+  SELECT host, max(CASE WHEN rule = 1 THEN b END) AS b1, max(CASE WHEN rule = 2 THEN b END) AS b2,
+         max(CASE WHEN rule = 3 THEN b END) AS b3
+  FROM (SELECT host, rule, CAST(round((f + mu * size) / (n + size), 9) > 0.05 AS INT) AS b FROM long JOIN prior USING (rule))
+  GROUP BY host
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND f1 + f2 + f3 < 2 AND f1 * b1 + f2 * b2 + f3 * b3 = 0 AS kept
+FROM r JOIN bad USING (host)
+"""
