@@ -100,3 +100,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND f1 + f2 + f3 < 2 AND f1 * b1 + f2 * b2 + f3 * b3 = 0 AS kept
 FROM r JOIN bad USING (host)
 """
+
+
+@query("op10_low_discrepancy_mix")
+def op10(spark, sf_dir):
+    """The words that the mix takes from every document."""
+    from panelwright.llm import mixing
+    from panelwright.llm.common import cut
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source").withColumn("_rid", F.monotonically_increasing_id())
+    ids = cut(mixing.sizes(docs))
+    return mixing.plan_mix(ids).join(ids.select("_rid", "doc_id"), "_rid").drop("_rid").select("doc_id", "size", "source_size", "target", "taken")
