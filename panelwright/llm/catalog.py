@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: A production job passes its own secret.
+PII_KEY = "panelwright"
+
 
 def query(name: str, oracle: str | None = None):
     def register(fn):
@@ -111,3 +114,12 @@ def op10(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source").withColumn("_rid", F.monotonically_increasing_id())
     ids = cut(mixing.sizes(docs))
     return mixing.plan_mix(ids).join(ids.select("_rid", "doc_id"), "_rid").drop("_rid").select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op5_feistel_pii")
+def op5(spark, sf_dir):
+    """All documents with their personal data pseudonymised, and the number of values replaced."""
+    from panelwright.llm import pii
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return pii.pseudonymised(docs, key=PII_KEY, count="n_replaced")
