@@ -123,3 +123,11 @@ def op5(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return pii.pseudonymised(docs, key=PII_KEY, count="n_replaced")
+
+
+@query("op6_order_minhash")
+def op6(spark, sf_dir):
+    """Fingerprints of all texts and their edited forms, and what they say."""
+    from panelwright.llm import fingerprints
+
+    return fingerprints.edited_against_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
