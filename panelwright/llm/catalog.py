@@ -131,3 +131,20 @@ def op6(spark, sf_dir):
     from panelwright.llm import fingerprints
 
     return fingerprints.edited_against_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op1_recursive_bpe")
+def op1(spark, sf_dir):
+    """Ids of all texts and what they decode to, as digests."""
+    import public_tokenizers
+
+    from panelwright.llm import bpe
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return done.select(
+        "doc_id",
+        F.expr("CAST(length(ids) div 4 AS BIGINT)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
