@@ -148,3 +148,16 @@ def op1(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_rans_ids")
+def op3(spark, sf_dir):
+    """All documents' ids written as rANS blocks and read back."""
+    import public_tokenizers
+
+    from panelwright.llm import rans
+    from panelwright.llm.common import new_folder
+
+    path = new_folder(spark)
+    rans.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return rans.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
