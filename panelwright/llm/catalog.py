@@ -161,3 +161,11 @@ def op3(spark, sf_dir):
     path = new_folder(spark)
     rans.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return rans.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op9_setsketch_neardup")
+def op9(spark, sf_dir):
+    """Near-duplicate components of all documents at a Jaccard similarity of 0.85 on 3-word shingles."""
+    from panelwright.llm import neardup
+
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
