@@ -169,3 +169,12 @@ def op9(spark, sf_dir):
     from panelwright.llm import neardup
 
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=3, percent=85)
+
+
+@query("op2_host_paths")
+def op2(spark, sf_dir):
+    """Main text of all pages by the paths that their hosts agree on."""
+    from panelwright.llm import extraction
+
+    done = extraction.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
