@@ -178,3 +178,12 @@ def op2(spark, sf_dir):
 
     done = extraction.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return done.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op8_katz_backoff")
+def op8(spark, sf_dir):
+    """Scores of all documents by the Katz model of nine tenths of them."""
+    from panelwright.llm import katz
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.Katz(docs).scores(docs)
