@@ -3,8 +3,8 @@
 A text is cut by the tokenizer's pattern; distinct words meet the merge table as rows (word, position,
 token).  A recursive query contracts in every word the leftmost pair of least rank, all words at once,
 until no word holds a pair of the table.  Decoding joins tokens with their bytes and aggregates them in
-order.  What a worker has encoded it keeps, up to a bound after which it starts anew, so a word is
-contracted about once a worker; nothing is shuffled.
+order.  A worker keeps what it has encoded lately, up to a bound, so a word is
+contracted seldom more than once a worker; nothing is shuffled.
 
 Null and empty texts have no ids.  Every byte is a token, so decoding gives the UTF-8 text back exactly.
 """
@@ -22,36 +22,30 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from panelwright.llm.common import worker_memo
 
-#: Code points of text handled at a time, and entries that a worker keeps of each kind.
-SLICE, KEPT = 1_000_000, 400_000
+#: Code points of text handled at a time, and entries of a generation that a worker keeps of each kind.
+SLICE, KEPT = 2_000_000, 300_000
 #: Words of more bytes are contracted by a heap: the recursion takes a step a merge, over all tokens left.
 LONG = 256
 _GLUED = re.compile(r" (?:\s|\Z)")
 
+# A row of the recursion is a token at `loc`: the word's number and the token's first byte in one integer.
 CONTRACT = """
 WITH RECURSIVE tokens AS (
-  SELECT word, pos, token, true AS open FROM first_tokens
+  SELECT CAST(word AS BIGINT) << 20 | pos AS loc, token, true AS open FROM first_tokens
   UNION ALL
-  SELECT word, pos, CASE WHEN hit THEN merged ELSE token END, open
-  FROM (
-    SELECT *, lag(hit) OVER (PARTITION BY word ORDER BY pos) AS eaten
+  (WITH pairs AS MATERIALIZED (
+    SELECT t.loc, t.loc >> 20 AS word, t.token, t.next_loc, CAST(m.merged AS BIGINT) << 20 | (t.loc & 1048575) AS rank_at
     FROM (
-      SELECT word, pos, token, merged, best IS NOT NULL AS open, coalesce(rank_at = best, false) AS hit
-      FROM (
-        SELECT *, min(rank_at) OVER (PARTITION BY word) AS best
-        FROM (
-          SELECT t.word, t.pos, t.token, m.merged, CAST(m.merged AS BIGINT) * 1048576 + t.pos AS rank_at
-          FROM (
-            SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS next
-            FROM tokens WHERE open
-          ) t LEFT JOIN merges m ON m.left_token = t.token AND m.right_token = t.next
-        )
-      )
-    )
+      SELECT loc, token, lead(token) OVER w AS next_token, lead(loc) OVER w AS next_loc
+      FROM tokens WHERE open WINDOW w AS (ORDER BY loc)
+    ) t LEFT JOIN merges m ON m.left_token = t.token AND m.right_token = t.next_token AND t.loc >> 20 = t.next_loc >> 20
+  ), best AS (
+    SELECT word, min(rank_at) AS best, arg_min(next_loc, rank_at) AS eaten FROM pairs WHERE rank_at IS NOT NULL GROUP BY word
   )
-  WHERE NOT coalesce(eaten, false)
+  SELECT loc, CASE WHEN loc & 1048575 = best & 1048575 THEN CAST(best >> 20 AS INT) ELSE token END, best IS NOT NULL
+  FROM pairs LEFT JOIN best USING (word) WHERE eaten IS NULL OR loc <> eaten)
 )
-SELECT word, list(token ORDER BY pos) AS ids FROM tokens WHERE NOT open GROUP BY word ORDER BY word
+SELECT loc >> 20 AS word, list(token ORDER BY loc) AS ids FROM tokens WHERE NOT open GROUP BY 1 ORDER BY 1
 """
 
 DECODE = """
@@ -113,6 +107,36 @@ def split_chunks(text: str) -> tuple[str, list[str]]:
     return joined[0], joined[1:]
 
 
+def encode_by_chunks(texts: list[str], ids_of) -> list[bytes]:
+    """Ids of each text; `ids_of` gives those of distinct chunks with their leading space."""
+    cut = [split_chunks(t) for t in texts]
+    inner = set().union(*(chunks for _, chunks in cut))
+    ids = ids_of({" " + c for c in inner} | {head for head, _ in cut if head})
+    after_space = {c: ids[" " + c] for c in inner}
+    return [(ids[head] if head else b"") + b"".join(map(after_space.__getitem__, chunks)) for head, chunks in cut]
+
+
+class Recent:
+    """What was asked for lately: two generations of at most `size` entries and one call's more."""
+
+    def __init__(self, size: int = KEPT):
+        self.size, self.young, self.old = size, {}, {}
+
+    def known(self, keys) -> tuple[dict, list]:
+        """The values of the keys it has, and the keys it has not."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        young, old, found, missing = self.young, self.old, {}, []
+        for k in keys:
+            if (x := young.get(k)) is None:
+                if (x := old.get(k)) is None:
+                    missing.append(k)
+                    continue
+                young[k] = x
+            found[k] = x
+        return found, missing
+
+
 class Codec:
     """Encoder and decoder of one worker; needs `regex` and `duckdb`."""
 
@@ -138,9 +162,7 @@ class Codec:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._table("merges", ("left_token", "right_token", "merged"), pairs)
         self._table("pieces", ("token", "piece"), pieces)
-        self.word_ids: dict[str, bytes] = {}
-        self.chunk_ids: dict[str, bytes] = {}
-        self.sequence_bytes: dict[bytes, bytes] = {}
+        self.word_ids, self.chunk_ids, self.sequence_bytes = Recent(), Recent(), Recent()
 
     def _table(self, name: str, columns: tuple, rows: list) -> None:
         given = pa.table([pa.array(c, pa.string() if c and isinstance(c[0], str) else pa.int32()) for c in zip(*rows, strict=True)], names=columns)
@@ -172,49 +194,34 @@ class Codec:
         flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Put the ids of new chunks (with their leading space) into `chunk_ids`."""
-        cut = {c: self.words(c) for c in chunks}
-        new = sorted({w for ws in cut.values() for w in ws if w not in self.word_ids})
+    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of distinct chunks (with their leading space)."""
+        found, missing = self.chunk_ids.known(chunks)
+        cut = {c: self.words(c) for c in missing}
+        words, new = self.word_ids.known(set().union(*cut.values()))
         coded = [w.encode("utf-8", "surrogatepass") for w in new]
         short = [k for k, w in enumerate(coded) if len(w) <= LONG]
-        if short:
-            self.word_ids.update(zip((new[k] for k in short), self.contract([coded[k] for k in short]), strict=True))
-        for w, data in zip(new, coded, strict=True):
-            if len(data) > LONG:
-                self.word_ids[w] = np.array(contract_long(data, self.ranks), "<u4").tobytes()
-        for c, ws in cut.items():
-            self.chunk_ids[c] = b"".join(map(self.word_ids.__getitem__, ws))
+        learnt = dict(zip((new[k] for k in short), self.contract([coded[k] for k in short]), strict=True)) if short else {}
+        learnt.update((w, np.array(contract_long(data, self.ranks), "<u4").tobytes()) for w, data in zip(new, coded, strict=True) if len(data) > LONG)
+        self.word_ids.young.update(learnt)
+        words.update(learnt)
+        made = {c: b"".join(map(words.__getitem__, ws)) for c, ws in cut.items()}
+        self.chunk_ids.young.update(made)
+        found.update(made)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        if max(len(self.chunk_ids), len(self.word_ids)) > KEPT:
-            self.word_ids.clear()
-            self.chunk_ids.clear()
-        cut = [split_chunks(t) for t in texts]
-        need = {" " + c for c in set().union(*(cs for _, cs in cut))} | {f for f, _ in cut if f}
-        self._learn(need - self.chunk_ids.keys())
-        known, spaced = self.chunk_ids, {}
-        out = []
-        for head, chunks in cut:
-            ids = [known[head]] if head else []
-            for c in chunks:
-                if (x := spaced.get(c)) is None:
-                    x = spaced[c] = known[" " + c]
-                ids.append(x)
-            out.append(b"".join(ids))
-        return out
+        return encode_by_chunks(texts, self._chunks)
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each id sequence, in which sub-sequences from one leading space to the next are decoded once."""
-        if len(self.sequence_bytes) > KEPT:
-            self.sequence_bytes.clear()
         cut = []
         for data in ids:
             at = np.flatnonzero(self.space_first[np.frombuffer(data, "<u4")]) * 4
             edges = [0, *at.tolist(), len(data)]
             cut.append([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b])
-        new = list(set().union(*cut) - self.sequence_bytes.keys())
+        found, new = self.sequence_bytes.known(set().union(*cut))
         if new:
             sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
             begins = np.cumsum(sizes) - sizes
@@ -226,8 +233,10 @@ class Codec:
                 }
             )
             decoded = self._query("ids", given, DECODE).column("decoded").to_pylist()
-            self.sequence_bytes.update(zip(new, (x.encode("latin-1") for x in decoded), strict=True))
-        return [b"".join(map(self.sequence_bytes.__getitem__, parts)) for parts in cut]
+            made = dict(zip(new, (x.encode("latin-1") for x in decoded), strict=True))
+            self.sequence_bytes.young.update(made)
+            found.update(made)
+        return [b"".join(map(found.__getitem__, parts)) for parts in cut]
 
 
 def slices(texts: list[str], size: int = SLICE):
@@ -252,7 +261,11 @@ def _codec(rank_file: bytes, pattern: str) -> Codec:
 
 
 def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[str], work) -> DataFrame:
-    """All columns of `df` and binary columns that `work(codec, values)` makes of `column`, slice by slice."""
+    """All columns of `df` and binary columns that `work(codec, values)` makes of `column`, slice by slice.
+
+    Columns of `df` with those names are replaced.
+    """
+    df = df.drop(*added)
     spark: SparkSession = df.sparkSession
     with open(ranks, "rb") as f:
         rank_file = spark.sparkContext.broadcast(f.read())  # one vocabulary

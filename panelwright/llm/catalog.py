@@ -111,8 +111,8 @@ def op10(spark, sf_dir):
     from panelwright.llm import mixing
     from panelwright.llm.common import cut
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source").withColumn("_rid", F.monotonically_increasing_id())
-    ids = cut(mixing.sizes(docs))
+    rows = mixing.numbered_rows(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    ids = cut(mixing.sizes(rows, keep=("doc_id",)))
     return mixing.plan_mix(ids).join(ids.select("_rid", "doc_id"), "_rid").drop("_rid").select("doc_id", "size", "source_size", "target", "taken")
 
 

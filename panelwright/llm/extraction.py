@@ -19,6 +19,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from panelwright.llm.common import cut
 
@@ -208,20 +209,21 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def main_text(pages: DataFrame, url: str = "url", html: str = "html", into: str = "text") -> DataFrame:
-    """All columns of `pages` and the main text.
+    """All columns of `pages` and the main text (instead of a column of that name).
 
     The winners are a row a host, read from a written table, so that their measured size decides how they
     are joined; a hot host is split by adaptive execution where they are too many to broadcast.
     """
     winners = cut(host_paths(pages, url, html))
-    joined = pages.withColumn("_host", host(F.col(url))).join(winners, "_host", "left").drop("_host")
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields]
+    kept = [c for c in pages.columns if c != into]
+    row = pages.select(F.struct(*kept).alias("_row"), F.col(html).alias("_html"), host(F.col(url)).alias("_host"))
+    joined = row.join(winners, "_host", "left").drop("_host")
+    schema = StructType([joined.schema["_row"], StructField("_into", StringType())])
 
     def texts(parts):
         for batch in parts:
-            rows = zip(batch.column(html).to_pylist(), batch.column("_path").to_pylist(), strict=True)
+            rows = zip(batch.column("_html").to_pylist(), batch.column("_path").to_pylist(), strict=True)
             made = pa.array([extract(x or "", p) for x, p in rows], pa.string())
-            kept = [k for k, c in enumerate(batch.schema.names) if c != "_path"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), made], names=[*(batch.schema.names[k] for k in kept), into])
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), made], names=["_row", "_into"])
 
-    return joined.mapInArrow(texts, ", ".join([*schema, f"`{into}` string"]))
+    return joined.select("_row", "_html", "_path").mapInArrow(texts, schema).select("_row.*", F.col("_into").alias(into))

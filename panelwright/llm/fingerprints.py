@@ -78,9 +78,9 @@ def likeness(a: str, b: str) -> Column:
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns of `docs` and `fingerprint`."""
-    rows = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    return with_cells(rows, "_text", "_cells").withColumn("fingerprint", as_text("_cells")).drop("_text", "_cells")
+    """All columns of `docs` and `fingerprint` (instead of a column of that name)."""
+    rows = docs.drop("fingerprint").select(F.struct("*").alias("_row"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    return with_cells(rows, "_text", "_cells").select("_row.*", as_text("_cells").alias("fingerprint"))
 
 
 def edited_against_next(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -39,15 +39,22 @@ def source_key(source: str = "source") -> Column:
     return F.when(F.col(source).isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col(source).cast("string")))
 
 
-def sizes(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
-    """Per row of `docs`, which must hold `_rid`: _rid, _hash, _key, size, and the other columns but the text.
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """(_rid, _row): each row of `docs` as a struct, with a number of its own; write it before its numbers are used twice."""
+    return docs.select(F.monotonically_increasing_id().alias("_rid"), F.struct("*").alias("_row"))
 
-    The hash of all values orders the shuffle, so that it is the same however the rows are dealt;
+
+def sizes(rows: DataFrame, text: str = "text", source: str = "source", keep: tuple = ()) -> DataFrame:
+    """Per row of `numbered_rows`: _rid, _hash, _key, size, and the columns to keep.
+
+    The hash of the whole row orders the shuffle, so that it is the same however the rows are dealt;
     equal rows are interchangeable.
     """
-    others = [c for c in docs.columns if c not in ("_rid", text)]
-    values = [F.col(c).cast("string") for c in docs.columns if c != "_rid"]
-    return docs.select("_rid", F.xxhash64(*values).alias("_hash"), source_key(source).alias("_key"), words(text).alias("size"), *others)
+    row = lambda c: f"_row.`{c}`"
+    values = [F.col(row(f.name)).cast("string") for f in rows.schema["_row"].dataType.fields]
+    return rows.select(
+        "_rid", F.xxhash64(*values).alias("_hash"), source_key(row(source)).alias("_key"), words(row(text)).alias("size"), *(F.col(row(c)) for c in keep)
+    )
 
 
 def targets(sized: DataFrame, weights: tuple = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -215,11 +222,13 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", **options
 
     A document at the end of a source's quota is taken in part: its last copy holds the words taken.
     """
-    rows = cut(docs.withColumn("_rid", F.monotonically_increasing_id()))
-    sized = cut(sizes(rows.select("_rid", *docs.columns), text, source).select("_rid", "_hash", "_key", "size"))
+    rows = cut(numbered_rows(docs))
+    sized = cut(sizes(rows, text, source))
     plan = plan_mix(sized, **options).where("taken > 0")
     copies = F.expr("CAST(ceil(taken / size) AS INT)")
     rest = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
-    first = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(F.col(text), r"[\x20\x09-\x0D]+", " ")), " "), 1, rest.cast("int")), " ")
+    whole = F.col(f"_row.`{text}`")
+    first = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(whole, r"[\x20\x09-\x0D]+", " ")), " "), 1, rest.cast("int")), " ")
     out = rows.join(plan.select("_rid", "size", "taken"), "_rid").withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    return out.withColumn(text, F.when(rest >= F.col("size"), F.col(text)).otherwise(first)).select(*docs.columns)
+    cut_text = F.when(rest >= F.col("size"), whole).otherwise(first)
+    return out.select(*(cut_text.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns))

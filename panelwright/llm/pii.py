@@ -182,15 +182,16 @@ def pseudonym(match: str, key: str) -> Column:
 
 
 def pseudonymised(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
-    """The rows with their text pseudonymised; `count` names a column for the number of values replaced."""
-    name = f"`{text}`"
+    """The rows with their text pseudonymised; `count` names a column for the number of values replaced (it takes the place of
+    a column of that name)."""
+    name = "_text"
     found = f"regexp_extract_all({name}, {_lit(ANY)}, 0)"
     pieces = f"split({name}, {_lit(ANY)}, -1)"
     quick = f"{name} RLIKE {_lit('[0-9@]|(?i:token|secret|passw|key)')}"
-    work = docs.withColumn("_pii", F.expr(f"if({quick}, transform({found}, m -> named_struct('was', m, 'now', {_Sql(key).any('m')})), NULL)"))
+    work = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
+    work = work.withColumn("_pii", F.expr(f"if({quick}, transform({found}, m -> named_struct('was', m, 'now', {_Sql(key).any('m')})), NULL)"))
     out = F.expr(f"if(_pii IS NULL OR size(_pii) = 0, {name}, array_join(zip_with({pieces}, _pii, (p, r) -> concat(p, coalesce(r.now, ''))), ''))")
-    work = work.withColumn("_pii_text", out)
+    columns = [out.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c != count]
     if count is not None:
-        work = work.withColumn(count, F.expr("CAST(coalesce(size(filter(_pii, r -> r.was <> r.now)), 0) AS BIGINT)"))
-    columns = [F.col("_pii_text").alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
-    return work.select(*columns, *([F.col(count)] if count is not None else []))
+        columns.append(F.expr("CAST(coalesce(size(filter(_pii, r -> r.was <> r.now)), 0) AS BIGINT)").alias(count))
+    return work.select(*columns)

@@ -76,7 +76,8 @@ def text_measures(text: str | None) -> tuple[int, ...]:
 
 
 def measure(docs: DataFrame, text: str = "text", into: str = "_quality") -> DataFrame:
-    """All columns of `docs` and a struct of the measures; no shuffle."""
+    """All columns of `docs` and a struct of the measures (instead of a column of that name); no shuffle."""
+    docs = docs.drop(into)
     measures = StructType([StructField(m, LongType()) for m in MEASURES])
     schema = StructType([*docs.schema.fields, StructField(into, measures)])
 
@@ -134,15 +135,12 @@ def judged(measured: DataFrame, rates: DataFrame, host: str = "source", struct:
     between a broadcast and a shuffled join, in which adaptive execution splits a hot host.
     """
     verdicts = rates.select("_host", *(F.col(f"bad_{r}").alias(f"_bad_{r}") for r in RULES))
-    failed = [F.coalesce(_of(c, struct), F.lit(False)) for c in RULES.values()]
-    base = _of(BASE, struct)
+    failed = [F.coalesce(_of(c, f"_row.{struct}"), F.lit(False)) for c in RULES.values()]
+    base = _of(BASE, f"_row.{struct}")
     one_too_many = sum((f.cast("int") for f in failed[1:]), failed[0].cast("int")) >= 2
     by_host = F.lit(False)
     for f, r in zip(failed, RULES, strict=True):
         by_host = by_host | (f & F.coalesce(F.col(f"_bad_{r}"), F.lit(False)))
-    return (
-        measured.withColumn("_host", host_key(host))
-        .join(verdicts, "_host", "left")
-        .withColumn(f"{struct}_verdict", F.struct(base.alias("base_failed"), (~base & ~one_too_many & ~by_host).alias("kept")))
-        .drop("_host", *(f"_bad_{r}" for r in RULES))
-    )
+    verdict = F.struct(base.alias("base_failed"), (~base & ~one_too_many & ~by_host).alias("kept"))
+    row = measured.drop(f"{struct}_verdict").select(F.struct("*").alias("_row"), host_key(host).alias("_host"))
+    return row.join(verdicts, "_host", "left").select("_row.*", verdict.alias(f"{struct}_verdict"))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.bpe import slices, split_chunks
+from panelwright.llm.bpe import Recent, encode_by_chunks, slices
 from panelwright.llm.common import new_folder, shuffle_partitions, worker_memo
 
 MAGIC = b"RANSBLK1"
@@ -29,7 +29,6 @@ SCALE_BITS = 20
 LANES = 512
 #: Coding steps (of up to LANES ids each) from one checkpoint to the next, and ids in a block, about.
 CHECKPOINT, BLOCK_IDS = 256, 1 << 20
-KEPT = 600_000
 _LOW = 31  # states stay within 2**31 and 2**63
 _HEADER = "<8sIQQIII"  # magic, documents, ids, words, checkpoints, crc of ids, crc of the rest
 
@@ -150,24 +149,18 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.recent = Recent()
+
+    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        found, missing = self.recent.known(chunks)
+        coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
+        made = dict(zip(missing, (np.array(e.ids, "<u4").tobytes() for e in coded), strict=True))
+        self.recent.young.update(made)
+        found.update(made)
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > KEPT:
-            self.known.clear()
-        cut = [split_chunks(t) for t in texts]
-        new = list(({" " + c for c in set().union(*(cs for _, cs in cut))} | {f for f, _ in cut if f}) - self.known.keys())
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in coded), strict=True))
-        known, spaced, out = self.known, {}, []
-        for head, chunks in cut:
-            ids = [known[head]] if head else []
-            for c in chunks:
-                if (x := spaced.get(c)) is None:
-                    x = spaced[c] = known[" " + c]
-                ids.append(x)
-            out.append(b"".join(ids))
-        return out
+        return encode_by_chunks(texts, self._chunks)
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -72,14 +72,14 @@ def place(row_no: Column, n: int, seed: int = 0) -> Column:
 
 
 def assign(df: DataFrame, *order: Column | str, shards: int, seed: int = 0) -> DataFrame:
-    """The rows with `row_no`, `shard` and `slot`.
+    """The rows with `row_no`, `shard` and `slot` (instead of columns of those names).
 
     `order` fixes the row numbers; rows that tie in all of it are interchangeable.  An empty table gives
     an empty table.  Only the given columns travel, so pass narrow rows and join the rest by key.
     """
     if shards < 1:
         raise ValueError("shards must be 1 or more")
-    rows, n = numbered(df, *order)
+    rows, n = numbered(df.drop("row_no", "shard", "slot", "_place"), *order)
     return (
         rows.withColumn("_place", place(F.col("row_no"), n, seed))
         .withColumn("shard", (F.col("_place") % shards).cast("int"))
