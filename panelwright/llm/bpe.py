@@ -107,13 +107,15 @@ def split_chunks(text: str) -> tuple[str, list[str]]:
     return joined[0], joined[1:]
 
 
-def encode_by_chunks(texts: list[str], ids_of) -> list[bytes]:
-    """Ids of each text; `ids_of` gives those of distinct chunks with their leading space."""
+def encode_by_chunks(texts: list[str], ids_of, recent: Recent) -> list[bytes]:
+    """Ids of each text; `ids_of` gives those of new strings, and `recent` keeps those of chunks without their space."""
     cut = [split_chunks(t) for t in texts]
-    inner = set().union(*(chunks for _, chunks in cut))
-    ids = ids_of({" " + c for c in inner} | {head for head, _ in cut if head})
-    after_space = {c: ids[" " + c] for c in inner}
-    return [(ids[head] if head else b"") + b"".join(map(after_space.__getitem__, chunks)) for head, chunks in cut]
+    heads = list({head for head, _ in cut if head})
+    head_ids = dict(zip(heads, ids_of(heads), strict=True)) | {"": b""}
+    known, missing = recent.known(set().union(*(chunks for _, chunks in cut)))
+    known.update(zip(missing, ids_of([" " + c for c in missing]), strict=True))
+    get = known.__getitem__
+    return [head_ids[head] + b"".join(map(get, chunks)) for head, chunks in cut]
 
 
 class Recent:
@@ -122,19 +124,14 @@ class Recent:
     def __init__(self, size: int = KEPT):
         self.size, self.young, self.old = size, {}, {}
 
-    def known(self, keys) -> tuple[dict, list]:
-        """The values of the keys it has, and the keys it has not."""
+    def known(self, keys: set) -> tuple[dict, list]:
+        """The entries, to which the values of the missing keys are to be added, and those keys."""
         if len(self.young) > self.size:
             self.young, self.old = {}, self.young
-        young, old, found, missing = self.young, self.old, {}, []
-        for k in keys:
-            if (x := young.get(k)) is None:
-                if (x := old.get(k)) is None:
-                    missing.append(k)
-                    continue
-                young[k] = x
-            found[k] = x
-        return found, missing
+        missing = keys - self.young.keys()
+        again = missing & self.old.keys()
+        self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        return self.young, list(missing - again)
 
 
 class Codec:
@@ -194,25 +191,20 @@ class Codec:
         flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
-    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of distinct chunks (with their leading space)."""
-        found, missing = self.chunk_ids.known(chunks)
-        cut = {c: self.words(c) for c in missing}
-        words, new = self.word_ids.known(set().union(*cut.values()))
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks with their leading space."""
+        cut = [self.words(c) for c in chunks]
+        known, new = self.word_ids.known(set().union(*cut))
         coded = [w.encode("utf-8", "surrogatepass") for w in new]
         short = [k for k, w in enumerate(coded) if len(w) <= LONG]
-        learnt = dict(zip((new[k] for k in short), self.contract([coded[k] for k in short]), strict=True)) if short else {}
-        learnt.update((w, np.array(contract_long(data, self.ranks), "<u4").tobytes()) for w, data in zip(new, coded, strict=True) if len(data) > LONG)
-        self.word_ids.young.update(learnt)
-        words.update(learnt)
-        made = {c: b"".join(map(words.__getitem__, ws)) for c, ws in cut.items()}
-        self.chunk_ids.young.update(made)
-        found.update(made)
-        return found
+        if short:
+            known.update(zip((new[k] for k in short), self.contract([coded[k] for k in short]), strict=True))
+        known.update((w, np.array(contract_long(data, self.ranks), "<u4").tobytes()) for w, data in zip(new, coded, strict=True) if len(data) > LONG)
+        return [b"".join(map(known.__getitem__, words)) for words in cut]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        return encode_by_chunks(texts, self._chunks)
+        return encode_by_chunks(texts, self._chunks, self.chunk_ids)
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each id sequence, in which sub-sequences from one leading space to the next are decoded once."""
@@ -221,7 +213,7 @@ class Codec:
             at = np.flatnonzero(self.space_first[np.frombuffer(data, "<u4")]) * 4
             edges = [0, *at.tolist(), len(data)]
             cut.append([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b])
-        found, new = self.sequence_bytes.known(set().union(*cut))
+        known, new = self.sequence_bytes.known(set().union(*cut))
         if new:
             sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
             begins = np.cumsum(sizes) - sizes
@@ -233,10 +225,8 @@ class Codec:
                 }
             )
             decoded = self._query("ids", given, DECODE).column("decoded").to_pylist()
-            made = dict(zip(new, (x.encode("latin-1") for x in decoded), strict=True))
-            self.sequence_bytes.young.update(made)
-            found.update(made)
-        return [b"".join(map(found.__getitem__, parts)) for parts in cut]
+            known.update(zip(new, (x.encode("latin-1") for x in decoded), strict=True))
+        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
 
 
 def slices(texts: list[str], size: int = SLICE):

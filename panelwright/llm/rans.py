@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -21,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.bpe import Recent, encode_by_chunks, slices
+from panelwright.llm.bpe import KEPT, Recent, encode_by_chunks, slices
 from panelwright.llm.common import new_folder, shuffle_partitions, worker_memo
 
 MAGIC = b"RANSBLK1"
 SCALE_BITS = 20
-LANES = 512
+LANES = 2048
 #: Coding steps (of up to LANES ids each) from one checkpoint to the next, and ids in a block, about.
 CHECKPOINT, BLOCK_IDS = 256, 1 << 20
 _LOW = 31  # states stay within 2**31 and 2**63
@@ -149,26 +150,23 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.recent = Recent()
+        self.recent = Recent(2 * KEPT)
+        #: Array type of an id: two bytes if all ids fit.
+        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
-    def _chunks(self, chunks: set[str]) -> dict[str, bytes]:
-        found, missing = self.recent.known(chunks)
-        coded = self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-        made = dict(zip(missing, (np.array(e.ids, "<u4").tobytes() for e in coded), strict=True))
-        self.recent.young.update(made)
-        found.update(made)
-        return found
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [array(self.kind, e.ids).tobytes() for e in coded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return encode_by_chunks(texts, self._chunks)
+        return encode_by_chunks(texts, self._chunks, self.recent)
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): the whole text's ids and the end id; null counts as empty."""
+    """(id, n_tokens, width, ids): the whole text's ids and the end id, in integers of `width` bytes; null counts as empty."""
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())  # one vocabulary
-    end = np.array([end_id], "<u4").tobytes()
 
     def batches(parts):
         memo = worker_memo("tokens")
@@ -176,16 +174,20 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id",
         if key not in memo:
             memo.clear()
             memo[key] = Tokens(definition.value)
+        tokens = memo[key]
+        end, width = array(tokens.kind, [end_id]).tobytes(), array(tokens.kind).itemsize
         for batch in parts:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             for a, b in slices(texts):
-                ids = [x + end for x in memo[key].encode(texts[a:b])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    names=["id", "n_tokens", "ids"],
-                )
+                ids = [x + end for x in tokens.encode(texts[a:b])]
+                sizes, widths = pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sizes, widths, pa.array(ids, pa.binary())], names=["id", "n_tokens", "width", "ids"])
+
+    return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(batches, f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, width int, ids binary")
+
 
-    return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(batches, f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, ids binary")
+def _numbers(data: bytes, width: int) -> np.ndarray:
+    return np.frombuffer(data, f"=u{width}")
 
 
 def frequencies(tokens: DataFrame) -> np.ndarray:
@@ -194,15 +196,15 @@ def frequencies(tokens: DataFrame) -> np.ndarray:
     def counts(parts):
         total = np.zeros(0, np.int64)
         for batch in parts:
-            for ids in batch.column(0):
-                c = np.bincount(np.frombuffer(ids.as_py(), "<u4"))
+            if batch.num_rows:
+                c = np.bincount(_numbers(b"".join(batch.column(1).to_pylist()), batch.column(0)[0].as_py()))
                 if len(c) > len(total):
                     total, c = c.astype(np.int64), total
                 total[: len(c)] += c
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["token", "n"])
 
-    rows = tokens.select("ids").mapInArrow(counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
+    rows = tokens.select("width", "ids").mapInArrow(counts, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(int(rows["token"].max()) + 1 if len(rows) else 1, np.int64)
     out[rows["token"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return scaled(out)
@@ -232,8 +234,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id: str =
 
         def flush():
             nonlocal held, held_ids, block, before
-            data = np.frombuffer(b"".join(x for _, x in held), "<u4")
-            sizes = np.fromiter((len(x) // 4 for _, x in held), np.int64, len(held))
+            data = _numbers(b"".join(x for _, x in held), width)
+            sizes = np.fromiter((len(x) // width for _, x in held), np.int64, len(held))
             row = pd.DataFrame({"range": [part], "block": [block], "before": [before], "n_ids": [len(data)]}).astype(np.int64)
             batch = pa.RecordBatch.from_pandas(row, preserve_index=False)
             columns = [*batch.columns, pa.array([[i for i, _ in held]], pa.list_(id_type)), pa.array([encode_block(sizes, data, table)], pa.binary())]
@@ -241,19 +243,19 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id: str =
             held, held_ids = [], 0
             return pa.RecordBatch.from_arrays(columns, names=["range", "block", "before", "n_ids", "doc_ids", "payload"])
 
-        id_type = None
+        id_type, width = None, 4
         for batch in parts:
             id_type = batch.schema.field("id").type
-            for i, x in zip(batch.column("id").to_pylist(), batch.column("ids"), strict=True):
-                held.append((i, x.as_py()))
-                held_ids += len(held[-1][1]) // 4
+            for i, width, x in zip(*(batch.column(c).to_pylist() for c in ("id", "width", "ids")), strict=True):
+                held.append((i, x))
+                held_ids += len(x) // width
                 if held_ids >= BLOCK_IDS:
                     yield flush()
         if held:
             yield flush()
 
     kind = tokens.schema["id"].dataType.simpleString()
-    ranged.select("id", "ids").mapInArrow(blocks, f"range long, block long, before long, n_ids long, doc_ids array<{kind}>, payload binary").write.parquet(f"{path}/blocks")
+    ranged.select("id", "width", "ids").mapInArrow(blocks, f"range long, block long, before long, n_ids long, doc_ids array<{kind}>, payload binary").write.parquet(f"{path}/blocks")
 
 
 def read(spark, path: str) -> DataFrame:
