@@ -7,8 +7,9 @@ agree in one with about their Jaccard similarity.
 
 1. Equal sets (128-bit digest) form a class; its least id stands for it.
 2. Bands of registers put classes into buckets.  Every class of a bucket is paired with the bucket's
-   least id; pairs are estimated jointly by maximum likelihood from the registers, and what may reach the
-   threshold (five standard errors below it) is verified on the full sets.
+   centre, the class whose buckets hold most classes (in a group of edited copies, the text they come
+   from); pairs are estimated jointly by maximum likelihood from the registers, and what may reach the
+   threshold (four standard errors below it) is verified on the full sets.
 3. Links join components.  A bucket that still holds several components is searched in small blocks for
    the pairs between components, which are estimated and verified in the same way.  So no bucket is
    capped, no link between classes in a common bucket is lost, and pairs within a component are not made.
@@ -75,10 +76,11 @@ def registers(shingles: np.ndarray) -> np.ndarray:
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
-    """A 64-bit key of every band's registers and its number."""
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in regs.reshape(BANDS, ROWS).T.astype(np.uint64):
-        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + column)
+    """A 64-bit key of every band's registers and its number; the last axis holds the registers."""
+    bands = regs.reshape(*regs.shape[:-1], BANDS, ROWS).astype(np.uint64)
+    keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), bands.shape[:-1])
+    for k in range(ROWS):
+        keys = _mixed(keys * np.uint64(0x9E3779B97F4A7C15) + bands[..., k])
     return keys.view(np.int64)
 
 
@@ -104,12 +106,15 @@ def joint_similarity(more: np.ndarray, less: np.ndarray, a: np.ndarray, b: np.nd
 
 
 def may_link(regs_a: np.ndarray, regs_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs (rows) whose estimate is no more than five standard errors below the threshold."""
-    limit = percent / 100
+    """Pairs (rows) whose estimate is no more than four standard errors below the threshold."""
+    limit, total = percent / 100, n_a
+    fits = np.flatnonzero(100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+    regs_a, regs_b, n_a, n_b = regs_a[fits], regs_b[fits], n_a[fits].astype(float), n_b[fits].astype(float)
     more, less = (regs_a > regs_b).sum(axis=1), (regs_a < regs_b).sum(axis=1)
-    floor = limit - 5 * np.sqrt(limit * (1 - limit) / REGISTERS)
-    fits = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
-    return fits & (joint_similarity(more, less, n_a.astype(float), n_b.astype(float)) >= floor)
+    floor = limit - 4 * np.sqrt(limit * (1 - limit) / REGISTERS)
+    out = np.zeros(len(total), bool)
+    out[fits] = joint_similarity(more, less, n_a, n_b) >= floor
+    return out
 
 
 def sketches(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
@@ -193,41 +198,72 @@ def components(links: DataFrame) -> DataFrame:
 def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket in different components that may be links, from blocks of few rows.
 
-    open_rows: key, id, label, head (label of the bucket's least id), rows and strangers (rows with another label).
+    open_rows: key, id, label, head (label of the bucket's centre), rows and strangers (rows with another label).
     Rows with the head's label meet the strangers' blocks alone; strangers meet all.
     """
-    row = open_rows.join(classes.select("id", "n_shingles", "regs", "bands"), "id").withColumn("_own", F.col("label") == F.col("head"))
+    row = open_rows.join(classes.select("id", "n_shingles", "regs"), "id").withColumn("_own", F.col("label") == F.col("head"))
     blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
     spread = F.abs(F.xxhash64("id") % 1000003)
     heads, others = blocks(F.col("rows") - F.col("strangers")), blocks(F.col("strangers"))
-    row = row.withColumn("_block", (spread % F.when(F.col("_own"), heads).otherwise(others)).cast("int"))
-    same = F.transform(F.sequence(F.lit(0), others - 1), lambda x: F.struct(F.least(x, F.col("_block")).alias("x"), F.greatest(x, F.col("_block")).alias("y")))
-    to_heads = F.transform(F.sequence(F.lit(0), heads - 1), lambda x: F.struct((-x - 1).alias("x"), F.col("_block").alias("y")))
-    from_heads = F.transform(F.sequence(F.lit(0), others - 1), lambda x: F.struct((-F.col("_block") - 1).alias("x"), x.alias("y")))
-    dealt = row.withColumn("_pair", F.explode(F.when(F.col("_own"), from_heads).otherwise(F.concat(same, to_heads))))
-
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("id")
-        ids, labels, sizes = group["id"].to_numpy(), group["label"].to_numpy(), group["n_shingles"].to_numpy()
-        regs = np.frombuffer(b"".join(group["regs"]), "<u2").reshape(-1, REGISTERS)
-        bands = np.stack(group["bands"].to_list())
-        own = group["_own"].to_numpy()
-        i, j = np.triu_indices(len(group), 1)
-        apart = labels[i] != labels[j]
-        if own.any():
-            apart &= own[i] != own[j]
-        i, j = i[apart], j[apart]
-        if len(i):  # a pair that shares several bands is looked at in the first
-            shared = bands[i] == bands[j]
-            first = bands[i, shared.argmax(axis=1)] == group["key"].iloc[0]
-            i, j = i[first], j[first]
-        if len(i):
-            fits = may_link(regs[i], regs[j], sizes[i], sizes[j], percent)
-            i, j = i[fits], j[fits]
-        return pd.DataFrame({"a": np.maximum(ids[i], ids[j]), "b": np.minimum(ids[i], ids[j])})
-
+    # blocks of strangers are numbered from 0, those of the head's component from -1 downwards
+    row = row.withColumn("_block", F.when(F.col("_own"), -1 - spread % heads).otherwise(spread % others).cast("int"))
+    upwards, downwards = F.sequence(F.lit(0), others - 1), F.sequence(F.lit(-1), -heads, F.lit(-1))
+    low_high = lambda x: F.struct(F.least(x, F.col("_block")).alias("x"), F.greatest(x, F.col("_block")).alias("y"))
+    met = F.when(F.col("_own"), upwards).otherwise(F.concat(upwards, downwards))
+    dealt = row.withColumn("_pair", F.explode(F.transform(met, low_high))).select(
+        "key", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_block", "id", "label", "n_shingles", "regs"
+    )
+    dealt = dealt.repartition("key", "_x", "_y").sortWithinPartitions("key", "_x", "_y", "id")
     kind = classes.schema["id"].dataType.simpleString()
-    return dealt.groupBy("key", "_pair").applyInPandas(pairs, f"a {kind}, b {kind}").distinct()
+
+    def pairs(parts):
+        held = None
+        for batch in parts:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            starts = _starts(held)
+            if len(starts) > 1:
+                yield from _block_pairs(held.slice(0, starts[-1]), percent)
+                held = held.slice(starts[-1])
+        if held is not None and held.num_rows:
+            yield from _block_pairs(held, percent)
+
+    return dealt.mapInArrow(pairs, f"a {kind}, b {kind}").distinct()
+
+
+def _starts(rows: pa.Table) -> np.ndarray:
+    """Where the groups of equal key and blocks begin in sorted rows."""
+    if not rows.num_rows:
+        return np.zeros(0, np.int64)
+    of = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("key", "_x", "_y")])
+    return np.append(0, 1 + np.flatnonzero((of[:, 1:] != of[:, :-1]).any(axis=0)))
+
+
+def _block_pairs(rows: pa.Table, percent: int, at_once: int = 200_000):
+    """Batches of the pairs in whole groups, of which the least band that both share is the group's."""
+    column = lambda c: rows.column(c).to_numpy()
+    ids, labels, sizes, blocks, keys, x, y = map(column, ("id", "label", "n_shingles", "_block", "key", "_x", "_y"))
+    regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    bands = band_keys(regs)
+    starts = _starts(rows)
+    ends = np.append(starts[1:], rows.num_rows)
+    later = np.repeat(ends, ends - starts) - np.arange(rows.num_rows) - 1  # rows that follow in the group
+    upto = np.cumsum(later)
+    at = 0
+    while at < rows.num_rows:
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + at_once, "right")))
+        n = later[at:to]
+        i = np.repeat(np.arange(at, to), n)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+        use = (labels[i] != labels[j]) & (ids[i] != ids[j]) & ((x[i] == y[i]) | (blocks[i] != blocks[j]))
+        use &= 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+        i, j = i[use], j[use]
+        shared = bands[i] == bands[j]
+        first = np.take_along_axis(bands[i], shared.argmax(axis=1)[:, None], 1)[:, 0] == keys[i]
+        i, j = i[first], j[first]
+        fits = may_link(regs[i], regs[j], sizes[i], sizes[j], percent)
+        i, j = i[fits], j[fits]
+        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[i], ids[j])), pa.array(np.minimum(ids[i], ids[j]))], names=["a", "b"])
+        at = to
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, percent: int = SIMILARITY) -> DataFrame:
@@ -242,9 +278,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     leasts = members.groupBy("same").agg(F.min("id").alias("rep"))
     classes = cut(sets_of.join(leasts, "same").where("id = rep").select("id", "n_shingles", "regs", "bands", "same").dropDuplicates(["same"]))
     in_bands = classes.select("id", F.explode("bands").alias("key"))
-    buckets = cut(in_bands.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("rows")).where("rows > 1"))
-    held = cut(in_bands.join(buckets, "key"))  # classes that share a bucket
-    stars = held.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).distinct()
+    shared = cut(in_bands.join(in_bands.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "key"))
+    weights = shared.groupBy("id").agg(F.sum("rows").alias("_weight"))
+    centres = shared.join(weights, "id").groupBy("key").agg(F.max_by("id", F.struct("_weight", -F.col("id"))).alias("centre"))
+    held = cut(shared.join(centres, "key"))  # classes that share a bucket
+    stars = held.where("id <> centre").select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
     candidates = cut(_estimated(stars, classes, percent))
     wanted = held.select("id").distinct()
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(wanted, "id")
@@ -262,7 +300,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     labels = components(links)
 
     named = held.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    head = named.where("id = least").select("key", F.col("label").alias("head")).dropDuplicates(["key"])
+    head = named.where("id = centre").select("key", F.col("label").alias("head")).dropDuplicates(["key"])
     placed = cut(named.join(head, "key"))
     strangers = placed.where("label <> head").groupBy("key").agg(F.count("*").alias("strangers"))
     open_rows = placed.join(strangers, "key").select("key", "id", "label", "head", "rows", "strangers")
