@@ -3,8 +3,8 @@
 A text is cut by the tokenizer's pattern; distinct words meet the merge table as rows (word, position,
 token).  A recursive query contracts in every word the leftmost pair of least rank, all words at once,
 until no word holds a pair of the table.  Decoding joins tokens with their bytes and aggregates them in
-order.  A worker keeps what it has encoded lately, up to a bound, so a word is
-contracted seldom more than once a worker; nothing is shuffled.
+order.  A task keeps what it has encoded lately, up to a bound, so a word is
+contracted seldom more than once a task; nothing is shuffled.
 
 Null and empty texts have no ids.  Every byte is a token, so decoding gives the UTF-8 text back exactly.
 """
@@ -22,7 +22,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from panelwright.llm.common import worker_memo
 
-#: Code points of text handled at a time, and entries of a generation that a worker keeps of each kind.
+#: Code points of text handled at a time, and entries of a generation that a task keeps of each kind.
 SLICE, KEPT = 2_000_000, 300_000
 #: Words of more bytes are contracted by a heap: the recursion takes a step a merge, over all tokens left.
 LONG = 256
@@ -159,6 +159,10 @@ class Codec:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         self._table("merges", ("left_token", "right_token", "merged"), pairs)
         self._table("pieces", ("token", "piece"), pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of what the last task encoded and decoded; the tables stay with the worker."""
         self.word_ids, self.chunk_ids, self.sequence_bytes = Recent(), Recent(), Recent()
 
     def _table(self, name: str, columns: tuple, rows: list) -> None:
@@ -270,6 +274,7 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(a, b - a).columns, *(pa.array(m, pa.binary()) for m in made)], names=[*batch.schema.names, *added]
                 )
+        codec.forget()
 
     return df.mapInArrow(batches, schema)
 

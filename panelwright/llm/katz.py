@@ -36,7 +36,7 @@ from panelwright.llm.common import cut, shuffle_partitions
 
 COMMON = 1 / 20_000
 K = 5
-SLICE = 8_000_000
+SLICE = 4_000_000
 START, END = 0, 1  # their numbers in the dictionary; common words follow
 _END_KEY = 1
 

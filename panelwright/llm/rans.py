@@ -140,7 +140,7 @@ def decode_block(payload: bytes, table: Table, from_step: int = 0, to_step: int
 
 
 class Tokens:
-    """Ids of texts by the tokenizers library; each chunk between leading spaces is encoded once a worker."""
+    """Ids of texts by the tokenizers library; a chunk between leading spaces is encoded seldom more than once a task."""
 
     def __init__(self, tokenizer_json: str):
         import os
@@ -150,10 +150,13 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.recent = Recent(2 * KEPT)
+        self.forget()
         #: Array type of an id: two bytes if all ids fit.
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
+    def forget(self) -> None:
+        self.recent = Recent(2 * KEPT)
+
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [array(self.kind, e.ids).tobytes() for e in coded]
@@ -182,6 +185,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id",
                 ids = [x + end for x in tokens.encode(texts[a:b])]
                 sizes, widths = pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sizes, widths, pa.array(ids, pa.binary())], names=["id", "n_tokens", "width", "ids"])
+        tokens.forget()
 
     return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(batches, f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, width int, ids binary")
 
