@@ -63,6 +63,7 @@ def main() -> None:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", "file:///tmp/checkpoints/bench"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

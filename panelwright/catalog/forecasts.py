@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelwright.catalog.base import actuals, comparison, history, holdout_errors, month_panel, naive, query
+from panelwright.catalog.base import END, LAST_HALF, LAST_YEAR, START, TRAIN_SLOTS, actuals, comparison, history, holdout_errors, month_panel, naive, query
 from panelwright.catalog.series import _TTEST, MONTHLY_GUARDS
 from panelwright.config import SplitDates
 from panelwright.functions import accuracy as acc
@@ -22,7 +22,7 @@ def naive_forecast(spark, sf_dir):
 
 @query(
     "naive_forecast_short",
-    """SELECT series_id, CAST(h AS INT) AS h, CAST(9 + h AS INT) AS idx, CAST(1998 + (9 + h) // 12 AS INT) AS year, CAST((9 + h) % 12 + 1 AS INT) AS month,
+    """SELECT series_id, CAST(h AS INT) AS h, CAST(9 + h AS INT) AS idx, CAST(@start + (9 + h) // 12 AS INT) AS year, CAST((9 + h) % 12 + 1 AS INT) AS month,
        m AS y_pred, m - 1.6449 * sd AS y_pred_lower, m + 1.6449 * sd AS y_pred_upper, 'naive_seasonal' AS model
        FROM (SELECT series_id, avg(y) AS m, stddev_pop(y) AS sd FROM hist_s WHERE idx BETWEEN 2 AND 9 GROUP BY 1) CROSS JOIN range(1, 5) r(h)""",
     BOUNDS,
@@ -36,16 +36,16 @@ def naive_forecast_short(spark, sf_dir):
     "weekly_naive_forecast",
     """WITH w AS (SELECT plant || '|' || product_cat2 || '|' || mid_category AS series_id, isoyear(manufacturing_date) AS yr,
          week(manufacturing_date) AS wk, CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_d GROUP BY 1, 2, 3),
-       g AS (SELECT s.series_id, i, coalesce(w.v, 0.0) AS y FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN range(318) r(i)
-         LEFT JOIN w ON w.series_id = s.series_id AND w.yr = 1995 + r.i // 53 AND w.wk = r.i % 53 + 1),
-       b AS (SELECT series_id, stddev_pop(y) AS sd FROM g WHERE i >= 266 GROUP BY 1)
-       SELECT g.series_id, CAST(i - 265 AS INT) AS h, CAST(2001 AS INT) AS year, CAST(i - 265 AS INT) AS week, y AS y_pred, y - 1.96 * sd AS y_pred_lower, y + 1.96 * sd AS y_pred_upper
-       FROM g JOIN b USING (series_id) WHERE i BETWEEN 266 AND 291""",
+       g AS (SELECT s.series_id, i, coalesce(w.v, 0.0) AS y FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN range(402) r(i)
+         LEFT JOIN w ON w.series_id = s.series_id AND w.yr = 1994 + r.i // 53 AND w.wk = r.i % 53 + 1),
+       b AS (SELECT series_id, stddev_pop(y) AS sd FROM g WHERE i >= 350 GROUP BY 1)
+       SELECT g.series_id, CAST(i - 349 AS INT) AS h, CAST(1994 + (i + 52) // 53 AS INT) AS year, CAST((i + 52) % 53 + 1 AS INT) AS week, y AS y_pred, y - 1.96 * sd AS y_pred_lower, y + 1.96 * sd AS y_pred_upper
+       FROM g JOIN b USING (series_id) WHERE i BETWEEN 350 AND 375""",
     BOUNDS,
 )
 def weekly_naive_forecast(spark, sf_dir):
     counts = panel.slot_counts(tables.claims(spark, sf_dir), slot="week")
-    weekly = panel.dense_panel(counts, end=(2000, 53), start=(1995, 1), slot="week", min_claims=0)
+    weekly = panel.dense_panel(counts, end=(2001, 31), start=(1994, 1), slot="week", min_claims=0)
     ahead = forecast.seasonal_naive(weekly, horizon=26, season=52, slot="week")
     return ahead.drop("idx", "model")
 
@@ -128,7 +128,7 @@ METRIC_COLS = "wmape smape bias mae rmse"
 
 @query(
     "rolling_cv",
-    f"""WITH cv AS (SELECT t.series_id, f AS fold, o AS train_size, t.y, b.y AS p FROM (SELECT unnest([1, 2, 3]) AS f, unnest([24, 30, 36]) AS o) x
+    f"""WITH cv AS (SELECT t.series_id, f AS fold, o AS train_size, t.y, b.y AS p FROM (SELECT unnest([1, 2, 3]) AS f, unnest([@year, @half, @train]) AS o) x
         JOIN panel_s t ON t.idx BETWEEN o AND o + 5 JOIN panel_s b ON b.series_id = t.series_id AND b.idx = t.idx - 12)
         SELECT series_id, fold, train_size, {METRICS}, count(*) AS test_size FROM cv GROUP BY 1, 2, 3""",
     METRIC_COLS,
@@ -139,7 +139,7 @@ def rolling_cv(spark, sf_dir):
 
 @query(
     "rolling_cv_mean",
-    f"""WITH cv AS (SELECT t.series_id, f AS fold, o AS train_size, t.y, b.y AS p FROM (SELECT unnest([1, 2, 3]) AS f, unnest([24, 30, 36]) AS o) x
+    f"""WITH cv AS (SELECT t.series_id, f AS fold, o AS train_size, t.y, b.y AS p FROM (SELECT unnest([1, 2, 3]) AS f, unnest([@year, @half, @train]) AS o) x
         JOIN panel_s t ON t.idx BETWEEN o AND o + 5 JOIN panel_s b ON b.series_id = t.series_id AND b.idx = t.idx - 12),
         m AS (SELECT series_id, fold, {METRICS} FROM cv GROUP BY 1, 2)
         SELECT series_id, avg(wmape) AS wmape, avg(smape) AS smape, avg(bias) AS bias, avg(mae) AS mae, avg(rmse) AS rmse FROM m GROUP BY 1""",
@@ -201,17 +201,19 @@ def compare_left(spark, sf_dir):
 
 _WEEKS = """wk AS (SELECT plant || '|' || product_cat2 || '|' || mid_category AS series_id, isoyear(manufacturing_date) AS yr, week(manufacturing_date) AS wk,
   CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_d GROUP BY 1, 2, 3),
- wf AS (SELECT series_id, yr + 1 AS yr, wk, v AS p FROM wk WHERE yr = 1998),
+ wf AS (SELECT series_id, yr + 1 AS yr, wk, v AS p FROM wk WHERE yr < (SELECT max(yr) FROM wk)),
+ wa AS (SELECT * FROM wk WHERE yr > (SELECT min(yr) FROM wk)),
  cw AS (SELECT series_id, CAST(yr AS INT) AS year, CAST(wk AS INT) AS week, coalesce(v, 0.0) AS y, coalesce(p, 0.0) AS p
-   FROM (SELECT * FROM wk WHERE yr = 1999 AND series_id IN (SELECT series_id FROM wf)) a
-   FULL JOIN (SELECT * FROM wf WHERE series_id IN (SELECT series_id FROM wk WHERE yr = 1999)) b USING (series_id, yr, wk))"""
+   FROM (SELECT * FROM wa WHERE series_id IN (SELECT series_id FROM wf)) a
+   FULL JOIN (SELECT * FROM wf WHERE series_id IN (SELECT series_id FROM wa)) b USING (series_id, yr, wk))"""
 
 
 def weekly_sides(spark, sf_dir):
-    """Weekly counts of 1999 and, as their forecast, the counts of the same week in 1998."""
+    """Weekly counts of every year but the first and, as their forecast, the counts of the same week a year before."""
     counts = panel.slot_counts(tables.claims(spark, sf_dir), slot="week")
-    actual = counts.where(F.col("year") == 1999)
-    expected = counts.where(F.col("year") == 1998).select(
+    first, last = (counts.agg(f("year").alias("v")).scalar() for f in (F.min, F.max))
+    actual = counts.where(F.col("year") > first)
+    expected = counts.where(F.col("year") < last).select(
         "series_id", (F.col("year") + 1).alias("year"), "week", F.col("claim_count").alias("y_pred")
     )
     return actual, expected
@@ -246,18 +248,18 @@ def weekly_kpi(spark, sf_dir):
 
 _POSITIONAL = """wk AS (SELECT plant || '|' || product_cat2 || '|' || mid_category AS series_id, isoyear(manufacturing_date) AS yr, week(manufacturing_date) AS wk,
   CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_d GROUP BY 1, 2, 3),
- base AS (SELECT series_id, row_number() OVER (PARTITION BY series_id ORDER BY wk) AS pos, v AS p FROM wk WHERE yr = 1998),
- m AS (SELECT wk.series_id, wk.wk AS week, wk.v AS y, base.p FROM wk JOIN base ON base.series_id = wk.series_id AND base.pos = wk.wk WHERE yr = 1999)"""
+ base AS (SELECT series_id || '|' || (yr + 1) AS series_id, row_number() OVER (PARTITION BY series_id, yr ORDER BY wk) AS pos, v AS p FROM wk),
+ m AS (SELECT base.series_id, wk.wk AS week, wk.v AS y, base.p FROM wk JOIN base ON base.series_id = wk.series_id || '|' || wk.yr AND base.pos = wk.wk)"""
 
 
 def positional(spark, sf_dir):
     counts = panel.slot_counts(tables.claims(spark, sf_dir), slot="week")
+    of_year = lambda shift: F.concat_ws("|", "series_id", F.col("year") + shift)
     arrays = (
-        counts.where(F.col("year") == 1998)
-        .groupBy("series_id")
+        counts.groupBy(of_year(1).alias("series_id"))
         .agg(F.sort_array(F.collect_list(F.struct("week", "claim_count")))["claim_count"].alias("yhat"))
     )
-    return accuracy.match_by_position(counts.where(F.col("year") == 1999).select("series_id", "week", "claim_count"), arrays)
+    return accuracy.match_by_position(counts.select(of_year(0).alias("series_id"), "week", "claim_count"), arrays)
 
 
 @query("positional_eval", f"WITH {_POSITIONAL} SELECT series_id, {EVALUATION} FROM m GROUP BY 1", EVALUATION_COLS)
@@ -538,7 +540,7 @@ def bias_intercepts(spark, sf_dir):
     return corrections.bias_intercepts(comparison(spark, sf_dir, "sparse"))
 
 
-_FACTORS = """sm AS (SELECT series_id, {pos} AS pos, avg(y) AS m FROM hist_{g} WHERE idx >= 12 GROUP BY 1, 2),
+_FACTORS = """sm AS (SELECT series_id, {pos} AS pos, avg(y) AS m FROM hist_{g} WHERE idx >= @train - 24 GROUP BY 1, 2),
  sf AS (SELECT series_id, pos, CASE WHEN avg(m) OVER (PARTITION BY series_id) > 0 THEN m / avg(m) OVER (PARTITION BY series_id) ELSE 1 END AS f FROM sm)"""
 
 
@@ -554,18 +556,18 @@ def seasonal_recalibration(spark, sf_dir):
     return corrections.apply_seasonal_factors(df, corrections.seasonal_factors(history(p))).select(*KEEP)
 
 
-_COMPONENT = """tr AS (SELECT series_id, idx - 12 AS i, y - CASE WHEN count(*) OVER w = 13
+_COMPONENT = """tr AS (SELECT series_id, idx - @train + 24 AS i, y - CASE WHEN count(*) OVER w = 13
     THEN (sum(y) OVER w - (first_value(y) OVER w + last_value(y) OVER w) / 2) / 12 END AS d
-  FROM hist_{g} WHERE idx >= 12 WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)),
+  FROM hist_{g} WHERE idx >= @train - 24 WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)),
  cm AS (SELECT series_id, i % 12 AS pos, avg(d) AS m FROM tr GROUP BY 1, 2),
  co AS (SELECT series_id, pos, m - avg(m) OVER (PARTITION BY series_id) AS s FROM cm
-   WHERE series_id IN (SELECT series_id FROM hist_{g} WHERE idx >= 12 GROUP BY 1 HAVING stddev_pop(y) > 0))"""
+   WHERE series_id IN (SELECT series_id FROM hist_{g} WHERE idx >= @train - 24 GROUP BY 1 HAVING stddev_pop(y) > 0))"""
 
 
 @query(
     "seasonal_shift",
     f"""WITH {_COMPONENT.format(g='s')}, x AS (SELECT c.*, CASE WHEN s IS NULL THEN y_pred ELSE greatest(y_pred + 0.5 * s, 0) END AS p
-        FROM cmp_s c LEFT JOIN co ON co.series_id = c.series_id AND pos = idx % 12) {CORRECTED}""",
+        FROM cmp_s c LEFT JOIN co ON co.series_id = c.series_id AND pos = (idx - @train) % 12) {CORRECTED}""",
     CORRECTED_COLS,
 )
 def seasonal_shift(spark, sf_dir):
@@ -591,13 +593,13 @@ def staged_correction(spark, sf_dir):
     return corrected.select(*KEEP)
 
 
-_CONDITIONAL = f"""fl AS (SELECT series_id, count_if(y = 0) / 36.0::DOUBLE >= 0.8 AS sparse FROM hist_d GROUP BY 1),
+_CONDITIONAL = f"""fl AS (SELECT series_id, count_if(y = 0) / @train::DOUBLE >= 0.8 AS sparse FROM hist_d GROUP BY 1),
  mp AS (SELECT series_id, avg(abs(e) / greatest(y, 1e-9)) AS m FROM cmp_d GROUP BY 1),
- b AS (SELECT series_id, month, avg(e) AS bias FROM cmp_d GROUP BY 1, 2), {_FACTORS.format(g='d', pos='(idx - 12) % 12')},
+ b AS (SELECT series_id, month, avg(e) AS bias FROM cmp_d GROUP BY 1, 2), {_FACTORS.format(g='d', pos='(idx - @train + 24) % 12')},
  x AS (SELECT c.series_id, c.year, c.month, y, y_pred AS y_pred_original, m > 0.1 AND NOT sparse AS bias_adj_applied, m > 0.2 AND NOT sparse AS seasonal_recal_applied,
    (y_pred + CASE WHEN m > 0.1 AND NOT sparse THEN bias ELSE 0 END) * CASE WHEN m > 0.2 AND NOT sparse THEN coalesce(f, 1) ELSE 1 END AS p
    FROM cmp_d c JOIN fl USING (series_id) JOIN mp USING (series_id) JOIN b ON b.series_id = c.series_id AND b.month = c.month
-   LEFT JOIN sf ON sf.series_id = c.series_id AND sf.pos = c.idx - 36)"""
+   LEFT JOIN sf ON sf.series_id = c.series_id AND sf.pos = c.idx - @train)"""
 
 
 @query(
@@ -813,17 +815,19 @@ def month_changes(spark, sf_dir):
     return reports.month_changes(reports.month_history(df, accuracy.retrain_candidates(df)))
 
 
+COVERED = range(START[0], END[0] + 1)
+_SHARE = "CASE WHEN y{y} >= n * 0.8 THEN 'full' WHEN y{y} >= n * 0.4 THEN 'partial' ELSE 'missing' END AS s{y}"
+
+
 @query(
     "coverage_pivot",
-    """WITH t AS (SELECT count(DISTINCT series_id) AS n FROM counts_s), c AS (SELECT month, count(DISTINCT series_id) FILTER (year = 1998) AS y1998,
-         count(DISTINCT series_id) FILTER (year = 1999) AS y1999, count(DISTINCT series_id) FILTER (year = 2000) AS y2000 FROM counts_s GROUP BY 1)
-       SELECT c.*, CASE WHEN y1998 >= n * 0.8 THEN 'full' WHEN y1998 >= n * 0.4 THEN 'partial' ELSE 'missing' END AS s1998,
-       CASE WHEN y1999 >= n * 0.8 THEN 'full' WHEN y1999 >= n * 0.4 THEN 'partial' ELSE 'missing' END AS s1999,
-       CASE WHEN y2000 >= n * 0.8 THEN 'full' WHEN y2000 >= n * 0.4 THEN 'partial' ELSE 'missing' END AS s2000 FROM c, t""",
+    f"""WITH t AS (SELECT count(DISTINCT series_id) AS n FROM counts_s),
+       c AS (SELECT month, {', '.join(f'count(DISTINCT series_id) FILTER (year = {y}) AS y{y}' for y in COVERED)} FROM counts_s GROUP BY 1)
+       SELECT c.*, {', '.join(_SHARE.format(y=y) for y in COVERED)} FROM c, t""",
 )
 def coverage_pivot(spark, sf_dir):
-    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse", made=("1998-01-01", "2001-06-30")))
-    return reports.coverage(counts, [1998, 1999, 2000])
+    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse"))
+    return reports.coverage(counts, list(COVERED))
 
 
 _RISK = """rm AS (SELECT series_id, '2001-' || lpad(CAST(month AS VARCHAR), 2, '0') AS risk_month, y_pred AS risk_value FROM
@@ -832,7 +836,7 @@ _RISK = """rm AS (SELECT series_id, '2001-' || lpad(CAST(month AS VARCHAR), 2, '
 
 @query(
     "forecast_card",
-    f"""WITH {_RISK}, p AS (SELECT series_id, avg(y) AS past_mean FROM hist_s WHERE idx >= 24 GROUP BY 1),
+    f"""WITH {_RISK}, p AS (SELECT series_id, avg(y) AS past_mean FROM hist_s WHERE idx >= @year GROUP BY 1),
         f AS (SELECT series_id, avg(y_pred) AS forecast_mean, sum(y_pred) AS forecast_sum FROM fc_s GROUP BY 1)
         SELECT f.*, past_mean, risk_month, risk_value FROM f JOIN p USING (series_id) JOIN rm USING (series_id)""",
     "forecast_mean forecast_sum past_mean risk_value",
@@ -844,7 +848,7 @@ def forecast_card(spark, sf_dir):
 
 @query(
     "forecast_statistics",
-    """SELECT count(*) AS n_rows, count(DISTINCT series_id) AS n_series, '2001-01' AS first_month, '2001-06' AS last_month, avg(y_pred) AS mean_prediction,
+    """SELECT count(*) AS n_rows, count(DISTINCT series_id) AS n_series, '2001-03' AS first_month, '2001-08' AS last_month, avg(y_pred) AS mean_prediction,
        sum(y_pred) AS total_prediction FROM fc_s""",
     "mean_prediction total_prediction",
 )
@@ -881,11 +885,11 @@ def top_models(spark, sf_dir):
 
 @query(
     "date_split",
-    """SELECT 'train' AS part, count(*) AS n_rows, CAST(sum(claim_count) AS BIGINT) AS claims FROM claims_d WHERE manufacturing_date BETWEEN '1998-01-01' AND '2000-12-31'
-       UNION ALL SELECT 'test', count(*), CAST(sum(claim_count) AS BIGINT) FROM claims_d WHERE manufacturing_date BETWEEN '2001-01-01' AND '2001-06-30'""",
+    """SELECT 'train' AS part, count(*) AS n_rows, CAST(sum(claim_count) AS BIGINT) AS claims FROM claims_d WHERE manufacturing_date BETWEEN '1995-01-01' AND '2001-02-28'
+       UNION ALL SELECT 'test', count(*), CAST(sum(claim_count) AS BIGINT) FROM claims_d WHERE manufacturing_date BETWEEN '2001-03-01' AND '2001-08-31'""",
 )
 def date_split(spark, sf_dir):
-    dates = SplitDates("1998-01-01", "2000-12-31", "2001-01-01", "2001-06-30")
+    dates = SplitDates("1995-01-01", "2001-02-28", "2001-03-01", "2001-08-31")
     parts = panel.split_by_dates(tables.claims(spark, sf_dir), "manufacturing_date", dates)
     count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("claim_count").alias("claims")).withColumn("part", F.lit(name))
     return count(parts[0], "train").unionByName(count(parts[1], "test"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelwright.catalog.base import MADE, query
+from panelwright.catalog.base import END, START, query
 from panelwright.functions import calendar
 from panelwright.operators import lag, panel
 from panelwright.plans.curate import labelled_claims
@@ -249,8 +249,8 @@ def lag_outlier_products(spark, sf_dir):
 
 @query("monthly_panel", "SELECT series_id, plant, product_cat2, mid_category, year, month, idx, y AS claim_count FROM panel_s")
 def monthly_panel(spark, sf_dir):
-    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse", made=MADE))
-    return panel.dense_panel(counts, end=(2001, 6), start=(1998, 1)).drop("n")
+    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse"))
+    return panel.dense_panel(counts, end=END, start=START).drop("n")
 
 
 @query(
@@ -260,14 +260,14 @@ def monthly_panel(spark, sf_dir):
        CROSS JOIN (SELECT min(year(manufacturing_date)) AS y0 FROM claims_s
                    WHERE plant || '|' || product_cat2 || '|' || mid_category IN
                    (SELECT plant || '|' || product_cat2 || '|' || mid_category FROM claims_s GROUP BY 1 HAVING sum(claim_count) >= 10)) f
-       CROSS JOIN LATERAL (SELECT unnest(range((2000 - f.y0) * 12 + 12)) AS i) g
+       CROSS JOIN LATERAL (SELECT unnest(range((2001 - f.y0) * 12 + 12)) AS i) g
        LEFT JOIN (SELECT plant || '|' || product_cat2 || '|' || mid_category AS series_id, year(manufacturing_date) AS yr,
                   month(manufacturing_date) AS mo, CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_s GROUP BY 1, 2, 3) c
        ON c.series_id = s.series_id AND c.yr = f.y0 + g.i // 12 AND c.mo = g.i % 12 + 1""",
 )
 def monthly_panel_from_data(spark, sf_dir):
     counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse"))
-    return panel.dense_panel(counts, end=(2000, 12)).select("series_id", "year", "month", "claim_count")
+    return panel.dense_panel(counts, end=None).select("series_id", "year", "month", "claim_count")
 
 
 @query(
@@ -276,7 +276,7 @@ def monthly_panel_from_data(spark, sf_dir):
        WHERE series_id IN (SELECT series_id FROM series_s)""",
 )
 def sparse_panel(spark, sf_dir):
-    return panel.sparse_panel(panel.slot_counts(tables.claims(spark, sf_dir, "sparse", made=MADE)), 10)
+    return panel.sparse_panel(panel.slot_counts(tables.claims(spark, sf_dir, "sparse")), 10)
 
 
 _EVENTS = """ev AS (SELECT 'G' || (user_id % 10) AS plant, event_type AS product_cat2,
@@ -289,12 +289,12 @@ _EVENTS = """ev AS (SELECT 'G' || (user_id % 10) AS plant, event_type AS product
          week(manufacturing_date) AS wk, CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_d GROUP BY 1, 2, 3),
        f AS (SELECT min(yr) AS y0 FROM w)
        SELECT s.series_id, CAST(f.y0 + g.i // 53 AS INT) AS year, CAST(g.i % 53 + 1 AS INT) AS week, coalesce(w.v, 0.0) AS claim_count
-       FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN f CROSS JOIN LATERAL (SELECT unnest(range((2000 - f.y0) * 53 + 53)) AS i) g
+       FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN f CROSS JOIN LATERAL (SELECT unnest(range((2001 - f.y0) * 53 + 53)) AS i) g
        LEFT JOIN w ON w.series_id = s.series_id AND w.yr = f.y0 + g.i // 53 AND w.wk = g.i % 53 + 1""",
 )
 def weekly_panel(spark, sf_dir):
     counts = panel.slot_counts(tables.claims(spark, sf_dir), slot="week")
-    return panel.dense_panel(counts, end=(2000, 53), slot="week", min_claims=0).select(
+    return panel.dense_panel(counts, end=None, slot="week", min_claims=0).select(
         "series_id", "year", "week", "claim_count"
     )
 
@@ -305,7 +305,7 @@ def weekly_panel(spark, sf_dir):
          week(manufacturing_date) AS wk, CAST(sum(claim_count) AS DOUBLE) AS v FROM claims_d GROUP BY 1, 2, 3),
        f AS (SELECT min(yr) AS y0 FROM w),
        grid AS (SELECT s.series_id, f.y0 + g.i // 53 AS year, g.i % 53 + 1 AS week
-         FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN f CROSS JOIN LATERAL (SELECT unnest(range((2000 - f.y0) * 53 + 53)) AS i) g)
+         FROM (SELECT DISTINCT series_id FROM w) s CROSS JOIN f CROSS JOIN LATERAL (SELECT unnest(range((2001 - f.y0) * 53 + 53)) AS i) g)
        SELECT g.series_id, CAST(g.year AS INT) AS year, CAST(g.week AS INT) AS week,
          CAST(row_number() OVER (PARTITION BY g.series_id ORDER BY g.year, g.week) - 1 AS INT) AS idx, coalesce(w.v, 0.0) AS claim_count
        FROM grid g LEFT JOIN w ON w.series_id = g.series_id AND w.yr = g.year AND w.wk = g.week
@@ -313,7 +313,7 @@ def weekly_panel(spark, sf_dir):
 )
 def weekly_panel_exact(spark, sf_dir):
     counts = panel.slot_counts(tables.claims(spark, sf_dir), slot="week")
-    p = panel.dense_panel(counts, end=(2000, 53), slot="week", min_claims=0, iso_exact=True)
+    p = panel.dense_panel(counts, end=None, slot="week", min_claims=0, iso_exact=True)
     return p.select("series_id", "year", "week", "idx", "claim_count")
 
 
@@ -338,14 +338,14 @@ _QUALITY = """q AS (SELECT plant || '|' || product_cat2 || '|' || mid_category A
     "panel_quality",
     f"""WITH {STATS.format(g='s')}, {_QUALITY.format(yr='year(manufacturing_date)', part='month(manufacturing_date)')},
       s AS (SELECT series_id FROM q GROUP BY 1 HAVING sum(v) >= 10)
-      SELECT s.series_id, CAST(1998 + g.i // 12 AS INT) AS year, CAST(g.i % 12 + 1 AS INT) AS month, coalesce(v, 0.0) AS claim_count,
+      SELECT s.series_id, CAST(@start + g.i // 12 AS INT) AS year, CAST(g.i % 12 + 1 AS INT) AS month, coalesce(v, 0.0) AS claim_count,
       coalesce(c, 'normal') AS lag_class, coalesce(w, 1.0) AS sample_weight
-      FROM s CROSS JOIN range(42) g(i) LEFT JOIN q ON q.series_id = s.series_id AND q.yr = 1998 + g.i // 12 AND q.part = g.i % 12 + 1""",
+      FROM s CROSS JOIN range(@slots) g(i) LEFT JOIN q ON q.series_id = s.series_id AND q.yr = @start + g.i // 12 AND q.part = g.i % 12 + 1""",
     "sample_weight",
 )
 def panel_quality(spark, sf_dir):
     rows = lag.retrain_candidates(labelled(spark, sf_dir, "sparse"))
-    p = panel.dense_panel(panel.slot_counts(rows, quality=True), end=(2001, 6), start=(1998, 1))
+    p = panel.dense_panel(panel.slot_counts(rows, quality=True), end=END, start=START)
     return p.select("series_id", "year", "month", "claim_count", "lag_class", "sample_weight")
 
 
@@ -369,8 +369,8 @@ def panel_quality_weekly(spark, sf_dir):
     "panel_summary",
     f"""WITH {STATS.format(g='s')}, {_QUALITY.format(yr='year(manufacturing_date)', part='month(manufacturing_date)')},
       s AS (SELECT series_id FROM q GROUP BY 1 HAVING sum(v) >= 10),
-      p AS (SELECT s.series_id, 1998 + g.i // 12 AS year, coalesce(v, 0.0) AS v, coalesce(c, 'normal') AS c
-      FROM s CROSS JOIN range(42) g(i) LEFT JOIN q ON q.series_id = s.series_id AND q.yr = 1998 + g.i // 12 AND q.part = g.i % 12 + 1)
+      p AS (SELECT s.series_id, @start + g.i // 12 AS year, coalesce(v, 0.0) AS v, coalesce(c, 'normal') AS c
+      FROM s CROSS JOIN range(@slots) g(i) LEFT JOIN q ON q.series_id = s.series_id AND q.yr = @start + g.i // 12 AND q.part = g.i % 12 + 1)
       SELECT count(*) AS n_rows, count(DISTINCT series_id) AS n_series, 100 * avg(CASE WHEN v > 0 THEN 1.0::DOUBLE ELSE 0 END) AS nonzero_pct,
       CAST(min(year) AS INT) AS first_year, CAST(max(year) AS INT) AS last_year, count_if(c = 'normal')::BIGINT AS n_normal,
       count_if(c = 'borderline')::BIGINT AS n_borderline FROM p""",
@@ -378,7 +378,7 @@ def panel_quality_weekly(spark, sf_dir):
 )
 def panel_summary(spark, sf_dir):
     rows = lag.retrain_candidates(labelled(spark, sf_dir, "sparse"))
-    return panel.panel_summary(panel.dense_panel(panel.slot_counts(rows, quality=True), end=(2001, 6), start=(1998, 1)))
+    return panel.panel_summary(panel.dense_panel(panel.slot_counts(rows, quality=True), end=END, start=START))
 
 
 @query(
@@ -422,7 +422,7 @@ def candidate_week_rows(spark, sf_dir):
        LEFT JOIN counts_s c USING (series_id, year, month)""",
 )
 def reindexed_periods(spark, sf_dir):
-    return panel.reindex_observed(panel.slot_counts(tables.claims(spark, sf_dir, "sparse", made=MADE)))
+    return panel.reindex_observed(panel.slot_counts(tables.claims(spark, sf_dir, "sparse")))
 
 
 # --- upserts --------------------------------------------------------------------------------------
@@ -438,7 +438,7 @@ _FRESH = """fresh AS (SELECT plant || '|' || product_cat2 || '|' || mid_category
         UNION ALL SELECT * FROM fresh""",
 )
 def month_upsert(spark, sf_dir):
-    rows = tables.claims(spark, sf_dir, made=MADE)
+    rows = tables.claims(spark, sf_dir)
     master = panel.slot_counts(rows).select("series_id", "year", "month", "claim_count")
     late = rows.where(F.datediff("occurrence_date", "manufacturing_date") >= 0)
     return panel.upsert_month(master, panel.slot_counts(late), 2000, 12)
@@ -452,7 +452,7 @@ def month_upsert(spark, sf_dir):
         WHERE manufacturing_date >= DATE '2001-01-01' AND lag_days >= 0 GROUP BY 1, 2, 3) f USING (series_id, year, month)""",
 )
 def keyed_upsert(spark, sf_dir):
-    master = panel.slot_counts(tables.claims(spark, sf_dir, made=MADE)).select("series_id", "year", "month", "claim_count")
+    master = panel.slot_counts(tables.claims(spark, sf_dir)).select("series_id", "year", "month", "claim_count")
     later = tables.claims(spark, sf_dir, made=("2001-01-01", "2100-01-01"))
     fresh = panel.slot_counts(later.where(F.datediff("occurrence_date", "manufacturing_date") >= 0))
     return panel.upsert_keyed(master, fresh)
@@ -463,4 +463,4 @@ def keyed_upsert(spark, sf_dir):
     """SELECT series_id, sum(y) AS total_claims, sum(y) >= 20 AS viable FROM counts_s GROUP BY 1""",
 )
 def series_viability(spark, sf_dir):
-    return panel.viable_series(panel.slot_counts(tables.claims(spark, sf_dir, "sparse", made=MADE)), 20)
+    return panel.viable_series(panel.slot_counts(tables.claims(spark, sf_dir, "sparse")), 20)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from panelwright.catalog.base import actuals, comparison, history, holdout_errors, month_panel, naive, query
+from panelwright.catalog.base import LAST_HALF, LAST_YEAR, TRAIN_SLOTS, actuals, comparison, history, holdout_errors, month_panel, naive, query
 from panelwright.catalog.forecasts import KPI, METRICS
 from panelwright.catalog.series import _GUARDS, _IQR, MONTHLY_GUARDS
 from panelwright.config import FACTORS, SCORE100_WEIGHTS, OrderGrid
@@ -34,12 +34,12 @@ FACTOR_COLS = " ".join(FACTORS)
 def factors_sql(g: str) -> str:
     """History factors, forecast mean and hold-out error into `fac`, as published."""
     return f"""season AS (SELECT series_id, avg(CASE WHEN sd > 0 THEN greatest(0, 1 - sd / (m + 0.01)) END) AS f3 FROM
-    (SELECT series_id, idx % 12 AS pos, stddev_pop(y) AS sd, avg(y) AS m FROM hist_{g} GROUP BY 1, 2) GROUP BY 1),
+    (SELECT series_id, idx % 12 AS pos, stddev_pop(y) AS sd, avg(y) AS m FROM hist_{g} WHERE idx < @train // 12 * 12 GROUP BY 1, 2) GROUP BY 1),
  swing AS (SELECT series_id, avg(r) AS sw FROM (SELECT series_id, idx, max(y) OVER w - min(y) OVER w AS r FROM hist_{g}
-    WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)) WHERE idx <= 24 GROUP BY 1),
- motion AS (SELECT series_id, stddev_pop(v) FILTER (idx >= 31) AS sv, avg(a) FILTER (idx >= 32 AND a > 0) AS up FROM
+    WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)) WHERE idx <= @year GROUP BY 1),
+ motion AS (SELECT series_id, stddev_pop(v) FILTER (idx >= @half + 1) AS sv, avg(a) FILTER (idx >= @half + 2 AND a > 0) AS up FROM
     (SELECT *, y - lag(y) OVER w AS v, y - 2 * lag(y) OVER w + lag(y, 2) OVER w AS a FROM hist_{g} WINDOW w AS (PARTITION BY series_id ORDER BY idx)) GROUP BY 1),
- base AS (SELECT series_id, avg(y) AS mean_y, CAST(count_if(y <> 0) AS DOUBLE) / count(*) AS nonzero_ratio, avg(y) FILTER (idx >= 24) AS recent FROM hist_{g} GROUP BY 1),
+ base AS (SELECT series_id, avg(y) AS mean_y, CAST(count_if(y <> 0) AS DOUBLE) / count(*) AS nonzero_ratio, avg(y) FILTER (idx >= @year) AS recent FROM hist_{g} GROUP BY 1),
  ahead AS (SELECT series_id, avg(y_pred) AS a FROM fc_{g} GROUP BY 1),
  fac AS (SELECT b.series_id, CASE WHEN recent >= 0.01 THEN a / recent END AS f1_ratio,
    CASE WHEN wmape IS NULL OR wmape > 1000 THEN 0 ELSE least(greatest(1 - wmape / 200, 0), 1) END AS f2_conf, coalesce(f3, 0) AS f3_season,
@@ -202,7 +202,7 @@ def interval_confidence(spark, sf_dir):
     return scoring.interval_confidence(naive(p), actuals(p))
 
 
-_V1 = """h AS (SELECT series_id, avg(y) AS hm, stddev_pop(y) AS hs, max(y) AS hx, avg(y) FILTER (idx < 6) AS sm, regr_slope(y, idx) FILTER (idx >= 30) AS rs FROM hist_s
+_V1 = """h AS (SELECT series_id, avg(y) AS hm, stddev_pop(y) AS hs, max(y) AS hx, avg(y) FILTER (idx < 6) AS sm, regr_slope(y, idx) FILTER (idx >= @half) AS rs FROM hist_s
    GROUP BY 1 HAVING avg(y) >= 0.5),
  f AS (SELECT f.series_id, avg(y_pred) AS fm, max(y_pred) AS fx, avg(CASE WHEN y_pred > hm + 2 * hs THEN 1.0::DOUBLE ELSE 0 END) AS ex, regr_slope(y_pred, h) AS fs
    FROM fc_s f JOIN h USING (series_id) GROUP BY 1),
@@ -239,7 +239,7 @@ def ews_v1_top(spark, sf_dir):
 
 @query(
     "ews_v1_calendar",
-    f"""WITH {_RISK.format(g='s')}, {_V1.replace('FILTER (idx < 6) AS sm', 'FILTER (month <= 6) AS sm')} SELECT series_id, total_score, seasonality_score FROM v1""",
+    f"""WITH {_RISK.format(g='s')}, {_V1.replace('FILTER (idx < 6) AS sm', 'FILTER (month BETWEEN 3 AND 8) AS sm')} SELECT series_id, total_score, seasonality_score FROM v1""",
     "total_score seasonality_score",
 )
 def ews_v1_calendar(spark, sf_dir):
@@ -251,13 +251,13 @@ def ews_v1_calendar(spark, sf_dir):
 
 @query(
     "backtest_labels",
-    """SELECT series_id, CASE WHEN sum(y) FILTER (idx >= 36) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN 24 AND 35) - 1e-9 THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1""",
+    """SELECT series_id, CASE WHEN sum(y) FILTER (idx >= @train) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN @year AND @train - 1) - 1e-9 THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1""",
 )
 def backtest_labels(spark, sf_dir):
     return backtest.growth_labels(month_panel(spark, sf_dir, "sparse"))
 
 
-_PR = """l AS (SELECT series_id, CASE WHEN sum(y) FILTER (idx >= 36) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN 24 AND 35) - 1e-9 THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1),
+_PR = """l AS (SELECT series_id, CASE WHEN sum(y) FILTER (idx >= @train) >= 1.3 * 6 * avg(y) FILTER (idx BETWEEN @year AND @train - 1) - 1e-9 THEN 1 ELSE 0 END AS label FROM panel_s GROUP BY 1),
  x AS (SELECT round(nonzero_ratio, 9) + round(f5_inflect, 3) AS score, label FROM fac JOIN l USING (series_id)),
  g AS (SELECT score AS threshold, CAST(sum(label) AS BIGINT) AS pos, count(*) AS "all" FROM x GROUP BY 1),
  r AS (SELECT *, CAST(sum(pos) OVER w AS BIGINT) AS tp, CAST(sum("all") OVER w AS BIGINT) AS seen FROM g WINDOW w AS (ORDER BY threshold DESC)),
@@ -299,17 +299,17 @@ def _fold_factors(cut: int, fold: int) -> str:
 @query(
     "backtest_factors",
     f"""SELECT series_id, fold, CASE WHEN isfinite(f1_ratio) THEN f1_ratio END AS f1_ratio, f2_conf, label FROM
-        ({_fold_factors(30, 1)} UNION ALL {_fold_factors(36, 2)})""",
+        ({_fold_factors(LAST_HALF, 1)} UNION ALL {_fold_factors(TRAIN_SLOTS, 2)})""",
     "f1_ratio f2_conf",
 )
 def backtest_factors(spark, sf_dir):
-    rows = backtest.point_in_time(month_panel(spark, sf_dir, "sparse"), [30, 36])
+    rows = backtest.point_in_time(month_panel(spark, sf_dir, "sparse"), [LAST_HALF, TRAIN_SLOTS])
     return rows.select("series_id", "fold", "f1_ratio", "f2_conf", "label")
 
 
 @query("backtest_factors_forecast_proxy")
 def backtest_factors_forecast_proxy(spark, sf_dir):
-    return backtest.point_in_time(month_panel(spark, sf_dir, "sparse"), [30, 36], proxy="forecast", with_changes=True)
+    return backtest.point_in_time(month_panel(spark, sf_dir, "sparse"), [LAST_HALF, TRAIN_SLOTS], proxy="forecast", with_changes=True)
 
 
 @query("weight_learning")
@@ -375,14 +375,14 @@ def sarima_holdout(spark, sf_dir):
 
 _MOVES = """m AS (SELECT *, CASE WHEN count(y) OVER w = 6 THEN avg(y) OVER w END AS ma FROM hist_s
     WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)),
- d AS (SELECT *, abs(ma - lag(ma) OVER (PARTITION BY series_id ORDER BY idx)) AS move FROM m),
- c AS (SELECT series_id, quantile_cont(move, 0.75) AS cut FROM d GROUP BY 1),
- rc AS (SELECT series_id, coalesce(bool_or(move > cut AND idx >= 30), false) AS has_recent FROM d JOIN c USING (series_id) GROUP BY 1)"""
+ d AS (SELECT *, round(abs(ma - lag(ma) OVER (PARTITION BY series_id ORDER BY idx)), 9) AS move FROM m),
+ c AS (SELECT series_id, round(quantile_cont(move, 0.75), 9) AS cut FROM d GROUP BY 1),
+ rc AS (SELECT series_id, coalesce(bool_or(move > cut AND idx >= @half), false) AS has_recent FROM d JOIN c USING (series_id) GROUP BY 1)"""
 
 
 @query(
     "retrain_policy",
-    f"""WITH {_MOVES}, k AS (SELECT series_id FROM hist_s GROUP BY 1 HAVING CAST(count_if(y > 0) AS DOUBLE) / 36 >= 0.3)
+    f"""WITH {_MOVES}, k AS (SELECT series_id FROM hist_s GROUP BY 1 HAVING CAST(count_if(y > 0) AS DOUBLE) / @train >= 0.3)
         SELECT rc.series_id, CASE WHEN k.series_id IS NULL THEN 'new_series' WHEN has_recent THEN 'changepoint_detected' ELSE 'fast_update' END AS strategy,
         k.series_id IS NULL OR has_recent AS reselect FROM rc LEFT JOIN k ON k.series_id = rc.series_id""",
 )
@@ -394,7 +394,7 @@ def retrain_policy(spark, sf_dir):
 
 @query(
     "strategy_share",
-    f"""WITH {_MOVES}, k AS (SELECT series_id FROM hist_s GROUP BY 1 HAVING CAST(count_if(y > 0) AS DOUBLE) / 36 >= 0.3),
+    f"""WITH {_MOVES}, k AS (SELECT series_id FROM hist_s GROUP BY 1 HAVING CAST(count_if(y > 0) AS DOUBLE) / @train >= 0.3),
         s AS (SELECT CASE WHEN k.series_id IS NULL THEN 'new_series' WHEN has_recent THEN 'changepoint_detected' ELSE 'fast_update' END AS strategy
               FROM rc LEFT JOIN k ON k.series_id = rc.series_id)
         SELECT strategy, count(*) AS n, CAST(count(*) AS DOUBLE) * 100 / sum(count(*)) OVER () AS pct FROM s GROUP BY 1""",
@@ -440,7 +440,7 @@ def reselect_worst(spark, sf_dir):
 
 @query(
     "model_holdout_kpi",
-    f"""WITH x AS (SELECT t.series_id, t.y, b.y AS p FROM hist_d t JOIN hist_d b ON b.series_id = t.series_id AND b.idx = t.idx - 12 WHERE t.idx >= 30)
+    f"""WITH x AS (SELECT t.series_id, t.y, b.y AS p FROM hist_d t JOIN hist_d b ON b.series_id = t.series_id AND b.idx = t.idx - 12 WHERE t.idx >= @half)
         SELECT series_id, {METRICS} FROM x GROUP BY 1""",
     "wmape smape bias mae rmse",
 )

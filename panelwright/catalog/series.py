@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelwright.catalog.base import MADE, history, month_panel, query
+from panelwright.catalog.base import TRAIN_SLOTS, history, month_panel, query
 from panelwright.config import GuardRules
 from panelwright.operators import changepoints, documents, features, guards, panel
 from panelwright.sources import tables
 
-MONTHLY_GUARDS = GuardRules(window=12, period=12, expected_length=36, gap_days=31)
+MONTHLY_GUARDS = GuardRules(window=12, period=12, expected_length=TRAIN_SLOTS, gap_days=31)
 
 
 def hist(spark, sf_dir, grain="sparse"):
@@ -56,14 +56,14 @@ def diff_changepoints(spark, sf_dir):
 
 
 _CENTRED = f"""m AS (SELECT *, CASE WHEN count(y) {frame(-3, 2)} = 6 THEN avg(y) {frame(-3, 2)} END AS ma FROM hist_s),
- d AS (SELECT *, abs(ma - lag(ma) OVER (PARTITION BY series_id ORDER BY idx)) AS move FROM m),
- c AS (SELECT series_id, quantile_cont(move, 0.75) AS cut FROM d GROUP BY 1)"""
+ d AS (SELECT *, round(abs(ma - lag(ma) OVER (PARTITION BY series_id ORDER BY idx)), 9) AS move FROM m),
+ c AS (SELECT series_id, round(quantile_cont(move, 0.75), 9) AS cut FROM d GROUP BY 1)"""
 
 
 @query(
     "centred_changepoints",
     f"""WITH {_CENTRED} SELECT series_id, coalesce(string_agg(CAST(idx AS VARCHAR), ',' ORDER BY idx) FILTER (move > cut), '') AS changepoints,
-        coalesce(bool_or(move > cut AND idx >= 30), false) AS has_recent FROM d JOIN c USING (series_id) GROUP BY 1""",
+        coalesce(bool_or(move > cut AND idx >= @half), false) AS has_recent FROM d JOIN c USING (series_id) GROUP BY 1""",
 )
 def centred_changepoints(spark, sf_dir):
     found = features.centred_changepoints(hist(spark, sf_dir))
@@ -77,7 +77,7 @@ def centred_changepoints(spark, sf_dir):
          JOIN hist_s b ON b.series_id = a.series_id AND b.idx > a.idx AND b.y <> a.y GROUP BY 1, 2),
        t AS (SELECT p.series_id, (i + j - 1) // 2 AS idx, h FROM p JOIN hist_s b ON b.series_id = p.series_id AND b.idx = j AND b.y < h),
        e AS (SELECT t.series_id, t.idx, h, coalesce(max(x.idx) FILTER (x.idx < t.idx AND x.y > h), -1) AS lo,
-         coalesce(min(x.idx) FILTER (x.idx > t.idx AND x.y > h), 36) AS hi FROM t JOIN hist_s x USING (series_id) GROUP BY 1, 2, 3)
+         coalesce(min(x.idx) FILTER (x.idx > t.idx AND x.y > h), @train) AS hi FROM t JOIN hist_s x USING (series_id) GROUP BY 1, 2, 3)
        SELECT e.series_id, CAST(e.idx AS INT) AS idx, h AS height,
          h - greatest(min(x.y) FILTER (x.idx > lo AND x.idx <= e.idx), min(x.y) FILTER (x.idx >= e.idx AND x.idx < hi)) AS prominence
        FROM e JOIN hist_s x USING (series_id) GROUP BY 1, 2, 3
@@ -110,7 +110,7 @@ def cusum_flags(spark, sf_dir):
     return changepoints.cusum(hist(spark, sf_dir)).select("series_id", "year", "month", "cusum_pos", "cusum_neg", "changepoint")
 
 
-_TTEST = f"""f AS (SELECT series_id, idx, year, month, idx >= 10 AND idx < 26 AND coalesce(CASE WHEN se = 0 THEN diff <> 0 ELSE abs(diff) / se > 2.878440472738608 END, false) AS cp
+_TTEST = f"""f AS (SELECT series_id, idx, year, month, idx >= 10 AND idx < @train - 10 AND coalesce(CASE WHEN se = 0 THEN diff <> 0 ELSE abs(diff) / se > 2.878440472738608 END, false) AS cp
   FROM (SELECT *, avg(y) {frame(-10, -1)} - avg(y) {frame(0, 9)} AS diff,
         sqrt((var_samp(y) {frame(-10, -1)} + var_samp(y) {frame(0, 9)}) / 2 * 2 / 10) AS se FROM hist_d))"""
 
@@ -125,8 +125,8 @@ def ttest_changepoints(spark, sf_dir):
     f"""WITH {_TTEST}, m AS (SELECT series_id, idx, lag(idx) OVER (PARTITION BY series_id ORDER BY idx) AS prev,
           lead(idx) OVER (PARTITION BY series_id ORDER BY idx) AS nxt FROM f WHERE cp),
         r AS (SELECT series_id, 0 AS b, idx - 5 AS e FROM m WHERE prev IS NULL
-          UNION ALL SELECT series_id, idx + 5, coalesce(nxt - 5, 36) FROM m
-          UNION ALL SELECT DISTINCT series_id, 0, 36 FROM f WHERE series_id NOT IN (SELECT series_id FROM m))
+          UNION ALL SELECT series_id, idx + 5, coalesce(nxt - 5, @train) FROM m
+          UNION ALL SELECT DISTINCT series_id, 0, @train FROM f WHERE series_id NOT IN (SELECT series_id FROM m))
         SELECT series_id, CAST(b AS INT) AS begin, CAST(e AS INT) AS "end" FROM r WHERE e > b""",
 )
 def stable_regions(spark, sf_dir):
@@ -152,8 +152,8 @@ def segment_changepoints(spark, sf_dir):
 @query(
     "recent_alert",
     """SELECT series_id, recent > baseline + sigma AS alert, coalesce((recent - baseline) / nullif(sigma, 0), 0.0) AS score, recent, baseline, sigma
-       FROM (SELECT series_id, avg(y) FILTER (idx >= 32) AS recent, avg(y) FILTER (idx BETWEEN 20 AND 31) AS baseline,
-             stddev_samp(y) FILTER (idx BETWEEN 20 AND 31) AS sigma FROM hist_s GROUP BY 1)""",
+       FROM (SELECT series_id, avg(y) FILTER (idx >= @train - 4) AS recent, avg(y) FILTER (idx BETWEEN @train - 16 AND @train - 5) AS baseline,
+             stddev_samp(y) FILTER (idx BETWEEN @train - 16 AND @train - 5) AS sigma FROM hist_s GROUP BY 1)""",
     "score recent baseline sigma",
 )
 def recent_alert(spark, sf_dir):
@@ -173,10 +173,10 @@ def seasonal_index(spark, sf_dir):
 
 @query(
     "recent_motion",
-    """SELECT series_id, avg(v) FILTER (idx >= 31) AS mean_velocity, stddev_pop(v) FILTER (idx >= 31) AS sd_velocity,
-       avg(a) FILTER (idx >= 32) AS mean_acceleration, avg(a) FILTER (idx >= 32 AND a > 0) AS mean_rising, regr_slope(y, idx) AS slope
+    """SELECT series_id, avg(v) FILTER (idx >= @half + 1) AS mean_velocity, stddev_pop(v) FILTER (idx >= @half + 1) AS sd_velocity,
+       avg(a) FILTER (idx >= @half + 2) AS mean_acceleration, avg(a) FILTER (idx >= @half + 2 AND a > 0) AS mean_rising, regr_slope(y, idx) AS slope
        FROM (SELECT *, y - lag(y) OVER w AS v, y - 2 * lag(y) OVER w + lag(y, 2) OVER w AS a FROM hist_s
-             WINDOW w AS (PARTITION BY series_id ORDER BY idx)) WHERE idx >= 30 GROUP BY 1""",
+             WINDOW w AS (PARTITION BY series_id ORDER BY idx)) WHERE idx >= @half GROUP BY 1""",
     "mean_velocity sd_velocity mean_acceleration mean_rising slope",
 )
 def recent_motion(spark, sf_dir):
@@ -186,7 +186,7 @@ def recent_motion(spark, sf_dir):
 @query(
     "rolling_range",
     f"""SELECT series_id, avg(r) AS mean_range FROM (SELECT series_id, idx, max(y) {frame(0, 11)} - min(y) {frame(0, 11)} AS r FROM hist_s)
-        WHERE idx <= 24 GROUP BY 1""",
+        WHERE idx <= @year GROUP BY 1""",
     "mean_range",
 )
 def rolling_range(spark, sf_dir):
@@ -209,15 +209,15 @@ def date_gaps(spark, sf_dir):
 
 # --- guards ---------------------------------------------------------------------------------------
 
-_GUARDS = """g AS (SELECT series_id, count_if(y = 0) / 36.0::DOUBLE AS zero_ratio,
-   avg(y) FILTER (idx >= 24) AS rm, var_pop(y) FILTER (idx >= 24) AS rv, avg(y) FILTER (idx < 24) AS pm, var_pop(y) FILTER (idx < 24) AS pv,
+_GUARDS = """g AS (SELECT series_id, count_if(y = 0) / @train::DOUBLE AS zero_ratio,
+   avg(y) FILTER (idx >= @year) AS rm, var_pop(y) FILTER (idx >= @year) AS rv, avg(y) FILTER (idx < @year) AS pm, var_pop(y) FILTER (idx < @year) AS pv,
    var_pop(y) AS v, avg(y) AS m, stddev_pop(y) AS sd, quantile_cont(y, 0.25) AS q1, quantile_cont(y, 0.75) AS q3 FROM hist_{g} GROUP BY 1),
  sv AS (SELECT series_id, var_pop(sm) AS sv FROM (SELECT series_id, idx % 12 AS p, avg(y) AS sm FROM hist_{g} GROUP BY 1, 2) GROUP BY 1),
  o AS (SELECT series_id, count_if({cond}) AS k FROM hist_{g} JOIN g USING (series_id) GROUP BY 1),
  t AS (SELECT series_id, zero_ratio >= 0.8 AS is_sparse, zero_ratio,
    round(coalesce(abs(rm - pm) / nullif(sqrt(pv), 0), 0), 9) > 3 OR round(coalesce(abs(rv - pv) / nullif(pv, 0), 0), 9) > 1 AS has_drift,
    coalesce(abs(rm - pm) / nullif(sqrt(pv), 0), 0.0) AS mean_shift_sigma, true AS is_complete, k > 0 AS has_outliers,
-   k / 36.0::DOUBLE AS outlier_ratio, least(1.0, coalesce(sv / nullif(v, 0), 0)) AS seasonality_strength,
+   k / @train::DOUBLE AS outlier_ratio, least(1.0, coalesce(sv / nullif(v, 0), 0)) AS seasonality_strength,
    round(least(1.0, coalesce(sv / nullif(v, 0), 0)), 9) >= 0.3 AS has_seasonality FROM g JOIN sv USING (series_id) JOIN o USING (series_id)),
  guards AS (SELECT *, concat_ws(',', CASE WHEN is_sparse THEN 'USE_NAIVE_MODEL' END, CASE WHEN has_drift THEN 'APPLY_SEASONAL_RECALIBRATION' END,
    CASE WHEN outlier_ratio > 0.1 THEN 'PREPROCESS_OUTLIERS' END, CASE WHEN NOT has_seasonality THEN 'USE_SIMPLE_MODEL' END) AS recommendations FROM t)"""
@@ -320,7 +320,7 @@ def train_window(spark, sf_dir):
 
 @query(
     "trailing_months",
-    "SELECT series_id, year, month, y AS claim_count FROM panel_s WHERE idx BETWEEN 26 AND 37",
+    "SELECT series_id, year, month, y AS claim_count FROM panel_s WHERE idx BETWEEN @train - 12 AND @train - 1",
 )
 def trailing_months(spark, sf_dir):
     return panel.trailing_months(month_panel(spark, sf_dir, "sparse"), (2001, 3)).select("series_id", "year", "month", "claim_count")
@@ -332,5 +332,5 @@ def trailing_months(spark, sf_dir):
        CAST(count(*) OVER (PARTITION BY series_id) AS INT) AS n FROM counts_s""",
 )
 def series_positions(spark, sf_dir):
-    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse", made=MADE))
+    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse"))
     return panel.with_position(counts).select("series_id", "year", "month", "idx", "n")

@@ -77,8 +77,8 @@ def centred_changepoints(
     left = window // 2
     w = in_order().rowsBetween(-left, window - left - 1)
     mean = F.when(F.count(value).over(w) == window, F.avg(value).over(w))
-    move = F.abs(F.col("_mean") - F.lag("_mean").over(in_order()))
-    cut = F.percentile("_move", 0.75).over(by_series())
+    move = F.round(F.abs(F.col("_mean") - F.lag("_mean").over(in_order())), 9)  # equal moves stay equal
+    cut = F.round(F.percentile("_move", 0.75).over(by_series()), 9)
     hit = (F.col("n") >= 2 * window) & (F.col("_move") > F.col("_cut"))
     first_recent = F.col("n") - (window if recent is None else recent)
     return (

@@ -105,7 +105,7 @@ def dense_panel(
 
     Series with fewer than `min_claims` in total are dropped.  The grid runs from `start` (default:
     first slot of the first year present) to `end` (default: last slot of the last year present);
-    counts after `end` are lost.  Output adds `idx`, the position from 0, and `n`, the number of
+    counts outside a grid that the caller bounds are not in it (`outside_grid` counts them).  Output adds `idx`, the position from 0, and `n`, the number of
     slots.  `iso_exact` removes week 53 from years that have none.
 
     Each series becomes one row holding its non-zero slots, bounded by the calendar, and is then
@@ -224,6 +224,15 @@ def train_window(panel: DataFrame, first_year: int, last_year: int) -> DataFrame
     return panel.where(F.col("year").between(first_year, last_year))
 
 
+def outside_grid(counts: DataFrame, end: tuple[int, int], start: tuple[int, int], slot: str = "month") -> DataFrame:
+    """One row: how many counts, and of what sum, fall outside a grid that is bounded by hand."""
+    per_year = calendar.MONTHS if slot == "month" else calendar.WEEKS
+    number = calendar.slot_number(F.col("year"), F.col(slot), per_year)
+    first, last = (calendar.slot_number(F.lit(y), F.lit(k), per_year) for y, k in (start, end))
+    out = counts.where((number < first) | (number > last))
+    return out.agg(F.count(F.lit(1)).alias("n_counts"), F.coalesce(F.sum("claim_count"), F.lit(0.0)).alias("claims"))
+
+
 def split_by_dates(df: DataFrame, date_col: str, dates: SplitDates = SplitDates()) -> tuple[DataFrame, DataFrame]:
     """(training rows, test rows) by fixed date ranges."""
     d = F.col(date_col)

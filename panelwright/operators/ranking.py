@@ -19,11 +19,14 @@ RANGES = 256
 
 
 def shared_folder(session: SparkSession) -> str:
-    """The checkpoint folder the session names (`spark.checkpoint.dir`); only a session without one,
-    as in tests, gets a temporary folder."""
+    """The checkpoint folder the session names (`spark.checkpoint.dir`); only a local session without
+    one, as in tests, gets a temporary folder.  On a cluster such a folder would lose data, so a
+    session there must name a shared one."""
     context = session.sparkContext
     if context.getCheckpointDir() is None:
         named = session.conf.get("spark.checkpoint.dir", None)
+        if not named and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="panelwright-"))
     return context.getCheckpointDir()
 
