@@ -45,7 +45,7 @@ WITH RECURSIVE tokens AS (
   SELECT loc, CASE WHEN loc & 1048575 = best & 1048575 THEN CAST(best >> 20 AS INT) ELSE token END, best IS NOT NULL
   FROM pairs LEFT JOIN best USING (word) WHERE eaten IS NULL OR loc <> eaten)
 )
-SELECT loc >> 20 AS word, list(token ORDER BY loc) AS ids FROM tokens WHERE NOT open GROUP BY 1 ORDER BY 1
+SELECT CAST(loc >> 20 AS INT) AS word, token FROM tokens WHERE NOT open ORDER BY loc
 """
 
 DECODE = """
@@ -107,15 +107,15 @@ def split_chunks(text: str) -> tuple[str, list[str]]:
     return joined[0], joined[1:]
 
 
-def encode_by_chunks(texts: list[str], ids_of, recent: Recent) -> list[bytes]:
-    """Ids of each text; `ids_of` gives those of new strings, and `recent` keeps those of chunks without their space."""
+def encode_by_chunks(texts: list[str], ids_of, recent: Recent) -> list[list[bytes]]:
+    """Ids of each text, chunk by chunk; `ids_of` gives those of new strings, `recent` keeps those of chunks without their space."""
     cut = [split_chunks(t) for t in texts]
     heads = list({head for head, _ in cut if head})
     head_ids = dict(zip(heads, ids_of(heads), strict=True)) | {"": b""}
     known, missing = recent.known(set().union(*(chunks for _, chunks in cut)))
     known.update(zip(missing, ids_of([" " + c for c in missing]), strict=True))
     get = known.__getitem__
-    return [head_ids[head] + b"".join(map(get, chunks)) for head, chunks in cut]
+    return [[head_ids[head], *map(get, chunks)] for head, chunks in cut]
 
 
 class Recent:
@@ -190,10 +190,10 @@ class Codec:
                 "token": data,
             }
         )
-        ids = self._query("first_tokens", given, CONTRACT).column("ids").combine_chunks()
-        ends = ids.offsets.to_numpy() * 4
-        flat = ids.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes()
-        return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        rows = self._query("first_tokens", given, CONTRACT)
+        flat = rows.column("token").to_numpy().astype("<u4").tobytes()
+        ends = (np.cumsum(np.bincount(rows.column("word").to_numpy(), minlength=len(words))) * 4).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         """Ids of distinct chunks with their leading space."""
@@ -206,18 +206,27 @@ class Codec:
         known.update((w, np.array(contract_long(data, self.ranks), "<u4").tobytes()) for w, data in zip(new, coded, strict=True) if len(data) > LONG)
         return [b"".join(map(known.__getitem__, words)) for words in cut]
 
+    def encode_parts(self, texts: list[str]) -> list[list[bytes]]:
+        """Ids of each text as a list of sub-sequences."""
+        return encode_by_chunks(texts, self._chunks, self.chunk_ids)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        return encode_by_chunks(texts, self._chunks, self.chunk_ids)
+        return [b"".join(parts) for parts in self.encode_parts(texts)]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """Bytes of each id sequence, in which sub-sequences from one leading space to the next are decoded once."""
+        """Bytes of each id sequence, which is cut before every token that begins with a space."""
         cut = []
         for data in ids:
             at = np.flatnonzero(self.space_first[np.frombuffer(data, "<u4")]) * 4
             edges = [0, *at.tolist(), len(data)]
-            cut.append([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b])
-        known, new = self.sequence_bytes.known(set().union(*cut))
+            cut.append([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
+        return self.decode_parts(cut)
+
+    def decode_parts(self, cut: list[list[bytes]]) -> list[bytes]:
+        """Bytes of each list of sub-sequences of ids; equal ones are decoded once."""
+        known, new = self.sequence_bytes.known(set().union(*cut) - {b""})
+        known[b""] = b""
         if new:
             sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
             begins = np.cumsum(sizes) - sizes
@@ -293,7 +302,7 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", id
     """Add the ids and what they decode to, in one pass over the texts."""
 
     def both(codec, texts):
-        coded = codec.encode(texts)
-        return [coded, codec.decode(coded)]
+        parts = codec.encode_parts(texts)
+        return [[b"".join(p) for p in parts], codec.decode_parts(parts)]
 
     return _mapped(docs, ranks, pattern, text, [ids, into], both)

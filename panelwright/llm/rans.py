@@ -162,7 +162,7 @@ class Tokens:
         return [array(self.kind, e.ids).tobytes() for e in coded]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return encode_by_chunks(texts, self._chunks, self.recent)
+        return [b"".join(parts) for parts in encode_by_chunks(texts, self._chunks, self.recent)]
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
