@@ -40,16 +40,21 @@ def factors_sql(g: str) -> str:
  motion AS (SELECT series_id, stddev_pop(v) FILTER (idx >= @half + 1) AS sv, avg(a) FILTER (idx >= @half + 2 AND a > 0) AS up FROM
     (SELECT *, y - lag(y) OVER w AS v, y - 2 * lag(y) OVER w + lag(y, 2) OVER w AS a FROM hist_{g} WINDOW w AS (PARTITION BY series_id ORDER BY idx)) GROUP BY 1),
  base AS (SELECT series_id, avg(y) AS mean_y, CAST(count_if(y <> 0) AS DOUBLE) / count(*) AS nonzero_ratio, avg(y) FILTER (idx >= @year) AS recent FROM hist_{g} GROUP BY 1),
+ cp_m AS (SELECT series_id, idx, CASE WHEN count(y) OVER w = 6 THEN avg(y) OVER w END AS ma FROM hist_{g}
+    WINDOW w AS (PARTITION BY series_id ORDER BY idx ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING)),
+ cp_d AS (SELECT series_id, idx, round(abs(ma - lag(ma) OVER (PARTITION BY series_id ORDER BY idx)), 9) AS move FROM cp_m),
+ cp_c AS (SELECT series_id, round(quantile_cont(move, 0.75), 9) AS cut FROM cp_d GROUP BY 1),
+ cp AS (SELECT series_id, count_if(move > cut AND idx >= @half) / 6.0::DOUBLE AS cp_prob FROM cp_d JOIN cp_c USING (series_id) GROUP BY 1),
  ahead AS (SELECT series_id, avg(y_pred) AS a FROM fc_{g} GROUP BY 1),
  fac AS (SELECT b.series_id, CASE WHEN recent >= 0.01 THEN a / recent END AS f1_ratio,
    CASE WHEN wmape IS NULL OR wmape > 1000 THEN 0 ELSE least(greatest(1 - wmape / 200, 0), 1) END AS f2_conf, coalesce(f3, 0) AS f3_season,
    CASE WHEN mean_y < 0.01 THEN 0 ELSE least(sw / mean_y, 1) END AS f4_ampl,
-   0.5 * coalesce(least(greatest(up / nullif(sv, 0), 0), 3) / 3, 0) AS f5_inflect,
+   0.5 * coalesce(least(greatest(up / nullif(sv, 0), 0), 3) / 3, 0) + 0.5 * coalesce(cp_prob, 0) AS f5_inflect,
    mean_y < 0.5 OR nonzero_ratio < 0.3 AS sparse_flag,
    concat_ws('; ', CASE WHEN mean_y < 0.5 THEN 'avg=' || CAST(round(mean_y, 2) AS DECIMAL(28, 2)) || '<0.5' END,
      CASE WHEN nonzero_ratio < 0.3 THEN 'nonzero=' || CAST(round(nonzero_ratio * 100, 1) AS DECIMAL(28, 1)) || '%<30%' END) AS sparse_reason,
    mean_y, nonzero_ratio
-   FROM base b JOIN season USING (series_id) JOIN swing USING (series_id) JOIN motion USING (series_id) JOIN ahead USING (series_id) LEFT JOIN holdout_{g} USING (series_id))"""
+   FROM base b JOIN season USING (series_id) JOIN swing USING (series_id) JOIN motion USING (series_id) JOIN ahead USING (series_id) LEFT JOIN cp USING (series_id) LEFT JOIN holdout_{g} USING (series_id))"""
 
 
 _SCORE = """least(greatest((coalesce(f1_ratio * 0.2, 0) + f2_conf * 0.15 + f3_season * 0.3 + f4_ampl * 0.15 + f5_inflect * 0.2)
@@ -68,7 +73,7 @@ REPORT_SQL = f"row_number() OVER (ORDER BY round(ews_score, 9) DESC, series_id)
 def factors(spark, sf_dir, grain="sparse", with_changes=False):
     p = month_panel(spark, sf_dir, grain)
     h = history(p)
-    shares = scoring.change_share(panel.series_vectors(h)) if with_changes else None
+    shares = scoring.change_share(panel.series_vectors(h)) if with_changes else scoring.move_share(h)
     return scoring.five_factors(h, naive(p), holdout_errors(p), shares)
 
 
@@ -186,7 +191,7 @@ def risk_month(spark, sf_dir):
 def ews_with_risk_month(spark, sf_dir):
     p = month_panel(spark, sf_dir, "sparse")
     f = naive(p)
-    s = scoring.scored(scoring.five_factors(history(p), f, holdout_errors(p)))
+    s = scoring.scored(scoring.five_factors(history(p), f, holdout_errors(p), scoring.move_share(history(p))))
     return scoring.with_risk_months(s, f.where(F.col("y_pred") > 0)).select("series_id", "ews_score", "risk_month", "risk_value")
 
 
@@ -267,7 +272,7 @@ _PR = """l AS (SELECT series_id, CASE WHEN sum(y) FILTER (idx >= @train) >= 1.3
 
 def curve(spark, sf_dir):
     p = month_panel(spark, sf_dir, "sparse")
-    f = scoring.five_factors(history(p), naive(p), holdout_errors(p))
+    f = scoring.five_factors(history(p), naive(p), holdout_errors(p), scoring.move_share(history(p)))
     score = F.round("nonzero_ratio", 9) + F.round("f5_inflect", 3)
     rows = f.join(backtest.growth_labels(p), "series_id").select(score.alias("score"), "label")
     return backtest.precision_recall(rows)

@@ -67,7 +67,7 @@ _CENTRED = f"""m AS (SELECT *, CASE WHEN count(y) {frame(-3, 2)} = 6 THEN avg(y)
 )
 def centred_changepoints(spark, sf_dir):
     found = features.centred_changepoints(hist(spark, sf_dir))
-    return found.withColumn("changepoints", F.array_join(F.col("changepoints").cast("array<string>"), ","))
+    return found.select("series_id", F.array_join(F.col("changepoints").cast("array<string>"), ",").alias("changepoints"), "has_recent")
 
 
 @query(

@@ -72,15 +72,17 @@ def centred_changepoints(
 ) -> DataFrame:
     """Per series, the positions where the centred mean moves more than its 75th percentile move.
 
-    `has_recent` tells whether one lies in the last `recent` positions (default: the window).
+    `has_recent` tells whether one lies in the last `recent` positions (default: the window), and
+    `recent_share` how many of those positions are changepoints.
     """
     left = window // 2
+    last = window if recent is None else recent
     w = in_order().rowsBetween(-left, window - left - 1)
     mean = F.when(F.count(value).over(w) == window, F.avg(value).over(w))
     move = F.round(F.abs(F.col("_mean") - F.lag("_mean").over(in_order())), 9)  # equal moves stay equal
     cut = F.round(F.percentile("_move", 0.75).over(by_series()), 9)
     hit = (F.col("n") >= 2 * window) & (F.col("_move") > F.col("_cut"))
-    first_recent = F.col("n") - (window if recent is None else recent)
+    is_recent = hit & (F.col("idx") >= F.col("n") - last)
     return (
         panel.withColumn("_mean", mean)
         .withColumn("_move", move)
@@ -88,9 +90,8 @@ def centred_changepoints(
         .groupBy("series_id")
         .agg(
             F.sort_array(F.collect_list(F.when(hit, F.col("idx")))).alias("changepoints"),
-            F.coalesce(F.max((hit & (F.col("idx") >= first_recent)).cast("int")), F.lit(0))
-            .cast("boolean")
-            .alias("has_recent"),
+            F.coalesce(F.max(is_recent.cast("int")), F.lit(0)).cast("boolean").alias("has_recent"),
+            (F.count_if(is_recent) / last).alias("recent_share"),
         )
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from panelwright.config import FACTOR_WEIGHTS, FACTORS, RiskCuts, SparseRule
 from panelwright.functions import calendar, labels
 from panelwright.functions.columns import clip, ratio
-from panelwright.operators import changepoints, ranking
+from panelwright.operators import changepoints, features, ranking
 
 
 def confidence_from_error(wmape: Column) -> Column:
@@ -148,6 +148,14 @@ def five_factors(
     )
 
 
+def move_share(history: DataFrame, recent: int = 6) -> DataFrame:
+    """`cp_prob` per series: the share of the last positions at which the centred mean moves unusually far.
+
+    A rule in plain windows in place of a segmentation; `change_share` has that.
+    """
+    return features.centred_changepoints(history, recent=recent).select("series_id", F.col("recent_share").alias("cp_prob"))
+
+
 def change_share(vectors: DataFrame, recent: int = 6) -> DataFrame:
     """`cp_prob` per series from the penalised segmentation of its history."""
     partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))

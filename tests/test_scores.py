@@ -232,3 +232,13 @@ def test_penalty_rules(make_panel):
     v = panel.series_vectors(make_panel({"a": SERIES["s5"]}))
     ends = changepoints.penalised_segments(v, rule="10").first().segment_ends
     assert ends[-1] == 36
+
+
+def test_move_share(make_panel):
+    """A level shift just before the end counts in the fifth factor."""
+    from panelwright.operators import scoring
+
+    flat = [5.0, 6.0] * 18
+    shifted = flat[:30] + [40.0 + k for k in range(6)]
+    got = by_id(scoring.move_share(make_panel({"flat": flat, "shifted": shifted})), "cp_prob")
+    assert got["flat"] == 0.0 and 0.0 < got["shifted"] <= 1.0
