@@ -11,7 +11,8 @@ agree in one with about their Jaccard similarity.
    from); pairs are estimated jointly by maximum likelihood from the registers, and what may reach the
    threshold (four standard errors below it) is verified on the full sets.
 3. Links join components.  A bucket that still holds several components is searched in small blocks for
-   the pairs between components, which are estimated and verified in the same way.  So no bucket is
+   the pairs between components, which are estimated and verified in the same way, unless their distances
+   to the bucket's centre already rule a link out.  So no bucket is
    capped, no link between classes in a common bucket is lost, and pairs within a component are not made.
 
 With 28 bands of 5 registers a pair at a similarity of 0.85 shares no bucket with probability 7e-8, at
@@ -160,21 +161,27 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(kept, f"a {kind}, b {kind}")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs with the sizes of their full sets' intersection and union: a, b, both, either."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
 
     def kept(parts):
         for batch in parts:
-            links = []
+            both, either = [], []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                links.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
+                both.append(len(np.intersect1d(p, q, assume_unique=True)))
+                either.append(len(p) + len(q) - both[-1])
+            columns = [batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(either, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "both", "either"])
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(kept, f"a {kind}, b {kind}")
+    paired = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+    return paired.mapInArrow(kept, f"a {kind}, b {kind}, both long, either long")
+
+
+def _links(compared: DataFrame, percent: int) -> DataFrame:
+    return compared.where(100 * F.col("both") >= percent * F.col("either")).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -198,8 +205,9 @@ def components(links: DataFrame) -> DataFrame:
 def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket in different components that may be links, from blocks of few rows.
 
-    open_rows: key, id, label, head (label of the bucket's centre), rows and strangers (rows with another label).
-    Rows with the head's label meet the strangers' blocks alone; strangers meet all.
+    open_rows: key, id, label, head (label of the bucket's centre), apart (Jaccard distance to the centre, null if
+    not compared), rows and strangers (rows with another label).  The distance is a metric, so two rows whose
+    distances to their centre differ by more than a link allows are no link.  Rows with the head's label meet the strangers' blocks alone; strangers meet all.
     """
     row = open_rows.join(classes.select("id", "n_shingles", "regs"), "id").withColumn("_own", F.col("label") == F.col("head"))
     blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
@@ -211,7 +219,7 @@ def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> Data
     low_high = lambda x: F.struct(F.least(x, F.col("_block")).alias("x"), F.greatest(x, F.col("_block")).alias("y"))
     met = F.when(F.col("_own"), upwards).otherwise(F.concat(upwards, downwards))
     dealt = row.withColumn("_pair", F.explode(F.transform(met, low_high))).select(
-        "key", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_block", "id", "label", "n_shingles", "regs"
+        "key", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_block", "id", "label", "apart", "n_shingles", "regs"
     )
     dealt = dealt.repartition("key", "_x", "_y").sortWithinPartitions("key", "_x", "_y", "id")
     kind = classes.schema["id"].dataType.simpleString()
@@ -241,7 +249,8 @@ def _starts(rows: pa.Table) -> np.ndarray:
 def _block_pairs(rows: pa.Table, percent: int, at_once: int = 200_000):
     """Batches of the pairs in whole groups, of which the least band that both share is the group's."""
     column = lambda c: rows.column(c).to_numpy()
-    ids, labels, sizes, blocks, keys, x, y = map(column, ("id", "label", "n_shingles", "_block", "key", "_x", "_y"))
+    ids, labels, sizes, blocks, keys, x, y, apart = map(column, ("id", "label", "n_shingles", "_block", "key", "_x", "_y", "apart"))
+    apart = apart.astype(float)
     regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), "<u2").reshape(-1, REGISTERS)
     bands = band_keys(regs)
     starts = _starts(rows)
@@ -256,6 +265,7 @@ def _block_pairs(rows: pa.Table, percent: int, at_once: int = 200_000):
         j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
         use = (labels[i] != labels[j]) & (ids[i] != ids[j]) & ((x[i] == y[i]) | (blocks[i] != blocks[j]))
         use &= 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+        use &= ~(np.abs(apart[i] - apart[j]) > 1 - percent / 100 + 1e-9)  # unknown distances stay
         i, j = i[use], j[use]
         shared = bands[i] == bands[j]
         first = np.take_along_axis(bands[i], shared.argmax(axis=1)[:, None], 1)[:, 0] == keys[i]
@@ -296,15 +306,19 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
 
     kind = rows.schema["id"].dataType.simpleString()
     sets = cut(texts.mapInArrow(full, f"id {kind}, shingles binary").dropDuplicates(["id"]))
-    links = cut(_verified(candidates, sets, percent))
+    compared = cut(_compared(candidates, sets))
+    links = cut(_links(compared, percent))
     labels = components(links)
 
-    named = held.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    to_centre = compared.select("a", "b", (1 - F.col("both") / F.col("either")).alias("apart"))
+    placed = held.withColumns({"a": F.greatest("id", "centre"), "b": F.least("id", "centre")}).join(to_centre, ["a", "b"], "left")
+    placed = placed.withColumn("apart", F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("apart"))).drop("a", "b")
+    named = placed.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     head = named.where("id = centre").select("key", F.col("label").alias("head")).dropDuplicates(["key"])
     placed = cut(named.join(head, "key"))
     strangers = placed.where("label <> head").groupBy("key").agg(F.count("*").alias("strangers"))
-    open_rows = placed.join(strangers, "key").select("key", "id", "label", "head", "rows", "strangers")
-    more = cut(_verified(_cross_pairs(open_rows, classes, percent), sets, percent))
+    open_rows = placed.join(strangers, "key").select("key", "id", "label", "head", "apart", "rows", "strangers")
+    more = cut(_links(_compared(_cross_pairs(open_rows, classes, percent), sets), percent))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     of_class = classes.select("same", F.col("id").alias("rep")).join(labels.withColumnRenamed("id", "rep"), "rep", "left")
