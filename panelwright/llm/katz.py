@@ -1,23 +1,26 @@
 """Katz backoff language model on words.
 
 Tokens are the words of a text in lower case (ASCII letters) and one end token.  Unigram counts cover every
-word of the training texts.  Bigram counts cover pairs of common words: words (and the end, and as a context the
-start) that make up a share of `COMMON` of the training tokens or more, so there are 1 / COMMON of them at most and
-their dictionary and the contexts' backoff weights can be broadcast at any size of the corpus.  Counts up to
+word of the training texts, bigram counts every pair of neighbours, the start and the end included.  (A share
+`common` above 0 keeps the pairs of words that make up this share of the training tokens or more.)  Counts up to
 `K` are discounted by Good-Turing; where the counts of counts do not give discounts within 0 and 1, absolute
 discounting stands in.
 
     P(w | h) = d(r) r / c(h) * s(h)   if the pair has been seen r times,
-    P(w | h) = a(h) P(w)              otherwise; a(h) = 1 for a context that is not common,
+    P(w | h) = a(h) P(w)              otherwise; a(h) = 1 for a context without pairs,
     P(w)     = d(r) r / N * s         for a known word; what is left goes to the unknown word.
 
 a(h) is what the seen pairs of h leave, over the unigram mass of the words not seen after h, so the
 probabilities of every context add up to 1; s is 1, or less where discounting would leave less than one count's
-share.  Words are known by 64-bit hashes.  Count tables are written partitioned by key.
-
-Scoring sends every distinct pair or rare word of a slice of documents once to the partition that holds its
-count, and one array of sums a slice and partition back: what is sent grows with the distinct pairs, and
-a frequent word or pair is one entry however often it occurs.
+share.  Words are known by 64-bit hashes, pairs while scoring by a 64-bit hash of both.  Count tables are written
+partitioned by key, backoff weights as a table by context.
+
+A text's score is the sum of log a(h) + log P(w) over its tokens, and for the pairs that have been seen of what
+they differ from that.  As every word is also the context of the next token, a word is asked for once, for both.
+Scoring sends every distinct pair or word of a slice of documents once to the partition that holds its
+numbers, and one array of sums a slice and partition back: what is sent grows with the distinct pairs, and
+a frequent word or pair is one entry however often it occurs.  Words with a share of `SHARED` of the training
+tokens or more, 1 / SHARED at most at any size of the corpus, are not asked for: their numbers travel with the task.
 """
 
 from __future__ import annotations
@@ -34,11 +37,12 @@ from pyspark.sql import functions as F
 from panelwright.llm.bpe import slices
 from panelwright.llm.common import cut, shuffle_partitions
 
-COMMON = 1 / 20_000
+COMMON = 0.0
+SHARED = 1 / 20_000
 K = 5
 SLICE = 4_000_000
-START, END = 0, 1  # their numbers in the dictionary; common words follow
-_END_KEY = 1
+START, END = 0, 1  # their numbers in the dictionary of shared words, which follow
+_START_KEY, _END_KEY = 0, 1
 
 
 def word_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +86,7 @@ def _slices(parts, id_at: int = 0, text_at: int = 1):
 
 
 class Katz:
-    """The model: tables of unigrams (key, n) and bigrams (h, w, n), and what can be broadcast."""
+    """The model: tables of unigrams (key, n), bigrams (h, w, n, and n_w of the word) and weights (h, log_a, log_s), and what can be broadcast."""
 
     def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text", common: float = COMMON):
         self.common = common
@@ -106,12 +110,13 @@ class Katz:
         least = 1 / (self.tokens + 1)
         self.unknown = max(1 - mass / self.tokens, least) if self.tokens else 1.0
         self.s1 = (1 - self.unknown) * self.tokens / mass if mass else 1.0
-        rows = self.unigrams.where(F.col("n") >= self.tokens * common).where(F.col("key") != _END_KEY).collect()  # 1 / common at most
+        share = self.tokens * (common or SHARED)
+        rows = self.unigrams.where(F.col("n") >= share).where(F.col("key") != _END_KEY).collect()  # 1 / share at most
         end = self.unigrams.where(F.col("key") == _END_KEY).first()
         ends = end["n"] if end else 0
         self.keys = np.array(sorted(r["key"] for r in rows), np.int64)
         n_of = {r["key"]: r["n"] for r in rows}
-        #: Counts by number in the dictionary: the start (as a context), the end, the common words.
+        #: Counts by number in the dictionary: the start (as a context), the end, the shared words.
         self.counts = np.array([ends, ends, *(n_of[k] for k in self.keys.tolist())], np.int64)
         self._bigrams(texts)
 
@@ -125,49 +130,68 @@ class Katz:
         return cut(rows.withColumn("part", part).repartition(self.parts, "part").groupBy("part", *keys).agg(F.sum("n").alias("n")), ["part"])
 
     def numbers(self, keys: np.ndarray) -> np.ndarray:
-        """Numbers in the dictionary; -1 for words that are not common."""
+        """Numbers in the dictionary; -1 for words that are not in it."""
         at = np.searchsorted(self.keys, keys)
         at[at == len(self.keys)] = 0
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         return np.where(keys == _END_KEY, END, np.where(found, at + 2, -1))
 
     @staticmethod
-    def contexts(numbers: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """The number of each token's predecessor."""
-        before = np.empty_like(numbers)
-        before[1:] = numbers[:-1]
-        before[np.cumsum(sizes) - sizes] = START
+    def contexts(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The key of each token's predecessor."""
+        before = np.empty_like(keys)
+        before[1:] = keys[:-1]
+        before[np.cumsum(sizes) - sizes] = _START_KEY
         return before
 
     def _bigrams(self, texts: DataFrame) -> None:
-        numbers, contexts = self._shared()
+        (numbers, contexts), common = self._shared(), self.common
 
         def pairs(parts):
             for _, ids, texts in _slices(parts):
-                keys, sizes = word_keys(texts)
-                w = numbers(keys)
+                w, sizes = word_keys(texts)
                 h = contexts(w, sizes)
-                use = (w >= 0) & (h >= 0) & np.repeat(~held_out(ids), sizes)
-                seen, n = np.unique(h[use] << 32 | w[use], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(seen >> 32), pa.array(seen & 0xFFFFFFFF), pa.array(n.astype(np.int64))], names=["h", "w", "n"])
-
-        self.bigrams = self._counted(texts.mapInArrow(pairs, "h long, w long, n long"), "h", "w")
-        row = self.bigrams.agg(*(F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, K + 2))).first()
+                use = np.repeat(~held_out(ids), sizes)
+                if common:
+                    use &= (numbers(w) >= 0) & ((h == _START_KEY) | (numbers(h) >= 0))
+                h, w = h[use], w[use]
+                _, first, n = np.unique(_pair(h, w), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(w[first]), pa.array(n.astype(np.int64))], names=["h", "w", "n"])
+
+        counted = self._counted(texts.mapInArrow(pairs, "h long, w long, n long"), "h", "w")
+        row = counted.agg(*(F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, K + 2))).first()
         self.d2 = discounts({r: row[f"n{r}"] for r in range(1, K + 2)})
-        p = self.unigram(self.counts)
-        known = self.bigrams.sparkSession.createDataFrame(pd.DataFrame({"w": np.arange(len(p)), "p": p}))
-        sums = (
-            self.bigrams.join(F.broadcast(known), "w")  # 1 / common rows at most
-            .groupBy("h")
-            .agg(F.sum(self._discounted("n", self.d2)).alias("mass"), F.sum("p").alias("p"))
-            .toPandas()  # a row a context, so 1 / common at most
+        # joins on words and contexts: adaptive execution splits the partition of a frequent one
+        words = self.unigrams.select("key", F.col("n").alias("n_w"))
+        self.bigrams = cut(counted.join(words.withColumnRenamed("key", "w"), "w").select("h", "w", "n", "n_w"))
+        sums = self.bigrams.groupBy("h").agg(F.sum(self._discounted("n", self.d2)).alias("mass"), F.sum(self._p("n_w")).alias("seen"))
+        starts = words.where(F.col("key") == _END_KEY).select(F.lit(_START_KEY).cast("long").alias("key"), "n_w")
+        c = F.col("n_w")
+        left = F.greatest(1 - F.col("mass") / c, 1 / (c + 1))
+        self.weights = cut(
+            sums.join(words.unionByName(starts).withColumnRenamed("key", "h"), "h").select(
+                "h",
+                F.log10(left / F.greatest(1 - F.col("seen"), F.lit(1e-300))).alias("log_a"),
+                F.log10((1 - left) / F.col("mass")).alias("log_s"),
+            )
         )
-        self.alpha, self.s2 = np.ones(len(p)), np.ones(len(p))
-        h = sums["h"].to_numpy(np.int64)
-        c, mass, seen = self.counts[h], sums["mass"].to_numpy(float), sums["p"].to_numpy(float)
-        left = np.maximum(1 - mass / np.maximum(c, 1), 1 / (c + 1.0))
-        self.s2[h] = (1 - left) * c / mass
-        self.alpha[h] = left / np.maximum(1 - seen, 1e-300)
+        known = self.weights.sparkSession.createDataFrame(pd.DataFrame({"h": np.append(self.keys, _START_KEY)}))
+        own = self.weights.join(F.broadcast(known), "h").select("h", "log_a").toPandas()  # 1 / share rows at most
+        self.log_alpha = np.zeros(len(self.counts))
+        h = own["h"].to_numpy(np.int64)
+        self.log_alpha[np.where(h == _START_KEY, START, self.numbers(h))] = own["log_a"].to_numpy(float)
+
+    def _p(self, n: str):
+        """P(w) of a known word by the column of its count."""
+        return self._discounted(n, self.d1) / F.lit(float(max(self.tokens, 1))) * F.lit(float(self.s1))
+
+    def _table(self) -> DataFrame:
+        """What is asked for: words (h) with count and log a, seen pairs with what their log P differs from log a(h) + log P(w)."""
+        words = self.unigrams.withColumnRenamed("key", "h").join(self.weights, "h", "left")
+        value = F.log10(self._discounted("n", self.d2)) + F.col("log_s") - F.col("log_a") - F.log10(self._p("n_w"))
+        return words.select(
+            "h", F.lit(0).cast("long").alias("w"), "n", F.coalesce("log_a", F.lit(0.0)).alias("value"), F.lit(False).alias("of_pairs")
+        ).unionByName(self.bigrams.join(self.weights, "h").select("h", "w", "n", value.alias("value"), F.lit(True).alias("of_pairs")))
 
     def unigram(self, n: np.ndarray) -> np.ndarray:
         """P(w) by count; a count of 0 is the unknown word."""
@@ -182,13 +206,13 @@ class Katz:
 
     def _light(self) -> Katz:
         light = object.__new__(Katz)
-        light.__dict__.update({k: v for k, v in self.__dict__.items() if k not in ("unigrams", "bigrams")})
+        light.__dict__.update({k: v for k, v in self.__dict__.items() if k not in ("unigrams", "bigrams", "weights")})
         return light
 
     def scores(self, docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         """Per row of `docs`: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
         spark, parts_n = docs.sparkSession, self.parts
-        shared = spark.sparkContext.broadcast(self._light())  # 1 / common entries
+        shared = spark.sparkContext.broadcast(self._light())  # 1 / share entries
         kind = docs.schema[id].dataType.simpleString()
         smooth = 0.1
 
@@ -199,25 +223,22 @@ class Katz:
             from pyspark import TaskContext
 
             model, task = shared.value, TaskContext.get().partitionId()
-            log_alpha, log_p = np.log10(model.alpha), np.log10(model.unigram(model.counts))
+            value = np.log10(model.unigram(model.counts)) + model.log_alpha  # the end is no context: its weight is 0
             for number, ids, texts in _slices(parts):
                 slice_id = task << 32 | number
                 keys, sizes = word_keys(texts)
                 w = model.numbers(keys)
-                h = model.contexts(w, sizes)
                 doc = np.repeat(np.arange(len(ids)), sizes)
-                common, pair = w >= 0, (w >= 0) & (h >= 0)
-                backed = np.where(h >= 0, log_alpha[h], 0.0)
-                # what the dictionary alone tells: backoff weights before rare words, common words after rare ones
-                plain = np.where(~common, backed, np.where(h < 0, log_p[w], 0.0))
-                score = np.bincount(doc, np.where(pair, 0.0, plain), len(ids))
+                common = w >= 0
+                # extended sums: what seen pairs take back is as large as these
+                plain = np.add.reduceat(np.where(common, value[w], 0.0).astype(np.longdouble), np.cumsum(sizes) - sizes)
+                score = plain.astype(float) + model.log_alpha[START]
                 n = model.counts[np.maximum(w, 0)]
                 base_score = np.bincount(doc, np.where(common, base(n, model), 0.0), len(ids))
                 known = np.bincount(doc, common & (n > 0), len(ids))
                 yield _rows(slice_id, -1, [_packed(score, base_score, known, sizes)], ids)
-                for of_pairs, use in ((True, pair), (False, ~common)):
-                    key = (h[use] << 32 | w[use]) if of_pairs else keys[use]
-                    d = doc[use]
+                for of_pairs in (True, False):
+                    key, d = (_pair(model.contexts(keys, sizes), keys), doc) if of_pairs else (keys[~common], doc[~common])
                     order = np.lexsort((d, key))
                     key, d = key[order], d[order]
                     new = np.ones(len(key), bool)
@@ -242,37 +263,29 @@ class Katz:
 
         id_type = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
         asked = cut(docs.select(F.col(id), F.col(text)).mapInArrow(requests, f"slice long, bucket int, blob binary, ids array<{kind}>"))
-        table = (
-            self.unigrams.select("key", "n", F.lit(False).alias("of_pairs"))
-            .unionByName(self.bigrams.select(F.expr("shiftleft(h, 32) | w").alias("key"), "n", F.lit(True).alias("of_pairs")))
-            .mapInArrow(_with_bucket(parts_n), "bucket int, key long, n long, of_pairs boolean")
-        )
+        table = self._table().mapInArrow(_with_bucket(parts_n), "bucket int, key long, n long, value double, of_pairs boolean")
 
         def answers(left: pa.Table, right: pa.Table) -> pa.Table:
             model = shared.value
             found = {}
             for of_pairs in (False, True):
                 rows = right.filter(pc.equal(right.column("of_pairs"), of_pairs))
-                k, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
+                k = rows.column("key").to_numpy()
                 order = np.argsort(k)
-                found[of_pairs] = k[order], n[order]
-            log_alpha, log_p = np.log10(model.alpha), np.log10(model.unigram(model.counts))
+                found[of_pairs] = k[order], rows.column("n").to_numpy()[order], rows.column("value").to_numpy()[order]
             out_slices, out = [], []
             for slice_id, blob in zip(left.column("slice").to_pylist(), left.column("blob").to_pylist(), strict=True):
                 of_pairs, key, d, times, n_docs = _asked(blob)
-                k, n = found[of_pairs]
+                k, n, value = found[of_pairs]
                 at = np.minimum(np.searchsorted(k, key), max(len(k) - 1, 0))
-                r = np.where(k[at] == key, n[at], 0) if len(k) else np.zeros(len(key), np.int64)
+                is_in = k[at] == key if len(k) else np.zeros(len(key), bool)
+                r = np.where(is_in, n[at], 0) if len(k) else np.zeros(len(key), np.int64)
+                more = np.where(is_in, value[at], 0.0) if len(k) else np.zeros(len(key))
                 if of_pairs:
-                    h, w = key >> 32, key & 0xFFFFFFFF
-                    dr = np.where(r <= K, model.d2[np.minimum(r, K)], 1.0) * r
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        seen = np.log10(dr / model.counts[h] * model.s2[h])
-                    value = np.where(r > 0, seen, log_alpha[h] + log_p[w])
-                    score = np.bincount(d, value * times, n_docs)
+                    score = np.bincount(d, more * times, n_docs)
                     out.append(_packed(score, np.zeros(n_docs), np.zeros(n_docs, np.int64), np.zeros(n_docs, np.int64)))
                 else:
-                    score = np.bincount(d, np.log10(model.unigram(r)) * times, n_docs)
+                    score = np.bincount(d, (np.log10(model.unigram(r)) + more) * times, n_docs)
                     base_score = np.bincount(d, base(r, model) * times, n_docs)
                     out.append(_packed(score, base_score, np.bincount(d, (r > 0) * times, n_docs), np.zeros(n_docs, np.int64)))
                 out_slices.append(slice_id)
@@ -314,11 +327,22 @@ def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((x >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
 
 
+def _pair(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64-bit keys of pairs of keys; no two pairs of one context share a key."""
+    x = h.view(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(31)
+    x = (x * np.uint64(0x94D049BB133111EB) + w.view(np.uint64)) * np.uint64(0xD6E8FEB86659FD93)
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
 def _with_bucket(n: int):
     def rows(parts):
         for batch in parts:
-            bucket = _bucket(batch.column("key").to_numpy(), n).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), *(batch.column(c) for c in ("key", "n", "of_pairs"))], names=["bucket", "key", "n", "of_pairs"])
+            h, w, of_pairs = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "w", "of_pairs"))
+            key = np.where(of_pairs, _pair(h, w), h)
+            bucket = _bucket(key, n).astype(np.int32)
+            columns = [pa.array(bucket), pa.array(key), *(batch.column(c) for c in ("n", "value", "of_pairs"))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "key", "n", "value", "of_pairs"])
 
     return rows
 

@@ -344,6 +344,20 @@ def test_katz_rare_words(spark, documents, texts):
         assert math.isclose(r["score"], sum(math.log10(prob(h, w)) for h, w in zip(["<s>", *t], t)), rel_tol=1e-9)
 
 
+def test_katz_counts_every_pair(spark):
+    """Pairs of words below any share of the corpus count; scores are those of the uncut model."""
+    filler = " ".join(f"w{k}" for k in range(50)) + " " + "the " * 60_000
+    texts = [(k, "Rare couple meets the rare couple again") for k in range(12)] + [(20 + k, f"{filler} x{k}") for k in range(3)]
+    tokens, uni, n, prob, _ = plain_katz(texts, 0)
+    assert uni[b"w7"] < n / 20_000 and not any(zlib.crc32(str(k).encode()) % 10 == 0 for k in (0, 20))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = katz.Katz(docs)
+    assert model.bigrams.count() == len({(h, w) for i, t in texts if zlib.crc32(str(i).encode()) % 10 for h, w in zip(["<s>", *tokens(t)], tokens(t))})
+    for r in model.scores(docs).collect():
+        t = tokens(dict(texts)[r["doc_id"]])
+        assert math.isclose(r["score"], sum(math.log10(prob(h, w)) for h, w in zip(["<s>", *t], t)), rel_tol=1e-9)
+
+
 def test_good_turing_discounts():
     d = katz.discounts({1: 1000, 2: 400, 3: 220, 4: 140, 5: 100, 6: 75})
     assert all(0 < x < 1 for x in d[1:]) and list(d[1:]) == sorted(d[1:])
