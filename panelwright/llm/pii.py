@@ -5,7 +5,9 @@ areas, groups and serials that are given out; phone numbers: shape) and calendar
 Feistel network over exactly the values of their format: separators, length and check digits stay valid,
 and equal values get equal pseudonyms in every document.  E-mail addresses and secrets (a long value
 after token, key, password and the like) have no number to permute; they get keyed digests instead.
-What fails its check, such as a 16-digit number that is no card number, stays as it is.
+What fails its check, such as a 16-digit number that is no card number, stays as it is.  Cards are looked for at
+every number, in the groupings that cards are printed in; only those that pass their check take the text, so what
+stands in or beside a number that fails is found as if the number were not there.
 
 Null texts stay null and empty texts empty; a text without personal data is returned unchanged.
 """
@@ -24,7 +26,16 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3
 IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![A-Za-z0-9-])[0-9](?:[ -]?[0-9]){12,18}(?![A-Za-z0-9])"
+BEFORE_CARD, AFTER_CARD = r"(?<![A-Za-z0-9-])", r"(?![A-Za-z0-9]|-[0-9]{2}-[0-9]{2}(?![0-9]))"
+#: Group 1 of a match of no width is a candidate, so candidates may overlap.  A number with three digits behind it is one of 16 with
+#: its verification number, or one of 19.
+CARDS = tuple(
+    f"{BEFORE_CARD}(?=({grouping}){after})"
+    for grouping, after in (
+        (r"[0-9]{13,19}|[0-9]{4}(?:[ -]?[0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{3}", AFTER_CARD),
+        (r"[0-9]{4}(?:[ -]?[0-9]{4}){3}[ -][0-9]{3}|[0-9]{6}[ -][0-9]{13}|[0-9]{4}(?:[ -][0-9]{3}){3}", r"(?![A-Za-z0-9]|[ /-][0-9])"),
+    )
+)
 PHONE = (
     r"(?<![A-Za-z0-9+])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-]?[0-9]{4}"
     r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,5})(?![0-9])"
@@ -33,7 +44,8 @@ SECRET = (
     r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{16})"
     r"(?<=(?i:token|secret|password|passwd|api[_-]?key)[\"']? {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9_-]+"
 )
-ANY = "|".join((EMAIL, SECRET, IBAN, IPV4, DATE, SSN, CARD, PHONE))
+#: Without cards, which stand between the two where a text holds any.
+FIRST, LAST = "|".join((EMAIL, SECRET, IBAN, IPV4, DATE, SSN)), PHONE
 
 
 def _lit(value: str) -> str:
@@ -87,11 +99,15 @@ class _Sql:
             f"array(0, 2, 4, 6, 8, 1, 3, 5, 7, 9), array(0, 1, 2, 3, 4, 5, 6, 7, 8, 9)), CAST(substr({d}, k, 1) AS INT) + 1))"
         )
 
+    def is_card(self, m: str) -> str:
+        d = self.only_digits(m)
+        body = f"substr({d}, 1, length({d}) - 1)"
+        return f"({self.luhn(body)} + CAST(substr({d}, -1) AS INT)) % 10 = 0"
+
     def card(self, m: str) -> str:
         """First digit kept, the others permuted, check digit anew."""
         d = self.only_digits(m)
-        body = f"substr({d}, 1, length({d}) - 1)"
-        valid = f"({self.luhn(body)} + CAST(substr({d}, -1) AS INT)) % 10 = 0"
+        valid = self.is_card(m)
         new = f"concat(substr({d}, 1, 1), {self.digits('card', f'substr({d}, 2, length({d}) - 2)')})"
         checked = f"element_at(transform(array({new}), b -> concat(b, CAST((10 - {self.luhn('b')} % 10) % 10 AS STRING))), 1)"
         return f"if({valid}, {self.refilled(m, checked)}, {m})"
@@ -185,10 +201,16 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", count: str | No
     """The rows with their text pseudonymised; `count` names a column for the number of values replaced (it takes the place of
     a column of that name)."""
     name = "_text"
-    found = f"regexp_extract_all({name}, {_lit(ANY)}, 0)"
-    pieces = f"split({name}, {_lit(ANY)}, -1)"
+    plain = _lit(f"{FIRST}|{LAST}")
+    found = f"if(_any IS NULL, regexp_extract_all({name}, {plain}, 0), regexp_extract_all({name}, _any, 0))"
+    pieces = f"if(_any IS NULL, split({name}, {plain}, -1), split({name}, _any, -1))"
+    numbers = ", ".join(f"regexp_extract_all({name}, {_lit(c)}, 1)" for c in CARDS)
+    cards = f"array_distinct(filter(concat({numbers}), c -> {_Sql(key).is_card('c')}))"
     quick = f"{name} RLIKE {_lit('[0-9@]|(?i:token|secret|passw|key)')}"
     work = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_text"))
+    work = work.withColumn("_cards", F.expr(f"if({name} RLIKE '[0-9](?:[ -]?[0-9]){{12}}', {cards}, NULL)"))
+    with_cards = f"concat({_lit(f'{FIRST}|{BEFORE_CARD}(?:')}, array_join(_cards, '|'), {_lit(f'){AFTER_CARD}|{LAST}')})"
+    work = work.withColumn("_any", F.expr(f"if(_cards IS NULL OR size(_cards) = 0, NULL, {with_cards})"))
     work = work.withColumn("_pii", F.expr(f"if({quick}, transform({found}, m -> named_struct('was', m, 'now', {_Sql(key).any('m')})), NULL)"))
     out = F.expr(f"if(_pii IS NULL OR size(_pii) = 0, {name}, array_join(zip_with({pieces}, _pii, (p, r) -> concat(p, coalesce(r.now, ''))), ''))")
     columns = [out.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns if c != count]

@@ -266,6 +266,26 @@ def test_formats(spark):
     assert run_pii(spark, values, "other key")[:10] != got[:10]
 
 
+def test_values_side_by_side(spark):
+    """No number that fails its check hides the values in or beside it."""
+    card, amex = "4111 1111 1111 1111", "3782 822463 10005"
+    assert all(luhn(re.sub(r"\D", "", c)) for c in (card, amex))
+    private = [
+        ("555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"]), ("12345 123-45-6789", ["123-45-6789"]),
+        ("555-123-4567 2021-03-04", ["555-123-4567", "2021-03-04"]), (f"{card} 12/27", [card]), (f"{card} 123", [card]), (f"{amex} 1234", [amex]),
+        (f"1234 {card}", [card]), (f"{card} 555-123-4567", [card, "555-123-4567"]), (f"{card} {amex} {card}", [card, amex]),
+        ("1234 5678 9012 2021-03-04", ["2021-03-04"]), ("1234 5678 2021 2021-03-04", ["2021-03-04"]), ("room 101 555-123-4567", ["555-123-4567"]),
+        ("123-45-6789 987-65-4321 4111111111111111", ["123-45-6789", "4111111111111111"]), ("4111111111111112 4111-1111-1111-1111", ["4111-1111-1111-1111"]),
+    ]
+    got = run_pii(spark, [t for t, _ in private])
+    for (text, values), now in zip(private, got, strict=True):
+        assert not [v for v in values if v in now], (text, now)
+        assert re.sub(r"\d", "0", text) == re.sub(r"\d", "0", now)
+    assert got[3].endswith(" 12/27") and got[4].endswith(" 123") and got[1].startswith("12345 ") and got[6].startswith("1234 ")
+    assert got[11].startswith("room 101 ") and got[13].startswith("4111111111111112 ")
+    assert luhn(re.sub(r"\D", "", got[3][:19])) and got[3][:19] == got[4][:19] == got[7][:19]
+
+
 def test_planted_values_go_and_the_rest_stays(spark, documents):
     found = re.compile(r"[\w.+-]+@[\w-]+\.[\w.-]*\w|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])|\+1 \(\d{3}\) \d{3}-\d{4}|(?<!\d)\d{16}(?!\d)|\b[0-9a-f]{40}\b")
     was = {r["doc_id"]: r["text"] for r in documents.collect()}
