@@ -1,11 +1,13 @@
 """Main text of web pages by consensus host paths.
 
-1. Every page's containers are scored by their text outside links and boilerplate; the page votes for the
-   generalised path (tags and classes, digits dropped) of its best one.
-2. Votes are summed per host and path in Spark; the path with most votes (then most text, then the least
-   name) wins the host.
-3. Every page is extracted again from the elements on its host's winning path; a page without such an
-   element, or with none that holds text, falls back on its own best container.
+1. A page's best container is the lowest one with all the text outside links and boilerplate, at any depth; inner
+   containers of the body may leave out `REST` of it.  The page votes for its generalised path (tags and classes,
+   digits dropped).
+2. Votes are summed per host and path in Spark; a path that two pages vote for is a template of the host, and
+   the path with most votes (then most text, then the least name) wins the host.
+3. Every page is extracted again from the elements on its own path, if that is a template of its host, else
+   on the host's winning path; a page without such an element, or with none that holds text, falls back on
+   its own best container.
 
 Text: character references decoded, white space collapsed, blocks in page order joined by one space.
 Null and empty pages, and pages without text, give an empty text; pages without a host share one.
@@ -49,7 +51,8 @@ MARKS = {
 }
 #: A word before a mark that takes it back, as in "no-sidebar".
 UNMARK = {"no", "has", "with", "without", "not"}
-FAVOURED = {"article": 1.5, "main": 1.3}
+#: Share of a page's text that may stand beside its best container, in other containers of the body.
+REST = 0.05
 _WORDS = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -81,15 +84,12 @@ def step(tag: str, attrs: dict[str, str]) -> str:
 class Element:
     """A container on the path to the current place, with the text pieces it holds outside boilerplate."""
 
-    __slots__ = ("tag", "path", "pieces", "chars", "link_chars", "inner")
+    __slots__ = ("tag", "path", "pieces", "chars", "plain", "own")
 
     def __init__(self, tag: str, path: str):
         self.tag, self.path = tag, path
         self.pieces: list[str] = []
-        self.chars = self.link_chars = self.inner = 0
-
-    def score(self) -> float:
-        return (self.chars - 2 * self.link_chars + self.inner / 2) * FAVOURED.get(self.tag, 1.0)
+        self.chars = self.plain = self.own = 0  # all text, text outside links, and of that what no inner container holds
 
 
 def elements(page: str) -> list[Element]:
@@ -101,14 +101,12 @@ def elements(page: str) -> list[Element]:
 
     def put(text: str) -> None:
         if not skipping and text:
+            n = len(text.strip())
             for e in stack:
                 e.pieces.append(text)
-            n = len(text.strip())
-            stack[-1].chars += n
-            if len(stack) > 1:
-                stack[-2].inner += n
-            if links:
-                stack[-1].link_chars += n
+                e.chars += n
+                e.plain += 0 if links else n
+            stack[-1].own += 0 if links else n
 
     while at < end:
         m = TAG.search(page, at)
@@ -164,8 +162,15 @@ def clean(pieces: list[str]) -> str:
 
 
 def best(found: list[Element]) -> Element:
-    """The container with most text of its own; the first of equals."""
-    return max(found, key=lambda e: e.score())
+    """The lowest container with all text outside links (of a page of links: with all text), but for what other containers of the
+    body hold, if that is no more than `REST`."""
+    size = (lambda e: e.plain) if found[0].plain else (lambda e: e.chars)
+    chain = [e for e in found if size(e) >= (1 - REST) * size(found[0])]  # one within the other
+    for outer in ("", "body"):
+        if len(chain) > 1 and chain[0].tag == outer and not chain[0].own:
+            chain = chain[1:]
+    most = size(chain[0])
+    return [e for e in chain if size(e) == most][-1]
 
 
 def vote(page: str) -> tuple[str | None, int]:
@@ -190,8 +195,8 @@ def host(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(_host, _path): the winning path of every host with a vote."""
+def host_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(_host, _path, votes, chars): the paths that pages vote for."""
 
     def votes(parts):
         for batch in parts:
@@ -202,7 +207,11 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             )
 
     cast = pages.select(host(F.col(url)).alias("_host"), F.col(html)).mapInArrow(votes, "_host string, _path string, _chars long")
-    sums = cast.where("_path IS NOT NULL").groupBy("_host", "_path").agg(F.count("*").alias("votes"), F.sum("_chars").alias("chars"))
+    return cast.where("_path IS NOT NULL").groupBy("_host", "_path").agg(F.count("*").alias("votes"), F.sum("_chars").alias("chars"))
+
+
+def host_paths(sums: DataFrame) -> DataFrame:
+    """(_host, _path): the winning path of every host with a vote."""
     top = sums.groupBy("_host").agg(F.max(F.struct("votes", "chars")).alias("_top"))
     winners = sums.join(top, "_host").where("votes = _top.votes AND chars = _top.chars")
     return winners.groupBy("_host").agg(F.min("_path").alias("_path"))
@@ -211,13 +220,24 @@ def host_paths(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def main_text(pages: DataFrame, url: str = "url", html: str = "html", into: str = "text") -> DataFrame:
     """All columns of `pages` and the main text (instead of a column of that name).
 
-    The winners are a row a host, read from a written table, so that their measured size decides how they
-    are joined; a hot host is split by adaptive execution where they are too many to broadcast.
+    The winners are a row a host and the templates a row a host and path, read from written tables, so that their
+    measured size decides how they are joined; a hot host is split by adaptive execution where they are too many to
+    broadcast.
     """
-    winners = cut(host_paths(pages, url, html))
+    sums = cut(host_votes(pages, url, html))
+    winners = cut(host_paths(sums))
+    templates = cut(sums.where("votes > 1").select("_host", F.col("_path").alias("_own"), F.lit(True).alias("_template")))
     kept = [c for c in pages.columns if c != into]
     row = pages.select(F.struct(*kept).alias("_row"), F.col(html).alias("_html"), host(F.col(url)).alias("_host"))
-    joined = row.join(winners, "_host", "left").drop("_host")
+
+    def own_paths(parts):
+        for batch in parts:
+            own = pa.array([vote(x or "")[0] for x in batch.column("_html").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], names=[*batch.schema.names, "_own"])
+
+    voted = row.mapInArrow(own_paths, StructType([*row.schema.fields, StructField("_own", StringType())]))
+    path = F.when(F.col("_template"), F.col("_own")).otherwise(F.col("_path")).alias("_path")
+    joined = voted.join(winners, "_host", "left").join(templates, ["_host", "_own"], "left").select("_row", "_html", path)
     schema = StructType([joined.schema["_row"], StructField("_into", StringType())])
 
     def texts(parts):
@@ -226,4 +246,4 @@ def main_text(pages: DataFrame, url: str = "url", html: str = "html", into: str
             made = pa.array([extract(x or "", p) for x, p in rows], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column("_row"), made], names=["_row", "_into"])
 
-    return joined.select("_row", "_html", "_path").mapInArrow(texts, schema).select("_row.*", F.col("_into").alias(into))
+    return joined.mapInArrow(texts, schema).select("_row.*", F.col("_into").alias(into))

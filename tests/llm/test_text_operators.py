@@ -162,6 +162,27 @@ def test_host_consensus(spark):
     assert extraction.main_text(df.limit(0)).collect() == []
 
 
+def test_whole_text_of_nested_and_mixed_templates(spark):
+    """Titles, ledes and sibling blocks stay with a long body, at any depth, and each template keeps its own path."""
+    long = "body text goes on " * 40
+    pages = {
+        1: f"<body><article><h1>Title</h1><div class='content'><p>{long}</p></div></article></body>",
+        2: f"<body><div class='post'><h1>Title</h1><div class='row'><div class='col'><p>{long}</p></div></div></div></body>",
+        3: f"<body><div class='wrap'><section class='intro'>Lede</section><section class='body'><p>{long}</p></section></div></body>",
+        4: f"<body><h1>Title</h1><div class='content'><p>{long}</p></div></body>",
+        5: f"<body><article class='teaser'>Short teaser</article><div class='story'><h1>Title</h1><p>{long}</p></div></body>",
+    }
+    want = {k: " ".join([w, *long.split()]) for k, w in ((1, "Title"), (2, "Title"), (3, "Lede"), (4, "Title"))}
+    assert {k: extraction.extract(pages[k], None) for k in want} == want
+    teasers = "<body><article class='teaser'>Short teaser</article></body>"
+    rows = [(k, f"https://h.example/{k}", teasers) for k in range(3)] + [(10 + k, f"https://h.example/s{k}", pages[5]) for k in range(2)]
+    rows += [(20 + k, f"https://h.example/m{k}", pages[1 + k // 2]) for k in range(8)]
+    df = spark.createDataFrame(rows, "page_id int, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extraction.main_text(df).collect()}
+    assert all(got[k] == "Short teaser" for k in range(3)) and all(got[10 + k].endswith(long.strip()) and "Title" in got[10 + k] for k in range(2))
+    assert all(got[20 + k] == want[1 + k // 2] for k in range(8))
+
+
 def test_pages_query(spark):
     """The test pages' articles, by a plain pattern."""
     import html
