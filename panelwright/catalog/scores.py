@@ -561,11 +561,13 @@ def manifest_comparison(spark, sf_dir):
        CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, CAST(count(*) AS DOUBLE) AS claim_count FROM events GROUP BY 1, 2, 3""",
 )
 def stream_month_panel(spark, sf_dir):
-    """The events as one delivered month file, run through the stream into a partitioned panel."""
+    """The events as a delivered folder of part files for each month, run through the stream into a partitioned panel."""
     folder = f"{ranking.shared_folder(spark)}/month-stream-{uuid.uuid4().hex}"
     source = tables.table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(source.schema).parquet(f"{sf_dir}/events*.parquet")
-    rows = tables.as_event_claims(stream, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_at"))
+    inbox = f"{folder}/inbox"
+    source.withColumn("of_month", F.date_format("ts", "yyyy-MM")).write.partitionBy("of_month").parquet(inbox)
+    stream = spark.readStream.schema(source.schema).option("recursiveFileLookup", True).parquet(inbox)
+    rows = tables.as_event_claims(stream, month_files.delivery(inbox, F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.file_modification_time").alias("_at"))
     month_files.ingest_months(rows, f"{folder}/panel", f"{folder}/progress").awaitTermination()
     return files.read_panel(spark, f"{folder}/panel").select("series_id", "year", "month", "claim_count")
 

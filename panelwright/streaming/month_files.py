@@ -1,14 +1,17 @@
 """Month files that arrive in a folder, as a stream into the monthly panel.
 
-A file stands for one manufacture month, the one most of its rows belong to; its other rows are
-dropped, and the month is replaced.  Of several files for one month the newest counts.  A file
-delivered again, or a batch replayed after a failure, therefore leaves the same panel, and a stray
-row never wipes out another month.
+A delivery is a file in the folder, or a folder of part files in it, which count together.  It stands for
+one manufacture month, the one most of its rows belong to; its other rows are dropped and counted in the
+table beside the panel (`_dropped` behind its name), and the month is replaced.  Of several deliveries for one month
+the newest counts.  A delivery repeated, or a batch replayed after a failure, therefore leaves the same
+panel, and a stray row never wipes out another month.  The part files of a delivery must arrive in one batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,29 +21,52 @@ from panelwright.schema import RAW_CLAIMS
 from panelwright.sources import files
 
 
+def delivery(folder: str, path: Column) -> Column:
+    """The file or folder directly in `folder` that a file belongs to; the file itself if it lies elsewhere."""
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", folder).rstrip("/")
+    found = F.regexp_extract(path, rf"^(.*\Q{root}\E/+[^/]+)", 1)
+    return F.when(found != "", found).otherwise(path)
+
+
 def month_stream(
     spark: SparkSession, folder: str, schema=RAW_CLAIMS, sep: str = ",", encoding: str = "UTF-8", files_per_batch: int | None = None
 ) -> DataFrame:
-    """Claim rows of the CSV files that appear in a folder, as text columns with path and time."""
-    reader = spark.readStream.schema(schema).option("header", True).option("sep", sep).option("encoding", encoding)
+    """Claim rows of the CSV files that appear in a folder or its folders, as text columns with delivery (`_file`) and time."""
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", True).option("header", True).option("sep", sep).option("encoding", encoding)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.csv(folder).select(
-        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_at")
+        "*", delivery(folder, F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.file_modification_time").alias("_at")
     )
 
 
+def _dated(rows: DataFrame) -> DataFrame:
+    d = F.col("manufacturing_date")
+    return files.typed_claims(rows, extra=("_file", "_at")).where(d.isNotNull()).withColumns({"_y": F.year(d), "_m": F.month(d)})
+
+
+def _newest(counts: DataFrame) -> DataFrame:
+    """(_file, _y, _m): the newest delivery of each month; a delivery is as new as its newest part."""
+    own = counts.groupBy("_file").agg(F.max("_at").alias("_at"), F.max_by(F.struct("_y", "_m"), F.struct("k", "_y", "_m")).alias("t"))
+    return own.groupBy("t").agg(F.max_by("_file", F.struct("_at", "_file")).alias("_file")).select("_file", "t._y", "t._m")
+
+
+def _counts(dated: DataFrame) -> DataFrame:
+    """Rows by delivery and month, a table the size of the file list."""
+    return dated.groupBy("_file", "_y", "_m").agg(F.count(F.lit(1)).alias("k"), F.max("_at").alias("_at"))
+
+
 def target_rows(rows: DataFrame) -> DataFrame:
-    """Typed claim rows of each file's own month, from the newest file of that month.
+    """Typed claim rows of each delivery's own month, from the newest delivery of that month."""
+    dated = _dated(rows)
+    return dated.join(_newest(_counts(dated)), ["_file", "_y", "_m"], "left_semi").drop("_file", "_at", "_y", "_m")
 
-    The choice is made on counts per file and month, a table the size of the file list.
-    """
-    d = F.col("manufacturing_date")
-    dated = files.typed_claims(rows, extra=("_file", "_at")).where(d.isNotNull()).withColumns({"_y": F.year(d), "_m": F.month(d)})
-    counts = dated.groupBy("_file", "_at", "_y", "_m").agg(F.count(F.lit(1)).alias("k"))
-    own = counts.groupBy("_file", "_at").agg(F.max_by(F.struct("_y", "_m"), F.struct("k", "_y", "_m")).alias("t"))
-    newest = own.groupBy("t").agg(F.max_by("_file", F.struct("_at", "_file")).alias("_file")).select("_file", "t._y", "t._m")
-    return dated.join(newest, ["_file", "_y", "_m"], "left_semi").drop("_file", "_at", "_y", "_m")
+
+def dropped_rows(rows: DataFrame) -> DataFrame:
+    """(delivery, year, month, rows) of the dated rows that `target_rows` leaves out."""
+    counts = _counts(_dated(rows))
+    left = counts.join(_newest(counts), ["_file", "_y", "_m"], "left_anti")
+    return left.select(F.col("_file").alias("delivery"), F.col("_y").alias("year"), F.col("_m").alias("month"), F.col("k").alias("rows"))
 
 
 def replace_months(panel_path: str):
@@ -48,6 +74,7 @@ def replace_months(panel_path: str):
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         overwrite_month(panel_path, panel.slot_counts(target_rows(batch)))
+        dropped_rows(batch).coalesce(1).write.mode("overwrite").parquet(f"{panel_path}_dropped/batch={batch_id}")
 
     return apply
 

@@ -47,6 +47,25 @@ def test_stream_replaces_months(spark, tmp_path):
     assert len(months(spark, str(out))) == 2
 
 
+def test_stream_unites_part_files(spark, tmp_path):
+    """A folder of part files is one delivery; a later folder for the month replaces it; stray rows are counted."""
+    inbox, out, progress = tmp_path / "in", tmp_path / "panel", tmp_path / "progress"
+    for name in ("jan", "feb"):
+        (inbox / name).mkdir(parents=True)
+    csv(inbox / "jan" / "part-0.csv", rows_of(1, [1, 2]))
+    csv(inbox / "jan" / "part-1.csv", rows_of(1, [4]) + rows_of(1, [8], plant="B"))
+    csv(inbox / "feb" / "part-0.csv", rows_of(2, [5, 5]) + rows_of(1, [99]))
+    run(spark, inbox, out, progress)
+    assert months(spark, str(out)) == {("A|X|m", 2024, 1): 7.0, ("B|X|m", 2024, 1): 8.0, ("A|X|m", 2024, 2): 10.0}
+    dropped = [(r.delivery.rsplit("/", 1)[1], r.year, r.month, r.rows) for r in spark.read.parquet(f"{out}_dropped").collect()]
+    assert dropped == [("feb", 2024, 1, 1)]
+    (inbox / "jan_again").mkdir()
+    csv(inbox / "jan_again" / "part-0.csv", rows_of(1, [3]))
+    csv(inbox / "jan_again" / "part-1.csv", rows_of(1, [6]))
+    run(spark, inbox, out, progress)
+    assert months(spark, str(out)) == {("A|X|m", 2024, 1): 9.0, ("A|X|m", 2024, 2): 10.0}
+
+
 def test_stream_reads_bad_rows(spark, tmp_path):
     inbox, out = tmp_path / "in", tmp_path / "panel"
     inbox.mkdir()
