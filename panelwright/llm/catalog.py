@@ -187,3 +187,118 @@ def op8(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return katz.Katz(docs).scores(docs)
+
+
+@query("op11_posting_audit")
+def op11(spark, sf_dir):
+    """What five filters remove from every source, in all their orders."""
+    from panelwright.llm import filter_audit
+
+    verdicts = filter_audit.text_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    fails = {name: F.col(name.lower()) for name in "ABCDE"}
+    return filter_audit.audit(verdicts, "part", "id", fails, {"good_lost": F.col("good"), "toxic_lost": F.col("toxic")})
+
+
+ORACLES["op11_posting_audit"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+),
+l AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CAST(len(words) < 50 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 65 * len(words) AS INT)
+         + 4 * CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(first_id < doc_id, false) AS INT) AS mask
+  FROM d LEFT JOIN l USING (doc_id)
+),
+g AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT unnest([0, 1, 2, 3, 4]) AS f),
+p AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS o FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+s AS (
+  SELECT array_to_string(list_transform(o, lambda x: substr('ABCDE', x + 1, 1)), '') AS filter_order, step, o[step] AS f,
+         CAST(1 << o[step] AS INT) AS own, CAST(coalesce(list_sum(list_transform(o[1:step - 1], lambda x: 1 << x)), 0) AS INT) AS before
+  FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+),
+r AS (
+  SELECT part, filter_order, step, f,
+         sum(CASE WHEN mask & (own | before) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & own > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM g, s GROUP BY part, filter_order, step, f
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query("op12_ball_tree_search")
+def op12(spark, sf_dir):
+    """The ten best documents for every benchmark item."""
+    from panelwright.llm import ball_search
+
+    return ball_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_ball_tree_search"] = r"""
+WITH t AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+),
+q AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)
+),
+s AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM s),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), c
+),
+v AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))) AS x
+  FROM tf JOIN s USING (doc_id) JOIN w USING (term), c
+),
+r AS (SELECT item_id, doc_id, CAST(sum(x) AS BIGINT) AS score FROM q JOIN v USING (term) GROUP BY item_id, doc_id),
+o AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
+
+@query("op13_warc_transactions")
+def op13(spark, sf_dir):
+    """All pages as WARC transactions, written, read back and assembled."""
+    from panelwright.llm import warc
+    from panelwright.llm.common import cut, new_folder
+
+    path = new_folder(spark)
+    warc.write(table(spark, sf_dir, "pages"), path)
+    done = warc.resolved(warc.captures(cut(warc.read(spark, path, payloads=False))))
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op13_warc_transactions"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS first_id, count(*) OVER (PARTITION BY html) AS copies FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < first_id THEN first_id END AS refers_to
+FROM g
+"""
