@@ -6,6 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,14 +39,52 @@ def new_folder(spark: SparkSession) -> str:
     return path
 
 
-def cut(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+#: Lets a write remove its own shuffle files when it is done.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession):
+    """Shuffle files of what is written inside go with the write, as nothing reads them again."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
+def cut(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: the lineage ends here."""
-    path = new_folder(df.sparkSession)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark)
+    with shuffles_end(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def gone(*tables: DataFrame) -> None:
+    """Delete tables that `cut` has written and nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def given_back() -> None:
+    """At the end of a task: return freed memory of the Python worker, which lives on, to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -273,7 +273,7 @@ def test_neardup_frames(odd, empty):
 # --- language model -------------------------------------------------------------------------------
 
 
-def plain_katz(texts, common):
+def plain_katz(texts):
     """The model over dictionaries, after the docstring."""
 
     def tokens(t):
@@ -282,8 +282,7 @@ def plain_katz(texts, common):
     train = [tokens(t) for i, t in texts if zlib.crc32(str(i).encode()) % 10]
     uni = Counter(w for t in train for w in t)
     n = sum(uni.values())
-    frequent = {w for w, c in uni.items() if c >= n * common} | {None}
-    pairs = Counter((h, w) for t in train for h, w in zip(["<s>", *t], t) if w in frequent and (h == "<s>" or h in frequent))
+    pairs = Counter((h, w) for t in train for h, w in zip(["<s>", *t], t))
     context = Counter(uni) + Counter({"<s>": len(train)})
     d = lambda counts: katz.discounts(Counter(counts.values()))
     d1, d2 = d(uni), d(pairs)
@@ -293,8 +292,10 @@ def plain_katz(texts, common):
     s1 = (1 - unknown) * n / mass
     p = lambda w: disc(uni[w], d1) / n * s1 if w in uni else unknown
     alpha, s2 = {}, {}
-    for h in {h for h, _ in pairs}:
-        seen = [w for x, w in pairs if x == h]
+    after = defaultdict(list)
+    for h, w in pairs:
+        after[h].append(w)
+    for h, seen in after.items():
         m = sum(disc(pairs[h, w], d2) for w in seen)
         left = max(1 - m / context[h], 1 / (context[h] + 1))
         s2[h], alpha[h] = (1 - left) * context[h] / m, left / (1 - sum(map(p, seen)))
@@ -307,9 +308,8 @@ def plain_katz(texts, common):
     return tokens, uni, n, prob, unknown
 
 
-def test_katz_query(spark, texts, monkeypatch):
-    monkeypatch.setattr(katz, "COMMON", katz.COMMON)
-    tokens, uni, n, prob, unknown = plain_katz(texts, katz.COMMON)
+def test_katz_query(spark, texts):
+    tokens, uni, n, prob, unknown = plain_katz(texts)
     rows = QUERIES["op8_katz_backoff"](spark, DIR).collect()
     assert len(rows) == len(texts)
     text, better = dict(texts), []
@@ -326,19 +326,21 @@ def test_katz_query(spark, texts, monkeypatch):
 
 
 def test_katz_adds_up_to_one(spark, texts):
-    for common in (1 / 20_000, 1 / 300):
-        _, uni, _, prob, unknown = plain_katz(texts, common)
-        for h in ["<s>", *[w for w, _ in uni.most_common(8)], min(uni, key=lambda w: (uni[w], str(w))), b"never seen"]:
-            if h is not None:
-                assert math.isclose(sum(prob(h, w) for w in [*uni, b"never seen"]), 1.0, rel_tol=1e-9)
-
-
-def test_katz_rare_words(spark, documents, texts):
-    """A higher share for common words sends more tokens the way of rare ones."""
-    tokens, uni, n, prob, _ = plain_katz(texts, 1 / 300)
+    _, uni, _, prob, unknown = plain_katz(texts)
+    for h in ["<s>", *[w for w, _ in uni.most_common(8)], min(uni, key=lambda w: (uni[w], str(w))), b"never seen"]:
+        if h is not None:
+            assert math.isclose(sum(prob(h, w) for w in [*uni, b"never seen"]), 1.0, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("share", [1 / 300, 2.0])
+def test_katz_rare_words(spark, documents, texts, monkeypatch, share):
+    """A higher share for the words that travel sends more tokens the way of rare ones."""
+    monkeypatch.setattr(katz, "SHARED", share)
+    monkeypatch.setattr(katz, "SLICE", 20_000)
+    tokens, uni, n, prob, _ = plain_katz(texts)
     text = dict(texts)
-    model = katz.Katz(documents, common=1 / 300)
-    assert len(model.counts) <= 302
+    model = katz.Katz(documents)
+    assert len(model.words.counts) <= 302
     for r in model.scores(documents).collect():
         t = tokens(text[r["doc_id"]])
         assert math.isclose(r["score"], sum(math.log10(prob(h, w)) for h, w in zip(["<s>", *t], t)), rel_tol=1e-9)
@@ -348,11 +350,11 @@ def test_katz_counts_every_pair(spark):
     """Pairs of words below any share of the corpus count; scores are those of the uncut model."""
     filler = " ".join(f"w{k}" for k in range(50)) + " " + "the " * 60_000
     texts = [(k, "Rare couple meets the rare couple again") for k in range(12)] + [(20 + k, f"{filler} x{k}") for k in range(3)]
-    tokens, uni, n, prob, _ = plain_katz(texts, 0)
+    tokens, uni, n, prob, _ = plain_katz(texts)
     assert uni[b"w7"] < n / 20_000 and not any(zlib.crc32(str(k).encode()) % 10 == 0 for k in (0, 20))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     model = katz.Katz(docs)
-    assert model.bigrams.count() == len({(h, w) for i, t in texts if zlib.crc32(str(i).encode()) % 10 for h, w in zip(["<s>", *tokens(t)], tokens(t))})
+    assert sum(len(katz._opened(r["blob"])[2]) for r in model.pairs.collect()) == len({(h, w) for i, t in texts if zlib.crc32(str(i).encode()) % 10 for h, w in zip(["<s>", *tokens(t)], tokens(t))})
     for r in model.scores(docs).collect():
         t = tokens(dict(texts)[r["doc_id"]])
         assert math.isclose(r["score"], sum(math.log10(prob(h, w)) for h, w in zip(["<s>", *t], t)), rel_tol=1e-9)
