@@ -290,7 +290,8 @@ def op13(spark, sf_dir):
 
     path = new_folder(spark)
     warc.write(table(spark, sf_dir, "pages"), path)
-    done = warc.resolved(warc.captures(cut(warc.read(spark, path, payloads=False))))
+    read = warc.read(spark, path, payloads=False).select("record_id", "type", "concurrent_to", "refers_to", "block", "payload_bytes", "payload_digest")
+    done = warc.resolved(warc.captures(cut(read)))
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

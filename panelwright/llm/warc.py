@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelwright.llm.common import cut
+from panelwright.llm.common import cut, shuffles_end
 
 LEAST = 1000
 FILE_BYTES = 32 << 20
@@ -59,19 +59,20 @@ def write(
 ) -> None:
     """Write the pages' records to a folder; date: the time of capture."""
     rows = pages.select(F.col(id).alias("id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("payload"))
-    rows = rows.withColumn("same", F.sha2("payload", 256))
+    rows = rows.withColumns({"same": F.unhex(F.sha2("payload", 256)), "key": F.coalesce(F.col("id").cast("string"), F.lit("none"))})
     size = F.octet_length("payload")
-    groups = rows.groupBy("same").agg(F.max("id").alias("first_id"), F.count("*").alias("n"), F.max(size).alias("bytes"))
-    groups = cut(groups.select("same", "first_id", "n", (F.col("n") * F.col("bytes")).alias("total"), (F.col("bytes") >= LEAST).alias("large")))
-    total = groups.agg(F.sum("total")).first()[0] or 0  # one row
-    shared = groups.where("large AND n > 1").select("same", "first_id", F.lit(True).alias("shared"))
-    # adaptive execution splits the pages of a payload with very many copies; then files of even size
-    dealt = rows.join(shared, "same", "left").repartition(max(1, -(-total // file_bytes)), "id", "same")
-    repeat = F.row_number().over(Window.partitionBy("id", "same").orderBy("id"))
+    keys = cut(rows.groupBy("key", "id", "same").agg(F.count("*").alias("n"), F.max(size).alias("bytes")))  # a narrow row a page
+    total = keys.agg(F.sum(F.col("n") * F.col("bytes"))).first()[0] or 0  # one row
+    groups = keys.where(F.col("bytes") >= LEAST).groupBy("same").agg(F.max("id").alias("first_id"), F.sum("n").alias("n")).where("n > 1").drop("n")
+    # adaptive execution splits the keys of a payload with very many copies
+    shared = cut(keys.select("key", "same").join(groups, "same").withColumn("shared", F.lit(True)))
+    # the pages move once, by id and payload, to files of even size
+    dealt = rows.repartition(max(1, -(-total // file_bytes)), "key", "same").join(shared, ["key", "same"], "left")
+    repeat = F.row_number().over(Window.partitionBy("key", "same").orderBy("key"))
     first = F.coalesce("shared", F.lit(False)) & F.col("id").eqNullSafe(F.col("first_id"))
     dealt = dealt.withColumn("response", F.col("shared").isNull() | (first & (repeat == 1)))
 
-    named = lambda id: _urn(F.md5(F.concat_ws(" ", F.lit("response"), "same", id.cast("string"))))
+    named = lambda id: _urn(F.md5(F.concat_ws(" ", F.lit("response"), F.hex("same"), id.cast("string"))))
     part = lambda kind: _urn(F.md5(F.concat_ws(" ", F.lit(kind), "_capture")))
     dealt = dealt.withColumn("_capture", F.uuid()).withColumn("_request", part("request"))
     own = F.when(F.col("response") & F.col("shared"), named(F.col("id"))).otherwise(part("response"))
@@ -98,7 +99,8 @@ def write(
         ),
         _record("metadata", [*common(part("metadata")), *linked, ("Content-Type", F.lit("application/json"))], F.to_json(F.struct(F.col("id").alias(id), F.col("url").alias(url)))),
     ]
-    dealt.select(F.explode(F.array(*records)).alias("value")).write.option("lineSep", END).text(path)
+    with shuffles_end(pages.sparkSession):
+        dealt.select(F.explode(F.array(*records)).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
 
 
 RECORD = (
