@@ -9,10 +9,11 @@ agree in one with about their Jaccard similarity.
 2. Bands of registers put classes into buckets.  Every class of a bucket is paired with the bucket's
    centre, the class whose buckets hold most classes (in a group of edited copies, the text they come
    from); pairs are estimated jointly by maximum likelihood from the registers, and what may reach the
-   threshold (four standard errors below it) is verified on the full sets.
+   threshold (four standard errors below it) is verified on the full sets.  The differences from the centre are kept.
 3. Links join components.  A bucket that still holds several components is searched in small blocks for
-   the pairs between components, which are estimated and verified in the same way, unless their distances
-   to the bucket's centre already rule a link out.  So no bucket is
+   the pairs between components, unless their distances to the bucket's centre already rule a link out.  They
+   are estimated in the same way and verified by their differences from the centre, within the task; only what was
+   not near enough to the centre to be compared with it goes on as a pair.  So no bucket is
    capped, no link between classes in a common bucket is lost, and pairs within a component are not made.
 
 With 28 bands of 5 registers a pair at a similarity of 0.85 shares no bucket with probability 7e-8, at
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.bpe import slices
-from panelwright.llm.common import cut
+from panelwright.llm.common import cut, given_back
 
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
@@ -139,6 +140,7 @@ def sketches(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
                     ],
                     names=["id", "n_shingles", "same", "regs", "bands"],
                 )
+        given_back()
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(
@@ -162,22 +164,25 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs with the sizes of their full sets' intersection and union: a, b, both, either."""
+    """The pairs with the sizes of their full sets' intersection and union, and what only one of them holds: a, b, both, either, only_a, only_b."""
     side = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
 
     def kept(parts):
         for batch in parts:
-            both, either = [], []
+            both, either, only_a, only_b = [], [], [], []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both.append(len(np.intersect1d(p, q, assume_unique=True)))
-                either.append(len(p) + len(q) - both[-1])
-            columns = [batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(either, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "both", "either"])
+                alone, other = np.setdiff1d(p, q, assume_unique=True), np.setdiff1d(q, p, assume_unique=True)
+                both.append(len(p) - len(alone))
+                either.append(len(p) + len(other))
+                only_a.append(alone.tobytes())
+                only_b.append(other.tobytes())
+            columns = [batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(either, pa.int64()), pa.array(only_a, pa.binary()), pa.array(only_b, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "both", "either", "only_a", "only_b"])
 
     kind = pairs.schema["a"].dataType.simpleString()
     paired = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
-    return paired.mapInArrow(kept, f"a {kind}, b {kind}, both long, either long")
+    return paired.mapInArrow(kept, f"a {kind}, b {kind}, both long, either long, only_a binary, only_b binary")
 
 
 def _links(compared: DataFrame, percent: int) -> DataFrame:
@@ -203,11 +208,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that may be links, from blocks of few rows.
-
-    open_rows: key, id, label, head (label of the bucket's centre), apart (Jaccard distance to the centre, null if
-    not compared), rows and strangers (rows with another label).  The distance is a metric, so two rows whose
-    distances to their centre differ by more than a link allows are no link.  Rows with the head's label meet the strangers' blocks alone; strangers meet all.
+    """Links (sure) and pairs that may be links of one bucket's rows in different components, from blocks of few rows.
+
+    open_rows: key, id, label, head (label of the bucket's centre), apart (Jaccard distance to the centre), gone and
+    fresh (what the row lacks of the centre and has beyond it; these three null if not compared), rows and strangers (rows with
+    another label).  The distance is a metric, so two rows whose distances to their centre differ by more than a link
+    allows are no link.  Two rows that have been compared with the centre are verified on the spot by their
+    differences from it, and one link stands for all between two components.  Rows with the head's label meet the
+    strangers' blocks alone; strangers meet all.
     """
     row = open_rows.join(classes.select("id", "n_shingles", "regs"), "id").withColumn("_own", F.col("label") == F.col("head"))
     blocks = lambda n: F.greatest(F.ceil(n / BLOCK), F.lit(1)).cast("int")
@@ -219,7 +227,7 @@ def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> Data
     low_high = lambda x: F.struct(F.least(x, F.col("_block")).alias("x"), F.greatest(x, F.col("_block")).alias("y"))
     met = F.when(F.col("_own"), upwards).otherwise(F.concat(upwards, downwards))
     dealt = row.withColumn("_pair", F.explode(F.transform(met, low_high))).select(
-        "key", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_block", "id", "label", "apart", "n_shingles", "regs"
+        "key", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_block", "id", "label", "apart", "gone", "fresh", "n_shingles", "regs"
     )
     dealt = dealt.repartition("key", "_x", "_y").sortWithinPartitions("key", "_x", "_y", "id")
     kind = classes.schema["id"].dataType.simpleString()
@@ -235,7 +243,7 @@ def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> Data
         if held is not None and held.num_rows:
             yield from _block_pairs(held, percent)
 
-    return dealt.mapInArrow(pairs, f"a {kind}, b {kind}").distinct()
+    return dealt.mapInArrow(pairs, f"a {kind}, b {kind}, sure boolean").distinct()
 
 
 def _starts(rows: pa.Table) -> np.ndarray:
@@ -247,10 +255,12 @@ def _starts(rows: pa.Table) -> np.ndarray:
 
 
 def _block_pairs(rows: pa.Table, percent: int, at_once: int = 200_000):
-    """Batches of the pairs in whole groups, of which the least band that both share is the group's."""
+    """Batches (a, b, sure) of the pairs in whole groups, of which the least band that both share is the group's."""
     column = lambda c: rows.column(c).to_numpy()
     ids, labels, sizes, blocks, keys, x, y, apart = map(column, ("id", "label", "n_shingles", "_block", "key", "_x", "_y", "apart"))
     apart = apart.astype(float)
+    known = ~np.isnan(apart)
+    gone, fresh = ([np.frombuffer(x or b"", np.uint64) for x in rows.column(c).to_pylist()] for c in ("gone", "fresh"))
     regs = np.frombuffer(b"".join(rows.column("regs").to_pylist()), "<u2").reshape(-1, REGISTERS)
     bands = band_keys(regs)
     starts = _starts(rows)
@@ -272,21 +282,39 @@ def _block_pairs(rows: pa.Table, percent: int, at_once: int = 200_000):
         i, j = i[first], j[first]
         fits = may_link(regs[i], regs[j], sizes[i], sizes[j], percent)
         i, j = i[fits], j[fits]
-        yield pa.RecordBatch.from_arrays([pa.array(np.maximum(ids[i], ids[j])), pa.array(np.minimum(ids[i], ids[j]))], names=["a", "b"])
+        sure = known[i] & known[j]
+        keep = ~sure
+        for k in np.flatnonzero(sure).tolist():
+            p, q = int(i[k]), int(j[k])
+            centre = sizes[p] - len(fresh[p]) + len(gone[p])
+            lacking = len(gone[p]) + len(gone[q]) - len(np.intersect1d(gone[p], gone[q], assume_unique=True))
+            both = centre - lacking + len(np.intersect1d(fresh[p], fresh[q], assume_unique=True))
+            keep[k] = 100 * both >= percent * (sizes[p] + sizes[q] - both)
+        i, j, sure = i[keep], j[keep], sure[keep]
+        joined = np.stack([np.minimum(labels[i], labels[j]), np.maximum(labels[i], labels[j])])
+        one = np.unique(np.where(sure, joined, np.stack([-1 - np.arange(len(i))] * 2)), axis=1, return_index=True)[1] if len(i) else i
+        i, j, sure = i[one], j[one], sure[one]
+        columns = [pa.array(np.maximum(ids[i], ids[j])), pa.array(np.minimum(ids[i], ids[j])), pa.array(sure)]
+        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "sure"])
         at = to
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 3, percent: int = SIMILARITY) -> DataFrame:
     """Per row of `docs`: id, n_shingles, component_id, kept.
 
-    Ids are integers and name documents: rows that repeat an id are one document.  Rows without an id are kept and
-    have no component.  component_id: the least id that links reach; kept: that document itself.
+    Ids are integers and name documents: rows that repeat an id are one document, which is linked with whatever one of
+    its texts is linked with.  Rows without an id are kept and have no component.  component_id: the least id that links
+    reach; kept: that document itself.
     """
-    rows = cut(sketches(docs, id, text, width))
+    if docs.schema[id].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"ids must be integers: {id}")
+    docs = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = cut(sketches(docs, "id", "text", width))
     sets_of = rows.where("n_shingles > 0 AND id IS NOT NULL")
-    members = sets_of.select("same", "id")
-    leasts = members.groupBy("same").agg(F.min("id").alias("rep"))
-    classes = cut(sets_of.join(leasts, "same").where("id = rep").select("id", "n_shingles", "regs", "bands", "same").dropDuplicates(["same"]))
+    # classes have numbers of their own: a document with several texts is in several
+    leasts = cut(sets_of.groupBy("same").agg(F.min("id").alias("rep")).withColumn("class", F.monotonically_increasing_id()))
+    found = sets_of.join(leasts, "same").where("id = rep").dropDuplicates(["same"])
+    classes = cut(found.select(F.col("class").alias("id"), "rep", "n_shingles", "regs", "bands", "same"))
     in_bands = classes.select("id", F.explode("bands").alias("key"))
     shared = cut(in_bands.join(in_bands.groupBy("key").agg(F.count("*").alias("rows")).where("rows > 1"), "key"))
     weights = shared.groupBy("id").agg(F.sum("rows").alias("_weight"))
@@ -294,35 +322,56 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     held = cut(shared.join(centres, "key"))  # classes that share a bucket
     stars = held.where("id <> centre").select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
     candidates = cut(_estimated(stars, classes, percent))
-    wanted = held.select("id").distinct()
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).join(wanted, "id")
+    wanted = classes.join(held.select("id").distinct(), "id").select(F.col("rep").alias("id"), "same", F.col("id").alias("class"))
+    texts = docs.join(wanted, "id").select("class", "same", "text")
 
     def full(parts):
+        import xxhash
+
         for batch in parts:
             texts = [x or "" for x in batch.column("text").to_pylist()]
             for a, b in slices(texts):
                 sets = [s.tobytes() for s in shingle_sets(texts[a:b], width)]
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "shingles"])
+                own = pa.array([xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, batch.column("same").slice(a, b - a).to_pylist(), strict=True)])
+                out = pa.RecordBatch.from_arrays([batch.column("class").slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "shingles"])
+                yield out.filter(own)
+        given_back()
 
-    kind = rows.schema["id"].dataType.simpleString()
-    sets = cut(texts.mapInArrow(full, f"id {kind}, shingles binary").dropDuplicates(["id"]))
+    sets = cut(texts.mapInArrow(full, "id long, shingles binary").dropDuplicates(["id"]))
     compared = cut(_compared(candidates, sets))
-    links = cut(_links(compared, percent))
+    links = _links(compared, percent)
+    several = cut(sets_of.groupBy("id").agg(F.min("same").alias("_one"), F.max("same").alias("_two")).where("_one <> _two").select("id"))
+    if not several.isEmpty():
+        twins = cut(sets_of.join(several, "id").select("id", "same").distinct().join(leasts, "same").select("id", "class"))
+        least = twins.groupBy("id").agg(F.min("class").alias("b"))
+        links = links.unionByName(twins.join(least, "id").where("class <> b").select(F.col("class").alias("a"), "b"))
+    links = cut(links)
     labels = components(links)
 
-    to_centre = compared.select("a", "b", (1 - F.col("both") / F.col("either")).alias("apart"))
+    to_centre = compared.select("a", "b", (1 - F.col("both") / F.col("either")).alias("apart"), "only_a", "only_b")
     placed = held.withColumns({"a": F.greatest("id", "centre"), "b": F.least("id", "centre")}).join(to_centre, ["a", "b"], "left")
-    placed = placed.withColumn("apart", F.when(F.col("id") == F.col("centre"), 0.0).otherwise(F.col("apart"))).drop("a", "b")
+    own, first = F.col("id") == F.col("centre"), F.col("id") == F.col("a")
+    placed = placed.withColumns(
+        {
+            "apart": F.when(own, 0.0).otherwise(F.col("apart")),
+            "gone": F.when(own, F.lit(b"")).when(first, F.col("only_b")).otherwise(F.col("only_a")),
+            "fresh": F.when(own, F.lit(b"")).when(first, F.col("only_a")).otherwise(F.col("only_b")),
+        }
+    ).drop("a", "b", "only_a", "only_b")
     named = placed.join(labels, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     head = named.where("id = centre").select("key", F.col("label").alias("head")).dropDuplicates(["key"])
     placed = cut(named.join(head, "key"))
     strangers = placed.where("label <> head").groupBy("key").agg(F.count("*").alias("strangers"))
-    open_rows = placed.join(strangers, "key").select("key", "id", "label", "head", "apart", "rows", "strangers")
-    more = cut(_links(_compared(_cross_pairs(open_rows, classes, percent), sets), percent))
+    open_rows = placed.join(strangers, "key").select("key", "id", "label", "head", "apart", "gone", "fresh", "rows", "strangers")
+    more = cut(_cross_pairs(open_rows, classes, percent))
+    more = cut(more.where("sure").select("a", "b").unionByName(_links(_compared(more.where("NOT sure").select("a", "b"), sets), percent)))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    of_class = classes.select("same", F.col("id").alias("rep")).join(labels.withColumnRenamed("id", "rep"), "rep", "left")
-    of_class = cut(of_class.select("same", F.coalesce("component", "rep").alias("_class")))
+    # a component is named by the least id in it
+    of_component = labels.join(classes.select("id", "rep"), "id")
+    least = of_component.groupBy("component").agg(F.min("rep").alias("_class"))
+    named = of_component.join(least, "component").select("id", "_class")
+    of_class = cut(classes.select("same", "id", "rep").join(named, "id", "left").select("same", F.coalesce("_class", "rep").alias("_class")))
     joined = rows.select("id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("same")).alias("same")).join(of_class, "same", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("_class", "id"))
     return joined.select(
