@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import struct
 import zlib
-from array import array
 
 import numpy as np
 import pandas as pd
@@ -22,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.bpe import KEPT, Recent, encode_by_chunks, slices
-from panelwright.llm.common import new_folder, shuffle_partitions, worker_memo
+from panelwright.llm.bpe import KEPT, Recent, slices, split_chunks
+from panelwright.llm.common import given_back, new_folder, shuffle_partitions, shuffles_end, worker_memo
 
 MAGIC = b"RANSBLK1"
 SCALE_BITS = 20
 LANES = 2048
 #: Coding steps (of up to LANES ids each) from one checkpoint to the next, and ids in a block, about.
 CHECKPOINT, BLOCK_IDS = 256, 1 << 20
+#: Code points of text that are tokenised together, about.
+SLICE = 6_000_000
 _LOW = 31  # states stay within 2**31 and 2**63
 _HEADER = "<8sIQQIII"  # magic, documents, ids, words, checkpoints, crc of ids, crc of the rest
 
@@ -140,7 +141,10 @@ def decode_block(payload: bytes, table: Table, from_step: int = 0, to_step: int
 
 
 class Tokens:
-    """Ids of texts by the tokenizers library; a chunk between leading spaces is encoded seldom more than once a task."""
+    """Ids of texts by the tokenizers library; a chunk between leading spaces is encoded seldom more than once a worker.
+
+    Texts that spell a special token are encoded whole, since what is around it then counts.
+    """
 
     def __init__(self, tokenizer_json: str):
         import os
@@ -149,20 +153,65 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Type of an id: two bytes if all ids fit.
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        a, line, b = (self._ids(x) for x in ("a", "\n", " b"))
+        #: Id of a line end, which parts two chunks that have none.
+        self.line = line[0] if len(line) == 1 and self._ids("a\n b").tolist() == [*a, line[0], *b] else None
         self.forget()
-        #: Array type of an id: two bytes if all ids fit.
-        self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
 
     def forget(self) -> None:
         self.recent = Recent(2 * KEPT)
 
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+
+    def _singly(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [array(self.kind, e.ids).tobytes() for e in coded]
+        """Ids of chunks with their leading space: many at a time, a line end between them."""
+        known = {}
+        plain = [c for c in chunks if c and "\n" not in c and not c[-1].isspace()] if self.line is not None else []
+        groups = [plain[k : k + 512] for k in range(0, len(plain), 512)]
+        lines = self.tokenizer.encode_batch_fast(["\n".join([" " + c for c in g]) for g in groups], add_special_tokens=False)
+        for group, e in zip(groups, lines, strict=True):
+            ids = np.array(e.ids, self.kind)
+            ends = np.append(np.flatnonzero(ids == self.line), len(ids)) * self.kind.itemsize
+            if len(ends) == len(group):
+                raw = ids.tobytes()
+                begins = np.append(0, ends[:-1] + self.kind.itemsize)
+                known.update(zip(group, [raw[x:y] for x, y in zip(begins.tolist(), ends.tolist(), strict=True)], strict=True))
+        rest = [c for c in chunks if c not in known]
+        known.update(zip(rest, self._singly([" " + c for c in rest]), strict=True))
+        return [known[c] for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [b"".join(parts) for parts in encode_by_chunks(texts, self._chunks, self.recent)]
+        special = [any(s in t for s in self.specials) for t in texts]
+        cut = [("", []) if whole else split_chunks(t) for t, whole in zip(texts, special, strict=True)]
+        # every distinct chunk once; texts are then put together by number
+        heads = [t if whole else head for t, (head, _), whole in zip(texts, cut, special, strict=True)]
+        flat = pa.array([c for _, chunks in cut for c in chunks], pa.string()).dictionary_encode()
+        distinct = flat.dictionary.to_pylist()
+        known, missing = self.recent.known(set(distinct))
+        known.update(zip(missing, self._chunks(missing), strict=True))
+        pieces = [known[c] for c in distinct] + self._singly(heads)
+        counts = np.fromiter((len(chunks) + 1 for _, chunks in cut), np.int64, len(cut))
+        begins = np.cumsum(counts) - counts
+        numbers = np.empty(int(counts.sum()), np.int64)
+        is_head = np.zeros(len(numbers), bool)
+        is_head[begins] = True
+        numbers[is_head] = len(distinct) + np.arange(len(cut))
+        numbers[~is_head] = flat.indices.to_numpy()
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
+        starts = np.cumsum(sizes) - sizes
+        own = sizes[numbers]
+        upto = np.cumsum(own)
+        ids = np.frombuffer(b"".join(pieces), self.kind)[np.repeat(starts[numbers] - (upto - own), own) + np.arange(upto[-1] if len(upto) else 0)]
+        ends = (upto[begins + counts - 1] * self.kind.itemsize).tolist()
+        raw = ids.tobytes()
+        return [raw[x:y] for x, y in zip([0, *ends], ends, strict=False)]
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,14 +227,14 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id",
             memo.clear()
             memo[key] = Tokens(definition.value)
         tokens = memo[key]
-        end, width = array(tokens.kind, [end_id]).tobytes(), array(tokens.kind).itemsize
+        end, width = np.array([end_id], tokens.kind).tobytes(), tokens.kind.itemsize
         for batch in parts:
             texts = [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 ids = [x + end for x in tokens.encode(texts[a:b])]
                 sizes, widths = pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sizes, widths, pa.array(ids, pa.binary())], names=["id", "n_tokens", "width", "ids"])
-        tokens.forget()
+        given_back()
 
     return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(batches, f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, width int, ids binary")
 
@@ -259,7 +308,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id: str =
             yield flush()
 
     kind = tokens.schema["id"].dataType.simpleString()
-    ranged.select("id", "width", "ids").mapInArrow(blocks, f"range long, block long, before long, n_ids long, doc_ids array<{kind}>, payload binary").write.parquet(f"{path}/blocks")
+    schema = f"range long, block long, before long, n_ids long, doc_ids array<{kind}>, payload binary"
+    with shuffles_end(spark):
+        ranged.select("id", "width", "ids").mapInArrow(blocks, schema).write.parquet(f"{path}/blocks")
 
 
 def read(spark, path: str) -> DataFrame:
