@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from panelwright.llm.common import worker_memo
+from panelwright.llm.common import given_back, worker_memo
 
 #: Code points of text handled at a time, and entries of a generation that a task keeps of each kind.
 SLICE, KEPT = 2_000_000, 300_000
@@ -163,7 +163,7 @@ class Codec:
 
     def forget(self) -> None:
         """Let go of what the last task encoded and decoded; the tables stay with the worker."""
-        self.word_ids, self.chunk_ids, self.sequence_bytes = Recent(), Recent(), Recent()
+        self.word_ids, self.chunk_ids, self.sequence_bytes = Recent(KEPT // 4), Recent(), Recent(KEPT // 2)
 
     def _table(self, name: str, columns: tuple, rows: list) -> None:
         given = pa.table([pa.array(c, pa.string() if c and isinstance(c[0], str) else pa.int32()) for c in zip(*rows, strict=True)], names=columns)
@@ -284,6 +284,7 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
                     [*batch.slice(a, b - a).columns, *(pa.array(m, pa.binary()) for m in made)], names=[*batch.schema.names, *added]
                 )
         codec.forget()
+        given_back()
 
     return df.mapInArrow(batches, schema)
 

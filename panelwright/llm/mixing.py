@@ -220,15 +220,12 @@ def plan_mix(sized: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, blo
 def mixed(docs: DataFrame, text: str = "text", source: str = "source", **options) -> DataFrame:
     """The mix as rows with the columns of `docs`: each document as often as it is taken.
 
-    A document at the end of a source's quota is taken in part: its last copy holds the words taken.
+    A document at the end of a source's quota is taken in part: its last copy, too, is the whole text, so a source has
+    up to one document more than its target.
     """
     rows = cut(numbered_rows(docs))
     sized = cut(sizes(rows, text, source))
     plan = plan_mix(sized, **options).where("taken > 0")
     copies = F.expr("CAST(ceil(taken / size) AS INT)")
-    rest = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
-    whole = F.col(f"_row.`{text}`")
-    first = F.array_join(F.slice(F.split(F.trim(F.regexp_replace(whole, r"[\x20\x09-\x0D]+", " ")), " "), 1, rest.cast("int")), " ")
-    out = rows.join(plan.select("_rid", "size", "taken"), "_rid").withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
-    cut_text = F.when(rest >= F.col("size"), whole).otherwise(first)
-    return out.select(*(cut_text.alias(c) if c == text else F.col(f"_row.`{c}`") for c in docs.columns))
+    out = rows.join(plan.select("_rid", copies.alias("_copies")), "_rid").withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
+    return out.select(*(F.col(f"_row.`{c}`") for c in docs.columns))

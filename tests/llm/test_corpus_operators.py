@@ -126,9 +126,14 @@ def test_schedule_is_even(spark):
 def test_mixed_rows(spark, odd, empty):
     out = mixing.mixed(odd)
     assert out.columns == odd.columns
-    rows, sized = out.collect(), cut(mixing.sizes(cut(mixing.numbered_rows(odd))))
-    words = sum(len(r["text"].split()) for r in rows)
-    assert words == mixing.plan_mix(sized).groupBy().sum("taken").first()[0]
+    sized = cut(mixing.sizes(cut(mixing.numbered_rows(odd)), keep=("text",)))
+    plan = mixing.plan_mix(sized).join(sized.select("_rid", "text"), "_rid").collect()
+    want = Counter()
+    for r in plan:
+        if r["taken"]:
+            want[r["text"]] += -(-r["taken"] // r["size"])
+    # every copy is the whole text, white space included
+    assert Counter(r["text"] for r in out.collect()) == want and any(r["taken"] % r["size"] for r in plan if r["size"])
     assert mixing.mixed(empty).collect() == []
 
 
@@ -245,6 +250,17 @@ def test_neardup_groups_and_chains(spark):
     assert got == plain_components(rows, 3, 85)
 
 
+def test_neardup_ids_with_several_texts(spark):
+    rng = random.Random(4)
+    a, b = ([f"{x}{rng.randrange(10**6)}" for _ in range(80)] for x in "ab")
+    near = lambda words: " ".join([*words[:-1], "changed"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (4, "x y z"), (4, "x y z")]
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id int, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4}
+    with pytest.raises(TypeError):
+        neardup.near_duplicates(spark.createDataFrame([("a", "b")], "doc_id string, text string"))
+
+
 def test_joint_likelihood():
     """The estimate follows the true similarity."""
     rng = np.random.default_rng(1)

@@ -114,7 +114,6 @@ def test_rans_query(spark, texts):
     from panelwright.llm.catalog import QUERIES
 
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     got = {r["doc_id"]: r for r in QUERIES["op3_rans_ids"](spark, "/root/testdata/sf0.001").collect()}
     start = 0
     for i, text in texts:
@@ -124,6 +123,19 @@ def test_rans_query(spark, texts):
     assert len(got) == len(texts)
 
 
+def test_ids_of_odd_texts():
+    """As the library with its defaults gives them, a literal special token included."""
+    from tokenizers import Tokenizer
+
+    t, own = Tokenizer.from_file(JSON), rans.Tokens(open(JSON, encoding="utf-8").read())
+    rng = random.Random(6)
+    parts = [" ", "  ", "\n", "\n\n", "\t", "a", "It's", "word,", "größe", "日本", "\xa0", "x.\ny", "123", "<|endoftext|>", "😀", "!!!", "<|endoftext", "\r\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(800)] + ["a <|endoftext|> b", "<|endoftext|>", " <|endoftext|> x\n <|endoftext|>"]
+    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert own.encode(["a <|endoftext|> b"]) == [np.array([64, 220, 50256, 275], own.kind).tobytes()]
+    assert own.encode([]) == [] and own.encode(["", ""]) == [b"", b""]
+
+
 def test_rans_frames(spark, odd, empty):
     path = new_folder(spark)
     rans.write(odd, path, JSON, end_id=0)
