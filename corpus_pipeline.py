@@ -22,8 +22,8 @@ def _length_anew(docs: DataFrame) -> DataFrame:
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the host-level quality rules keep."""
-    measured = quality.measure(docs)
-    rates = cut(quality.host_rates(quality.measure(docs.select("source", "text"))))
+    measured = cut(quality.measure(docs))
+    rates = cut(quality.host_rates(measured))
     return quality.judged(measured, rates).where("_quality_verdict.kept").select(*docs.columns)
 
 
