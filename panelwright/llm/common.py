@@ -63,6 +63,18 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_by(df: DataFrame, column: str) -> DataFrame:
+    """As `cut`, into as many bucket files by a column as shuffle partitions, so that grouping by it needs no shuffle again.
+
+    The catalogue's entry has a name of its own and outlives the files in a permanent catalogue only.
+    """
+    spark = df.sparkSession
+    path, name = new_folder(spark), f"panelwright_{uuid.uuid4().hex}"
+    with shuffles_end(spark):
+        df.write.bucketBy(shuffle_partitions(spark), column).format("parquet").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def gone(*tables: DataFrame) -> None:
     """Delete tables that `cut` has written and nothing reads any more."""
     for table in tables:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.bpe import slices
-from panelwright.llm.common import cut, gone, shuffle_partitions
+from panelwright.llm.common import cut, cut_by, gone, shuffle_partitions
 
 SHARED = 1 / 200_000
 K = 5
@@ -165,7 +165,7 @@ def contexts(keys: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Katz:
-    """The model: a table of unigrams (key, n), one of pairs (a row a bucket), and `words`, which can be broadcast."""
+    """The model: a table of pairs with their words' counts (a row a bucket), and `words`, which can be broadcast."""
 
     def __init__(self, docs: DataFrame, id: str = "doc_id", text: str = "text"):
         spark = docs.sparkSession
@@ -178,7 +178,7 @@ class Katz:
                 yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(n.astype(np.int64))], names=["key", "n"])
 
         counted = texts.mapInArrow(unigrams, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-        self.unigrams = cut(counted)
+        self.unigrams = cut(counted)  # until the pairs know their words' counts
         of_counts = [F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, K + 2)]
         row = self.unigrams.agg(F.sum("n").alias("tokens"), F.count("*").alias("words"), *of_counts).first()  # one row
         tokens, known = row["tokens"] or 0, row["words"]
@@ -251,8 +251,8 @@ class Katz:
         # a rare word's count goes to the buckets that hold it after some context
         known = pairs.select("bucket", "blob").mapInArrow(asked, "bucket int, key long").join(self.unigrams, "key").select("bucket", "key", "n")
         both = pairs.select("bucket", "blob").groupBy("bucket").cogroup(known.groupBy("bucket"))
-        self.pairs = cut(both.applyInArrow(with_counts, "bucket int, blob binary, h array<long>, c array<long>, mass array<double>, seen array<double>"))
-        gone(pairs)
+        self.pairs = cut_by(both.applyInArrow(with_counts, "bucket int, blob binary, h array<long>, c array<long>, mass array<double>, seen array<double>"), "bucket")
+        gone(pairs, self.unigrams)
         parts = self.pairs.select(F.explode(F.arrays_zip("h", "c", "mass", "seen")).alias("x")).select("x.*")
         own = parts.groupBy("h").agg(*(F.sum(c).alias(c) for c in ("c", "mass", "seen"))).toPandas()  # the shared contexts
         if len(own):
