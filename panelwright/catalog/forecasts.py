@@ -476,6 +476,16 @@ def residual_pass_rates(spark, sf_dir):
     return accuracy.residual_pass_rates(accuracy.residual_diagnostics(residuals(spark, sf_dir)))
 
 
+@query(
+    "residual_failures",
+    f"""WITH {_RESIDUALS} SELECT series_id, concat_ws(',', CASE WHEN NOT ljungbox_pass THEN 'ljungbox' END, CASE WHEN NOT normality_pass THEN 'normality' END) AS failed,
+        ljungbox_pvalue, normality_pvalue FROM diag WHERE NOT (coalesce(ljungbox_pass, true) AND coalesce(normality_pass, true))""",
+    "ljungbox_pvalue normality_pvalue",
+)
+def residual_failures(spark, sf_dir):
+    return accuracy.failing_series(accuracy.residual_diagnostics(residuals(spark, sf_dir)))
+
+
 # --- corrections ----------------------------------------------------------------------------------
 
 CORRECTED = "SELECT series_id, year, month, y AS claim_count, p AS y_pred, y - p AS error, abs(y - p) AS abs_error FROM x"

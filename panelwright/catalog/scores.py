@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from panelwright.catalog.base import LAST_HALF, LAST_YEAR, TRAIN_SLOTS, actuals, comparison, history, holdout_errors, month_panel, naive, query
+from panelwright.catalog.base import LAST_HALF, LAST_YEAR, SLOTS, TRAIN_SLOTS, actuals, comparison, history, holdout_errors, month_panel, naive, query
 from panelwright.catalog.forecasts import KPI, METRICS
 from panelwright.catalog.series import _GUARDS, _IQR, MONTHLY_GUARDS
 from panelwright.config import FACTORS, SCORE100_WEIGHTS, OrderGrid
@@ -95,7 +95,7 @@ def ews_report_dense(spark, sf_dir):
 
 @query("ews_report_changepoints")
 def ews_report_changepoints(spark, sf_dir):
-    return scoring.report(factors(spark, sf_dir, with_changes=True))
+    return scoring.report(factors(spark, sf_dir, "dense", with_changes=True))
 
 
 _SCALED = """sp AS (SELECT min(f1_ratio) AS a1, max(f1_ratio) AS b1, min(f3_season) AS a3, max(f3_season) AS b3, min(f4_ampl) AS a4, max(f4_ampl) AS b4,
@@ -155,8 +155,9 @@ def ews_levels(spark, sf_dir):
     f"""WITH {factors_sql('s')}, u AS (SELECT unnest(['f1_ratio', 'f2_conf', 'f3_season', 'f4_ampl', 'f5_inflect']) AS factor,
         unnest([f1_ratio, f2_conf, f3_season, f4_ampl, f5_inflect]) AS v FROM fac)
         SELECT factor, count(*) AS n_series, CAST(count(v) AS DOUBLE) / count(*) AS known_ratio, avg(v) AS mean, stddev_samp(v) AS std, min(v) AS min, max(v) AS max,
+        quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75,
         count_if(round(v, 9) >= 0.5)::BIGINT AS n_high FROM u GROUP BY 1""",
-    "known_ratio mean std min max",
+    "known_ratio mean std min max q25 q50 q75",
 )
 def ews_factor_summary(spark, sf_dir):
     return scoring.factor_summary(factors(spark, sf_dir))
@@ -314,22 +315,18 @@ def backtest_factors(spark, sf_dir):
 
 @query("backtest_factors_forecast_proxy")
 def backtest_factors_forecast_proxy(spark, sf_dir):
-    return backtest.point_in_time(month_panel(spark, sf_dir, "sparse"), [LAST_HALF, TRAIN_SLOTS], proxy="forecast", with_changes=True)
+    return backtest.point_in_time(month_panel(spark, sf_dir), [LAST_HALF, TRAIN_SLOTS], proxy="forecast", with_changes=True)
 
 
 @query("weight_learning")
 def weight_learning(spark, sf_dir):
     """Weights learned in the folds of the whole 80-month span."""
-    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse"))
-    p = panel.dense_panel(counts, end=(2001, 12), start=(1995, 1))
-    return backtest.average_folds(backtest.backtest_folds(p, 84))
+    return backtest.average_folds(weight_folds(spark, sf_dir))
 
 
 @query("weight_folds")
 def weight_folds(spark, sf_dir):
-    counts = panel.slot_counts(tables.claims(spark, sf_dir, "sparse"))
-    p = panel.dense_panel(counts, end=(2001, 12), start=(1995, 1))
-    return backtest.backtest_folds(p, 84)
+    return backtest.backtest_folds(month_panel(spark, sf_dir), SLOTS)
 
 
 # --- seasonal models ------------------------------------------------------------------------------
@@ -540,12 +537,28 @@ def month_detection(spark, sf_dir):
     return found.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("first_date", "last_date")})
 
 
-@query("manifest_fingerprint")
+_PRINT = """rows_ AS (SELECT md5(concat_ws('|', {cells})) AS h FROM claims_d),
+ halves AS (SELECT CAST('0x' || substr(h, 1, 16) AS UBIGINT)::HUGEINT AS a, CAST('0x' || substr(h, 17, 16) AS UBIGINT)::HUGEINT AS b FROM rows_),
+ print AS (SELECT count(*) AS n_rows, lower(lpad(hex(CAST(sum(a) % 18446744073709551616::HUGEINT AS UBIGINT)), 16, '0')) || '-' ||
+   lower(lpad(hex(CAST(sum(b) % 18446744073709551616::HUGEINT AS UBIGINT)), 16, '0')) AS data_hash FROM halves)""".format(
+    cells=", ".join(
+        f"coalesce('=' || replace(replace(CAST({c} AS VARCHAR), '%', '%25'), '|', '%7C'), '')"
+        for c in ("claim_count", "lag_days", "manufacturing_date", "mid_category", "occurrence_date", "plant", "product_cat2")
+    )
+)
+
+
+@query("manifest_fingerprint", f"WITH {_PRINT} SELECT n_rows, data_hash FROM print")
 def manifest_fingerprint(spark, sf_dir):
     return manifest.fingerprint(tables.claims(spark, sf_dir))
 
 
-@query("manifest_comparison")
+@query(
+    "manifest_comparison",
+    f"""WITH {_PRINT} SELECT 'data_hash' AS key, data_hash AS value_a, data_hash AS value_b, true AS same FROM print
+        UNION ALL SELECT 'n_rows', CAST(n_rows AS VARCHAR), CAST(n_rows AS VARCHAR), true FROM print
+        UNION ALL SELECT * FROM (VALUES ('cv_scheme', 'rolling3fold_24m', 'rolling3fold_24m', true), ('seed', '42', '7', false), ('val_window', '6', '6', true))""",
+)
 def manifest_comparison(spark, sf_dir):
     """Two runs on the same claims, the second with another seed."""
     rows = tables.claims(spark, sf_dir)
@@ -572,6 +585,46 @@ def stream_month_panel(spark, sf_dir):
     return files.read_panel(spark, f"{folder}/panel").select("series_id", "year", "month", "claim_count")
 
 
+def _redelivered(spark, sf_dir):
+    """All claims delivered by month in two parts each, in several batches: parts of one delivery arrive apart, every March is
+    first sent with one category only, and second parts hold stray rows of the month after.  Returns the panel's path."""
+    folder = f"{ranking.shared_folder(spark)}/month-stream-{uuid.uuid4().hex}"
+    inbox = f"{folder}/inbox"
+    rows = tables.claims(spark, sf_dir).select(*(F.col(c).cast("string") for c in ("plant", "product_cat2", "mid_category", "manufacturing_date", "claim_count")))
+    made = F.to_date("manufacturing_date")
+    of_month = F.date_format(made, "yyyy-MM")
+    second = F.xxhash64("product_cat2") % 2 == 0
+    stale = rows.where((F.month(made) == 3) & (F.col("mid_category") == "R")).withColumn("delivery", F.concat(F.lit("first-"), of_month))
+    stray = rows.where((F.dayofmonth(made) == 1) & (F.col("mid_category") == "N") & (F.month(made) > 1))
+    stray = stray.withColumn("delivery", F.date_format(F.add_months(made, -1), "yyyy-MM"))
+    whole = rows.withColumn("delivery", of_month)
+    for part in (stale, whole.where(~second), whole.where(second).unionByName(stray)):
+        part.repartition("delivery").write.mode("append").partitionBy("delivery").parquet(inbox)
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 60).parquet(inbox)
+    delivery = month_files.delivery(inbox, F.col("_metadata.file_path")).alias("_file")
+    arrived = stream.select("*", delivery, F.col("_metadata.file_modification_time").alias("_at"))
+    month_files.ingest_months(arrived, f"{folder}/panel", f"{folder}/progress").awaitTermination()
+    return f"{folder}/panel"
+
+
+@query("stream_redelivery", "SELECT series_id, year, month, y AS claim_count FROM counts_d")
+def stream_redelivery(spark, sf_dir):
+    return files.read_panel(spark, _redelivered(spark, sf_dir)).select("series_id", "year", "month", "claim_count")
+
+
+@query(
+    "stream_left_out",
+    """SELECT 'first-' || strftime(manufacturing_date, '%Y-%m') AS delivery, CAST(year(manufacturing_date) AS INT) AS year, CAST(3 AS INT) AS month,
+       count(*) AS rows, 'superseded' AS reason FROM claims_d WHERE month(manufacturing_date) = 3 AND mid_category = 'R' GROUP BY 1, 2
+       UNION ALL
+       SELECT strftime(CAST(manufacturing_date - INTERVAL 1 MONTH AS DATE), '%Y-%m'), CAST(year(manufacturing_date) AS INT), CAST(month(manufacturing_date) AS INT),
+       count(*), 'stray' FROM claims_d WHERE day(manufacturing_date) = 1 AND mid_category = 'N' AND month(manufacturing_date) > 1 GROUP BY 1, 2, 3""",
+)
+def stream_left_out(spark, sf_dir):
+    rows = spark.read.parquet(f"{_redelivered(spark, sf_dir)}_dropped")
+    return rows.withColumn("delivery", F.substring_index("delivery", "=", -1))
+
+
 @query(
     "comparison_kpi_by_series",
     f"SELECT *, coalesce(mape < 0.2 AND abs(bias) < 0.05, false) AS passed FROM (SELECT series_id, {KPI} FROM cmp_d GROUP BY 1)",

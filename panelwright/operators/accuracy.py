@@ -308,6 +308,13 @@ def residual_pass_rates(diagnostics: DataFrame) -> DataFrame:
     )
 
 
+def failing_series(diagnostics: DataFrame) -> DataFrame:
+    """Series that fail a residual test, and which: series_id, failed (`ljungbox`, `normality`), and the p-values."""
+    failed = [F.when(~F.col(f"{test}_pass"), F.lit(test)) for test in ("ljungbox", "normality")]
+    named = diagnostics.withColumn("failed", F.concat_ws(",", *failed)).where("failed <> ''")
+    return named.select("series_id", "failed", "ljungbox_pvalue", "normality_pvalue")
+
+
 def tuning_gain(tuned: DataFrame, original: DataFrame) -> DataFrame:
     """Tuned against original MASE per series with the improvement in percent."""
     before = original.select("series_id", F.col("mase").alias("original_mase"))

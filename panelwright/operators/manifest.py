@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and a hash of the content that does not depend on row order, as one row.
 
-    Sum and xor of the row hashes together tell repeated rows apart from absent ones.
+    The hash is the sum of the halves of the rows' MD5, modulo 2^64 each: a fingerprint of the multiset of rows, which
+    merges by addition, tells repeated rows apart from absent ones, and can be repeated in any SQL.  A row's text joins its
+    columns in order of their names by `|`, each as `=` and the value (with % and | as %25 and %7C), or nothing for null.
     """
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
-    return df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.lpad(F.lower(F.hex(F.bit_xor(h))), 16, "0").alias("xor_hash"),
-        F.sum(F.pmod(h, F.lit(1_000_003))).alias("sum_hash"),
-    ).select("n_rows", F.concat_ws("-", "xor_hash", F.hex("sum_hash")).alias("data_hash"))
+    text = lambda c: F.regexp_replace(F.regexp_replace(F.col(f"`{c}`").cast("string"), "%", "%25"), r"\|", "%7C")
+    h = F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), text(c)), F.lit("")) for c in sorted(df.columns)]))
+    half = lambda a: F.sum(F.conv(F.substring(h, a, 16), 16, 10).cast("decimal(20,0)"))
+    print_of = lambda c: F.lpad(F.lower(F.conv((F.col(c) % F.lit(str(2**64)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 10, 16)), 16, "0")
+    sums = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(half(1), F.lit(0)).alias("_a"), F.coalesce(half(17), F.lit(0)).alias("_b"))
+    return sums.select("n_rows", F.concat_ws("-", print_of("_a"), print_of("_b")).alias("data_hash"))
 
 
 def manifest(spark: SparkSession, run_id: str, settings: dict[str, object], data: DataFrame | None = None) -> DataFrame:

@@ -281,6 +281,7 @@ def factor_summary(factors: DataFrame) -> DataFrame:
         F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
+        *[F.percentile(v, F.lit(q / 100)).alias(f"q{q}") for q in (25, 50, 75)],
         F.count_if(v >= 0.5).alias("n_high"),
     )
 

@@ -1,10 +1,11 @@
 """Month files that arrive in a folder, as a stream into the monthly panel.
 
-A delivery is a file in the folder, or a folder of part files in it, which count together.  It stands for
-one manufacture month, the one most of its rows belong to; its other rows are dropped and counted in the
-table beside the panel (`_dropped` behind its name), and the month is replaced.  Of several deliveries for one month
-the newest counts.  A delivery repeated, or a batch replayed after a failure, therefore leaves the same
-panel, and a stray row never wipes out another month.  The part files of a delivery must arrive in one batch.
+A delivery is a file in the folder, or a folder of part files in it, which count together, in whatever batches they
+arrive.  It stands for one manufacture month, the one most of its rows belong to.  Of several deliveries for one month
+the newest counts.  A ledger beside the panel (`_ledger` behind its name) keeps the counts of every delivery by month and
+batch; a batch adds to it, and the months it touches are counted anew from it.  A delivery repeated, or a batch
+replayed after a failure, therefore leaves the same panel, and a stray row never wipes out another month.  What the panel
+does not count is listed in a table (`_dropped` behind its name).  Ledger and stream progress belong together.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from panelwright.operators import panel
+from panelwright.functions import columns
+from panelwright.operators import panel, ranking
 from panelwright.plans.monthly import overwrite_month
 from panelwright.schema import RAW_CLAIMS
 from panelwright.sources import files
@@ -45,36 +47,73 @@ def _dated(rows: DataFrame) -> DataFrame:
     return files.typed_claims(rows, extra=("_file", "_at")).where(d.isNotNull()).withColumns({"_y": F.year(d), "_m": F.month(d)})
 
 
-def _newest(counts: DataFrame) -> DataFrame:
-    """(_file, _y, _m): the newest delivery of each month; a delivery is as new as its newest part."""
-    own = counts.groupBy("_file").agg(F.max("_at").alias("_at"), F.max_by(F.struct("_y", "_m"), F.struct("k", "_y", "_m")).alias("t"))
-    return own.groupBy("t").agg(F.max_by("_file", F.struct("_at", "_file")).alias("_file")).select("_file", "t._y", "t._m")
+def _entries(dated: DataFrame) -> DataFrame:
+    """The ledger's rows of one batch: counts by delivery, series and month; rows without a key only count as rows."""
+    by_series = dated.groupBy(F.col("_file").alias("delivery"), *panel.KEYS, F.col("_y").alias("year"), F.col("_m").alias("month"))
+    return by_series.agg(F.sum("claim_count").cast("double").alias("claim_count"), F.count(F.lit(1)).alias("rows"), F.max("_at").alias("at"))
 
 
-def _counts(dated: DataFrame) -> DataFrame:
-    """Rows by delivery and month, a table the size of the file list."""
-    return dated.groupBy("_file", "_y", "_m").agg(F.count(F.lit(1)).alias("k"), F.max("_at").alias("_at"))
+def by_delivery(entries: DataFrame) -> DataFrame:
+    """Rows by delivery and month, a table the size of the list of deliveries."""
+    return entries.groupBy("delivery", "year", "month").agg(F.sum("rows").alias("rows"), F.max("at").alias("at"))
 
 
-def target_rows(rows: DataFrame) -> DataFrame:
-    """Typed claim rows of each delivery's own month, from the newest delivery of that month."""
-    dated = _dated(rows)
-    return dated.join(_newest(_counts(dated)), ["_file", "_y", "_m"], "left_semi").drop("_file", "_at", "_y", "_m")
+def standing(counts: DataFrame) -> DataFrame:
+    """(delivery, year, month): the newest delivery of each month; a delivery is as new as its newest part."""
+    month = F.struct("year", "month")
+    own = counts.groupBy("delivery").agg(F.max("at").alias("at"), F.max_by(month, F.struct("rows", "year", "month")).alias("t"))
+    return own.groupBy("t").agg(F.max_by("delivery", F.struct("at", "delivery")).alias("delivery")).select("delivery", "t.year", "t.month")
 
 
-def dropped_rows(rows: DataFrame) -> DataFrame:
-    """(delivery, year, month, rows) of the dated rows that `target_rows` leaves out."""
-    counts = _counts(_dated(rows))
-    left = counts.join(_newest(counts), ["_file", "_y", "_m"], "left_anti")
-    return left.select(F.col("_file").alias("delivery"), F.col("_y").alias("year"), F.col("_m").alias("month"), F.col("k").alias("rows"))
+def left_out(counts: DataFrame) -> DataFrame:
+    """(delivery, year, month, rows, reason) of the rows that the panel does not count: `stray` in a delivery of another
+    month, or `superseded` by a newer delivery of the month."""
+    month = F.struct("year", "month")
+    own = counts.groupBy("delivery").agg(F.max_by(month, F.struct("rows", "year", "month")).alias("t"))
+    rest = counts.join(standing(counts), ["delivery", "year", "month"], "left_anti").join(own, "delivery")
+    reason = F.when(F.col("t") == month, F.lit("superseded")).otherwise(F.lit("stray"))
+    return rest.select("delivery", "year", "month", "rows", reason.alias("reason"))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def replace_months(panel_path: str):
-    """Batch function: count the rows of each month per series and overwrite those months."""
+    """Batch function: enter the batch in the ledger and count the months anew whose deliveries it touches.
+
+    The ledger is partitioned by month and batch, and a batch replaces its own partitions, so a batch replayed changes
+    nothing.  Only the affected months are read from it by series.
+    """
+    ledger = f"{panel_path}_ledger"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        overwrite_month(panel_path, panel.slot_counts(target_rows(batch)))
-        dropped_rows(batch).coalesce(1).write.mode("overwrite").parquet(f"{panel_path}_dropped/batch={batch_id}")
+        spark = batch.sparkSession
+        fresh = ranking.checkpointed(_entries(_dated(batch)))
+        if fresh.isEmpty():
+            return
+        partitions = ["year", "month", "batch"]
+        writer = fresh.withColumn("batch", F.lit(batch_id)).repartition(*partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*partitions).parquet(ledger)
+        entries = spark.read.parquet(ledger).where(F.col("batch") <= batch_id)
+        counts = ranking.checkpointed(by_delivery(entries))
+        now, before = standing(counts), standing(by_delivery(entries.where(F.col("batch") < batch_id)))
+        touched = now.join(fresh.select("delivery").distinct(), "delivery", "left_semi")
+        changed = now.exceptAll(before).unionByName(before.exceptAll(now)).unionByName(touched)
+        months = sorted((r["year"], r["month"]) for r in changed.select("year", "month").distinct().collect())  # a row a month
+        affected = F.lit(False)
+        for year, month in months:
+            affected = affected | ((F.col("year") == year) & (F.col("month") == month))
+        # one row a month and its delivery
+        rows = entries.where(affected).join(F.broadcast(now), ["delivery", "year", "month"], "left_semi").dropna(subset=list(panel.KEYS))
+        keys = [*panel.KEYS, "year", "month"]
+        counted = rows.groupBy(*keys).agg(F.sum("claim_count").alias("claim_count")).withColumn("series_id", columns.series_id(*panel.KEYS))
+        overwrite_month(panel_path, counted.select("series_id", *panel.KEYS, "year", "month", "claim_count"))
+        held = {(r["year"], r["month"]) for r in now.where(affected).collect()}  # a row a month
+        for year, month in set(months) - held:
+            _remove(spark, f"{panel_path}/year={year}/month={month}")
+        left_out(counts).coalesce(1).write.mode("overwrite").parquet(f"{panel_path}_dropped")
 
     return apply
 

@@ -37,9 +37,3 @@ def panel_rows(spark, series, start=(1998, 1)):
 @pytest.fixture(scope="session")
 def make_panel(spark):
     return lambda series, start=(1998, 1): panel_rows(spark, series, start)
-
-
-def by_id(df, *cols):
-    """{series_id: row} or {series_id: value} of the only column asked for."""
-    rows = {r["series_id"]: r for r in df.collect()}
-    return {k: r[cols[0]] for k, r in rows.items()} if len(cols) == 1 else rows

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import by_id
+from helpers import by_id
 from pyspark.sql import functions as F
 
 from panelwright.config import KpiGate

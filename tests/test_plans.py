@@ -2,7 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from conftest import by_id
+from helpers import by_id
 from pyspark.sql import functions as F
 
 from panelwright.config import OrderGrid
@@ -165,3 +165,39 @@ def test_model_documents_read_back(spark, tmp_path):
     (tmp_path / "models.json").write_text(doc + "\n" + doc.replace("success", "failed") + "\n")
     got = documents.flat_models(files.read_models(spark, str(tmp_path / "models.json"))).collect()
     assert len(got) == 1 and got[0].predictability_score == 0.5 and got[0].has_seasonality
+
+
+def test_ledger_across_batches(spark, tmp_path):
+    """Parts of a delivery in different batches add up; a month whose delivery turns out to stand for another goes."""
+    inbox, out, progress = tmp_path / "in", tmp_path / "panel", tmp_path / "progress"
+    for name in ("jan", "two"):
+        (inbox / name).mkdir(parents=True)
+    csv(inbox / "jan" / "part-0.csv", rows_of(1, [1, 2]))
+    csv(inbox / "two" / "part-0.csv", rows_of(5, [7]))
+    run(spark, inbox, out, progress)
+    assert months(spark, str(out)) == {("A|X|m", 2024, 1): 3.0, ("A|X|m", 2024, 5): 7.0}
+    csv(inbox / "jan" / "part-1.csv", rows_of(1, [4]) + rows_of(1, [8], plant="B"))
+    csv(inbox / "two" / "part-1.csv", rows_of(6, [1, 1]))  # now mostly June: its May row is stray
+    run(spark, inbox, out, progress)
+    want = {("A|X|m", 2024, 1): 7.0, ("B|X|m", 2024, 1): 8.0, ("A|X|m", 2024, 6): 2.0}
+    assert months(spark, str(out)) == want
+    dropped = [(r.delivery.rsplit("/", 1)[1], r.month, r.rows, r.reason) for r in spark.read.parquet(f"{out}_dropped").collect()]
+    assert dropped == [("two", 5, 1, "stray")]
+    # a batch replayed changes nothing
+    stream = month_files.month_stream(spark, str(inbox))
+    replay = spark.read.schema(stream.drop("_file", "_at").schema).option("header", True).csv([str(inbox / "jan" / "part-1.csv"), str(inbox / "two" / "part-1.csv")])
+    from pyspark.sql import functions as F
+
+    replay = replay.select("*", month_files.delivery(str(inbox), F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.file_modification_time").alias("_at"))
+    month_files.replace_months(str(out))(replay, 1)
+    assert months(spark, str(out)) == want
+
+
+def test_one_file_a_batch(spark, tmp_path):
+    inbox, out = tmp_path / "in", tmp_path / "panel"
+    (inbox / "jan").mkdir(parents=True)
+    for k in range(4):
+        csv(inbox / "jan" / f"part-{k}.csv", rows_of(1, [k + 1]))
+    stream = month_files.month_stream(spark, str(inbox), files_per_batch=1)
+    month_files.ingest_months(stream, str(out), str(tmp_path / "progress")).awaitTermination()
+    assert months(spark, str(out)) == {("A|X|m", 2024, 1): 10.0}
