@@ -543,7 +543,7 @@ _PRINT = """rows_ AS (SELECT md5(concat_ws('|', {cells})) AS h FROM claims_d),
    lower(lpad(hex(CAST(sum(b) % 18446744073709551616::HUGEINT AS UBIGINT)), 16, '0')) AS data_hash FROM halves)""".format(
     cells=", ".join(
         f"coalesce('=' || replace(replace(CAST({c} AS VARCHAR), '%', '%25'), '|', '%7C'), '')"
-        for c in ("claim_count", "lag_days", "manufacturing_date", "mid_category", "occurrence_date", "plant", "product_cat2")
+        for c in ("claim_count", "manufacturing_date", "mid_category", "occurrence_date", "plant", "product_cat2")
     )
 )
 
