@@ -127,6 +127,9 @@ class Words:
         found = self.keys[at] == keys if len(self.keys) else np.zeros(len(keys), bool)
         return np.where(keys == _END_KEY, END, np.where(found, at + 2, -1))
 
+    def keys_of(self, numbers: np.ndarray) -> np.ndarray:
+        return np.concatenate([[_START_KEY, _END_KEY], self.keys]).astype(np.int64)[numbers]
+
     def context_numbers(self, keys: np.ndarray) -> np.ndarray:
         return np.where(keys == _START_KEY, START, self.numbers(keys))
 
@@ -207,13 +210,14 @@ class Katz:
                 use = np.repeat(~held_out(ids), sizes)
                 h, w = contexts(w, sizes)[use], w[use]
                 bucket = words.bucket(h, w)
-                yield _dealt(bucket, [h, w], lambda h, w: _table(h, w, np.ones(len(h), np.int64)))
+                yield _dealt(bucket, [h, w], lambda h, w: _table(words, h, w, np.ones(len(h), np.int64)))
 
         def merged(group: pa.Table) -> pa.Table:
-            opened = [_opened(b) for b in group.column("blob").to_pylist()]
-            h, w, n = (np.concatenate(c) for c in zip(*((np.repeat(o[0], o[1]), o[2], o[3].astype(np.int64)) for o in opened), strict=True))
-            out = _table(h, w, n)
-            n = _opened(out)[3]
+            words = shared.value
+            opened = [_columns(words, _opened(b)) for b in group.column("blob").to_pylist()]
+            h, w, n = (np.concatenate(c) for c in zip(*((np.repeat(hs, cnt), w, n) for hs, cnt, w, n in opened), strict=True))
+            out = _table(words, h, w, n)
+            n = _opened(out)[5]
             of_counts = np.bincount(n[n <= K + 1].astype(np.int64), minlength=K + 2)
             return pa.table({"bucket": group.column("bucket")[:1], "blob": pa.array([out], pa.binary()), "counts": pa.array([of_counts.tolist()], pa.list_(pa.int64()))})
 
@@ -224,17 +228,15 @@ class Katz:
         shared = spark.sparkContext.broadcast(self.words)
 
         def asked(parts):
-            words = shared.value
             for batch in parts:
                 for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-                    w = np.unique(_opened(blob)[2])
-                    w = w[words.numbers(w) < 0]
+                    w = np.unique(_opened(blob)[4])
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), bucket, np.int32)), pa.array(w)], names=["bucket", "key"])
 
         def with_counts(left: pa.Table, right: pa.Table) -> pa.Table:
             words = shared.value
-            hs, cnt, w, n = _opened(left.column("blob")[0].as_py())
-            n = n.astype(np.int64)
+            opened = _opened(left.column("blob")[0].as_py())
+            hs, cnt, w, n = _columns(words, opened)
             key = right.column("key").to_numpy()
             order = np.argsort(key)
             key, of_key = key[order], right.column("n").to_numpy()[order]
@@ -245,7 +247,7 @@ class Katz:
             split = words.context_numbers(hs) >= 0
             sums = [x[split] for x in words.sums(cnt, n, n_w)]
             lists = [pa.array([x.tolist()], t) for x, t in zip([hs[split], *sums], [pa.list_(pa.int64())] * 2 + [pa.list_(pa.float64())] * 2, strict=True)]
-            blob = _squeezed([hs, cnt, w, _small(n), _small(n_w)])
+            blob = _squeezed([*opened, _small(n_w[rare])])
             return pa.Table.from_arrays([left.column("bucket")[:1], pa.array([blob], pa.binary()), *lists], names=["bucket", "blob", "h", "c", "mass", "seen"])
 
         # a rare word's count goes to the buckets that hold it after some context
@@ -374,14 +376,26 @@ def _dealt(bucket: np.ndarray, columns: list[np.ndarray], packed) -> pa.RecordBa
     return pa.RecordBatch.from_arrays([pa.array(bucket[first].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
 
-def _table(h: np.ndarray, w: np.ndarray, n: np.ndarray) -> bytes:
-    """Distinct pairs with the sums of their counts: contexts, pairs a context, words, counts."""
+def _table(words: Words, h: np.ndarray, w: np.ndarray, n: np.ndarray) -> bytes:
+    """Distinct pairs with the sums of their counts: contexts, pairs a context, which words are shared (bits), the numbers of
+    those, the keys of the others, counts."""
     order = np.lexsort((w, h))
     h, w, n = h[order], w[order], n[order]
     first = _runs(h, w)
     h, w, n = h[first], w[first], _sums(n, first)
     at = _runs(h)
-    return _squeezed([h[at], _lengths(at, len(h)), w, _small(n)])
+    number = words.numbers(w)
+    own = number >= 0
+    return _squeezed([h[at], _lengths(at, len(h)), np.packbits(own), _small(number[own]), w[~own], _small(n)])
+
+
+def _columns(words: Words, opened: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Contexts, pairs a context, words and counts of a table."""
+    hs, cnt, bits, number, rest, n = opened[:6]
+    own = np.unpackbits(bits, count=len(n)).astype(bool)
+    w = np.empty(len(n), np.int64)
+    w[own], w[~own] = words.keys_of(number.astype(np.int64)), rest
+    return hs, cnt, w, n.astype(np.int64)
 
 
 def _request(of_pairs: bool, key: np.ndarray, doc: np.ndarray, documents: int) -> bytes:
@@ -398,8 +412,11 @@ def _request(of_pairs: bool, key: np.ndarray, doc: np.ndarray, documents: int) -
 
 def _index(words: Words, blob: bytes) -> dict:
     """What a bucket answers from: sorted keys of words and pairs with counts and values."""
-    hs, cnt, w, n, n_w = _opened(blob)
-    n, n_w = n.astype(np.int64), n_w.astype(np.int64)
+    opened = _opened(blob)
+    hs, cnt, w, n = _columns(words, opened)
+    number = words.numbers(w)
+    n_w = words.counts[np.maximum(number, 0)]
+    n_w[number < 0] = opened[6]
     c, mass, seen = words.sums(cnt, n, n_w)
     log_a, log_s = weights(c.astype(float), mass, seen)
     number = words.context_numbers(hs)
