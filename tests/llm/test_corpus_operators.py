@@ -414,8 +414,10 @@ def test_pipeline_stages(spark, documents):
     got = Counter()
     for r in after:
         got[r["source"]] += len(r["text"].encode().split())
+    # the edge document of a source is taken whole
+    longest = {s: max(len(r["text"].encode().split()) for r in before if r["source"] == s) for s in sizes}
     for s, t in plain_targets(sizes).items():
-        assert abs(got[s] - t) <= 1
+        assert -1 <= got[s] - t <= longest[s]
     coded = seen["bpe"][1].collect()
     assert len(coded) == len(after) and all(r["round_trip"] for r in coded)
     whole = corpus_pipeline.run(spark, DIR).collect()
