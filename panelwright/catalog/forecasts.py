@@ -603,6 +603,26 @@ def staged_correction(spark, sf_dir):
     return corrected.select(*KEEP)
 
 
+@query(
+    "staged_correction_trail",
+    f"""WITH {_BY_SERIES.format(g='s').replace('x AS', 's1 AS')}, {_COMPONENT.format(g='s')},
+        sh AS (SELECT series_id, avg(s) * 0.5 AS s FROM co GROUP BY 1),
+        st AS (SELECT 0 AS step, 'start' AS stage, series_id, y, y_pred AS p FROM cmp_s UNION ALL SELECT 1, 'bias', series_id, y, p FROM s1
+          UNION ALL SELECT 2, 'seasonal', s1.series_id, y, CASE WHEN s IS NULL THEN p ELSE greatest(p + s, 0) END
+          FROM s1 LEFT JOIN sh ON sh.series_id = s1.series_id),
+        k AS (SELECT step, stage, avg(abs(y - p) / y) FILTER (y > 0) AS mape, avg(y - p) / avg(y) AS bias, avg(abs(y - p)) AS mae,
+          sqrt(avg((y - p) * (y - p))) AS rmse, count(*) AS n_records, count(DISTINCT series_id) AS n_series FROM st GROUP BY 1, 2),
+        r AS (SELECT *, coalesce(mape < 0.2 AND abs(bias) < 0.05, false) AS passed FROM k)
+        SELECT *, step <= coalesce((SELECT min(step) FROM r WHERE passed), 2) AS applied FROM r""",
+    "mape bias mae rmse",
+)
+def staged_correction_trail(spark, sf_dir):
+    p = month_panel(spark, sf_dir, "sparse")
+    stages = ("bias", "seasonal")
+    staged = corrections.staged_columns(accuracy.compare_inner(actuals(p), naive(p)), history(p), stages)
+    return corrections.stage_trail(staged, stages)
+
+
 _CONDITIONAL = f"""fl AS (SELECT series_id, count_if(y = 0) / @train::DOUBLE >= 0.8 AS sparse FROM hist_d GROUP BY 1),
  mp AS (SELECT series_id, avg(abs(e) / greatest(y, 1e-9)) AS m FROM cmp_d GROUP BY 1),
  b AS (SELECT series_id, month, avg(e) AS bias FROM cmp_d GROUP BY 1, 2), {_FACTORS.format(g='d', pos='(idx - @train + 24) % 12')},

@@ -90,7 +90,31 @@ def peaks(spark, sf_dir):
     return features.peaks(panel.series_vectors(hist(spark, sf_dir))).drop("width")
 
 
-@query("peak_widths")
+# the bases are the lowest points nearest to the peak; half height is crossed between them, by linear interpolation
+@query(
+    "peak_widths",
+    """WITH p AS (SELECT a.series_id, a.idx AS i, min(b.idx) AS j, any_value(a.y) AS h FROM hist_s a
+         JOIN hist_s l ON l.series_id = a.series_id AND l.idx = a.idx - 1 AND l.y < a.y
+         JOIN hist_s b ON b.series_id = a.series_id AND b.idx > a.idx AND b.y <> a.y GROUP BY 1, 2),
+       t AS (SELECT p.series_id, (i + j - 1) // 2 AS pos, h FROM p JOIN hist_s b ON b.series_id = p.series_id AND b.idx = j AND b.y < h),
+       e AS (SELECT t.series_id, t.pos, h, coalesce(max(x.idx) FILTER (x.idx < t.pos AND x.y > h), -1) AS lo,
+         coalesce(min(x.idx) FILTER (x.idx > t.pos AND x.y > h), @train) AS hi FROM t JOIN hist_s x ON x.series_id = t.series_id GROUP BY 1, 2, 3),
+       m AS (SELECT e.*, (SELECT min(x.y) FROM hist_s x WHERE x.series_id = e.series_id AND x.idx > lo AND x.idx <= pos) AS left_min,
+         (SELECT min(x.y) FROM hist_s x WHERE x.series_id = e.series_id AND x.idx >= pos AND x.idx < hi) AS right_min FROM e),
+       b AS (SELECT m.series_id, pos, any_value(h) AS h, any_value(h - greatest(left_min, right_min)) AS prominence,
+         any_value(h - (h - greatest(left_min, right_min)) * 0.5::DOUBLE) AS level,
+         max(x.idx) FILTER (x.idx > lo AND x.idx <= pos AND x.y = left_min) AS lb, min(x.idx) FILTER (x.idx >= pos AND x.idx < hi AND x.y = right_min) AS rb
+         FROM m JOIN hist_s x ON x.series_id = m.series_id WHERE h - greatest(left_min, right_min) >= 1 GROUP BY 1, 2),
+       c AS (SELECT b.series_id, pos, any_value(h) AS h, any_value(prominence) AS prominence, any_value(level) AS level,
+         coalesce(max(x.idx) FILTER (x.idx BETWEEN lb AND pos AND x.y <= level), any_value(lb)) AS l,
+         coalesce(min(x.idx) FILTER (x.idx BETWEEN pos AND rb AND x.y <= level), any_value(rb)) AS r
+         FROM b JOIN hist_s x ON x.series_id = b.series_id GROUP BY 1, 2)
+       SELECT c.series_id, CAST(pos AS INT) AS idx, h AS height, prominence,
+         (CASE WHEN y.y < level THEN r - (level - y.y) / (yb.y - y.y) ELSE r END) - (CASE WHEN x.y < level THEN l + (level - x.y) / (xa.y - x.y) ELSE l END) AS width
+       FROM c JOIN hist_s x ON x.series_id = c.series_id AND x.idx = l JOIN hist_s xa ON xa.series_id = c.series_id AND xa.idx = l + 1
+       JOIN hist_s y ON y.series_id = c.series_id AND y.idx = r JOIN hist_s yb ON yb.series_id = c.series_id AND yb.idx = r - 1""",
+    "width",
+)
 def peak_widths(spark, sf_dir):
     return features.peaks(panel.series_vectors(hist(spark, sf_dir)))
 

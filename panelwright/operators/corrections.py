@@ -199,6 +199,42 @@ def staged_correction(
     return current, trail
 
 
+def staged_columns(
+    compare: DataFrame, history: DataFrame, stages: tuple[str, ...] = ("bias", "seasonal", "reselect"), min_obs: int = 4
+) -> DataFrame:
+    """The comparison with the prediction after every stage side by side: `y_start`, then `y_<stage>` each.
+
+    Every stage works on the one before it.  The plan is one plan: nothing is written or read back in between.
+    """
+    out = compare.withColumn("y_start", pred())
+    for stage in stages:
+        if stage == "bias":
+            out = apply_series_bias(out, min_obs)
+        elif stage == "seasonal":
+            out = apply_seasonal_shift(out, history)
+        elif stage == "reselect":
+            out = reselect_worst(out, history)
+        else:
+            raise ValueError(f"unknown stage: {stage}")
+        out = out.withColumn(f"y_{stage}", pred())
+    return out
+
+
+def stage_trail(staged: DataFrame, stages: tuple[str, ...] = ("bias", "seasonal", "reselect"), gate: KpiGate = KpiGate()) -> DataFrame:
+    """The KPI row of every stage of `staged_columns`, in one pass; `applied` says whether the job comes to the stage.
+
+    The job goes on until a stage meets the gate, so all stages up to the first that does are applied, or all of them.
+    """
+    steps = [
+        F.struct(F.lit(i).alias("step"), F.lit(stage).alias("stage"), F.col(f"y_{stage}").alias("y_pred"))
+        for i, stage in enumerate(("start", *stages))
+    ]
+    rows = staged.select("series_id", "claim_count", F.explode(F.array(*steps)).alias("s")).select("series_id", "claim_count", "s.*")
+    rated = accuracy.kpi(rows, gate, by=("step", "stage"))
+    reached = rated.agg(F.coalesce(F.min(F.when(F.col("passed"), F.col("step"))), F.lit(len(stages)))).scalar()
+    return rated.withColumn("applied", F.col("step") <= reached)
+
+
 def conditional_correction(
     compare: DataFrame,
     history: DataFrame,

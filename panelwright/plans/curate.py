@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.operators import documents, lag, panel, ranking
-from panelwright.sources import files
+from panelwright.sources import arrivals, files
 
 
 def labelled_claims(claims: DataFrame, stats: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
@@ -51,12 +51,16 @@ def weekly_panel(claims: DataFrame, quality: bool = False, min_claims: float = 0
 
 
 def build(
-    spark: SparkSession, csv_paths: list[str], panel_path: str, documents_path: str, end: tuple[int, int], mode: str = "incremental", **csv_options
+    spark: SparkSession, sources: list[str | arrivals.Layout], panel_path: str, documents_path: str, end: tuple[int, int],
+    mode: str = "incremental", start: tuple[int, int] | None = None, rejected_path: str | None = None, **csv_options,
 ) -> None:
-    """CSV files to a partitioned parquet panel and a set of series documents.
+    """CSV files (paths read with `csv_options`, or layouts) to a partitioned parquet panel and a set of series documents.
 
-    The documents are made from the written panel, so the raw files are read once.
+    Rows that cannot be read are left out and, with `rejected_path`, written there with their reason (a second reading of
+    the files).  The documents are made from the written panel.
     """
-    frames = [files.typed_claims(files.read_claim_csv(spark, p, **csv_options)) for p in csv_paths]
-    files.write_panel(curated_panel(files.union_years(frames), end, mode), panel_path)
+    raw = arrivals.read_layouts(spark, [s if isinstance(s, arrivals.Layout) else arrivals.Layout(s, **csv_options) for s in sources])
+    files.write_panel(curated_panel(arrivals.accepted(raw), end, mode, start=start), panel_path)
     files.write_documents(documents.series_documents(files.read_panel(spark, panel_path)), documents_path)
+    if rejected_path is not None:
+        arrivals.rejected(raw).write.mode("overwrite").parquet(rejected_path)

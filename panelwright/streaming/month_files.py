@@ -10,9 +10,7 @@ does not count is listed in a table (`_dropped` behind its name).  Ledger and st
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -21,13 +19,7 @@ from panelwright.operators import panel, ranking
 from panelwright.plans.monthly import overwrite_month
 from panelwright.schema import RAW_CLAIMS
 from panelwright.sources import files
-
-
-def delivery(folder: str, path: Column) -> Column:
-    """The file or folder directly in `folder` that a file belongs to; the file itself if it lies elsewhere."""
-    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*(?=/)", "", folder).rstrip("/")
-    found = F.regexp_extract(path, rf"^(.*\Q{root}\E/+[^/]+)", 1)
-    return F.when(found != "", found).otherwise(path)
+from panelwright.sources.files import delivery
 
 
 def month_stream(

@@ -182,6 +182,20 @@ def test_staged_correction_stops_at_the_gate(spark, make_panel):
     assert [t["stage"] for t in trail] == ["start", "bias", "seasonal", "reselect"]
 
 
+@pytest.mark.parametrize("pairs", [[(100, 100)] * 6, [(100, 70)] * 6, [(100, 10), (10, 100)] * 3])
+def test_stage_trail_agrees_with_the_stepwise_job(spark, make_panel, pairs):
+    h = make_panel({"a": RNG.poisson(50, 36)})
+    stages = ("bias", "seasonal")
+    last, steps = corrections.staged_correction(compare(spark, {"a": pairs}), h, stages=stages)
+    staged = corrections.staged_columns(compare(spark, {"a": pairs}), h, stages)
+    rows = corrections.stage_trail(staged, stages).orderBy("step").collect()
+    assert [r.stage for r in rows if r.applied] == [t["stage"] for t in steps]
+    for r, t in zip(rows, steps):
+        assert (r.passed, r.mape, r.mae) == (t["passed"], pytest.approx(t["mape"]), pytest.approx(t["mae"]))
+    final = {(r.year, r.month): r[f"y_{steps[-1]['stage']}"] for r in staged.collect()}
+    assert final == pytest.approx({(r.year, r.month): r.y_pred for r in last.collect()})
+
+
 def test_reselection_refreshes_the_forecast(spark, make_panel):
     h = make_panel({"a": RNG.poisson(50, 36), "b": RNG.poisson(50, 36)})
     df = compare(spark, {"a": [(50, 500)] * 6, "b": [(50, 51)] * 6})
