@@ -195,6 +195,70 @@ def test_whole_text_of_nested_and_mixed_templates(spark):
     assert all(got[20 + k] == want[1 + k // 2] for k in range(8))
 
 
+LONG = "body text goes on " * 40
+ONE_PAGE = {
+    "a headline and a closing block beside the body": (
+        f"<body><div class='headline'>Head line</div><div class='content'><p>{LONG}</p></div><div class='epilogue'>The end</div></body>",
+        "Head line LONG The end",
+    ),
+    "names that sound like boilerplate in part": (
+        "<body><article><h1>T</h1><section class='social-policy'><p>Policy</p></section>"
+        f"<table class='search-engine-results'><tr><td>result</td></tr></table><p>{LONG}</p></article></body>",
+        "T Policy result LONG",
+    ),
+    "such a name on a list of links": (f"<body><p>{LONG}</p><div class='social-buttons'><a href='/a'>Tell</a> <a href='/b'>all</a></div></body>", "LONG"),
+    "a header in the article": (f"<body><header><h1>Site</h1></header><article><header><h1>T</h1></header><p>{LONG}</p><footer>f</footer></article></body>", "T LONG"),
+    "a header in a block": (f"<body><header><h1>Site</h1></header><div class='post'><header class='post-header'><h1>T</h1></header><p>{LONG}</p></div></body>", "T LONG"),
+    "comments longer than the article": (f"<html><head><title>x</title><body><p>{LONG}<div class='comments'><p>{LONG * 3}</p></div></body>", "LONG"),
+    "a form round the page": (f"<body><form action='x'><h1>T</h1><p>{LONG}</p><input></form><form><label>name</label></form></body>", "T LONG"),
+    "a headline before the article": (f"<body><h1>T</h1><article><p>{LONG}</p></article><div>junk</div></body>", "T LONG"),
+    "a menu without a name": (f"<body><ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul><h1>T</h1><p>{LONG}</p></body>", "T LONG"),
+    "open paragraphs, marked spans": (f"<body><p class=ad>buy<p>{LONG}</p><span class='ad'>a<span>b</span>c</span> z</body>", "LONG z"),
+    "a number beyond all digits": (f"<body>a &#{'9' * 5000}; b &#xD800; &amp;lt;</body>", "a \ufffd b \ufffd &lt;"),
+    "no tags": ("a < b and <b", "a < b and <b"),
+    "a tag in quotes": ("<p title=\"x > y\">a</p><p title='>'>b</p>", "a b"),
+    "two articles on one path": ("<body><h1>T</h1><article><p>a b c</p></article><article>d</article></body>", "T a b c d"),
+}
+
+
+@pytest.mark.parametrize("case", list(ONE_PAGE))
+def test_extraction_of_templates(case):
+    page, want = ONE_PAGE[case]
+    assert extraction.extract(page, None).replace(LONG.strip(), "LONG") == want
+
+
+def test_host_path_gives_the_headline_once():
+    page = ONE_PAGE["two articles on one path"][0]
+    assert extraction.extract(page, "/body/article") == "T a b c d"
+
+
+BAD_MARKUP = {
+    "nested": "<div>" * 20000 + "x" + "</div>" * 20000,
+    "open tags": '<a "' * 250_000,
+    "odd quotes": "<a x=\"1' " * 110_000,
+    "quoted ends": '<a b=">" ' * 110_000,
+    "open comments": "<!--" * 250_000,
+    "open scripts": "<script>" + "</script " * 110_000,
+    "one long name": "<" + "a" * 1_000_000,
+    "one long tag": "<a" + " " * 1_000_000,
+    "strays": "<div>" * 20000 + "</x></p></i>" * 60_000,
+    "bodies": "<div>" * 20000 + "<body>" * 20000,
+    "mains": "<article>" + "<div>" * 20000 + "<main>x" * 20000,
+    "marked": "<span class=ad>x" * 50_000,
+}
+
+
+@pytest.mark.parametrize("case", list(BAD_MARKUP))
+def test_bad_markup_takes_linear_time(case):
+    """A page of up to 1.1 MB, read twice: 0 to 3 seconds here; the limit leaves room for a slow machine, not for a square."""
+    import time
+
+    start = time.process_time()
+    path, _ = extraction.own_text(BAD_MARKUP[case])
+    extraction.extract(BAD_MARKUP[case], path)
+    assert time.process_time() - start < 8
+
+
 def test_pages_query(spark):
     """The test pages' articles, by a plain pattern."""
     import html
