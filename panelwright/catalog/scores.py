@@ -560,11 +560,11 @@ def manifest_fingerprint(spark, sf_dir):
         UNION ALL SELECT * FROM (VALUES ('cv_scheme', 'rolling3fold_24m', 'rolling3fold_24m', true), ('seed', '42', '7', false), ('val_window', '6', '6', true))""",
 )
 def manifest_comparison(spark, sf_dir):
-    """Two runs on the same claims, the second with another seed."""
+    """Two runs on the same claims, the second with another seed and its rows dealt out anew."""
     rows = tables.claims(spark, sf_dir)
     settings = {"seed": 42, "cv_scheme": "rolling3fold_24m", "val_window": 6}
     first = manifest.manifest(spark, "a", settings, rows)
-    second = manifest.manifest(spark, "b", {**settings, "seed": 7}, rows.repartition(3))
+    second = manifest.manifest(spark, "b", {**settings, "seed": 7}, rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return manifest.compare_manifests(first, second)
 
 

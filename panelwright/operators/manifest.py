@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
+
+#: Types whose text holds neither % nor |.
+_PLAIN = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
+#: Bits of a hash summed at a time: three sums of this width stay within a long for 2^41 rows.
+_BITS = 22
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
@@ -13,11 +19,17 @@ def fingerprint(df: DataFrame) -> DataFrame:
     merges by addition, tells repeated rows apart from absent ones, and can be repeated in any SQL.  A row's text joins its
     columns in order of their names by `|`, each as `=` and the value (with % and | as %25 and %7C), or nothing for null.
     """
-    text = lambda c: F.regexp_replace(F.regexp_replace(F.col(f"`{c}`").cast("string"), "%", "%25"), r"\|", "%7C")
+    plain = {f.name for f in df.schema.fields if isinstance(f.dataType, _PLAIN)}
+    escaped = lambda c: F.replace(F.replace(c, F.lit("%"), F.lit("%25")), F.lit("|"), F.lit("%7C"))
+    text = lambda c: F.col(f"`{c}`").cast("string") if c in plain else escaped(F.col(f"`{c}`").cast("string"))
     h = F.md5(F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), text(c)), F.lit("")) for c in sorted(df.columns)]))
-    half = lambda a: F.sum(F.conv(F.substring(h, a, 16), 16, 10).cast("decimal(20,0)"))
+    half = lambda a: F.conv(F.substring("_h", a, 16), 16, -10).cast("bigint")
+    bits = lambda c, k: F.shiftrightunsigned(c, k * _BITS).bitwiseAND(F.lit((1 << _BITS) - 1))
+    halves = df.select(h.alias("_h")).select(half(1).alias("_a"), half(17).alias("_b"))
+    parts = [F.coalesce(F.sum(bits(c, k)), F.lit(0)).cast("decimal(20,0)").alias(f"{c}{k}") for c in ("_a", "_b") for k in range(3)]
+    whole = lambda c: (F.col(f"{c}0") + F.col(f"{c}1") * F.lit(1 << _BITS).cast("decimal(8,0)") + F.col(f"{c}2") * F.lit(1 << 2 * _BITS).cast("decimal(15,0)")).alias(c)
+    sums = halves.agg(F.count(F.lit(1)).alias("n_rows"), *parts).select("n_rows", whole("_a"), whole("_b"))
     print_of = lambda c: F.lpad(F.lower(F.conv((F.col(c) % F.lit(str(2**64)).cast("decimal(20,0)")).cast("decimal(20,0)").cast("string"), 10, 16)), 16, "0")
-    sums = df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(half(1), F.lit(0)).alias("_a"), F.coalesce(half(17), F.lit(0)).alias("_b"))
     return sums.select("n_rows", F.concat_ws("-", print_of("_a"), print_of("_b")).alias("data_hash"))
 
 

@@ -1,8 +1,11 @@
+import hashlib
+
 import numpy as np
 import pytest
 from helpers import by_id
 from pyspark.sql import functions as F
 
+from panelwright.catalog import QUERIES
 from panelwright.config import FACTORS, SCORE100_WEIGHTS, BacktestRules
 from panelwright.operators import backtest, changepoints, forecast, manifest, panel, ranking, scoring
 
@@ -228,6 +231,30 @@ def test_manifest_comparison(spark):
     assert (r.data_match, r.cv_match, r.seed_match, r.reproducible) == (True, True, False, False)
 
 
+def test_fingerprint_of_odd_values(spark):
+    """Sums modulo 2^64 of the halves of each row's MD5, with nulls and the signs that join the columns."""
+    rows = [(k, None if k % 5 == 0 else f"a|{k}%7C%", k % 2 == 0) for k in range(300)] + [(None, "", None)] * 3
+    cell = lambda v: "" if v is None else "=" + str(v).replace("%", "%25").replace("|", "%7C")
+    prints = [hashlib.md5("|".join([cell(n), cell(s), "" if b is None else f"={str(b).lower()}"]).encode()).hexdigest() for n, s, b in rows]
+    want = "-".join(f"{sum(int(h[a : a + 16], 16) for h in prints) % 2**64:016x}" for a in (0, 16))
+    df = spark.createDataFrame(rows, "a int, b string, c boolean")
+    assert tuple(manifest.fingerprint(df).first()) == (len(rows), want)
+    assert tuple(manifest.fingerprint(df.limit(0)).first()) == (0, "0" * 16 + "-" + "0" * 16)
+
+
+def test_compared_runs_are_dealt_to_all_tasks(spark, monkeypatch):
+    """The second run's rows go to as many partitions as the session shuffles into, not to a fixed few."""
+    seen, real = [], manifest.manifest
+    monkeypatch.setattr(manifest, "manifest", lambda s, run_id, settings, data: seen.append(data) or real(s, run_id, settings, data))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert QUERIES["manifest_comparison"](spark, "/root/testdata/sf0.001").where("key = 'data_hash' AND same").count() == 1
+        assert seen[1].rdd.getNumPartitions() == 7
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_penalty_rules(make_panel):
     v = panel.series_vectors(make_panel({"a": SERIES["s5"]}))
     ends = changepoints.penalised_segments(v, rule="10").first().segment_ends
