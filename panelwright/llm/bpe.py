@@ -3,8 +3,9 @@
 A text is cut by the tokenizer's pattern; distinct words meet the merge table as rows (word, position,
 token).  A recursive query contracts in every word the leftmost pair of least rank, all words at once,
 until no word holds a pair of the table.  Decoding joins tokens with their bytes and aggregates them in
-order.  A task keeps what it has encoded lately, up to a bound, so a word is
-contracted seldom more than once a task; nothing is shuffled.
+order.  A task keeps what it has encoded and decoded lately in Arrow columns of bounded size, so a word is
+contracted seldom more than once a task, and texts are put together by the numbers of their chunks; nothing
+is shuffled.
 
 Null and empty texts have no ids.  Every byte is a token, so decoding gives the UTF-8 text back exactly.
 """
@@ -17,13 +18,16 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from panelwright.llm.common import given_back, worker_memo
 
-#: Code points of text handled at a time, and entries of a generation that a task keeps of each kind.
+#: Code points of text handled at a time, and entries that a task keeps of each kind.
 SLICE, KEPT = 2_000_000, 300_000
+#: Rows of a recursion or of a decoding at a time, at most: n tokens make n(n+1)/2 rows in their recursion, all steps together.
+ROWS = 1_000_000
 #: Words of more bytes are contracted by a heap: the recursion takes a step a merge, over all tokens left.
 LONG = 256
 _GLUED = re.compile(r" (?:\s|\Z)")
@@ -34,16 +38,16 @@ WITH RECURSIVE tokens AS (
   SELECT CAST(word AS BIGINT) << 20 | pos AS loc, token, true AS open FROM first_tokens
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-    SELECT t.loc, t.loc >> 20 AS word, t.token, t.next_loc, CAST(m.merged AS BIGINT) << 20 | (t.loc & 1048575) AS rank_at
+    SELECT t.loc, t.token, t.next_loc, CAST(m.merged AS BIGINT) << 20 | (t.loc & 1048575) AS rank_at
     FROM (
       SELECT loc, token, lead(token) OVER w AS next_token, lead(loc) OVER w AS next_loc
       FROM tokens WHERE open WINDOW w AS (ORDER BY loc)
     ) t LEFT JOIN merges m ON m.left_token = t.token AND m.right_token = t.next_token AND t.loc >> 20 = t.next_loc >> 20
   ), best AS (
-    SELECT word, min(rank_at) AS best, arg_min(next_loc, rank_at) AS eaten FROM pairs WHERE rank_at IS NOT NULL GROUP BY word
+    SELECT loc >> 20 AS word, min(rank_at) AS best, arg_min(next_loc, rank_at) AS eaten FROM pairs WHERE rank_at IS NOT NULL GROUP BY 1
   )
   SELECT loc, CASE WHEN loc & 1048575 = best & 1048575 THEN CAST(best >> 20 AS INT) ELSE token END, best IS NOT NULL
-  FROM pairs LEFT JOIN best USING (word) WHERE eaten IS NULL OR loc <> eaten)
+  FROM pairs LEFT JOIN best ON best.word = loc >> 20 WHERE eaten IS NULL OR loc <> eaten)
 )
 SELECT CAST(loc >> 20 AS INT) AS word, token FROM tokens WHERE NOT open ORDER BY loc
 """
@@ -107,31 +111,51 @@ def split_chunks(text: str) -> tuple[str, list[str]]:
     return joined[0], joined[1:]
 
 
-def encode_by_chunks(texts: list[str], ids_of, recent: Recent) -> list[list[bytes]]:
-    """Ids of each text, chunk by chunk; `ids_of` gives those of new strings, `recent` keeps those of chunks without their space."""
-    cut = [split_chunks(t) for t in texts]
-    heads = list({head for head, _ in cut if head})
-    head_ids = dict(zip(heads, ids_of(heads), strict=True)) | {"": b""}
-    known, missing = recent.known(set().union(*(chunks for _, chunks in cut)))
-    known.update(zip(missing, ids_of([" " + c for c in missing]), strict=True))
-    get = known.__getitem__
-    return [[head_ids[head], *map(get, chunks)] for head, chunks in cut]
+def distinct_pieces(texts: list[str], split=split_chunks) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct heads and chunks of texts, their numbers in text order, and how many there are up to each text's end.
 
+    A head is given with a space before it, which no chunk begins with.
+    """
+    flat, counts = [], []
+    for text in texts:
+        head, chunks = split(text)
+        flat.append(" " + head)
+        flat += chunks
+        counts.append(len(chunks) + 1)
+    coded = pa.array(flat, pa.large_string()).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), np.cumsum(counts, dtype=np.int64)
+
+
+def joined(pieces: pa.Array, numbers: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The pieces of these numbers in a row, as one value up to each of `ends`."""
+    flat = pieces.take(pa.array(numbers))
+    if not len(flat):
+        return pa.array([b""] * len(ends), pa.large_binary())
+    _, offsets, data = flat.buffers()
+    cut = np.frombuffer(offsets, np.int64)[np.append(0, ends) + flat.offset]
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(cut), data or pa.py_buffer(b"")])
 
-class Recent:
-    """What was asked for lately: two generations of at most `size` entries and one call's more."""
-
-    def __init__(self, size: int = KEPT):
-        self.size, self.young, self.old = size, {}, {}
 
-    def known(self, keys: set) -> tuple[dict, list]:
-        """The entries, to which the values of the missing keys are to be added, and those keys."""
-        if len(self.young) > self.size:
-            self.young, self.old = {}, self.young
-        missing = keys - self.young.keys()
-        again = missing & self.old.keys()
-        self.young.update(zip(again, map(self.old.__getitem__, again), strict=True))
-        return self.young, list(missing - again)
+class Recent:
+    """What was asked for lately, in Arrow columns: about `size` entries of 64 bytes, or a call's if it has more."""
+
+    def __init__(self, keys: pa.DataType, columns: int = 1, size: int = KEPT):
+        self.size, self.keys, self.values = size, pa.array([], keys), [pa.array([], pa.large_binary())] * columns
+
+    def known(self, keys: pa.Array, make) -> list[pa.Array]:
+        """The values of distinct keys; `make` gives those of new ones, a column each."""
+        at = pc.index_in(keys, value_set=self.keys)
+        new = pc.is_null(at)
+        missing = keys.filter(new)
+        numbers = at.fill_null(0).to_numpy().astype(np.int64)
+        if len(missing):
+            numbers[new.to_numpy(zero_copy_only=False)] = len(self.keys) + np.arange(len(missing))
+            self.keys = pa.concat_arrays([self.keys, missing])
+            self.values = [pa.concat_arrays([a, b.cast(pa.large_binary())]) for a, b in zip(self.values, make(missing), strict=True)]
+        found = [a.take(pa.array(numbers)) for a in self.values]
+        if len(self.keys) > self.size or self.keys.nbytes + sum(a.nbytes for a in self.values) > 64 * self.size:
+            self.keys, self.values = keys, found
+        return found
 
 
 class Codec:
@@ -163,7 +187,8 @@ class Codec:
 
     def forget(self) -> None:
         """Let go of what the last task encoded and decoded; the tables stay with the worker."""
-        self.word_ids, self.chunk_ids, self.sequence_bytes = Recent(KEPT // 4), Recent(), Recent(KEPT // 2)
+        self.words_known, self.pieces_known = ({n: Recent(pa.large_string(), n) for n in (1, 2)} for _ in range(2))
+        self.sequence_bytes = Recent(pa.large_binary())
 
     def _table(self, name: str, columns: tuple, rows: list) -> None:
         given = pa.table([pa.array(c, pa.string() if c and isinstance(c[0], str) else pa.int32()) for c in zip(*rows, strict=True)], names=columns)
@@ -181,6 +206,9 @@ class Codec:
     def contract(self, words: list[bytes]) -> list[bytes]:
         """Ids (little-endian unsigned 32-bit integers) of distinct words."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
+        return [ids for a, b in runs(sizes * (sizes + 1) // 2, ROWS) for ids in self._contracted(words[a:b], sizes[a:b])]
+
+    def _contracted(self, words: list[bytes], sizes: np.ndarray) -> list[bytes]:
         data = self.first[np.frombuffer(b"".join(words), np.uint8)]
         begins = np.cumsum(sizes) - sizes
         given = pa.table(
@@ -195,63 +223,101 @@ class Codec:
         ends = (np.cumsum(np.bincount(rows.column("word").to_numpy(), minlength=len(words))) * 4).tolist()
         return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Ids of distinct chunks with their leading space."""
-        cut = [self.words(c) for c in chunks]
-        known, new = self.word_ids.known(set().union(*cut))
-        coded = [w.encode("utf-8", "surrogatepass") for w in new]
+    def _decoded(self, sequences: list[bytes]) -> list[bytes]:
+        """Bytes of distinct id sequences."""
+        sizes = np.fromiter(map(len, sequences), np.int64, len(sequences)) // 4
+        out = []
+        for a, b in runs(sizes, ROWS):
+            own = sizes[a:b]
+            given = pa.table(
+                {
+                    "sequence": np.repeat(np.arange(b - a, dtype=np.int32), own),
+                    "pos": (np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)).astype(np.int32),
+                    "token": np.frombuffer(b"".join(sequences[a:b]), "<u4").astype(np.int32),
+                }
+            )
+            rows = self._query("ids", given, DECODE)
+            made = [b""] * (b - a)  # a sequence without ids has no row
+            for k, x in zip(rows.column("sequence").to_pylist(), rows.column("decoded").to_pylist(), strict=True):
+                made[k] = x.encode("latin-1")
+            out += made
+        return out
+
+    def _words(self, words: pa.Array, back: bool) -> list[pa.Array]:
+        """Ids of distinct words and, with `back`, what they decode to."""
+        coded = [w.encode() for w in words.to_pylist()]
+        ids = [b"" if len(w) <= LONG else np.array(contract_long(w, self.ranks), "<u4").tobytes() for w in coded]
         short = [k for k, w in enumerate(coded) if len(w) <= LONG]
-        if short:
-            known.update(zip((new[k] for k in short), self.contract([coded[k] for k in short]), strict=True))
-        known.update((w, np.array(contract_long(data, self.ranks), "<u4").tobytes()) for w, data in zip(new, coded, strict=True) if len(data) > LONG)
-        return [b"".join(map(known.__getitem__, words)) for words in cut]
-
-    def encode_parts(self, texts: list[str]) -> list[list[bytes]]:
-        """Ids of each text as a list of sub-sequences."""
-        return encode_by_chunks(texts, self._chunks, self.chunk_ids)
+        for k, x in zip(short, self.contract([coded[k] for k in short]), strict=True):
+            ids[k] = x
+        return [pa.array(x, pa.large_binary()) for x in ([ids, self._decoded(ids)] if back else [ids])]
+
+    def _cut(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        """Words of chunks with their leading space, and how many there are up to each chunk's end; all in one search."""
+        words = self.words(" " + " ".join(chunks)) if chunks else []
+        upto = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        edges = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)
+        ends = np.searchsorted(upto, edges) + 1
+        if len(ends) and (ends[-1] != len(words) or (upto[ends - 1] != edges).any()):
+            raise ValueError("the pattern does not cut before each space that a non-space follows, or leaves text out")
+        return words, ends
+
+    def _pieces(self, pieces: pa.Array, back: bool) -> list[pa.Array]:
+        """As `_words`, of distinct heads and chunks."""
+        given = pieces.to_pylist()
+        is_head = np.array([p[0] == " " for p in given], bool)
+        words, ends = self._cut([p for p in given if p[0] != " "])
+        heads = [self.words(p[1:]) for p in given if p[0] == " "]
+        coded = pa.array([*words, *(w for h in heads for w in h)], pa.large_string()).dictionary_encode()
+        ends = np.append(ends, len(words) + np.cumsum([len(h) for h in heads], dtype=np.int64)).astype(np.int64)
+        known = self.words_known[1 + back].known(coded.dictionary, lambda new: self._words(new, back))
+        place = np.empty(len(given), np.int64)  # chunks come first, then heads
+        place[np.flatnonzero(~is_head)] = np.arange(len(given) - len(heads))
+        place[np.flatnonzero(is_head)] = len(given) - len(heads) + np.arange(len(heads))
+        return [joined(column, coded.indices.to_numpy(), ends).take(pa.array(place)) for column in known]
+
+    def encode_columns(self, texts: list[str], back: bool = False) -> list[pa.Array]:
+        """Ids of each text and, with `back`, what they decode to; equal chunks are encoded and decoded once."""
+        pieces, numbers, ends = distinct_pieces(texts)
+        known = self.pieces_known[1 + back].known(pieces, lambda new: self._pieces(new, back))
+        return [joined(column, numbers, ends) for column in known]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text."""
-        return [b"".join(parts) for parts in self.encode_parts(texts)]
+        return self.encode_columns(texts)[0].to_pylist()
+
+    def decode_column(self, ids: list[bytes]) -> pa.Array:
+        """Bytes of each id sequence, which is cut before every token that begins with a space; equal parts are decoded once."""
+        data = b"".join(ids)
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        edges = np.union1d(np.flatnonzero(self.space_first[np.frombuffer(data, "<u4")]) * 4, np.append(0, ends)).astype(np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(edges), pa.py_buffer(data)])
+        coded = parts.dictionary_encode()
+        known = self.sequence_bytes.known(coded.dictionary, lambda new: [pa.array(self._decoded(new.to_pylist()), pa.large_binary())])
+        return joined(known[0], coded.indices.to_numpy(), np.searchsorted(edges, ends))
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
-        """Bytes of each id sequence, which is cut before every token that begins with a space."""
-        cut = []
-        for data in ids:
-            at = np.flatnonzero(self.space_first[np.frombuffer(data, "<u4")]) * 4
-            edges = [0, *at.tolist(), len(data)]
-            cut.append([data[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)])
-        return self.decode_parts(cut)
-
-    def decode_parts(self, cut: list[list[bytes]]) -> list[bytes]:
-        """Bytes of each list of sub-sequences of ids; equal ones are decoded once."""
-        known, new = self.sequence_bytes.known(set().union(*cut) - {b""})
-        known[b""] = b""
-        if new:
-            sizes = np.fromiter(map(len, new), np.int64, len(new)) // 4
-            begins = np.cumsum(sizes) - sizes
-            given = pa.table(
-                {
-                    "sequence": np.repeat(np.arange(len(new), dtype=np.int32), sizes),
-                    "pos": (np.arange(sizes.sum()) - np.repeat(begins, sizes)).astype(np.int32),
-                    "token": np.frombuffer(b"".join(new), "<u4").astype(np.int32),
-                }
-            )
-            decoded = self._query("ids", given, DECODE).column("decoded").to_pylist()
-            known.update(zip(new, (x.encode("latin-1") for x in decoded), strict=True))
-        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        return self.decode_column(ids).to_pylist()
 
 
-def slices(texts: list[str], size: int = SLICE):
-    """(from, to) of runs of texts with about `size` code points, one text at least."""
-    begin, held = 0, 0
-    for k, t in enumerate(texts):
-        if held and held + len(t) > size:
-            yield begin, k
-            begin, held = k, 0
-        held += len(t)
-    if begin < len(texts):
-        yield begin, len(texts)
+def runs(sizes: np.ndarray, most: int):
+    """(from, to) of runs of sizes that add up to `most` at most, or of one."""
+    upto, begin = np.cumsum(sizes), 0
+    while begin < len(sizes):
+        before = int(upto[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + most, "right")))
+        yield begin, end
+        begin = end
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE):
+    """(rows, values) of slices of a batch with about `size` code points or bytes in the column, one row at least; null is empty."""
+    values = batch.column(column)
+    text = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
+    empty = "" if text else b""
+    sizes = (pc.utf8_length if text else pc.binary_length)(values).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    for a, b in runs(sizes, size):
+        yield batch.slice(a, b - a), [x or empty for x in values.slice(a, b - a).to_pylist()]
 
 
 def _codec(rank_file: bytes, pattern: str) -> Codec:
@@ -277,12 +343,9 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
     def batches(parts):
         codec = _codec(rank_file.value, pattern)
         for batch in parts:
-            values = [x or type(x)() if x is not None else "" for x in batch.column(column).to_pylist()]
-            for a, b in slices(values):
-                made = work(codec, values[a:b])
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, b - a).columns, *(pa.array(m, pa.binary()) for m in made)], names=[*batch.schema.names, *added]
-                )
+            for rows, values in slices(batch, column):
+                made = work(codec, values)
+                yield pa.RecordBatch.from_arrays([*rows.columns, *(m.cast(pa.binary()) for m in made)], names=[*batch.schema.names, *added])
         codec.forget()
         given_back()
 
@@ -291,19 +354,14 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
 
 def encoded(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of the text, as little-endian unsigned 32-bit integers."""
-    return _mapped(docs, ranks, pattern, text, [ids], lambda codec, texts: [codec.encode(texts)])
+    return _mapped(docs, ranks, pattern, text, [ids], lambda codec, texts: codec.encode_columns(texts))
 
 
 def decoded(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the bytes of the ids; null ids count as none."""
-    return _mapped(df, ranks, pattern, ids, [into], lambda codec, given: [codec.decode([x or b"" for x in given])])
+    return _mapped(df, ranks, pattern, ids, [into], lambda codec, given: [codec.decode_column(given)])
 
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", into: str = "decoded") -> DataFrame:
     """Add the ids and what they decode to, in one pass over the texts."""
-
-    def both(codec, texts):
-        parts = codec.encode_parts(texts)
-        return [[b"".join(p) for p in parts], codec.decode_parts(parts)]
-
-    return _mapped(docs, ranks, pattern, text, [ids, into], both)
+    return _mapped(docs, ranks, pattern, text, [ids, into], lambda codec, texts: codec.encode_columns(texts, back=True))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.bpe import KEPT, Recent, slices, split_chunks
+from panelwright.llm.bpe import KEPT, Recent, distinct_pieces, joined, slices, split_chunks
 from panelwright.llm.common import given_back, new_folder, shuffle_partitions, shuffles_end, worker_memo
 
 MAGIC = b"RANSBLK1"
@@ -162,7 +162,7 @@ class Tokens:
         self.forget()
 
     def forget(self) -> None:
-        self.recent = Recent(2 * KEPT)
+        self.recent = Recent(pa.large_string(), size=KEPT)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
@@ -187,31 +187,22 @@ class Tokens:
         known.update(zip(rest, self._singly([" " + c for c in rest]), strict=True))
         return [known[c] for c in chunks]
 
+    def _pieces(self, pieces: pa.Array) -> list[pa.Array]:
+        """Ids of distinct heads (which begin with a space) and chunks."""
+        given = pieces.to_pylist()
+        heads = [k for k, p in enumerate(given) if p[0] == " "]
+        chunks = [k for k, p in enumerate(given) if p[0] != " "]
+        ids = [b""] * len(given)
+        for at, made in ((heads, self._singly([given[k][1:] for k in heads])), (chunks, self._chunks([given[k] for k in chunks]))):
+            for k, x in zip(at, made, strict=True):
+                ids[k] = x
+        return [pa.array(ids, pa.large_binary())]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        special = [any(s in t for s in self.specials) for t in texts]
-        cut = [("", []) if whole else split_chunks(t) for t, whole in zip(texts, special, strict=True)]
-        # every distinct chunk once; texts are then put together by number
-        heads = [t if whole else head for t, (head, _), whole in zip(texts, cut, special, strict=True)]
-        flat = pa.array([c for _, chunks in cut for c in chunks], pa.string()).dictionary_encode()
-        distinct = flat.dictionary.to_pylist()
-        known, missing = self.recent.known(set(distinct))
-        known.update(zip(missing, self._chunks(missing), strict=True))
-        pieces = [known[c] for c in distinct] + self._singly(heads)
-        counts = np.fromiter((len(chunks) + 1 for _, chunks in cut), np.int64, len(cut))
-        begins = np.cumsum(counts) - counts
-        numbers = np.empty(int(counts.sum()), np.int64)
-        is_head = np.zeros(len(numbers), bool)
-        is_head[begins] = True
-        numbers[is_head] = len(distinct) + np.arange(len(cut))
-        numbers[~is_head] = flat.indices.to_numpy()
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.kind.itemsize
-        starts = np.cumsum(sizes) - sizes
-        own = sizes[numbers]
-        upto = np.cumsum(own)
-        ids = np.frombuffer(b"".join(pieces), self.kind)[np.repeat(starts[numbers] - (upto - own), own) + np.arange(upto[-1] if len(upto) else 0)]
-        ends = (upto[begins + counts - 1] * self.kind.itemsize).tolist()
-        raw = ids.tobytes()
-        return [raw[x:y] for x, y in zip([0, *ends], ends, strict=False)]
+        """Ids of each text; every distinct chunk once, and texts are then put together by number."""
+        whole = lambda t: any(s in t for s in self.specials)
+        pieces, numbers, ends = distinct_pieces(texts, lambda t: (t, []) if whole(t) else split_chunks(t))
+        return joined(self.recent.known(pieces, self._pieces)[0], numbers, ends).to_pylist()
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -229,11 +220,10 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id",
         tokens = memo[key]
         end, width = np.array([end_id], tokens.kind).tobytes(), tokens.kind.itemsize
         for batch in parts:
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in slices(texts, SLICE):
-                ids = [x + end for x in tokens.encode(texts[a:b])]
+            for rows, texts in slices(batch, batch.schema.names[1], SLICE):
+                ids = [x + end for x in tokens.encode(texts)]
                 sizes, widths = pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), sizes, widths, pa.array(ids, pa.binary())], names=["id", "n_tokens", "width", "ids"])
+                yield pa.RecordBatch.from_arrays([rows.column(0), sizes, widths, pa.array(ids, pa.binary())], names=["id", "n_tokens", "width", "ids"])
         given_back()
 
     return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(batches, f"id {docs.schema[id].dataType.simpleString()}, n_tokens long, width int, ids binary")

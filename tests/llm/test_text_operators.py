@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelwright.llm import bpe, extraction, pii, quality, rans
@@ -50,6 +51,40 @@ def test_bpe_long_words_agree_with_the_recursion(codec):
     assert [ids_of(x) for x in codec.contract(words)] == [bpe.contract_long(w, codec.ranks) for w in words]
 
 
+def test_bpe_recursion_is_bounded(codec, monkeypatch):
+    """New words meet the recursion in runs: all rows of all its steps stay within a bound, however many words are new."""
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeth") for _ in range(rng.choice((3, 9, 250)))).encode() for _ in range(3000)]
+    given, query = [], bpe.Codec._query
+    monkeypatch.setattr(bpe.Codec, "_query", lambda self, name, table, sql: given.append(table) or query(self, name, table, sql))
+    coded = codec.contract(words)
+    assert [ids_of(x) for x in coded] == [bpe.contract_long(w, codec.ranks) for w in words]
+    sizes = [np.bincount(t.column("word").to_numpy()) for t in given]
+    assert sum(map(len, sizes)) == len(words) and max(int((n * (n + 1) // 2).sum()) for n in sizes) <= bpe.ROWS
+
+
+def test_bpe_keeps_a_bounded_number_of_bytes(codec):
+    """What a task keeps is Arrow columns of bounded size, also when every chunk is new or long."""
+    rng = random.Random(9)
+    codec.forget()
+    for long in (8, 3000):
+        for _ in range(4):
+            texts = [" ".join("".join(rng.choice("abé,") for _ in range(rng.randrange(1, long))) for _ in range(200)) for _ in range(5)]
+            ids, back = codec.encode_columns(texts, back=True)
+            assert back.to_pylist() == [t.encode() for t in texts] and ids.to_pylist() == codec.encode(texts)
+    for kept in (*codec.words_known.values(), *codec.pieces_known.values()):
+        held = kept.keys.nbytes + sum(c.nbytes for c in kept.values)
+        assert len(kept.keys) == len(set(kept.keys.to_pylist())) and held <= 64 * kept.size + 64 * sum(map(len, texts))
+    few = bpe.Recent(codec.words_known[1].keys.type, size=3)
+    for asked in (["a", "b"], ["b", "c", "d", "e"], ["e", "a"]):
+        made = []
+        keys = pa.array(asked, few.keys.type)
+        found = few.known(keys, lambda new: made.extend(new.to_pylist()) or [pa.array([x.encode() for x in new.to_pylist()])])  # noqa: B023
+        assert found[0].to_pylist() == [x.encode() for x in asked]
+    assert made == ["a"]  # the last call's entries stayed, earlier ones went
+    codec.forget()
+
+
 def test_bpe_whole_vocabulary(codec):
     """Every token's bytes come back as that token alone, as the library takes for granted."""
     tokens = sorted(codec.ranks)
@@ -136,6 +171,19 @@ def test_ids_of_odd_texts():
     assert own.encode([]) == [] and own.encode(["", ""]) == [b"", b""]
 
 
+def test_ids_are_put_together_by_number():
+    """A distinct chunk reaches the library once over several calls, and a head is no chunk of the same letters."""
+    own = rans.Tokens(open(JSON, encoding="utf-8").read())
+    asked, chunks = [], own._chunks
+    own._chunks = lambda new: asked.extend(new) or chunks(new)
+    first = own.encode(["thon anthe thon", "anthe x", "", "x"])
+    again = own.encode(["thon anthe thon", "anthe x", "", "x"])
+    assert sorted(asked) == ["anthe", "thon", "x"] and again == first
+    assert isinstance(own.recent.keys, pa.LargeStringArray) and len(own.recent.keys) == 3 + 4
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in ("thon anthe thon", "anthe x", "", "x")]
+    assert [np.frombuffer(x, own.kind).tolist() for x in first] == want
+
+
 def test_rans_frames(spark, odd, empty):
     path = new_folder(spark)
     rans.write(odd, path, JSON, end_id=0)
