@@ -27,7 +27,7 @@ from panelwright.llm.common import given_back, worker_memo
 #: Code points of text handled at a time, and entries that a task keeps of each kind.
 SLICE, KEPT = 2_000_000, 300_000
 #: Rows of a recursion or of a decoding at a time, at most: n tokens make n(n+1)/2 rows in their recursion, all steps together.
-ROWS = 1_000_000
+ROWS = 500_000
 #: Words of more bytes are contracted by a heap: the recursion takes a step a merge, over all tokens left.
 LONG = 256
 _GLUED = re.compile(r" (?:\s|\Z)")
@@ -346,6 +346,7 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
             for rows, values in slices(batch, column):
                 made = work(codec, values)
                 yield pa.RecordBatch.from_arrays([*rows.columns, *(m.cast(pa.binary()) for m in made)], names=[*batch.schema.names, *added])
+            given_back()
         codec.forget()
         given_back()
 

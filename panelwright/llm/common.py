@@ -85,7 +85,7 @@ def gone(*tables: DataFrame) -> None:
 
 
 def given_back() -> None:
-    """At the end of a task: return freed memory of the Python worker, which lives on, to the system."""
+    """At the end of a task or batch: return freed memory of the Python worker, which lives on, to the system."""
     import ctypes
     import gc
 

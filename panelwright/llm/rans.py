@@ -162,7 +162,7 @@ class Tokens:
         self.forget()
 
     def forget(self) -> None:
-        self.recent = Recent(pa.large_string(), size=KEPT)
+        self.recent = Recent(pa.large_string(), size=4 * KEPT)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
