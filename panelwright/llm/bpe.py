@@ -310,7 +310,19 @@ def runs(sizes: np.ndarray, most: int):
         begin = end
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = SLICE):
+def slices(texts: list[str], size: int = SLICE):
+    """(from, to) of runs of texts with about `size` code points, one text at least."""
+    begin, held = 0, 0
+    for k, t in enumerate(texts):
+        if held and held + len(t) > size:
+            yield begin, k
+            begin, held = k, 0
+        held += len(t)
+    if begin < len(texts):
+        yield begin, len(texts)
+
+
+def batch_slices(batch: pa.RecordBatch, column: str, size: int = SLICE):
     """(rows, values) of slices of a batch with about `size` code points or bytes in the column, one row at least; null is empty."""
     values = batch.column(column)
     text = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
@@ -343,7 +355,7 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
     def batches(parts):
         codec = _codec(rank_file.value, pattern)
         for batch in parts:
-            for rows, values in slices(batch, column):
+            for rows, values in batch_slices(batch, column):
                 made = work(codec, values)
                 yield pa.RecordBatch.from_arrays([*rows.columns, *(m.cast(pa.binary()) for m in made)], names=[*batch.schema.names, *added])
             given_back()

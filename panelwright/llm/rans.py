@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwright.llm.bpe import KEPT, Recent, distinct_pieces, joined, slices, split_chunks
+from panelwright.llm.bpe import KEPT, Recent, batch_slices, distinct_pieces, joined, split_chunks
 from panelwright.llm.common import given_back, new_folder, shuffle_partitions, shuffles_end, worker_memo
 
 MAGIC = b"RANSBLK1"
@@ -220,7 +220,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id: str = "doc_id",
         tokens = memo[key]
         end, width = np.array([end_id], tokens.kind).tobytes(), tokens.kind.itemsize
         for batch in parts:
-            for rows, texts in slices(batch, batch.schema.names[1], SLICE):
+            for rows, texts in batch_slices(batch, batch.schema.names[1], SLICE):
                 ids = [x + end for x in tokens.encode(texts)]
                 sizes, widths = pa.array([len(x) // width for x in ids], pa.int64()), pa.array([width] * len(ids), pa.int32())
                 yield pa.RecordBatch.from_arrays([rows.column(0), sizes, widths, pa.array(ids, pa.binary())], names=["id", "n_tokens", "width", "ids"])
