@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from panelwright.llm.common import given_back, worker_memo
+from panelwright.llm.common import given_back, tidy, worker_memo
 
 #: Code points of text handled at a time, and entries that a task keeps of each kind.
 SLICE, KEPT = 2_000_000, 300_000
@@ -352,17 +352,19 @@ def _mapped(df: DataFrame, ranks: str, pattern: str, column: str, added: list[st
         rank_file = spark.sparkContext.broadcast(f.read())  # one vocabulary
     schema = StructType([*df.schema.fields, *(StructField(c, BinaryType()) for c in added)])
 
+    def sliced(codec, batch):
+        for rows, values in batch_slices(batch, column):
+            made = work(codec, values)
+            yield pa.RecordBatch.from_arrays([*rows.columns, *(m.cast(pa.binary()) for m in made)], names=[*batch.schema.names, *added])
+
     def batches(parts):
         codec = _codec(rank_file.value, pattern)
         for batch in parts:
-            for rows, values in batch_slices(batch, column):
-                made = work(codec, values)
-                yield pa.RecordBatch.from_arrays([*rows.columns, *(m.cast(pa.binary()) for m in made)], names=[*batch.schema.names, *added])
+            yield from sliced(codec, batch)
             given_back()
         codec.forget()
-        given_back()
 
-    return df.mapInArrow(batches, schema)
+    return df.mapInArrow(tidy(batches), schema)
 
 
 def encoded(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -99,6 +99,16 @@ def given_back() -> None:
         pass
 
 
+def tidy(work):
+    """A task's function on batches that gives memory back when it is done and its last batch is let go of."""
+
+    def batches(parts):
+        yield from work(parts)
+        given_back()
+
+    return batches
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

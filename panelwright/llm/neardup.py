@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.bpe import slices
-from panelwright.llm.common import cut, given_back
+from panelwright.llm.common import cut, tidy
 
 BANDS, ROWS = 28, 5
 REGISTERS = BANDS * ROWS
@@ -140,11 +140,10 @@ def sketches(docs: DataFrame, id: str, text: str, width: int) -> DataFrame:
                     ],
                     names=["id", "n_shingles", "same", "regs", "bands"],
                 )
-        given_back()
 
     kind = docs.schema[id].dataType.simpleString()
     return docs.select(F.col(id).alias("id"), F.col(text)).mapInArrow(
-        batches, f"id {kind}, n_shingles long, same binary, regs binary, bands array<long>"
+        tidy(batches), f"id {kind}, n_shingles long, same binary, regs binary, bands array<long>"
     )
 
 
@@ -160,7 +159,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 yield batch.select(["a", "b"]).filter(pa.array(may_link(view("regs_a"), view("regs_b"), size("n_a"), size("n_b"), percent)))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(kept, f"a {kind}, b {kind}")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(tidy(kept), f"a {kind}, b {kind}")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -182,7 +181,7 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     kind = pairs.schema["a"].dataType.simpleString()
     paired = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
-    return paired.mapInArrow(kept, f"a {kind}, b {kind}, both long, either long, only_a binary, only_b binary")
+    return paired.mapInArrow(tidy(kept), f"a {kind}, b {kind}, both long, either long, only_a binary, only_b binary")
 
 
 def _links(compared: DataFrame, percent: int) -> DataFrame:
@@ -243,7 +242,7 @@ def _cross_pairs(open_rows: DataFrame, classes: DataFrame, percent: int) -> Data
         if held is not None and held.num_rows:
             yield from _block_pairs(held, percent)
 
-    return dealt.mapInArrow(pairs, f"a {kind}, b {kind}, sure boolean").distinct()
+    return dealt.mapInArrow(tidy(pairs), f"a {kind}, b {kind}, sure boolean").distinct()
 
 
 def _starts(rows: pa.Table) -> np.ndarray:
@@ -335,9 +334,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
                 own = pa.array([xxhash.xxh3_128_digest(s) == d for s, d in zip(sets, batch.column("same").slice(a, b - a).to_pylist(), strict=True)])
                 out = pa.RecordBatch.from_arrays([batch.column("class").slice(a, b - a), pa.array(sets, pa.binary())], names=["id", "shingles"])
                 yield out.filter(own)
-        given_back()
 
-    sets = cut(texts.mapInArrow(full, "id long, shingles binary").dropDuplicates(["id"]))
+    sets = cut(texts.mapInArrow(tidy(full), "id long, shingles binary").dropDuplicates(["id"]))
     compared = cut(_compared(candidates, sets))
     links = _links(compared, percent)
     several = cut(sets_of.groupBy("id").agg(F.min("same").alias("_one"), F.max("same").alias("_two")).where("_one <> _two").select("id"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from panelwright.llm.common import given_back
+from panelwright.llm.common import tidy
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 #: Soft rules: name -> condition of failure over the measures.
@@ -89,9 +89,8 @@ def measure(docs: DataFrame, text: str = "text", into: str = "_quality") -> Data
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] or [pa.array([], pa.int64())] * len(MEASURES)
             struct = pa.StructArray.from_arrays(columns, names=list(MEASURES))
             yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, into])
-        given_back()
 
-    return docs.mapInArrow(batches, schema)
+    return docs.mapInArrow(tidy(batches), schema)
 
 
 def _of(condition: str, struct: str) -> Column:

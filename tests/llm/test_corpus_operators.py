@@ -278,6 +278,27 @@ def test_joint_likelihood():
     assert (merged == neardup.registers(np.concatenate([a, b]))).all()
 
 
+def test_memory_goes_back_after_the_last_batch(monkeypatch):
+    """What a task's function holds is let go of before memory is given back, and it works on no batch at all."""
+    import weakref
+
+    from panelwright.llm import common
+
+    class Batch:
+        pass
+
+    seen, alive = [], []
+    monkeypatch.setattr(common, "given_back", lambda: alive.append([r() is not None for r in seen]))
+
+    def work(parts):
+        for batch in parts:
+            seen.append(weakref.ref(batch))
+            yield len(seen)
+
+    assert list(common.tidy(work)(Batch() for _ in range(3))) == [1, 2, 3] and alive == [[False] * 3]
+    assert list(common.tidy(work)(iter([]))) == [] and len(alive) == 2
+
+
 def test_neardup_frames(odd, empty):
     rows = neardup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
