@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -184,6 +185,45 @@ def test_ids_are_put_together_by_number():
     assert [np.frombuffer(x, own.kind).tolist() for x in first] == want
 
 
+def test_a_word_is_encoded_once_whatever_sign_or_line_end_follows():
+    own = rans.Tokens(open(JSON, encoding="utf-8").read())
+    asked, chunks = [], own._chunks
+    own._chunks = lambda new: asked.extend(new) or chunks(new)
+    texts = ["x anthe, anthe. anthe!\nThon anthe", "Thon anthe's (anthe) anthe\n\nx"]
+    got = own.encode(texts)
+    assert sorted(asked) == ["(", "anthe"]
+    assert [np.frombuffer(x, own.kind).tolist() for x in got] == [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_pieces_of_odd_texts():
+    """Pieces make up the texts, and each has on its own the ids that it has in its text."""
+    own, rng = rans.Tokens(open(JSON, encoding="utf-8").read()), random.Random(8)
+    parts = [" ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u1680", "\u180e", "\u2003", "\u2028", "\u202f", "\u205f", "\u3000"]
+    parts += ["\u200b", "\u2014", "\u201c", "\u3001", "a", "It", "'s", "'ve", "'", "!'", "s", ".", ",", "-", "12", "\xb2", "\xdf", "e\u0301", "\u65e5", "\U0001f600", "\xa9"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    pieces, ends = rans.cut_pieces(pa.array(texts, pa.large_string()), np.zeros(len(texts), bool))
+    given = pieces.to_pylist()
+    assert ["".join(given[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=True)] == texts
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)] == want
+    whole, ends = rans.cut_pieces(pa.array(["a, b", "", "c d."], pa.large_string()), np.array([True, False, False]))
+    assert whole.to_pylist() == ["a, b", "", "c", " d", "."] and ends.tolist() == [1, 2, 5]
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+        {"normalizer": {"type": "Strip", "strip_left": True, "strip_right": True}},
+    ],
+)
+def test_ids_of_tokenizers_that_read_texts_as_a_whole(change):
+    own = rans.Tokens(json.dumps(json.load(open(JSON, encoding="utf-8")) | change))
+    texts = ["x, anthe.\nThon", " x ", "\n", "", "x. anthe"]
+    want = [own.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, own.kind).tolist() for x in own.encode(texts)] == want
+
+
 def test_rans_frames(spark, odd, empty):
     path = new_folder(spark)
     rans.write(odd, path, JSON, end_id=0)
